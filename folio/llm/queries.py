@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from folio.llm import op02_packing, op05_mixing, op06_minhash, op08_secrets
+from folio.llm import op01_language, op02_packing, op04_quality, op05_mixing, op06_minhash, op08_secrets
 
 
 def queries() -> dict:
     return {
+        "op1_language": op01_language.op1_language,
         "op2_packing": op02_packing.op2_packing,
+        "op4_quality": op04_quality.op4_quality,
         "op5_mixing": op05_mixing.op5_mixing,
         "op6_minhash": op06_minhash.op6_minhash,
         "op8_secrets": op08_secrets.op8_secrets,
