@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folio.llm import op01_language, op02_packing, op04_quality, op05_mixing, op06_minhash, op08_secrets
+from folio.llm import op01_language, op02_packing, op04_quality, op05_mixing, op06_minhash, op07_embeddings, op08_secrets, op10_neighbours
 
 
 def queries() -> dict:
@@ -12,7 +12,9 @@ def queries() -> dict:
         "op4_quality": op04_quality.op4_quality,
         "op5_mixing": op05_mixing.op5_mixing,
         "op6_minhash": op06_minhash.op6_minhash,
+        "op7_embeddings": op07_embeddings.op7_embeddings,
         "op8_secrets": op08_secrets.op8_secrets,
+        "op10_neighbours": op10_neighbours.op10_neighbours,
     }
 
 
