@@ -1,20 +1,24 @@
-"""The queries of this subpackage."""
+"""The queries of this subpackage; corpus_pipeline.py at the top of the repository belongs to it."""
 
 from __future__ import annotations
 
-from folio.llm import op01_language, op02_packing, op04_quality, op05_mixing, op06_minhash, op07_embeddings, op08_secrets, op10_neighbours
+import corpus_pipeline
+from folio.llm import op01_language, op02_packing, op03_substrings, op04_quality, op05_mixing, op06_minhash, op07_embeddings, op08_secrets, op09_tokens, op10_neighbours
 
 
 def queries() -> dict:
     return {
         "op1_language": op01_language.op1_language,
         "op2_packing": op02_packing.op2_packing,
+        "op3_substrings": op03_substrings.op3_substrings,
         "op4_quality": op04_quality.op4_quality,
         "op5_mixing": op05_mixing.op5_mixing,
         "op6_minhash": op06_minhash.op6_minhash,
         "op7_embeddings": op07_embeddings.op7_embeddings,
         "op8_secrets": op08_secrets.op8_secrets,
+        "op9_tokens": op09_tokens.op9_tokens,
         "op10_neighbours": op10_neighbours.op10_neighbours,
+        "pipeline": corpus_pipeline.run,
     }
 
 
