@@ -7,6 +7,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Phrases before a sponsor or a company name.
 SPONSOR_PHRASES = ("funded by", "supported by", "grant from", "sponsored by", "funding provided by", "research supported by")
@@ -15,7 +16,7 @@ NAME = r"([A-Z][A-Za-z0-9\s&,.-]{2,50})"
 SPONSORS = [re.compile(rf"{p}\s+{NAME}", re.I) for p in SPONSOR_PHRASES]
 COMPANIES = [re.compile(rf"{p}\s+{NAME}", re.I) for p in COMPANY_PHRASES] + [re.compile(rf"{p}.*?{NAME}", re.I) for p in ("conflict of interest", "disclosure")]
 
-COMMERCIAL = "struct<sponsor_names:array<string>,company_names:array<string>,snippets:array<string>>"
+COMMERCIAL = T.StructType([T.StructField(n, T.ArrayType(T.StringType())) for n in ("sponsor_names", "company_names", "snippets")])
 
 
 def commercial_of(text: str | None, names: int = 5, snippets: int = 2, width: int = 160) -> dict:
@@ -41,7 +42,7 @@ def commercial_signals(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([commercial_of(t) for t in texts], columns=["sponsor_names", "company_names", "snippets"])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Share of matching characters of two titles (Ratcliff-Obershelp), 0 for null."""
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x is not None and y is not None else 0.0 for x, y in zip(a, b, strict=True)])

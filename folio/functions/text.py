@@ -180,7 +180,9 @@ def preview(c: Column, n: int = 200) -> Column:
 def trigrams(c: Column) -> Column:
     """Phrases of three neighbouring words."""
     w = F.split(squeeze(F.lower(c)), " ")
-    return F.when(F.size(w) >= 3, F.transform(F.sequence(F.lit(1), F.size(w) - 2), lambda i: F.array_join(F.slice(w, i, 3), " "))).otherwise(F.array().cast("array<string>"))
+    # zipped with itself shifted, so the words are split a fixed number of times, not once a phrase
+    z = F.arrays_zip(w.alias("a"), F.slice(w, F.lit(2), F.greatest(F.lit(0), F.size(w) - 1)).alias("b"), F.slice(w, F.lit(3), F.greatest(F.lit(0), F.size(w) - 2)).alias("c"))
+    return F.transform(F.filter(z, lambda x: x["c"].isNotNull()), lambda x: F.concat_ws(" ", x["a"], x["b"], x["c"]))
 
 
 def shares_trigram(title: Column, text: Column) -> Column:

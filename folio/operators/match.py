@@ -84,8 +84,8 @@ def merge_items(items: DataFrame, key: str, edges: DataFrame) -> DataFrame:
 
     A chain of matches is one group (the reference order of arrival does not matter here).
     """
-    group = components(edges, "a_id", "b_id")
-    d = items.join(group, items[key] == group["id"], "left").withColumn("_g", F.coalesce("label", key)).drop("id", "label")
+    group = components(edges, "a_id", "b_id").select(F.col("id").alias("_n"), F.col("label").alias("_l"))
+    d = items.join(group, F.col(key) == F.col("_n"), "left").withColumn("_g", F.coalesce("_l", key)).drop("_n", "_l")
     rest = [c for c in items.columns if c not in (key, "labels")]
     first = [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(key))).alias(c) for c in rest]
     return d.groupBy(F.col("_g").alias(key)).agg(*first, F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), "labels"))), lambda x: x["labels"])).alias("labels"))
