@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,17 @@ _r = np.random.default_rng(7919)
 MULT = _r.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 ADD = _r.integers(0, 2**32, HASHES, dtype=np.uint32)
 LANES = HASHES * BITS // 64
-SIGNATURE = "id long, n_shingles long, d1 long, d2 long, " + ", ".join(f"s{k} long" for k in range(LANES)) + ", bands array<long>"
+SIGNATURE = "id long, n_shingles long, node long, " + ", ".join(f"s{k} long" for k in range(LANES)) + ", bands array<long>"
+
+
+#: Buckets up to this size emit their pairs; larger ones are compared in blocks of BLOCK rows inside tasks.
+SMALL, BLOCK = 48, 384
+MAP_BITS = 25
+
+
+def digest(s: np.ndarray) -> int:
+    """One number for a set of hashes, whatever their order."""
+    return int(mix(np.array([s.sum(dtype=np.uint64) ^ np.uint64(len(s))])).view(np.int64)[0])
 
 
 def minima(s: np.ndarray) -> np.ndarray:
@@ -35,20 +46,20 @@ def minima(s: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Set size, a 128-bit digest of the set, the packed low bits of the minima, and a hash for each band."""
+    """Set size, a 64-bit digest of the set (node), the packed low bits of the minima, and a hash for each band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shifts = (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS))[None, :]
         salt = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
         for batch in batches:
             n = batch.num_rows
-            count, d1, d2 = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+            count, node = np.zeros(n, np.int64), np.zeros(n, np.int64)
             sig, bands = np.zeros((n, LANES), np.uint64), [np.zeros(0, np.int64)] * n
             for k, s in shingle_sets(batch.column(1), WORDS):
                 count[k] = len(s)
                 if not len(s):
                     continue
-                d1[k], d2[k] = s.sum(dtype=np.uint64), mix(s * np.uint64(0x9FB21C651E98DF25)).sum(dtype=np.uint64)
+                node[k] = digest(s)
                 m = minima(s)
                 low = (m >> np.uint32(7)).astype(np.uint64) & np.uint64((1 << BITS) - 1)
                 sig[k] = (low.reshape(LANES, -1) << shifts).sum(axis=1, dtype=np.uint64)
@@ -56,8 +67,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for row in m.astype(np.uint64).reshape(BANDS, ROWS).T:
                     h = h * np.uint64(0xA0761D6478BD642F) + row
                 bands[k] = mix(h).view(np.int64)
-            arrays = [batch.column(0).cast(pa.int64()), pa.array(count), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), *[pa.array(np.ascontiguousarray(sig[:, j]).view(np.int64)) for j in range(LANES)], list_array(bands, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_shingles", "d1", "d2", *[f"s{j}" for j in range(LANES)], "bands"])
+            arrays = [batch.column(0).cast(pa.int64()), pa.array(count), pa.array(node), *[pa.array(np.ascontiguousarray(sig[:, j]).view(np.int64)) for j in range(LANES)], list_array(bands, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_shingles", "node", *[f"s{j}" for j in range(LANES)], "bands"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, SIGNATURE)
 
@@ -78,78 +89,137 @@ def estimate(left: str, right: str) -> Column:
     return (agree - chance) / (1 - chance)
 
 
-def shingles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, set): the full shingle sets."""
+def shingles(docs: DataFrame) -> DataFrame:
+    """(node, set): the full shingle sets of docs (text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.zeros(0, np.int64)] * batch.num_rows
-            at, held = 0, 0
-            for k, s in shingle_sets(batch.column(1), WORDS):
-                sets[k] = s.view(np.int64)
-                held += len(s)
-                if held > 500_000 or k == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, k + 1 - at).cast(pa.int64()), list_array(sets[at : k + 1], pa.int64())], names=["id", "set"])
-                    at, held = k + 1, 0
+            nodes, sets, held = [], [], 0
+            for k, s in shingle_sets(batch.column(0), WORDS):
+                if len(s):
+                    nodes.append(digest(s))
+                    sets.append(s.view(np.int64))
+                    held += len(s)
+                if nodes and (held > 500_000 or k == batch.num_rows - 1):
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), list_array(sets, pa.int64())], names=["node", "set"])
+                    nodes, sets, held = [], [], 0
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, set array<long>")
+    return docs.select("text").mapInArrow(run, "node long, set array<long>")
+
+
+def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs whose id may be one of ids, without a shuffle of the texts.
+
+    The ids go into a bitmap of 2**MAP_BITS places, made by Spark and broadcast: at most 2**(MAP_BITS - 6)
+    rows of 16 bytes however many ids there are. Some other rows pass too; joins by node drop them.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << MAP_BITS))
+    p = ids.select(place("id").alias("p"))
+    marks = p.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("bits"))
+    d = docs.withColumn("_p", place("id"))
+    return d.join(F.broadcast(marks), (F.shiftright("_p", 6) == F.col("word")) & (F.expr("bits & shiftleft(1L, int(_p & 63))") != 0)).select("id", "text")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, per_cent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. Texts are read again for the documents of pairs only."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    some = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text")).join(ids, F.col("_doc") == F.col("_id"), "left_semi")
-    sets = materialize(shingles(some, "_doc", "_text"))
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+def sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, set) for nodes, from the text of one document of each."""
+    ids = classes.join(nodes, "node").select(F.col("cid").alias("id"))
+    return materialize(shingles(only(docs, ids)).join(nodes, "node", "left_semi").dropDuplicates(["node"]))
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose full sets are similar enough."""
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
     both = both.withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    return both.where(100 * F.col("common") >= per_cent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b").distinct()
+    return both.where(100 * F.col("common") >= per_cent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
+
+
+def block_links(members: DataFrame, sets: DataFrame, per_cent: int, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) that join what is linked inside large buckets (band, node).
+
+    A bucket is cut into blocks, and each pair of blocks is one group of bounded size. All its pairs are
+    compared exactly by one product of 0/1 matrices over the shingles that occur twice; what comes out is
+    a spanning edge for each row, not the pairs.
+    """
+    sizes = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    cut = members.join(sizes, "band").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node").join(sets, "node")
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        nodes, rows = pdf["node"].to_numpy(), [np.asarray(x, np.int64) for x in pdf["set"]]
+        size = np.array([len(r) for r in rows])
+        values, at, seen = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+        use = seen[at] > 1
+        column = np.cumsum(seen > 1) - 1
+        row = np.repeat(np.arange(len(rows)), size)[use]
+        common = np.zeros((len(rows), len(rows)), np.float32)
+        order = np.argsort(column[at[use]], kind="stable")
+        row, col = row[order], column[at[use]][order]
+        for first in range(0, int(col.max(initial=-1)) + 1, 4096):
+            a, z = np.searchsorted(col, [first, first + 4096])
+            m = np.zeros((len(rows), 4096), np.float32)
+            m[row[a:z], col[a:z] - first] = 1
+            common += m @ m.T
+        near = 100 * common >= per_cent * (size[:, None] + size[None, :] - common)
+        label = np.arange(len(rows))
+        while True:
+            low = np.where(near, label[None, :], len(rows)).min(axis=1)
+            low = np.minimum(low, label)
+            low = low[low]
+            if (low == label).all():
+                break
+            label = low
+        moved = label != np.arange(len(rows))
+        return pd.DataFrame({"a": nodes[moved], "b": nodes[label[moved]]})
+
+    return cut.groupBy("band", "i", "j").applyInPandas(link, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_cent: int = SIMILARITY, margin: float = 0.22) -> DataFrame:
     """One row a row of docs: id, n_shingles, component_id, kept.
 
-    Texts with equal shingle sets form one class, which its smallest id stands for. Classes that
-    share a band of four minima are candidates (at similarity 0.75 a pair shares none of the 32 bands
-    once in 200,000); pairs whose b-bit estimate lies more than `margin` below the threshold (five
-    standard deviations) fall away, the others are confirmed on their full sets. In a bucket, every
-    class is first compared with the bucket's smallest one, so a bucket of m classes makes m pairs;
-    after components are known, only pairs in different components of one bucket are compared, so
-    no link between components is lost and large groups of copies are never expanded into pairs.
+    Texts with equal shingle sets are one node, named by a 64-bit digest of the set. Nodes that share a
+    band of four minima are candidates (at similarity 0.75 a pair shares none of the 32 bands once in
+    200,000); pairs whose b-bit estimate lies more than `margin` below the threshold (five standard
+    deviations) fall away, the others are confirmed on their full sets. In a bucket, every node is first
+    compared with the bucket's smallest one, so a bucket of m nodes makes m pairs. After components are
+    known, only buckets that hold several components are looked at again: small ones pair by pair, large
+    ones in blocks inside tasks, so no link between components is lost and no group is expanded into pairs.
 
     No words or a null text: an empty set, linked with nothing. A null id: component_id null, kept.
     Rows that repeat an id count as one document for linking. An empty table gives an empty result.
     Only the two named columns are read.
     """
-    sig = materialize(signatures(docs, id_col, text_col))
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    sig = materialize(signatures(docs, "id", "text"))
     full = sig.where("n_shingles > 0 AND id IS NOT NULL")
-    classes = full.groupBy("d1", "d2", "n_shingles").agg(F.min("id").alias("cid"))
-    keyed = full.select("id", "d1", "d2", "n_shingles", "bands", *[f"s{j}" for j in range(LANES)])
-    heads = keyed.join(classes, ["d1", "d2", "n_shingles"]).where("id = cid").drop("d1", "d2", "cid")
-    banded = heads.select("id", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("id").alias("rep"), F.max("id").alias("top")).where("rep < top").select("band", "rep")
-    members = materialize(banded.join(buckets, "band"))
-    packed = heads.select(F.col("id").alias("pid"), F.struct(*[f"s{j}" for j in range(LANES)]).alias("sig"))
-    packed = materialize(packed.join(members.select("id").distinct(), F.col("pid") == F.col("id"), "left_semi"))
+    classes = full.groupBy("node").agg(F.min("id").alias("cid"))
+    banded = full.select("node", F.explode("bands").alias("band"))
+    buckets = banded.groupBy("band").agg(F.min("node").alias("rep"), F.max("node").alias("top")).where("rep < top").select("band", "rep")
+    members = materialize(banded.join(buckets, "band").distinct())
+    lanes = [f"s{j}" for j in range(LANES)]
+    packed = materialize(full.select("node", F.struct(*lanes).alias("sig")).join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
     least = per_cent / 100 - margin
-
-    def with_signatures(pairs: DataFrame) -> DataFrame:
-        l = packed.select(F.col("pid").alias("a"), F.col("sig").alias("l"))
-        r = packed.select(F.col("pid").alias("b"), F.col("sig").alias("r"))
-        return pairs.join(l, "a").join(r, "b").where(estimate("l", "r") >= least).select("a", "b")
-
-    stars = materialize(with_signatures(members.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()))
-    links = materialize(confirmed(stars, docs, id_col, text_col, per_cent))
+    stars = members.where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
+    stars = stars.join(packed.select(F.col("node").alias("a"), F.col("sig").alias("l")), "a").join(packed.select(F.col("node").alias("b"), F.col("sig").alias("r")), "b")
+    stars = materialize(stars.where(estimate("l", "r") >= least).select("a", "b"))
+    in_pairs = lambda p: p.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    links = materialize(confirmed(stars, sets_of(in_pairs(stars), classes, docs), per_cent))
     labels = connected_components(links)
-    named = members.join(labels.withColumnRenamed("id", "_n"), F.col("id") == F.col("_n"), "left").select("band", "rep", "id", F.coalesce("label", "id").alias("label"))
-    mixed = named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("band")
-    left = materialize(named.join(mixed, "band").join(packed, F.col("id") == F.col("pid")).drop("pid"))
-    l, r = left.alias("x"), left.alias("y")
-    rest = l.join(r, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & (F.col("x.id") != F.col("x.rep")) & (estimate("x.sig", "y.sig") >= least))
-    rest = materialize(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-    more = confirmed(rest, docs, id_col, text_col, per_cent)
+    named = members.join(labels.withColumnRenamed("id", "node"), "node", "left").select("band", "rep", "node", F.coalesce("label", "node").alias("label"))
+    mixed = named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("band", "size")
+    left = materialize(named.join(mixed, "band").where("size > 2 OR node <> rep"))  # the pair of a bucket of two has been compared
+    l = left.where(F.col("size").between(3, SMALL)).join(packed, "node")
+    x, y = l.alias("x"), l.alias("y")
+    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & (F.col("x.node") != F.col("x.rep")) & (estimate("x.sig", "y.sig") >= least))
+    rest = materialize(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    large = left.where(F.col("size") > SMALL).select("band", "node")
+    sets = sets_of(in_pairs(rest).unionByName(large.select("node")).distinct(), classes, docs)
+    more = confirmed(rest, sets, per_cent).unionByName(block_links(large, sets, per_cent)).distinct()
     labels = connected_components(labels.select(F.col("id").alias("a"), F.col("label").alias("b")).where("a <> b").unionByName(more))
-    of_class = classes.join(labels.withColumnRenamed("id", "_n"), F.col("cid") == F.col("_n"), "left").select("d1", "d2", "n_shingles", F.coalesce("label", "cid").alias("component"))
-    out = sig.select("id", "n_shingles", "d1", "d2").join(of_class.withColumnRenamed("n_shingles", "_k").withColumnRenamed("d1", "_d1").withColumnRenamed("d2", "_d2"), (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")) & (F.col("n_shingles") == F.col("_k")), "left")
+    joined = classes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("node", "cid", F.coalesce("label", "node").alias("label"))
+    least_id = joined.groupBy("label").agg(F.min("cid").alias("component"))
+    of_node = joined.join(least_id, "label").select(F.col("node").alias("_n"), "component")
+    out = sig.select("id", "n_shingles", "node").join(of_node, (F.col("node") == F.col("_n")) & (F.col("n_shingles") > 0), "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select("id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
 
