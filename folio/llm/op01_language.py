@@ -70,7 +70,7 @@ def text_runs(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
 
 
 def hashed(keys: np.ndarray, order: int) -> np.ndarray:
-    return mix(keys + np.uint64(order) * np.uint64(0x9E3779B97F4A7C15))
+    return mix(keys + np.uint64(order * 0x9E3779B97F4A7C15 % 2**64))
 
 
 def find(table_keys: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
