@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 def feed_date(c: Column) -> Column:
     """A feed's date: ISO 8601 or RFC 2822, in UTC without zone."""
     iso = F.try_to_timestamp(c)
-    mail = F.coalesce(*[F.try_to_timestamp(F.regexp_replace(c, r"\s+GMT$", " +0000"), F.lit(f)) for f in ("EEE, dd MMM yyyy HH:mm:ss Z", "EEE, d MMM yyyy HH:mm:ss Z", "dd MMM yyyy HH:mm:ss Z")])
+    plain = F.regexp_replace(F.regexp_replace(c, r"^[A-Za-z]{3},\s*", ""), r"\s+(GMT|UTC)$", " +0000")
+    mail = F.try_to_timestamp(plain, F.lit("d MMM yyyy HH:mm:ss Z"))
     return F.coalesce(F.when(F.rlike(c, F.lit(r"^\d{4}-\d{2}-\d{2}")), iso), mail)
 
 

@@ -6,8 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PUBLICATION = T.StructType.fromDDL("id string, title string, authors array<string>, source string, date string, url string, raw_text string, summary string, run_id string, venue string, source_names array<string>, date_raw string, date_source string")
-SCORING_EVENT = T.StructType.fromDDL("run_id string, publication_id string, mode string, title string, source string, final_relevancy_score int, final_relevancy_reason string, final_signals_json string, final_summary string, agreement_level string, confidence int, claude_review_json string, gemini_review_json string, gpt_eval_json string, credibility_score int, credibility_reason string, created_at timestamp_ntz")
+_KINDS = {"string": T.StringType(), "int": T.IntegerType(), "timestamp_ntz": T.TimestampNTZType(), "array<string>": T.ArrayType(T.StringType())}
+
+
+def struct(fields: str) -> T.StructType:
+    """A schema from 'name type, ...' without a running session."""
+    return T.StructType([T.StructField(n, _KINDS[k]) for n, k in (f.split() for f in fields.split(","))])
+
+
+PUBLICATION = struct("id string, title string, authors array<string>, source string, date string, url string, raw_text string, summary string, run_id string, venue string, source_names array<string>, date_raw string, date_source string")
+SCORING_EVENT = struct("run_id string, publication_id string, mode string, title string, source string, final_relevancy_score int, final_relevancy_reason string, final_signals_json string, final_summary string, agreement_level string, confidence int, claude_review_json string, gemini_review_json string, gpt_eval_json string, credibility_score int, credibility_reason string, created_at timestamp_ntz")
 SHEET = ("id", "title", "authors", "source", "date", "url", "doi", "pmid", "venue", "year", "summary", "score", "label", "credibility", "signals", "sponsors", "companies", "run_id", "run_mode", "is_new", "date_added", "last_seen", "canonical_url", "source_type")
 ID_NAMES = ("id", "publication_id", "pub_id")
 
