@@ -1,0 +1,124 @@
+"""Record shapes: wire rows, facts, reports, briefs, seeds and citation lanes."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from folio.functions.text import blank_to_null, truncated
+
+
+def wire(df: DataFrame, full: bool = False, snippet: int = 500) -> DataFrame:
+    """The public columns of a publication; `full` adds the text."""
+    cols = ["id", "title", "source", F.coalesce(blank_to_null(F.col("venue")), "source").alias("venue"), F.col("published_date").cast("string").alias("published_date"), "url", F.substring(F.coalesce(blank_to_null(F.col("summary")), "raw_text", F.lit("")), 1, snippet).alias("summary")]
+    return df.select(*cols, *(["raw_text"] if full else []))
+
+
+def rerank_input(df: DataFrame, title: int = 250, snippet: int = 400) -> DataFrame:
+    return df.select("id", F.substring("title", 1, title).alias("title"), F.substring(F.coalesce(blank_to_null(F.col("summary")), blank_to_null(F.col("raw_text")), F.lit("")), 1, snippet).alias("snippet"))
+
+
+#: Topic tags and their words, in this order.
+TAG_WORDS = {
+    "breath-analysis": ("breath", "voc", "volatile organic", "exhaled"),
+    "early-detection": ("early detection", "early diagnosis", "screening", "early-stage"),
+    "diagnostics": ("diagnostic", "biomarker", "biosensor", "point-of-care"),
+    "liquid-biopsy": ("liquid biopsy", "ctdna", "cell-free", "circulating tumor"),
+    "clinical-trial": ("clinical trial", "clinical study", "phase i", "phase ii", "phase iii", "randomized"),
+    "ai-ml": ("machine learning", "deep learning", "artificial intelligence", "neural network"),
+}
+
+
+def topic_tags(title: Column, summary: Column, venue: Column) -> Column:
+    """'scientific', the topics whose words occur, the venue as a tag if it is short, 'high-relevancy'."""
+    low = F.lower(F.concat_ws(" ", title, summary))
+    found = []
+    for tag, words in TAG_WORDS.items():
+        hit = F.lit(False)
+        for w in words:
+            hit = hit | F.contains(low, F.lit(w))
+        found.append(F.when(hit, F.lit(tag)))
+    v = F.lower(F.trim(F.coalesce(venue, F.lit(""))))
+    for end in (" journal", " reviews", " communications"):
+        v = F.replace(v, F.lit(end), F.lit(""))
+    v = F.trim(F.regexp_replace(v, "[^a-z0-9]+", "-"), F.lit("-"))
+    return F.array_compact(F.array(F.lit("scientific"), *found, F.when((v != "") & (F.length(v) <= 30), v), F.lit("high-relevancy")))
+
+
+def fact_text(title: Column, raw_text: Column, venue: Column, most: int = 1200) -> Column:
+    return truncated(F.concat_ws("\n\n", blank_to_null(title), F.concat(F.lit("Published in: "), blank_to_null(venue)), blank_to_null(F.trim(raw_text))), most)
+
+
+def facts(df: DataFrame, least: int = 80) -> DataFrame:
+    """Rows with a score of `least` or more, a title and a text, as facts."""
+    d = df.where((F.col("score") >= least) & (F.coalesce(F.trim("title"), F.lit("")) != "") & (F.coalesce(F.trim("raw_text"), F.lit("")) != ""))
+    return d.select(F.col("id").alias("source_id"), fact_text(F.col("title"), F.col("raw_text"), F.col("venue")).alias("fact"), topic_tags(F.col("title"), F.lit(""), F.col("venue")).alias("tags"))
+
+
+def change_report(changes: DataFrame, cap: int = 10) -> DataFrame:
+    """(source, place, line): a Markdown line for each of the newest `cap` rows of a source, then one that counts the rest."""
+    w = Window.partitionBy("source").orderBy(F.col("published_date").desc_nulls_last(), "id")
+    top = changes.withColumn("place", F.row_number().over(w)).where(F.col("place") <= cap)
+    lines = top.select("source", "place", F.concat(F.lit("- ["), F.coalesce("status", F.lit("")), F.lit("] "), F.col("title"), F.lit(" ("), F.coalesce(F.col("published_date").cast("string"), F.lit("no date")), F.lit(")")).alias("line"))
+    rest = changes.groupBy("source").agg((F.count(F.lit(1)) - cap).alias("n")).where("n > 0").select("source", F.lit(cap + 1).alias("place"), F.format_string("- and %d more", "n").alias("line"))
+    return lines.unionByName(rest)
+
+
+def must_read_lines(df: DataFrame) -> DataFrame:
+    """Numbered Markdown lines of ranked rows."""
+    return df.select("rank", F.concat(F.col("rank").cast("string"), F.lit(". **"), F.col("title"), F.lit("** - "), F.coalesce("source", F.lit("")), F.lit(", score "), F.coalesce(F.col("score").cast("string"), F.lit("-"))).alias("line"))
+
+
+def brief(items: DataFrame, section: str, n: int = 10) -> DataFrame:
+    """One row: the section's name, its first n items by rank as structs, and their number; an empty section has none."""
+    top = items.orderBy("rank").limit(n).agg(F.array_sort(F.collect_list(F.struct("rank", "title", "url", F.create_map(F.lit("source"), "source").alias("meta")))).alias("items"))
+    return top.select(F.lit(section).alias("section"), "items", F.size("items").alias("n_items"), F.when(F.size("items") == 0, "empty").otherwise("ok").alias("status"))
+
+
+def items_to_seeds(df: DataFrame) -> DataFrame:
+    """The best identifier of each item: DOI, then PMID, URL, id, title."""
+    order = (("doi", "doi"), ("pmid", "pmid"), ("url", "url"), ("publication_id", "id"), ("title", "title"))
+    best = F.coalesce(*[F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", F.struct(F.lit(kind).alias("type"), F.col(c).cast("string").alias("value"))) for c, kind in order if c in df.columns])
+    return df.withColumn("_s", best).select(*df.columns, "_s.type", "_s.value")
+
+
+def citation_lane(seeds: DataFrame, citations: DataFrame, top: int = 20) -> DataFrame:
+    """Distinct ids that cite or are cited by the top seeds with a DOI or PMID (citations: id, cited_by[], references[])."""
+    s = seeds.where("doi IS NOT NULL OR pmid IS NOT NULL").orderBy(F.col("score").desc_nulls_last(), "id").limit(top)
+    return citations.join(s.select("id"), "id").select(F.explode(F.array_union(F.coalesce("cited_by", F.array().cast("array<string>")), F.coalesce("references", F.array().cast("array<string>")))).alias("neighbour")).distinct()
+
+
+def lanes(**by_name: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with their lane, counts a lane)."""
+    out = None
+    for name, df in by_name.items():
+        part = df.withColumn("lane", F.lit(name))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out, out.groupBy("lane").agg(F.count(F.lit(1)).alias("n"))
+
+
+def long_labels(df: DataFrame, key: str, labels: str) -> DataFrame:
+    """One row a label."""
+    return df.select(key, F.explode_outer(labels).alias("l")).select(key, "l.*")
+
+
+def funnel_counts(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
+    """Rows that pass each flag, in one aggregate."""
+    return df.agg(F.count(F.lit(1)).alias("raw"), *[F.count_if(c).alias(k) for k, c in flags.items()])
+
+
+def reject_reasons(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """Rows by the first check that fails."""
+    reason = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in checks.items()], F.lit("ok"))
+    return df.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def off_topic(text: Column, categories: dict[str, tuple[str, ...]], relevant: tuple[str, ...]) -> Column:
+    """The first word of each category that occurs, unless a relevant word does."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    ok = F.lit(False)
+    for w in relevant:
+        ok = ok | F.contains(low, F.lit(w))
+    hits = [F.coalesce(*[F.when(F.contains(low, F.lit(w)), F.concat(F.lit(f"{name}:"), F.lit(w))) for w in words], F.lit(None).cast("string")) for name, words in categories.items()]
+    return F.when(ok, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*hits)))

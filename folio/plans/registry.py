@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from folio.plans import documents, events, star  # noqa: F401
+    from folio.plans import documents, events, records, star  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
