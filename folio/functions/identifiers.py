@@ -141,6 +141,17 @@ def hmac_sha256(key: str, message: Column) -> Column:
     return F.sha2(F.concat(F.lit(outer), first), 256)
 
 
+def signed_url(base: str, key: str, **params: Column) -> Column:
+    """base with the parameters in the order of their names and a signature over them."""
+    query = F.concat_ws("&", *[F.concat(F.lit(f"{n}="), F.url_encode(params[n].cast("string"))) for n in sorted(params)])
+    return F.concat(F.lit(base + "?"), query, F.lit("&sig="), hmac_sha256(key, query))
+
+
+def signature_ok(url: Column, key: str) -> Column:
+    query = F.regexp_extract(url, r"\?(.*)&sig=[0-9a-f]+$", 1)
+    return F.coalesce(hmac_sha256(key, query) == F.regexp_extract(url, r"&sig=([0-9a-f]+)$", 1), F.lit(False))
+
+
 #: Licence names that allow a copy to be attached, and the URL parts that tell them, most specific first.
 ATTACHABLE = ("cc-by", "cc-by-sa", "cc0", "public-domain", "cc-by-nc", "cc-by-nc-sa", "cc-by-nc-nd")
 LICENCE_URLS = (

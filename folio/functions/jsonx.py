@@ -103,3 +103,15 @@ def as_list(c: Column) -> Column:
     """A text that may be null, a JSON list or plain words, as an array."""
     t = F.trim(c)
     return F.when(t.isNull() | (t == ""), F.array().cast("array<string>")).when(F.startswith(t, F.lit("[")), F.coalesce(F.from_json(t, "array<string>"), F.array(t))).otherwise(F.array(t))
+
+
+def scored(c: Column, score: str = "credibility_score", reason: str = "credibility_reason") -> Column:
+    """struct(score, reason, confidence, valid) of an answer with one score from 0 to 100 and a reason."""
+    o = object_text(c)
+    raw = F.get_json_object(o, f"$.{score}")
+    n = F.when(F.rlike(raw, F.lit(r"^-?\d+$")), raw).cast("int")
+    why = blank_to_null(F.get_json_object(o, f"$.{reason}"))
+    label = F.lower(F.get_json_object(o, "$.confidence"))
+    sure = F.when(label.isin("low", "medium", "high"), label).otherwise("medium")
+    ok = F.coalesce(parses(c) & n.between(0, 100) & why.isNotNull(), F.lit(False))
+    return F.struct(F.when(ok, n).alias("score"), F.when(ok, why).alias("reason"), F.when(ok, sure).alias("confidence"), ok.alias("valid"))

@@ -72,7 +72,9 @@ def must_read_lines(df: DataFrame) -> DataFrame:
 
 def brief(items: DataFrame, section: str, n: int = 10) -> DataFrame:
     """One row: the section's name, its first n items by rank as structs, and their number; an empty section has none."""
-    top = items.orderBy("rank").limit(n).agg(F.array_sort(F.collect_list(F.struct("rank", "title", "url", F.create_map(F.lit("source"), "source").alias("meta")))).alias("items"))
+    top = items.orderBy("rank").limit(n).agg(F.array_sort(F.collect_list(F.struct("rank", "title", "url", "source"))).alias("items"))
+    with_meta = lambda i: F.struct(i["rank"].alias("rank"), i["title"].alias("title"), i["url"].alias("url"), F.create_map(F.lit("source"), i["source"]).alias("meta"))
+    top = top.withColumn("items", F.transform("items", with_meta))
     return top.select(F.lit(section).alias("section"), "items", F.size("items").alias("n_items"), F.when(F.size("items") == 0, "empty").otherwise("ok").alias("status"))
 
 
@@ -122,3 +124,21 @@ def off_topic(text: Column, categories: dict[str, tuple[str, ...]], relevant: tu
         ok = ok | F.contains(low, F.lit(w))
     hits = [F.coalesce(*[F.when(F.contains(low, F.lit(w)), F.concat(F.lit(f"{name}:"), F.lit(w))) for w in words], F.lit(None).cast("string")) for name, words in categories.items()]
     return F.when(ok, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*hits)))
+
+
+def canonical_item(df: DataFrame) -> DataFrame:
+    """Evaluation items with clean identifiers, a title key and at least an empty list of labels."""
+    from folio.functions.identifiers import comparable_url, normalize_doi, normalize_pmid, title_hash
+    from folio.functions.text import title_key
+
+    have = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("string")
+    key = title_key(have("title"), "eval")
+    labels = F.coalesce(F.col("labels"), F.array().cast(df.schema["labels"].dataType)) if "labels" in df.columns else F.array().cast("array<string>")
+    return df.select(F.coalesce(blank_to_null(have("publication_id")), title_hash(key)).alias("publication_id"), F.trim(have("title")).alias("title"), key.alias("title_key"), normalize_doi(have("doi")).alias("doi"), normalize_pmid(have("pmid")).alias("pmid"), comparable_url(have("url")).alias("url"), labels.alias("labels"))
+
+
+def paper_for_review(df: DataFrame) -> DataFrame:
+    from folio.functions.text import sanitize
+
+    text = lambda c: sanitize(F.col(c)) if c in df.columns else F.lit("")
+    return df.select("id", *[text(c).alias(c) for c in ("title", "raw_text", "summary", "source")])

@@ -38,6 +38,12 @@ def search(vectors: DataFrame, rows: DataFrame, query: list[float], key: str, ve
     return d.orderBy(F.desc("similarity"), key).limit(k).withColumn("similarity", F.round("similarity", 4))
 
 
+def normalized(vectors: DataFrame, vec: str) -> DataFrame:
+    """Vectors of length 1 (zero vectors as they are), to be cached and searched again with dot products alone."""
+    n = F.sqrt(dot(F.col(vec), F.col(vec)))
+    return vectors.withColumn(vec, F.when(n > 0, F.transform(vec, lambda x: x.cast("double") / n)).otherwise(F.col(vec).cast("array<double>")))
+
+
 def embedding_text(title: Column, raw_text: Column, summary: Column, venue: Column, source: Column, day: Column) -> Column:
     body = F.coalesce(blank_to_null(F.trim(raw_text)), blank_to_null(F.trim(summary)))
     place = F.coalesce(F.concat(F.lit("Journal: "), blank_to_null(F.trim(venue))), F.concat(F.lit("Source: "), blank_to_null(F.trim(source))))

@@ -196,3 +196,11 @@ def test_commercial(spark):
     got = over(spark, extract.commercial_signals, ["Work funded by Acme Labs. He is an employee of Beta Inc. and more", None])
     assert got[0]["sponsor_names"][0].startswith("Acme Labs") and got[0]["company_names"][0].startswith("Beta Inc") and len(got[0]["snippets"]) == 2
     assert got[1]["sponsor_names"] == []
+
+
+def test_signed_urls_and_scores(spark):
+    url = one(spark, identifiers.signed_url("https://x.org/v", "k", week=F.lit("2026-01-05"), pub=F.lit("a b")))
+    assert url.startswith("https://x.org/v?pub=a+b&week=2026-01-05&sig=")
+    assert over(spark, lambda c: identifiers.signature_ok(c, "k"), [url, url.replace("a+b", "c"), "x"]) == [True, False, False]
+    got = over(spark, jsonx.scored, ['{"credibility_score": 70, "credibility_reason": "ok", "confidence": "HIGH"}', '{"credibility_score": 170, "credibility_reason": "ok"}', "no"])
+    assert [(g["score"], g["confidence"], g["valid"]) for g in got] == [(70, "high", True), (None, None, False), (None, None, False)]

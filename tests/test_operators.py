@@ -11,8 +11,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from folio.operators import change, dedupe, match, metrics, rank, search
-from folio.sources import readers, schema, writers
+from folio.operators import attachments, change, dedupe, external, match, metrics, rank, records, search
+from folio.sources import catalog, readers, schema, writers
 from folio.streaming import events as streams
 
 
@@ -243,3 +243,48 @@ def test_rate_limit(spark, tmp_path):
     spark.createDataFrame(rows, streams.EVENTS).coalesce(1).write.parquet(str(tmp_path / "e"))
     got = streams.run_to_memory(streams.rate_limited(streams.event_stream(spark, str(tmp_path / "e"))), "limited").collect()
     assert sorted(r["event_id"] for r in got if r["accepted"]) == [*range(10), 99]
+
+
+def test_records(spark):
+    d = spark.createDataFrame([("1", "Breath screening", "text. " * 400, "Nature Reviews", 90), ("2", "", "x", "", 95), ("3", "low", "x", "", 10)], "id string, title string, raw_text string, venue string, score int")
+    f = records.facts(d).collect()
+    assert [r["source_id"] for r in f] == ["1"] and f[0]["tags"] == ["scientific", "breath-analysis", "early-detection", "nature", "high-relevancy"] and len(f[0]["fact"]) <= 1200
+    item = records.canonical_item(spark.createDataFrame([("", " A-b ", "doi:10.1000/X", "PMID: 7")], "publication_id string, title string, doi string, pmid string")).first()
+    assert (item["title_key"], item["doi"], item["pmid"], len(item["publication_id"])) == ("a-b", "10.1000/x", "7", 16)
+    b = records.brief(spark.createDataFrame([(2, "b", "u", "s"), (1, "a", "u", "s")], "rank int, title string, url string, source string"), "science", 1).first()
+    assert b["status"] == "ok" and [i["title"] for i in b["items"]] == ["a"]
+    assert records.brief(spark.createDataFrame([], "rank int, title string, url string, source string"), "science").first()["status"] == "empty"
+    off = spark.createDataFrame([("a stock market tale",), ("market screening",)], "t string").select(records.off_topic(F.col("t"), {"money": ("stock", "market")}, ("screening",)).alias("x"))
+    assert [r["x"] for r in off.collect()] == [["money:stock"], []]
+    r = records.reject_reasons(spark.createDataFrame([("d", None), (None, "u"), ("d", "u")], "day string, url string"), {"date": F.col("day").isNotNull(), "url": F.col("url").isNotNull()})
+    assert {x["reason"]: x["n"] for x in r.collect()} == {"date": 1, "url": 1, "ok": 1}
+
+
+def test_attachments(spark):
+    locations = spark.createDataFrame([([("publisher", "p"), ("repository", "r")],), ([("publisher", "p")],), ([("repository", "")],)], "l array<struct<host_type:string,url:string>>")
+    assert [r["u"] for r in locations.select(attachments.best_location(F.col("l"))["url"].alias("u")).collect()] == ["r", "p", None]
+    lic = spark.createDataFrame([([("am", "x"), ("vor", "https://creativecommons.org/licenses/by/4.0")],)], "l array<struct<content_version:string,url:string>>")
+    assert lic.select(attachments.best_licence(F.col("l")).alias("x")).first()["x"] == "cc-by"
+    pdf = spark.createDataFrame([(bytearray(b"%PDF-" + b"x" * 2000),), (bytearray(b"<html>" + b"x" * 2000),), (bytearray(b"%PDF"),)], "c binary")
+    assert [r["x"] for r in pdf.select(attachments.is_pdf(F.col("c")).alias("x")).collect()] == [True, False, False]
+
+
+def test_external_calls(spark):
+    def score(rows):
+        if any(r["t"] == "bad" for r in rows):
+            raise RuntimeError("refused")
+        return [{"n": len(r["t"])} for r in rows]
+
+    d = spark.createDataFrame([(1, "abc"), (2, "bad"), (3, "de")], "id long, t string").coalesce(1)
+    got = external.call(d, "id", "long", ["t"], score, batch=1)
+    assert {r["id"]: (r["answer"], r["error"]) for r in got.collect()} == {1: ('{"n": 3}', None), 2: (None, "refused"), 3: ('{"n": 2}', None)}
+    assert [r["id"] for r in external.unanswered(d, got, ["id"]).collect()] == [2]
+
+
+def test_catalog(spark):
+    rows = [(1, None, datetime(2024, 1, 1)), (2, "", datetime(2024, 1, 1)), (3, "", datetime(2024, 1, 30)), (4, "u", datetime(2024, 1, 30))]
+    d = spark.createDataFrame(rows, "id int, canonical_url string, created_at timestamp")
+    find = lambda **k: {r["id"] for r in catalog.missing_canonical(d, datetime(2024, 2, 1), 7, **k).collect()}
+    assert find() == {3} and find(legacy_precedence=True) == {1, 3}
+    f = spark.createDataFrame([(1, '[{"id": "a", "n": 1}]'), (2, '[{"id": "a", "n": 2}, {"id": "b", "n": 3}]')], "at int, j string")
+    assert {r["id"]: r["n"] for r in catalog.exploded_must_reads(f, "j", "at", "id: string, n: int").collect()} == {"a": 2, "b": 3}
