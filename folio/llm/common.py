@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
@@ -58,23 +58,22 @@ def hash_share(col: Column, salt: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(salt), col), 11) / F.lit(float(1 << 53))
 
 
-def bucketed_running_sum(df: DataFrame, group: str, order: list[Column], share: Column, value: str, per_bucket: int = 4096) -> DataFrame:
+def bucketed_running_sum(df: DataFrame, group: str, order: list[Column], share: Column, value: str, rows: int, per_bucket: int = 4096) -> DataFrame:
     """Adds `run_before`, the sum of `value` over the rows that come earlier in the group.
 
-    `share` is a number in [0, 1) that agrees with the order of `order`. A group of any size is cut
-    into ranges of about `per_bucket` rows; sums of the ranges are accumulated first, then each range
-    on its own, so no task holds a whole group.
+    `share` is a number in [0, 1) that agrees with the order of `order`; being a hash, it spreads the rows
+    of a group evenly. All groups are cut into the same rows / per_bucket ranges of it; sums of the ranges
+    are accumulated first, then each range on its own, so no task holds a whole group. Rows are dealt by
+    group and range together.
     """
-    # hashed shares spread evenly, so ranges of equal width hold about as many rows
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_rows"))
-    cut = df.join(sizes.withColumnRenamed(group, "_g"), F.col(group) == F.col("_g")).drop("_g")
-    cut = cut.withColumn("_bucket", F.floor(share * F.ceil(F.col("_rows") / per_bucket)).cast("long"))
+    cut = df.withColumn("_bucket", F.floor(share * max(1, math.ceil(rows / per_bucket))).cast("long"))
     sums = cut.groupBy(group, "_bucket").agg(F.sum(value).alias("_sum"))
     w = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select(F.col(group).alias("_g"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias("_base"))
     inner = Window.partitionBy(group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    joined = cut.join(bases, (F.col(group) == F.col("_g")) & (F.col("_bucket") == F.col("_b")))
-    return joined.withColumn("run_before", F.col("_base") + F.coalesce(F.sum(value).over(inner), F.lit(0))).drop("_g", "_b", "_bucket", "_rows", "_base")
+    inside = cut.withColumn("_in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    joined = inside.join(bases, (F.col(group) == F.col("_g")) & (F.col("_bucket") == F.col("_b")))
+    return joined.withColumn("run_before", F.col("_base") + F.col("_in")).drop("_g", "_b", "_bucket", "_in", "_base")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -100,5 +99,3 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     roots = e.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()
     return e.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(roots)
 
-
-LONG = T.LongType()

@@ -60,7 +60,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = materialize(d)
     targets = materialize(source_targets(d))
     share = F.conv(F.substring("key", 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
-    run = bucketed_running_sum(d, "src", [F.col("key"), F.col("id"), F.col("size")], share, "size")
+    run = bucketed_running_sum(d, "src", [F.col("key"), F.col("id"), F.col("size")], share, "size", d.count())
     run = run.join(targets.withColumnRenamed("src", "_t"), F.col("src") == F.col("_t")).drop("_t")
     passes = run.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))))
     middle = F.col("pass") * F.col("source_size") + F.col("run_before") + F.col("size") / 2
@@ -96,3 +96,19 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+#: The same mix in DuckDB: one global order by finish time, cut where the middle of a document passes the budget.
+SQL = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS src, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+s AS (SELECT src, source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1, 2),
+w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, 2 * source_size AS cap FROM s),
+c AS (SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE AS total, CAST(sum(weight) OVER () AS BIGINT) AS all_weight, CAST(coalesce(sum(cap) OVER o, 0) AS BIGINT) AS cap_before, CAST(coalesce(sum(weight) OVER o, 0) AS BIGINT) AS weight_before FROM w WINDOW o AS (ORDER BY cap / weight, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT *, (total - cap_before) / (all_weight - weight_before) AS level_here FROM c),
+v AS (SELECT level_here AS level FROM l WHERE level_here * weight < cap ORDER BY cap / weight, src LIMIT 1),
+t AS (SELECT src, source_size, CASE WHEN (SELECT count(*) FROM v) = 0 THEN CAST(cap AS DOUBLE) ELSE least(CAST(cap AS DOUBLE), (SELECT level FROM v) * weight) END AS target FROM l),
+r AS (SELECT d.*, t.source_size, t.target, coalesce(sum(size) OVER (PARTITION BY d.src ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run_before FROM d JOIN t ON d.src = t.src),
+p AS (SELECT r.*, CASE WHEN target > 0 THEN (pass * source_size + run_before + size / 2) / target ELSE 0 END AS vft FROM r, (SELECT unnest([0, 1]) AS pass)),
+g AS (SELECT *, coalesce(sum(size) OVER (ORDER BY vft, key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2 AS place FROM p)
+SELECT doc_id, size, source_size, target, CAST(sum(CASE WHEN place <= (SELECT sum(target) FROM t) THEN size ELSE 0 END) AS BIGINT) AS taken FROM g GROUP BY doc_id, src, key, size, source_size, target
+"""
