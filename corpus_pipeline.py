@@ -37,12 +37,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, once or twice."""
-    size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(op05_mixing.WORD)).cast("long")
-    taken = op05_mixing.mixed_documents(docs).groupBy(F.col("doc_id").alias("_id"), F.col("src").alias("_src"), F.col("size").alias("_size")).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    src = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
-    both = docs.withColumn("_w", size).join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (src == F.col("_src")) & (F.col("_w") == F.col("_size")))
-    # rows alike in id, source and size share their copies; a single row, the common case, takes all
-    return both.withColumn("_n", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.col("_copies") / F.col("_rows")).cast("int"))))).where(F.col("_copies") > 0).select(*COLUMNS)
+    m = op05_mixing.mixed_documents(docs.select(*COLUMNS)).where(F.col("_copies") > 0)
+    return m.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,30 +42,31 @@ def source_targets(sizes: DataFrame, budget: float = BUDGET, most: int = MOST, w
     return c.select("src", "source_size", "source_rows", "weight", target.alias("target"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
-    """One row a document: id, size (words), source_size, target, copies, taken, vft.
-
-    Documents of a source are put in a fixed shuffled order (md5 of seed and id). In pass p = 0, 1
-    a document's virtual finish time is (p * source_size + words up to its middle) / target, so each
-    source reaches 1 just when it has given its target. Documents of all sources are then ranged by
-    finish time and cut where their words reach the whole budget: the words of all targets.
-
-    Null text has size 0; a null source is a source of its own; rows that repeat an id are documents
-    of their own; a null id is an id like any other; an empty table gives an empty result. Only the
-    three named columns are read, so other columns can bear any name.
+def keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str) -> DataFrame:
+    """docs with _size (words), _src (the source, null told from '') and _key (its place in the shuffled order)."""
+    size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
+    src = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
+    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
+    return docs.withColumns({"_size": size, "_src": src, "_key": key})
+
+
+def mix_cuts(d: DataFrame) -> DataFrame:
+    """One row a source from rows (id, source, src, key, size): source_size, target, and for each pass the last key that the mix takes.
+
+    Documents of a source stand in a fixed shuffled order (md5 of seed and id). In pass p = 0, 1 a
+    document's virtual finish time is (p * source_size + words up to its middle) / target, so each
+    source reaches 1 just when it has given its target. Documents of all sources are ranged by finish
+    time and cut where their words reach the whole budget: the words of all targets. Within a source
+    and a pass finish times rise with the key, so what is taken is all keys up to a last one.
     """
-    d = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"))
-    d = d.withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
-    d = d.withColumn("key", F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary")))
-    d = materialize(d)
     targets = materialize(source_targets(d))
     share = F.conv(F.substring("key", 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
     run = bucketed_running_sum(d, "src", [F.col("key"), F.col("id"), F.col("size")], share, "size", d.count())
-    run = run.join(targets.withColumnRenamed("src", "_t"), F.col("src") == F.col("_t")).drop("_t")
+    run = run.join(targets.select(F.col("src").alias("_t"), "source_size", "target"), F.col("src") == F.col("_t"))
     passes = run.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))))
     middle = F.col("pass") * F.col("source_size") + F.col("run_before") + F.col("size") / 2
     passes = passes.withColumn("vft", F.when(F.col("target") > 0, middle / F.col("target")).otherwise(F.lit(0.0)))
-    passes = materialize(passes.select("id", "src", "key", "size", "source_size", "target", "pass", "vft"))
+    passes = materialize(passes.select("id", "src", "key", "size", "pass", "vft"))
     # the cut: sums of ranges of finish time first, then the rows of the one range in which the budget ends
     ranged = passes.withColumn("range", F.floor(F.least(F.col("vft"), F.lit(2.0 * MOST)) * RANGES).cast("long"))
     sums = ranged.groupBy("range").agg(F.sum("size").alias("words"))
@@ -76,26 +77,43 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = ranged.join(F.broadcast(ends))  # one row
     inside = Window.partitionBy("range").orderBy("vft", "key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     edge = cut.where("range = last").withColumn("at", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2)
-    cols = ["id", "src", "key", "size", "source_size", "target", "pass", "vft"]
-    kept = cut.where("range < last").select(*cols).unionByName(edge.where("at <= budget").select(*cols))
-    return kept, d, targets
+    kept = cut.where("range < last").select("src", "pass", "key").unionByName(edge.where("at <= budget").select("src", "pass", "key"))
+    last = kept.groupBy(F.col("src").alias("_t")).agg(*[F.max(F.when(F.col("pass") == p, F.col("key"))).alias(f"last_{p}") for p in range(MOST)])
+    return materialize(targets.join(last, F.col("src") == F.col("_t"), "left").select("src", "source_size", "target", *[f"last_{p}" for p in range(MOST)]))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
-    """One row a document with the number of copies that the mix takes; see mix_sources."""
-    kept, d, targets = mix_sources(docs, id_col, text_col, source_col, seed)
-    got = kept.select("id", "src", "key", "size", F.lit(1).alias("one"), F.lit(0).alias("row"))
-    every = d.select("id", "src", "key", "size", F.lit(0).alias("one"), F.lit(1).alias("row"))
-    # rows that repeat one id, source and size share their copies evenly
-    by = got.unionByName(every).groupBy("id", "src", "key", "size").agg(F.sum("one").alias("copies"), F.sum("row").alias("rows"))
-    by = by.withColumn("nth", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
-    copies = F.floor((F.col("copies") + F.col("rows") - 1 - F.col("nth")) / F.col("rows")).cast("long")
-    out = by.join(targets.withColumnRenamed("src", "_t"), F.col("src") == F.col("_t"))
-    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"), "src", "nth")
+    """The rows of docs with _size, _source_size, _target, _copies and _taken (copies times size).
+
+    The decision for a row needs its own key and its source's row of mix_cuts only, so texts stay where
+    they are: they are joined with a table of one row a source.
+
+    Null text has size 0; a null source is a source of its own; rows that repeat an id are documents of
+    their own and are taken equally often; a null id is an id like any other; an empty table gives an
+    empty result. Added columns begin with '_', so others can bear any usual name.
+    """
+    d = keyed(docs, id_col, text_col, source_col, seed)
+    return decided(d, mix_cuts(slim(d, id_col, source_col))).drop("_key", "_src")
+
+
+def slim(d: DataFrame, id_col: str, source_col: str) -> DataFrame:
+    """What the mix needs of keyed rows, written once: no texts."""
+    return materialize(d.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), F.col("_src").alias("src"), F.col("_key").alias("key"), F.col("_size").alias("size")))
+
+
+def decided(d: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Rows with _src, _key and _size joined with their source's cuts."""
+    cuts = cuts.select(*[F.col(c).alias(f"_{c}" if c != "src" else "_t") for c in cuts.columns])
+    copies = sum((F.when(F.col("_key") <= F.col(f"_last_{p}"), 1).otherwise(0) for p in range(MOST)), F.lit(0))
+    out = d.join(cuts, F.col("_src") == F.col("_t")).withColumn("_copies", copies.cast("long")).withColumn("_taken", F.col("_copies") * F.col("_size"))
+    return out.drop("_t", *[f"_last_{p}" for p in range(MOST)])
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixed_documents(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    docs = table(spark, sf_dir, "documents")
+    small = slim(keyed(docs, "doc_id", "text", "source", "mix"), "doc_id", "source")
+    m = decided(small.select(F.col("id").alias("doc_id"), F.col("src").alias("_src"), F.col("key").alias("_key"), F.col("size").alias("_size")), mix_cuts(small))
+    return m.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"))
 
 
 #: The same mix in DuckDB: one global order by finish time, cut where the middle of a document passes the budget.

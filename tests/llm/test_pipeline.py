@@ -37,7 +37,7 @@ def test_stages(spark, sf, tmp_path):
         assert r["text"] == op08_secrets.redacted(old[r["doc_id"]], base + added)
         assert op08_secrets.find_secrets(r["text"])[0] == [] and r["n_chars"] == len(r["text"])
     before, after = kept["mixing"]
-    copies = {r["doc_id"]: r["copies"] for r in op05_mixing.mixed_documents(before).collect() if r["copies"]}
+    copies = {r["doc_id"]: r["_copies"] for r in op05_mixing.mixed_documents(before).collect() if r["_copies"]}
     assert collections.Counter(r["doc_id"] for r in after.collect()) == copies
     before, after = kept["packing"]
     enc = op02_packing.encoder(op02_packing.vocabulary())

@@ -173,13 +173,13 @@ def test_mixing(spark):
     taken = collections.Counter()
     for r in out:
         i = r["doc_id"]
-        assert (r["size"], r["source_size"]) == (rows[i][2], size[sources[i]])
-        assert r["target"] == pytest.approx(target[sources[i]])
-        assert 0 <= r["taken"] <= 2 * r["size"]
-        taken[sources[i]] += r["taken"]
+        assert (r["_size"], r["_source_size"]) == (rows[i][2], size[sources[i]])
+        assert r["_target"] == pytest.approx(target[sources[i]])
+        assert 0 <= r["_taken"] <= 2 * r["_size"]
+        taken[sources[i]] += r["_taken"]
     assert all(abs(taken[s] - target[s]) <= 60 for s in target)
     again = op05_mixing.mixed_documents(d.repartition(9)).collect()
-    assert sorted((r["doc_id"], r["taken"]) for r in again) == sorted((r["doc_id"], r["taken"]) for r in out)
+    assert sorted((r["doc_id"], r["_taken"]) for r in again) == sorted((r["doc_id"], r["_taken"]) for r in out)
     twice = d.unionByName(d)
     assert op05_mixing.mixed_documents(twice).count() == 2 * len(texts)
     assert op05_mixing.mixed_documents(d.limit(0)).count() == 0
