@@ -1,6 +1,6 @@
 """Vectorised text kernels over Arrow string buffers, used inside Spark tasks.
 
-Texts are cut into chunks of about a mebibyte of UTF-8 bytes, so the temporary arrays of a task stay
+Texts are cut into chunks of about a quarter of a mebibyte of UTF-8 bytes, so the temporary arrays of a task stay
 small; one longer text is a chunk of its own. A null text is an empty text.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 SEPARATORS = (9, 10, 11, 12, 13, 32)
 IS_SEP = np.zeros(256, bool)
 IS_SEP[list(SEPARATORS)] = True

@@ -18,7 +18,7 @@ DOCS_PER_LANGUAGE = 1500
 CALIBRATION_SHARE = 0.15
 REJECT_QUANTILE = 0.998
 SPACE = 32
-CHARS = 1 << 20
+CHARS = 1 << 18
 _fold: list[np.ndarray] = []
 
 
