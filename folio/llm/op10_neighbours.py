@@ -17,7 +17,8 @@ from folio.llm.common import materialize, table
 from folio.llm.op07_embeddings import valid
 
 SHARD_ROWS = 8192
-QUERY_BLOCK = 512
+QUERY_BLOCK = 4096
+SIDE_BY_SIDE = 512
 LINKS = 16
 CANDIDATES = 48
 BEAM = 160
@@ -246,7 +247,8 @@ def nearest(index: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k:
                 qids, qv = np.array(w["qids"].as_py(), np.int64), np.array(w["qvec"].as_py(), np.float64).reshape(-1, dim)
                 norm, qnorm = np.linalg.norm(v, axis=1), np.linalg.norm(qv, axis=1)
                 x = (v / norm[:, None]).astype(np.float32)
-                found = search(g, x, (qv / qnorm[:, None]).astype(np.float32), beam)[:, : k + 8]
+                qx = (qv / qnorm[:, None]).astype(np.float32)
+                found = np.concatenate([search(g, x, qx[i : i + SIDE_BY_SIDE], beam)[:, : k + 8] for i in range(0, len(qx), SIDE_BY_SIDE)])
                 at = np.maximum(found, 0)
                 cos = np.einsum("qkd,qd->qk", v[at], qv) / (norm[at] * qnorm[:, None])
                 bad = (found < 0) | (ids[at] == qids[:, None])
