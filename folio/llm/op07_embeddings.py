@@ -18,6 +18,8 @@ PROJECTIONS = 64
 RECALL = 0.999
 SIGNS = 64
 BLOCK = 1024
+#: Projected values held at once while cells are made; at 1e8 rows a vector has some 7000 of them.
+PLACES = 1 << 21
 SEED = 104729
 
 
@@ -59,7 +61,7 @@ def plan(rows: int, cosine: float, recall: float = 0.997) -> tuple[int, int, flo
     near = 1 - d * math.sqrt(2 / math.pi) / width  # two values at mean distance d * sqrt(2 / pi) share a cell of random offset
     far = min(0.9, width / (2 * math.sqrt(math.pi)))
     k = max(4, math.ceil(math.log(max(rows, 2)) / -math.log(far)))
-    return k, min(160, math.ceil(math.log(1 - recall) / math.log(1 - near**k))), width
+    return k, math.ceil(math.log(1 - recall) / math.log(1 - near**k)), width
 
 
 def unit(rows: list) -> tuple[np.ndarray, np.ndarray]:
@@ -82,26 +84,34 @@ def valid(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 def keys(valid_rows: DataFrame, k: int, tables: int, width: float) -> DataFrame:
     """(id, signs, cells): for each table one hash of the k cells that a vector falls into."""
 
+    step = max(1, PLACES // (k * tables))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column(1).to_pylist()
-            dims = np.array([len(r) for r in rows])
-            signs, cells = np.zeros(len(rows), np.int64), np.zeros((len(rows), tables), np.int64)
-            for dim in set(dims.tolist()):
-                at = np.flatnonzero(dims == dim)
-                m = np.array([rows[i] for i in at], np.float64)
-                m /= np.abs(m).max(axis=1, keepdims=True)  # no overflow in the norm
-                m /= np.linalg.norm(m, axis=1, keepdims=True)
-                shift = np.random.default_rng(SEED + dim).random(k * tables)
-                place = np.floor(m @ gauss(dim, k * tables, 1) / width + shift).astype(np.int64).astype(np.uint64).reshape(len(at), tables, k)
-                h = np.arange(tables, dtype=np.uint64)[None, :] + np.full((len(at), 1), dim, np.uint64) * np.uint64(1 << 32)
-                for c in range(k):
-                    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + place[:, :, c]
-                h ^= h >> np.uint64(32)
-                cells[at] = h.view(np.int64)
-                bits = (m @ gauss(dim, SIGNS, 2) > 0).astype(np.uint64) << np.arange(SIGNS, dtype=np.uint64)
-                signs[at] = bits.sum(axis=1, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signs), pa.array(cells.tolist(), pa.list_(pa.int64()))], names=["id", "signs", "cells"])
+        made = {}
+        for whole in batches:
+            for first in range(0, whole.num_rows, step):
+                batch = whole.slice(first, step)
+                rows = batch.column(1).to_pylist()
+                dims = np.array([len(r) for r in rows])
+                signs, cells = np.zeros(len(rows), np.int64), np.zeros((len(rows), tables), np.int64)
+                for dim in set(dims.tolist()):
+                    at = np.flatnonzero(dims == dim)
+                    m = np.array([rows[i] for i in at], np.float64)
+                    m /= np.abs(m).max(axis=1, keepdims=True)  # no overflow in the norm
+                    m /= np.linalg.norm(m, axis=1, keepdims=True)
+                    if dim not in made:
+                        made = {dim: (gauss(dim, k * tables, 1), np.random.default_rng(SEED + dim).random(k * tables))}
+                    g, shift = made[dim]
+                    place = np.floor(m @ g / width + shift).astype(np.int64).astype(np.uint64).reshape(len(at), tables, k)
+                    h = np.arange(tables, dtype=np.uint64)[None, :] + np.full((len(at), 1), dim, np.uint64) * np.uint64(1 << 32)
+                    for c in range(k):
+                        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + place[:, :, c]
+                    h ^= h >> np.uint64(32)
+                    cells[at] = h.view(np.int64)
+                    bits = (m @ gauss(dim, SIGNS, 2) > 0).astype(np.uint64) << np.arange(SIGNS, dtype=np.uint64)
+                    signs[at] = bits.sum(axis=1, dtype=np.uint64).view(np.int64)
+                lists = pa.ListArray.from_arrays(np.arange(0, cells.size + 1, tables, dtype=np.int32), cells.ravel())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signs), lists], names=["id", "signs", "cells"])
 
     return valid_rows.mapInArrow(run, "id long, signs long, cells array<long>")
 
