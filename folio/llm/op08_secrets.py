@@ -17,8 +17,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Weak parts: none is reported unless a complementary part stands within the scope.
-BARE = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])")
-USER = re.compile(r"""\b(?:user(?:name)?|login|client_id|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,})""", re.I | re.A)
+#: A secret is 40 characters, with or without its padding counted; an = before it assigns it, a longer run is none.
+BARE = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/]{40}={0,2}|[A-Za-z0-9+/]{39}=|[A-Za-z0-9+/]{38}==)(?![A-Za-z0-9+/=_-])")
+USER = re.compile(r"""(?<![A-Za-z0-9])(?:user(?:name)?|login|client_id|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,})""", re.I | re.A)
 ENDPOINT = re.compile(r"\b(?:https?|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqp|ftp|s3)://[^\s\"'<>]+", re.I | re.A)
 KINDS = ("assign", "access", "hex", "secret_part", "user_part", "endpoint_part")
 #: For each weak kind, the kinds of which one must stand near.
@@ -40,7 +41,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def weak_parts(text: str) -> list[tuple[int, int, str]]:
-    out = [(m.start(), m.end(), "secret_part") for m in BARE.finditer(text) if not m[0].isalpha() and not m[0].isdigit()]
+    out = [(m.start(), m.end(), "secret_part") for m in BARE.finditer(text) if not m[0].rstrip("=").isalpha() and not m[0].rstrip("=").isdigit()]
     low = text.lower()
     if any(h in low for h in ("user", "login", "client_id", "account")):
         out += [(m.start(), m.end(), "user_part") for m in USER.finditer(text)]
