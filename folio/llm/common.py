@@ -26,6 +26,22 @@ def scratch_dir(spark: SparkSession) -> str:
     return conf
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new, empty folder in the shared one; it goes when the application ends."""
+    path = f"{scratch_dir(spark)}/folio-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(where)
+    store.deleteOnExit(where)
+    return path
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as Spark lists it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back.
 

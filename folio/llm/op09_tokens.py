@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folio.llm.common import materialize, table
+from folio.llm.common import materialize, qualified, scratch_folder, table
 from folio.llm.op02_packing import encoder, vocabulary
 
 SEPARATOR = 50256
 BLOCK = 1 << 16
 WIDTH = "<u2"
 SUPER = 1024
+#: Blocks that one task reads of a file: 64 MB of two-byte ids.
+RANGE = 512
 BLOCKS = "file long, block long, data binary, ids array<long>"
 
 
@@ -56,19 +61,67 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, separator: int = S
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(write, BLOCKS)
 
 
-def read_token_files(spark: SparkSession, path: str, block: int = BLOCK, width: str = WIDTH) -> DataFrame:
-    """Blocks of flat binary files of token ids, one task a file."""
+def write_token_files(docs: DataFrame, id_col: str, text_col: str, folder: str, separator: int = SEPARATOR, path: str | None = None) -> DataFrame:
+    """Writes flat token files to a folder, one a partition whose number its name begins with; (name, ordinal, id) says which document stands where, for reports only.
+
+    An attempt of a task writes a file of its own name, and the rows of the attempt that counts name
+    it, so files of failed attempts are known by no row. An empty partition writes no file.
+    """
+    path = path or vocabulary()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        enc, name, ordinal = encoder(path), f"{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.bin", 0
+        store, at = opened(folder)
+        with contextlib.ExitStack() as stack:
+            out = None
+            for batch in batches:
+                if out is None and batch.num_rows:
+                    out = stack.enter_context(store.open_output_stream(f"{at}/{name}"))
+                for value in batch.column(1):
+                    out.write(np.array([*enc.encode_ordinary(value.as_py() or ""), separator], WIDTH).tobytes())
+                n = batch.num_rows
+                yield pa.RecordBatch.from_arrays([pa.array([name] * n, pa.string()), pa.array(np.arange(ordinal, ordinal + n)), batch.column(0)], names=["name", "ordinal", "id"])
+                ordinal += n
+
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(write, "name string, ordinal long, id long")
+
+
+def opened(path: str) -> tuple[fs.FileSystem, str]:
+    """(file system, path in it) of a path as Spark writes it."""
+    scheme = path.split(":", 1)[0] if ":" in path.split("/", 1)[0] else "file"
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+def read_token_files(spark: SparkSession, path: str, block: int = BLOCK, width: str = WIDTH, names: DataFrame | None = None) -> DataFrame:
+    """Blocks of flat binary files of token ids; with names (column name) only of files of these names.
+
+    Spark lists the files with their lengths and opens none of them. Each is cut into ranges of
+    RANGE blocks, the ranges are dealt evenly, and a task seeks its range and reads it block by
+    block, so a file of any size is many tasks and no task holds more than a block. Tasks open local
+    and shared folders and the stores that pyarrow knows (hdfs, s3, gs, abfs).
+    """
     size = block * np.dtype(width).itemsize
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = value.as_buffer()
-                for k in range(0, -(-data.size // size)):
-                    yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([k], pa.int64()), pa.array([data[k * size : (k + 1) * size].to_pybytes()], pa.binary()), pa.array([None], pa.list_(pa.int64()))], names=["file", "block", "data", "ids"])
-
-    files = spark.read.format("binaryFile").load(path).select(F.xxhash64("path").alias("file"), "content")
-    return files.mapInArrow(cut, BLOCKS)
+            for file, name, first, blocks in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                store, at = opened(name)
+                with store.open_input_file(at) as f:
+                    f.seek(first * size)
+                    for k in range(first, first + blocks):
+                        yield pa.RecordBatch.from_arrays([pa.array([file], pa.int64()), pa.array([k], pa.int64()), pa.array([f.read(size)], pa.binary()), pa.array([None], pa.list_(pa.int64()))], names=["file", "block", "data", "ids"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")
+    if names is not None:
+        files = files.join(names.select(F.col("name").alias("_n")).distinct(), F.element_at(F.split("path", "/"), -1) == F.col("_n"), "left_semi")
+    total = F.ceil(F.col("length") / size)
+    pieces = files.withColumn("total", total).withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(RANGE).cast("long"))))
+    pieces = pieces.select(F.xxhash64("path").alias("file"), "path", "first", F.least(F.lit(RANGE), F.col("total") - F.col("first")).alias("blocks"))
+    return pieces.repartition(max(1, pieces.count())).mapInArrow(cut, BLOCKS)
 
 
 def scan(blocks: DataFrame, separator: int = SEPARATOR, width: str = WIDTH) -> DataFrame:
@@ -123,5 +176,18 @@ def token_counts(blocks: DataFrame, separator: int = SEPARATOR, width: str = WID
 
 
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents, null texts as empty ones, as token files of one partition each; then counted from the files alone."""
-    return token_counts(token_blocks(table(spark, sf_dir, "documents"), "doc_id", "text")).withColumnRenamed("id", "doc_id")
+    """All documents, null texts as empty ones, written as token files of one partition each; then counted from the files alone.
+
+    The ids of the documents are joined to the counts by file and ordinal afterwards.
+    """
+    folder = scratch_folder(spark)
+    index = materialize(write_token_files(table(spark, sf_dir, "documents"), "doc_id", "text", folder))
+    if index.isEmpty():
+        blocks = spark.createDataFrame([], BLOCKS)
+    else:
+        blocks = read_token_files(spark, folder, names=index)
+    counts = token_counts(blocks).drop("id")
+    paths = F.xxhash64(F.concat(F.lit(qualified(spark, folder) + "/"), F.col("name")))
+    named = index.select(paths.alias("_file"), F.substring_index("name", "-", 1).cast("long").alias("number"), F.col("ordinal").alias("_ordinal"), F.col("id").alias("doc_id"))
+    joined = counts.join(named, (F.col("file") == F.col("_file")) & (F.col("ordinal") == F.col("_ordinal")), "left")
+    return joined.select(F.col("number").alias("file"), "ordinal", "doc_id", "start", "n_tokens", "closed")
