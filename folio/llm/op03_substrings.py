@@ -13,37 +13,55 @@ from pyspark.sql.window import Window
 from folio.llm.common import materialize, table
 from folio.llm.kernels import IS_SEP, span_hashes, text_chunks
 
-SPACING = 24
+REACH = 20
 GUARD = 12
 MIN_WORDS = 20
+NEVER = np.uint32(2**32 - 1)
 GEAR = np.random.default_rng(611953).integers(0, 2**32, 256, dtype=np.uint32)
 
 
 def boundaries(b: np.ndarray, off: np.ndarray) -> np.ndarray:
     """True where a chunk begins: at the first byte of each text and where the content says so.
 
-    The gear hash of the 16 bytes before a place (each step shifts left by two bits in 32) marks one
-    place in SPACING; a mark counts only if no other one stands less than GUARD bytes before it, and
-    never inside a character. This looks at no more than 28 bytes, so an insertion moves no boundary
-    but those beside it. The hash is built by doubling: windows of 1, 2, 4, 8 and 16 bytes.
+    A place is a boundary if no place up to REACH bytes before or after it has a smaller gear hash of
+    the 16 bytes before it (each step shifts left by two bits in 32); places inside a character do not
+    count. So there is one in 2 * REACH + 1 places, long stretches without one are as good as
+    impossible, and text of any period has one at least in each period, where its smallest hash
+    stands. Equal hashes less than GUARD bytes apart are such a period; its boundaries are taken in
+    steps of at least GUARD bytes, and as all of them begin the same words, the chunks are equal
+    wherever the steps start. Besides that no more than 36 bytes before a place and 20 after it are
+    looked at, so an insertion moves no boundary but those beside it. Hashes and minima of windows
+    are built by doubling.
     """
-    cut = np.zeros(len(b), bool)
-    if len(b):
+    n = len(b)
+    cut = np.zeros(n, bool)
+    if n:
         h = GEAR[b]
         for k in (1, 2, 4, 8):
             w = h.copy()
             w[k:] += h[:-k] << np.uint32(2 * k)
             h = w
-        mark = h < np.uint32(2**32 // SPACING)
-        cut[1:] = mark[:-1]
-        seen = np.concatenate([[0], np.cumsum(cut)])
-        at = np.flatnonzero(cut)
-        cut[at[seen[at] - seen[np.maximum(at - GUARD, 0)] > 0]] = False
-        cut &= (b & 0xC0) != 0x80
-        # the first bytes of a text see bytes of the text before it: no marks there
-        for k in range(28):
+        # key[REACH + i] is the hash before place i; the first bytes of a text see bytes of the text before it
+        key = np.full(n + 2 * REACH, NEVER)
+        key[REACH + 1 : REACH + n] = h[:-1]
+        key[REACH : REACH + n][(b & 0xC0) == 0x80] = NEVER
+        for k in range(REACH):
             p = off[:-1] + k
-            cut[p[p < off[1:]]] = False
+            key[REACH + p[p < off[1:]]] = NEVER
+        low = key
+        for k in (1, 2, 4, 8, 16):
+            low = np.minimum(low[k:], low[:-k])  # of 2 * k places from here on
+        low = np.minimum(low[:n], low[2 * REACH - 31 : 2 * REACH - 31 + n])
+        key = key[REACH : REACH + n]
+        at = np.flatnonzero((key == low) & (key != NEVER))
+        step = np.diff(at, prepend=-n)
+        near = step < GUARD
+        # runs of boundaries at one short distance: every m-th of them stays, counted from the first
+        first = ~(near & np.concatenate([[False], (step[1:] == step[:-1]) | ~near[:-1]]))
+        head = np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
+        apart = step[np.minimum(head + 1, len(at) - 1)] if len(at) else step
+        m = np.where(near, -(-GUARD // np.maximum(apart, 1)), 1)
+        cut[at[(np.arange(len(at)) - head) % m == 0]] = True
         cut[off[:-1][off[:-1] < off[1:]]] = True
     return cut
 
@@ -70,8 +88,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     A chunk repeats if its digest occurs in two documents or more. Neighbouring repeated chunks make a
     passage; passages of `min_words` words or more are returned. A chunk is some six words on average
-    and the two at the rim of a passage are lost, so passages of more than 50 words are found and short
-    common lines are not. first_id is the smallest id that holds a chunk of it; copy says that the
+    and the two at the rim of a passage are lost, so passages of more than 50 words are found, those of
+    repeated words or lines too, and short common lines are not. first_id is the smallest id that holds a chunk of it; copy says that the
     document is another one. Digests have 64 bits and the length; one false match alone makes no passage.
 
     Digests are counted with their smallest and largest id, combined in the tasks before the shuffle,
