@@ -16,11 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one of our own only where none is set."""
+    """The shared folder of the cluster, spark.checkpoint.dir.
+
+    Where none is set, a temporary one of our own, but only if driver and executors are one process:
+    on a cluster a folder of one machine loses data with it, so there the setting is required.
+    """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf:
         conf = spark.conf.get("folio.scratch", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = "file://" + tempfile.mkdtemp(prefix="folio-scratch-")
         spark.conf.set("folio.scratch", conf)
     return conf
@@ -74,18 +80,21 @@ def hash_share(col: Column, salt: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(salt), col), 11) / F.lit(float(1 << 53))
 
 
-def bucketed_running_sum(df: DataFrame, group: str, order: list[Column], share: Column, value: str, rows: int, per_bucket: int = 4096) -> DataFrame:
+def bucketed_running_sum(df: DataFrame, group: str, order: list[Column], share: Column, value: str, rows: int, per_bucket: int = 1024, fan: int = 4096) -> DataFrame:
     """Adds `run_before`, the sum of `value` over the rows that come earlier in the group.
 
     `share` is a number in [0, 1) that agrees with the order of `order`; being a hash, it spreads the rows
-    of a group evenly. All groups are cut into the same rows / per_bucket ranges of it; sums of the ranges
-    are accumulated first, then each range on its own, so no task holds a whole group. Rows are dealt by
-    group and range together.
+    of a group evenly. All groups are cut into the same rows / per_bucket ranges of it; the sums of `fan`
+    neighbouring ranges are accumulated first, then the ranges in them, then each range on its own, so no
+    task holds a whole group. Rows are dealt by group and range together.
     """
     cut = df.withColumn("_bucket", F.floor(share * max(1, math.ceil(rows / per_bucket))).cast("long"))
-    sums = cut.groupBy(group, "_bucket").agg(F.sum(value).alias("_sum"))
-    w = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select(F.col(group).alias("_g"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias("_base"))
+    sums = cut.groupBy(group, "_bucket").agg(F.sum(value).alias("_sum")).withColumn("_part", F.floor(F.col("_bucket") / fan).cast("long"))
+    outer = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = sums.groupBy(group, "_part").agg(F.sum("_sum").alias("_all")).select(F.col(group).alias("_h"), F.col("_part").alias("_q"), F.coalesce(F.sum("_all").over(outer), F.lit(0)).alias("_first"))
+    inner = Window.partitionBy(group, "_part").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_rest", F.coalesce(F.sum("_sum").over(inner), F.lit(0))).join(parts, (F.col(group) == F.col("_h")) & (F.col("_part") == F.col("_q")))
+    bases = sums.select(F.col(group).alias("_g"), F.col("_bucket").alias("_b"), (F.col("_first") + F.col("_rest")).alias("_base"))
     inner = Window.partitionBy(group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     inside = cut.withColumn("_in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
     joined = inside.join(bases, (F.col(group) == F.col("_g")) & (F.col("_bucket") == F.col("_b")))
@@ -97,6 +106,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternates large-star and small-star steps, which keep the number of edges linear and end in
     O(log^2) rounds; each round is a few shuffles, and its edges are written to the shared folder.
+    Components that are not final after max_rounds are an error, never a partial result.
     """
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e, before = materialize(e), None
@@ -112,6 +122,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components are not final after {max_rounds} rounds")
     roots = e.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()
     return e.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(roots)
-
