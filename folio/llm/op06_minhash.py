@@ -21,7 +21,7 @@ _r = np.random.default_rng(7919)
 MULT = _r.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 ADD = _r.integers(0, 2**32, HASHES, dtype=np.uint32)
 LANES = HASHES * BITS // 64
-SIGNATURE = "id long, n_shingles long, node long, " + ", ".join(f"s{k} long" for k in range(LANES)) + ", bands array<long>"
+SIGNATURE = "id long, text_key long, n_shingles long, node long, " + ", ".join(f"s{k} long" for k in range(LANES)) + ", bands array<long>"
 
 
 #: Buckets up to this size emit their pairs; larger ones are compared in blocks of BLOCK rows inside tasks.
@@ -46,7 +46,7 @@ def minima(s: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Set size, a 64-bit digest of the set (node), the packed low bits of the minima, and a hash for each band."""
+    """A hash of the text, set size, a 64-bit digest of the set (node), the packed low bits of the minima, and a hash for each band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shifts = (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS))[None, :]
@@ -67,10 +67,10 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for row in m.astype(np.uint64).reshape(BANDS, ROWS).T:
                     h = h * np.uint64(0xA0761D6478BD642F) + row
                 bands[k] = mix(h).view(np.int64)
-            arrays = [batch.column(0).cast(pa.int64()), pa.array(count), pa.array(node), *[pa.array(np.ascontiguousarray(sig[:, j]).view(np.int64)) for j in range(LANES)], list_array(bands, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_shingles", "node", *[f"s{j}" for j in range(LANES)], "bands"])
+            arrays = [batch.column(0), batch.column(2), pa.array(count), pa.array(node), *[pa.array(np.ascontiguousarray(sig[:, j]).view(np.int64)) for j in range(LANES)], list_array(bands, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "text_key", "n_shingles", "node", *[f"s{j}" for j in range(LANES)], "bands"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, SIGNATURE)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key")).mapInArrow(run, SIGNATURE)
 
 
 def estimate(left: str, right: str) -> Column:
@@ -112,6 +112,7 @@ def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     The ids go into a bitmap of 2**MAP_BITS places, made by Spark and broadcast: at most 2**(MAP_BITS - 6)
     rows of 16 bytes however many ids there are. Some other rows pass too; joins by node drop them.
+    Null ids share one place.
     """
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << MAP_BITS))
     p = ids.select(place("id").alias("p"))
@@ -174,8 +175,8 @@ def block_links(members: DataFrame, sets: DataFrame, per_cent: int, block: int =
     return cut.groupBy("band", "i", "j").applyInPandas(link, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_cent: int = SIMILARITY, margin: float = 0.22) -> DataFrame:
-    """One row a row of docs: id, n_shingles, component_id, kept.
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_cent: int = SIMILARITY, margin: float = 0.22) -> DataFrame:
+    """One row a row of docs: id, text_key (hash of the text), n_shingles, label (a node of its component, null for an empty set), component_id.
 
     Texts with equal shingle sets are one node, named by a 64-bit digest of the set. Nodes that share a
     band of four minima are candidates (at similarity 0.75 a pair shares none of the 32 bands once in
@@ -184,14 +185,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     compared with the bucket's smallest one, so a bucket of m nodes makes m pairs. After components are
     known, only buckets that hold several components are looked at again: small ones pair by pair, large
     ones in blocks inside tasks, so no link between components is lost and no group is expanded into pairs.
-
-    No words or a null text: an empty set, linked with nothing. A null id: component_id null, kept.
-    Rows that repeat an id count as one document for linking. An empty table gives an empty result.
-    Only the two named columns are read.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sig = materialize(signatures(docs, "id", "text"))
-    full = sig.where("n_shingles > 0 AND id IS NOT NULL")
+    full = sig.where("n_shingles > 0")
     classes = full.groupBy("node").agg(F.min("id").alias("cid"))
     banded = full.select("node", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("rep"), F.max("node").alias("top")).where("rep < top").select("band", "rep")
@@ -218,10 +215,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = connected_components(labels.select(F.col("id").alias("a"), F.col("label").alias("b")).where("a <> b").unionByName(more))
     joined = classes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("node", "cid", F.coalesce("label", "node").alias("label"))
     least_id = joined.groupBy("label").agg(F.min("cid").alias("component"))
-    of_node = joined.join(least_id, "label").select(F.col("node").alias("_n"), "component")
-    out = sig.select("id", "n_shingles", "node").join(of_node, (F.col("node") == F.col("_n")) & (F.col("n_shingles") > 0), "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select("id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+    of_node = joined.join(least_id, "label").select(F.col("node").alias("_n"), F.col("label").alias("_label"), "component")
+    out = sig.select("id", "text_key", "n_shingles", "node").join(of_node, (F.col("node") == F.col("_n")) & (F.col("n_shingles") > 0), "left")
+    return out.select("id", "text_key", "n_shingles", F.col("_label").alias("label"), F.coalesce("component", "id").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_cent: int = SIMILARITY) -> DataFrame:
+    """One row a row of docs: id, n_shingles, component_id (the smallest id that links reach), kept (the id is that one).
+
+    No words or a null text: an empty set, linked with nothing. A row without an id has the component_id
+    of the ids it is linked with and is not kept; linked with none, its component_id is null and it is
+    kept. Rows that repeat an id are linked each by its own text, and all rows of a kept id and group say
+    kept; `without_near_duplicates` decides row by row. Ties cannot occur but between equal rows. Texts
+    of any length are hashed in the task that reads them. An empty table gives an empty result. Only the
+    two named columns are read.
+    """
+    g = grouped(docs, id_col, text_col, per_cent)
+    return g.select("id", "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_cent: int = SIMILARITY) -> DataFrame:
+    """docs with one row of each group of near copies: the smallest id, null last, then the smallest hash of the text.
+
+    The decision is made by row: another text of the same id is a row of its own, and of rows equal in
+    id and text one stays, whichever. Rows without words or text all stay. Added columns begin with '_'.
+    """
+    rows = grouped(docs, id_col, text_col, per_cent).where("label IS NOT NULL").groupBy("label", "id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    rows = materialize(rows.withColumn("place", F.struct(F.col("id").isNull().alias("last"), "id", "text_key")))
+    best = rows.groupBy(F.col("label").alias("_l")).agg(F.min("place").alias("best"), F.sum("n").alias("all")).where("all > 1")
+    marks = rows.join(best, F.col("label") == F.col("_l")).select(F.col("id").alias("_mark_id"), F.col("text_key").alias("_mark_key"), (F.col("place") == F.col("best")).alias("_first"), "n")
+    marks = materialize(marks.where("NOT _first OR n > 1"))
+    d = docs.withColumns({"_near_id": F.col(id_col).cast("long"), "_near_key": F.xxhash64(text_col)})
+    same = F.col("_near_id").eqNullSafe(F.col("_mark_id")) & (F.col("_near_key") == F.col("_mark_key"))
+    others = d.join(marks, same, "left_anti")
+    repeated = d.join(marks.where("_first"), same, "left_semi").dropDuplicates(["_near_id", "_near_key"])
+    return others.unionByName(repeated).drop("_near_id", "_near_key")
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import collections
 
-from folio.llm import op05_mixing
+from folio.llm import op05_mixing, op06_minhash
 
 ROWS = "doc_id long, text string, lang string, source string, n_chars long, id long, size long, key string, copy long, src string, vft double"
 
@@ -38,3 +38,15 @@ def test_mixing_deals_large_groups_in_parts(spark):
     low, high, before = op05_mixing.budget_end(passes, 1010.0, ranges=4, most_rows=8)
     assert before <= 1010 and passes.where(f"vft < {low!r}").agg({"size": "sum"}).first()[0] == before
     assert passes.where(f"vft < {high!r}").agg({"size": "sum"}).first()[0] > 1010
+
+
+A, B, C = "a b c d e f g", "h i j k l m n o", "p q r s t u v"
+
+
+def test_near_copies_go_by_row(spark):
+    rows = [(3, B, "s"), (5, A, "s"), (5, B, "s"), (9, C, "s"), (9, C, "s"), (9, C.upper(), "s"), (None, C, "s"), (None, "only here once", "s"), (None, "only here once", "s"), (4, "", "s"), (4, "", "s"), (6, None, "s")]
+    out = op06_minhash.without_near_duplicates(docs_of(spark, rows))
+    assert out.columns == docs_of(spark, rows).columns
+    left = sorted(((r["doc_id"], (r["text"] or "").lower()) for r in out.collect()), key=repr)
+    assert left == sorted([(3, B), (5, A), (9, C), (None, "only here once"), (4, ""), (4, ""), (6, "")], key=repr)
+    assert op06_minhash.without_near_duplicates(docs_of(spark, rows).limit(0)).count() == 0

@@ -79,7 +79,9 @@ def test_minhash_ids_and_empty_table(spark):
     d = docs_of(spark, ["a b c d e f"] * 3)
     rows = op06_minhash.near_duplicates(d.withColumn("doc_id", F.when(F.col("doc_id") != 1, F.lit(5)))).collect()
     assert sorted((r["id"], r["component_id"], r["kept"]) for r in rows if r["id"] is not None) == [(5, 5, True)] * 2
-    assert [(r["component_id"], r["kept"]) for r in rows if r["id"] is None] == [(None, True)]
+    assert [(r["component_id"], r["kept"]) for r in rows if r["id"] is None] == [(5, False)]
+    alone = op06_minhash.near_duplicates(d.withColumn("doc_id", F.lit(None).cast("long"))).collect()
+    assert [(r["component_id"], r["kept"]) for r in alone] == [(None, True)] * 3
     assert op06_minhash.near_duplicates(d.limit(0)).count() == 0
 
 
