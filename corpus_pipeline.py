@@ -1,7 +1,8 @@
 """The corpus pipeline: each stage takes what its predecessor kept and its decisions take effect.
 
 1 quality classifier, 2 MinHash near-dedup, 3 secret scans, 4 mixing to target weights, 5 packing.
-All stages but the last return the columns of documents. A document that the mix takes twice is two
+All stages but the last return the columns of documents, whatever other columns come in; an empty
+table passes through all of them. A document that the mix takes twice is two
 rows with one doc_id from stage 4 on.
 """
 
@@ -17,38 +18,45 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go; learnt from labels, scored on whole texts."""
+    """Documents that the classifier rejects go; learnt from labels, scored on whole texts.
+
+    Each row is judged on its own: a null text as an empty one, rows that repeat an id or have none like any other.
+    """
     model = op04_quality.train(docs, op04_quality.learnable(table(spark, sf_dir, "labels")))
     return op04_quality.keep_good(docs, model).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest doc_id; rows without an id stay."""
-    gone = op06_minhash.near_duplicates(docs).where(~F.col("kept")).select(F.col("id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    return left.select(*COLUMNS)
+    """One row of each group of near copies stays, the one with the smallest doc_id (null last); of equal rows one.
+
+    A text that shares its id with a copy stays; rows without words stay.
+    """
+    return op06_minhash.without_near_duplicates(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by their kinds; n_chars follows the text."""
+    """Secrets are replaced by their kinds; n_chars follows the text. No row goes; null and empty texts stay as they are."""
     clean = op08_secrets.redact(docs.select(*COLUMNS))
     return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).cast("long")).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: not at all, once or twice."""
+    """Documents as often as the mix takes them: not at all, once or twice.
+
+    Rows equal in id and text are taken one by one; documents without words follow their neighbours in the shuffled order.
+    """
     m = op05_mixing.mixed_documents(docs.select(*COLUMNS)).where(F.col("_copies") > 0)
     return m.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixed documents in sequences of 1024 tokens."""
+    """The mixed documents in sequences of 1024 tokens; each row is packed as a document of its own, a null text as an empty one."""
     return op02_packing.pack_documents(docs).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("secrets", secrets), ("mixing", mixing), ("packing", packing)]
 
-#: Tokenising and the trained classifier are not expressible in SQL; tests/llm checks each stage by brute force.
+#: Tokenising and the trained classifier are not expressible in SQL; tests/llm holds each stage against a plain version.
 ORACLE_SQL = None
 
 
