@@ -7,7 +7,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +15,11 @@ from pyspark.sql.window import Window
 from folio.llm.common import materialize, table
 from folio.llm.op07_embeddings import valid
 
-SHARD_ROWS = 8192
-QUERY_BLOCK = 4096
-SIDE_BY_SIDE = 512
+LEAST_ROWS, MOST_ROWS, SHARDS = 1 << 13, 1 << 18, 256
+QUERY_PART = 1 << 16
+BATCH = 1024
+#: Marks of visited nodes held at once by searches that run side by side.
+PLACES = 1 << 25
 LINKS = 16
 CANDIDATES = 48
 BEAM = 160
@@ -29,9 +30,9 @@ SEED = 15485863
 
 @dataclass
 class Graph:
-    """Flat arrays: for level l the nodes on it and, for each, a row of neighbour positions padded with -1."""
+    """Flat arrays: the rows in order of insertion and, for each level from the highest, a row of neighbour places in that order for its first nodes, padded with -1."""
 
-    nodes: list[np.ndarray]
+    order: np.ndarray
     links: list[np.ndarray]
 
 
@@ -54,8 +55,8 @@ def choose(x: np.ndarray, node: np.ndarray, cand: np.ndarray, most: int) -> np.n
     for i in range(0, len(node), 512):
         c = cand[i : i + 512]
         v = x[np.maximum(c, 0)]
-        near = np.einsum("nkd,nd->nk", v, x[node[i : i + 512]])
-        among = np.einsum("nkd,njd->nkj", v, v)
+        near = np.matmul(v, x[node[i : i + 512]][:, :, None])[:, :, 0]
+        among = np.matmul(v, v.transpose(0, 2, 1))
         took, count = np.zeros(c.shape, bool), np.zeros(len(c), np.int64)
         for k in range(c.shape[1]):
             blocked = ((among[:, k, :] > near[:, k, None]) & took).any(axis=1)
@@ -70,78 +71,90 @@ def choose(x: np.ndarray, node: np.ndarray, cand: np.ndarray, most: int) -> np.n
     return out
 
 
-def nearest_before(x: np.ndarray, start: int, end: int, k: int) -> np.ndarray:
-    """For rows start..end the k nearest among all rows before end, nearest first, without the row itself."""
-    out = np.full((end - start, min(k, end - 1)), -1, np.int64)
-    if out.shape[1] <= 0:
-        return np.full((end - start, 1), -1, np.int64)
-    for i in range(start, end, 1024):
-        j = min(end, i + 1024)
-        s = x[i:j] @ x[:end].T
-        s[np.arange(j - i), np.arange(i, j)] = -np.inf
-        top = np.argpartition(-s, out.shape[1] - 1, axis=1)[:, : out.shape[1]]
-        rank = np.argsort(-np.take_along_axis(s, top, axis=1), axis=1, kind="stable")
-        out[i - start : j - start] = np.take_along_axis(top, rank, axis=1)
-    return out
-
-
-def build_level(x: np.ndarray, most: int) -> np.ndarray:
-    """Inserts rows in batches of doubling size; each new row links to rows already there or in its batch.
-
-    Early rows keep their long links, later rows add short ones; both ends of a link know it, and a
-    row with too many is thinned to diverse ones.
+def by_nearness(x: np.ndarray, node: np.ndarray, cand: np.ndarray, most: int) -> np.ndarray:
+    """The `most` nearest of each row of candidates, nearest first; -1 stays last."""
+    near = np.where(cand >= 0, np.matmul(x[np.maximum(cand, 0)], x[node][:, :, None])[:, :, 0], -np.inf)
+    rank = np.argsort(-near, axis=1, kind="stable")[:, :most]
+    return np.take_along_axis(cand, rank, axis=1)
+
+
+def among_themselves(x: np.ndarray, new: np.ndarray, k: int) -> np.ndarray:
+    """For each of the new rows the k nearest others of them."""
+    k = min(k, len(new) - 1)
+    if k <= 0:
+        return np.full((len(new), 1), -1, np.int64)
+    s = x[new] @ x[new].T
+    np.fill_diagonal(s, -np.inf)
+    return new[np.argpartition(-s, k - 1, axis=1)[:, :k]]
+
+
+def add_links(x: np.ndarray, links: np.ndarray, new: np.ndarray, mine: np.ndarray) -> None:
+    """Links the new rows both ways; a row with more links than room is thinned to diverse ones."""
+    room = links.shape[1]
+    links[new, : mine.shape[1]] = mine
+    to, by = mine.ravel(), np.repeat(new, mine.shape[1])
+    by, to = by[to >= 0], to[to >= 0]
+    known = (links[to] == by[:, None]).any(axis=1)
+    by, to = by[~known], to[~known]
+    s = np.argsort(to, kind="stable")
+    by, to = by[s], to[s]
+    nodes, first, count = np.unique(to, return_index=True, return_counts=True)
+    for least, most in ((0, room), (room, 6 * LINKS), (6 * LINKS, len(x))):  # rows of similar width together
+        at = np.flatnonzero((count > least) & (count <= most))
+        for i in range(0, len(at), 1024):
+            part = at[i : i + 1024]
+            wide = np.full((len(part), int(count[part].max(initial=0))), -1, np.int64)
+            r = np.repeat(np.arange(len(part)), count[part])
+            c = np.arange(len(r)) - np.repeat(np.cumsum(count[part]) - count[part], count[part])
+            wide[r, c] = by[np.repeat(first[part], count[part]) + c]
+            node = nodes[part]
+            both = np.concatenate([links[node].astype(np.int64), wide], axis=1)
+            few = (both >= 0).sum(axis=1) <= room
+            if few.any():
+                links[node[few]] = -np.sort(-both[few], axis=1)[:, :room]
+            if (~few).any():
+                links[node[~few]] = choose(x, node[~few], by_nearness(x, node[~few], both[~few], 6 * LINKS), room)
+
+
+def build_level(x: np.ndarray, most: int, above: list[np.ndarray]) -> np.ndarray:
+    """Inserts rows in batches; a new row finds its neighbours by navigating the graph of those before it.
+
+    above holds the links of the higher levels, highest first; their nodes are the first rows here, so
+    one walk down gives the entry points. Rows of one batch do not know each other yet and are compared
+    directly; a batch has at most BATCH rows and no more than stand already.
     """
     n = len(x)
-    links = np.full((n, 2 * most), -1, np.int64)
+    links = np.full((n, 2 * most), -1, np.int32)
     done = 0
     while done < n:
-        end = min(n, max(4 * most, 2 * done))
-        new = np.arange(done, end)
-        mine = choose(x, new, nearest_before(x, done, end, CANDIDATES), most)
-        a, b = np.repeat(new, mine.shape[1]), mine.ravel()
-        a, b = a[b >= 0], b[b >= 0]
-        old = np.flatnonzero((links >= 0).ravel())
-        oa, ob = old // links.shape[1], links.ravel()[old]
-        pair = np.unique(np.concatenate([a * n + b, b * n + a, oa * n + ob]))
-        u, v = pair // n, pair % n
-        near = (x[u] * x[v]).sum(axis=1)
-        s = np.lexsort((-near, u))
-        u, v = u[s], v[s]
-        first = np.searchsorted(u, np.arange(n))
-        rank = np.arange(len(u)) - first[u]
-        degree = np.bincount(u, minlength=n)
-        wide = np.full((n, min(int(degree.max(initial=1)), 6 * most)), -1, np.int64)
-        ok = rank < wide.shape[1]
-        wide[u[ok], rank[ok]] = v[ok]
-        links = np.full((n, 2 * most), -1, np.int64)
-        few = np.flatnonzero(degree <= 2 * most)
-        w = min(wide.shape[1], 2 * most)
-        links[few, :w] = wide[few, :w]
-        many = np.flatnonzero(degree > 2 * most)
-        if len(many):
-            links[many] = choose(x, many, wide[many], 2 * most)
-        done = end
+        new = np.arange(done, min(n, done + max(4 * most, min(done, BATCH))))
+        cand = among_themselves(x, new, CANDIDATES)
+        if done:
+            found = walk(x, [*[g for g in above if len(g) <= done], links[:done]], x[new], CANDIDATES, 4)
+            cand = np.concatenate([found, cand], axis=1)
+        add_links(x, links, new, choose(x, new, by_nearness(x, new, cand, CANDIDATES), most))
+        done += len(new)
     return links
 
 
 def build(x: np.ndarray, ids: np.ndarray) -> Graph:
+    """Levels of geometric size; the rows of a level are the first rows of an order by level and id."""
     level = level_of(ids)
-    nodes, links = [], []
-    for l in range(int(level.max(initial=0)) + 1):
-        on = np.flatnonzero(level >= l)
-        on = on[np.lexsort((ids[on], -level[on]))]  # highest nodes are inserted first
-        nodes.append(on)
-        links.append(build_level(x[on], LINKS).astype(np.int32))
-    return Graph(nodes, links)
-
-
-def search_level(x: np.ndarray, nodes: np.ndarray, links: np.ndarray, q: np.ndarray, start: np.ndarray, beam: int, expand: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best-first search of all queries side by side: (positions on the level, similarities), best first."""
-    n, m = len(nodes), len(q)
+    order = np.lexsort((ids, -level))
+    xs = np.ascontiguousarray(x[order])
+    links: list[np.ndarray] = []
+    for l in range(int(level.max(initial=0)), -1, -1):
+        n = int((level >= l).sum())
+        links.append(build_level(xs[:n], LINKS, links))
+    return Graph(order, links)
+
+
+def search_level(xs: np.ndarray, links: np.ndarray, q: np.ndarray, start: np.ndarray, beam: int, expand: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best-first search of all queries side by side: (places on the level, similarities), best first."""
+    n, m = len(links), len(q)
     beam = min(beam, n)
-    xs = x[nodes]
     pos = np.full((m, beam), -1, np.int64)
-    sim = np.full((m, beam), -np.inf, x.dtype)
+    sim = np.full((m, beam), -np.inf, xs.dtype)
     done = np.ones((m, beam), bool)
     seen = np.zeros((m, n), bool)
     for c in range(start.shape[1]):
@@ -170,7 +183,7 @@ def search_level(x: np.ndarray, nodes: np.ndarray, links: np.ndarray, q: np.ndar
         r, c = np.nonzero(nb >= 0)
         got = nb[r, c]
         seen[active[r], got] = True
-        s = np.full(nb.shape, -np.inf, x.dtype)
+        s = np.full(nb.shape, -np.inf, xs.dtype)
         s[r, c] = np.einsum("nd,nd->n", xs[got], q[active[r]])
         all_pos, all_sim = np.concatenate([pos[active], nb], axis=1), np.concatenate([sim[active], s], axis=1)
         all_done = np.concatenate([done[active], np.zeros(nb.shape, bool)], axis=1)
@@ -181,89 +194,147 @@ def search_level(x: np.ndarray, nodes: np.ndarray, links: np.ndarray, q: np.ndar
     return np.take_along_axis(pos, rank, axis=1), np.take_along_axis(sim, rank, axis=1)
 
 
+def walk(xs: np.ndarray, levels: list[np.ndarray], q: np.ndarray, beam: int, expand: int = EXPAND) -> np.ndarray:
+    """Places near each query on the last of the levels, best first, -1 for none; walks down from the first."""
+    out = []
+    step = max(16, min(512, PLACES // len(levels[-1])))
+    for i in range(0, len(q), step):
+        part = q[i : i + step]
+        start = np.zeros((len(part), 1), np.int64)
+        for links in levels[:-1]:
+            start, _ = search_level(xs, links, part, start, 16, 2)
+        pos, _ = search_level(xs, levels[-1], part, start, beam, expand)
+        out.append(np.pad(pos, ((0, 0), (0, beam - pos.shape[1])), constant_values=-1))
+    return np.concatenate(out) if out else np.zeros((0, beam), np.int64)
+
+
 def search(g: Graph, x: np.ndarray, q: np.ndarray, beam: int = BEAM) -> np.ndarray:
-    """Positions in the shard near each query, best first, -1 for none."""
-    top = len(g.nodes) - 1
-    start = np.zeros((len(q), 1), np.int64)
-    for l in range(top, -1, -1):
-        pos, _ = search_level(x, g.nodes[l], g.links[l], q, start, beam if l == 0 else 16, EXPAND if l == 0 else 2)
-        found = np.where(pos >= 0, g.nodes[l][np.maximum(pos, 0)], -1)
-        if l == 0:
-            return found
-        place = np.full(len(x), -1, np.int64)
-        place[g.nodes[l - 1]] = np.arange(len(g.nodes[l - 1]))
-        start = np.where(found >= 0, place[np.maximum(found, 0)], -1)
-    return np.zeros((len(q), 0), np.int64)
-
-
-INDEX = "shard int, n int, dim int, ids binary, vectors binary, levels array<int>, nodes binary, links binary"
-
-
-def build_index(vectors: DataFrame, id_col: str, vec_col: str, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row a shard: ids, vectors and the graph as flat arrays. A shard is a hash range of ids of one vector length, of bounded size."""
-    rows = valid(vectors, id_col, vec_col).dropDuplicates(["id"])
-    shards = max(1, math.ceil(rows.count() / shard_rows))
-
-    def make(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        ids, v = pdf["id"].to_numpy(np.int64), np.stack(pdf["v"].to_list()).astype(np.float64)
-        x = v / np.abs(v).max(axis=1, keepdims=True)
-        x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
-        g = build(x, ids)
-        return pd.DataFrame([{
-            "shard": int(pdf["shard"].iloc[0]), "n": len(ids), "dim": v.shape[1], "ids": ids.tobytes(), "vectors": v.tobytes(), "levels": [len(a) for a in g.nodes],
-            "nodes": np.concatenate(g.nodes).astype(np.int32).tobytes(), "links": np.concatenate(g.links).tobytes(),
-        }])
-
-    placed = rows.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.size("v").alias("dim"), "id", "v")
-    return materialize(placed.groupBy("shard", "dim").applyInPandas(make, INDEX))
-
-
-def nearest(index: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k: int = NEAREST, beam: int = BEAM, block: int = QUERY_BLOCK) -> DataFrame:
+    """Rows of the shard near each query, best first, -1 for none."""
+    found = walk(x[g.order], g.links, q, beam)
+    return np.where(found >= 0, g.order[np.maximum(found, 0)], -1)
+
+
+INDEX = "shard int, dim int, n int, ids binary, vectors binary, levels array<int>, nodes binary, links binary"
+WORK = "shard int, dim int, part int, is_query int, n int, ids binary, vectors binary, levels array<int>, nodes binary, links binary, qid long, q array<double>"
+
+
+@dataclass
+class Index:
+    """The shards and `twins`: for vectors that occur several times, the ids beside the smallest one, which stands in the graph."""
+
+    shards: DataFrame
+    twins: DataFrame
+    count: int
+
+
+def shard_rows(rows: int) -> int:
+    """Rows of a shard: they grow with the table, so that the searches of a query do so slowly, up to what one task holds easily."""
+    return max(LEAST_ROWS, min(MOST_ROWS, math.ceil(rows / SHARDS)))
+
+
+def scaled(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(id, u): one usable vector an id, divided by its largest component, so that no norm over- or underflows."""
+    rows = valid(vectors, id_col, vec_col).groupBy("id").agg(F.min("v").alias("v"))
+    most = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    return rows.withColumn("_most", most).select("id", F.transform("v", lambda x: x / F.col("_most") + F.lit(0.0)).alias("u"))
+
+
+def build_index(vectors: DataFrame, id_col: str, vec_col: str, rows_a_shard: int | None = None, keep: int = NEAREST + 1) -> Index:
+    """One row a shard: ids, vectors and the graph as flat arrays. A shard is a hash range of ids of one vector length, of bounded size.
+
+    Equal vectors are one node: the graph is over distinct directions, however often one occurs, and the
+    `keep` smallest ids of each stand for it, so that ties go to the smaller ids. They are found by a
+    window limit, which each task applies before the shuffle.
+    """
+    every = scaled(vectors, id_col, vec_col).withColumns({"_a": F.xxhash64("u"), "_b": F.xxhash64(F.lit(1), "u")})
+    ranked = materialize(every.withColumn("_r", F.row_number().over(Window.partitionBy("_a", "_b").orderBy("id"))).where(F.col("_r") <= keep))
+    rows = ranked.where("_r = 1")
+    twins = ranked.where("_r > 1").select("_a", "_b", F.col("id").alias("twin")).join(rows.select("_a", "_b", F.col("id").alias("rep")), ["_a", "_b"]).select("rep", "twin")
+    count = rows.count()
+    shards = max(1, math.ceil(count / (rows_a_shard or shard_rows(count))))
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            lists = batch.column(2)
+            dims = lists.value_lengths().to_numpy(zero_copy_only=False)
+            for dim in np.unique(dims):
+                at = np.flatnonzero(dims == dim)
+                held.setdefault(int(dim), []).append((batch.column(0)[0].as_py(), batch.column(1).take(pa.array(at)).to_numpy(), lists.take(pa.array(at)).flatten().to_numpy().reshape(-1, dim)))
+        for dim, parts in held.items():
+            ids, u = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+            s = np.argsort(ids)
+            ids, u = ids[s], np.ascontiguousarray(u[s])
+            g = build((u / np.linalg.norm(u, axis=1, keepdims=True)).astype(np.float32), ids)
+            values = {"shard": parts[0][0], "dim": dim, "n": len(ids), "ids": ids.tobytes(), "vectors": u.tobytes(), "levels": [len(x) for x in g.links], "nodes": g.order.astype(np.int32).tobytes(), "links": np.concatenate(g.links).tobytes()}
+            kinds = [pa.int32()] * 3 + [pa.binary()] * 2 + [pa.list_(pa.int32())] + [pa.binary()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values.values(), kinds, strict=True)], names=list(values))
+
+    placed = rows.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), "id", "u")
+    return Index(materialize(placed.repartitionById(shards, F.col("shard")).mapInArrow(make, INDEX)), materialize(twins), shards)
+
+
+def nearest(index: Index, queries: DataFrame, id_col: str, vec_col: str, k: int = NEAREST, beam: int = BEAM, part_rows: int = QUERY_PART) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all shards for each query.
 
-    Queries go in blocks of bounded size to every shard (a stated query set against all rows); each
-    shard returns its k best by the exact cosine, and the shards' results are merged. A query is never
-    its own result; ties go to the smaller id.
+    Every shard sees every query (a stated query set against all rows). Queries go in parts of bounded
+    size; the task of a shard and part gets the shard first, then its queries as a stream, and holds a
+    batch of them at a time. The whole beam gets exact cosines in double precision before the k + 1
+    best are taken, and the shards' results are merged. A query is never its own result.
+
+    Vectors that are null, empty, zero or hold null or non-finite values take no part, as queries or as
+    candidates; components of any finite size do. Ties go to the smaller id, also among any number of
+    equal vectors. Rows that repeat an id count as one, with the smallest of its vectors; rows without an
+    id take no part. Vectors of different lengths do not meet. An empty table gives an empty result;
+    other columns are not read.
     """
-    q = valid(queries, id_col, vec_col).dropDuplicates(["id"])
-    blocks = max(1, math.ceil(q.count() / block))
-    q = q.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"))
-    packed = q.groupBy("block", F.size("v").alias("qdim")).agg(F.collect_list(F.struct("id", "v")).alias("qs"))  # about `block` rows in each
-    each = index.select("shard", "dim").distinct()
-    sent = packed.join(each, F.col("qdim") == F.col("dim")).select("qs", F.col("shard").alias("_s"), F.col("dim").alias("_d"))
-    work = index.join(sent, (F.col("shard") == F.col("_s")) & (F.col("dim") == F.col("_d"))).select("n", "dim", "ids", "vectors", "levels", "nodes", "links", F.col("qs.id").alias("qids"), F.flatten("qs.v").alias("qvec"))
-    work = work.repartition(max(1, index.count() * blocks))
+    q = scaled(queries, id_col, vec_col)
+    parts = max(1, math.ceil(q.count() / part_rows))
+    columns = [c.split()[0] for c in WORK.split(", ")]
+    copies = index.shards.withColumns({"part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1))), "is_query": F.lit(0), "qid": F.lit(None).cast("long"), "q": F.lit(None).cast("array<double>")}).select(columns)
+    sent = q.select(F.explode(F.sequence(F.lit(0), F.lit(index.count - 1))).alias("shard"), F.size("u").alias("dim"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int").alias("part"), F.lit(1).alias("is_query"), F.col("id").alias("qid"), F.col("u").alias("q"))
+    work = copies.unionByName(sent, allowMissingColumns=True).select(columns)
+    work = work.repartitionById(index.count * parts, F.col("shard") * parts + F.col("part")).sortWithinPartitions("dim", "is_query")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dim, held = None, None
         for batch in batches:
-            for r in range(batch.num_rows):
-                w = {name: batch.column(c)[r] for c, name in enumerate(batch.schema.names)}
-                n, dim = w["n"].as_py(), w["dim"].as_py()
-                ids, v = np.frombuffer(w["ids"].as_py(), np.int64), np.frombuffer(w["vectors"].as_py(), np.float64).reshape(n, dim)
-                ends = np.cumsum(w["levels"].as_py())
-                nodes, links = np.frombuffer(w["nodes"].as_py(), np.int32), np.frombuffer(w["links"].as_py(), np.int32).reshape(-1, 2 * LINKS)
-                g = Graph([nodes[e - c : e].astype(np.int64) for e, c in zip(ends, w["levels"].as_py(), strict=True)], [links[e - c : e] for e, c in zip(ends, w["levels"].as_py(), strict=True)])
-                qids, qv = np.array(w["qids"].as_py(), np.int64), np.array(w["qvec"].as_py(), np.float64).reshape(-1, dim)
-                norm, qnorm = np.linalg.norm(v, axis=1), np.linalg.norm(qv, axis=1)
-                x = (v / norm[:, None]).astype(np.float32)
-                qx = (qv / qnorm[:, None]).astype(np.float32)
-                found = np.concatenate([search(g, x, qx[i : i + SIDE_BY_SIDE], beam)[:, : k + 8] for i in range(0, len(qx), SIDE_BY_SIDE)])
-                at = np.maximum(found, 0)
-                cos = np.einsum("qkd,qd->qk", v[at], qv) / (norm[at] * qnorm[:, None])
-                bad = (found < 0) | (ids[at] == qids[:, None])
-                cos = np.where(bad, -np.inf, cos)
-                order = np.lexsort((ids[at], -cos), axis=1)[:, :k]
-                cos, got = np.take_along_axis(cos, order, axis=1), np.take_along_axis(ids[at], order, axis=1)
-                keep = cos > -np.inf
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qids, order.shape[1])[keep.ravel()]), pa.array(got[keep]), pa.array(cos[keep])], names=["query_id", "vec_id", "score"])
-
-    found = work.mapInArrow(run, "query_id long, vec_id long, score double")
+            dims, asks = batch.column(1).to_numpy(), batch.column(3).to_numpy()
+            cuts = [0, *(np.flatnonzero((dims[1:] != dims[:-1]) | (asks[1:] != asks[:-1])) + 1).tolist(), batch.num_rows]
+            for a, z in zip(cuts, cuts[1:], strict=False):
+                if not asks[a]:
+                    n, ids, u, levels, nodes, links = (batch.column(c)[a].as_py() for c in range(4, 10))
+                    dim = int(dims[a])
+                    ids, u = np.frombuffer(ids, np.int64), np.frombuffer(u, np.float64).reshape(n, dim)
+                    norm, ends = np.linalg.norm(u, axis=1), np.cumsum(levels)
+                    links = np.frombuffer(links, np.int32).reshape(-1, 2 * LINKS)
+                    order = np.frombuffer(nodes, np.int32).astype(np.int64)
+                    held = ids, u, norm, order, (u[order] / norm[order, None]).astype(np.float32), [links[e - c : e] for e, c in zip(ends, levels, strict=True)]
+                    continue
+                if dim != dims[a]:
+                    continue  # no vector of this length in the shard
+                ids, u, norm, order, xs, levels = held
+                for i in range(a, z, 2048):
+                    qids = batch.column(10).slice(i, min(2048, z - i)).to_numpy()
+                    qv = batch.column(11).slice(i, min(2048, z - i)).flatten().to_numpy().reshape(-1, dim)
+                    qn = np.linalg.norm(qv, axis=1)
+                    found = walk(xs, levels, (qv / qn[:, None]).astype(np.float32), beam)
+                    at = order[np.maximum(found, 0)]
+                    cos = np.stack([(u[r] @ v) / (norm[r] * m) for r, v, m in zip(at, qv, qn, strict=True)])
+                    cos[found < 0] = -np.inf
+                    best = np.lexsort((ids[at], -cos), axis=1)[:, : k + 1]
+                    cos, got = np.take_along_axis(cos, best, axis=1), ids[np.take_along_axis(at, best, axis=1)]
+                    ok = cos > -np.inf
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qids, best.shape[1])[ok.ravel()]), pa.array(got[ok]), pa.array(cos[ok])], names=["query_id", "rep", "score"])
+
+    found = materialize(work.mapInArrow(run, "query_id long, rep long, score double"))
+    others = found.join(index.twins, "rep").select("query_id", F.col("twin").alias("vec_id"), "score")
+    every = found.select("query_id", F.col("rep").alias("vec_id"), "score").unionByName(others).where("query_id <> vec_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return every.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queries: ids divisible by 50. Null, zero and non-finite vectors take no part; repeated ids are one vector."""
+    """Queries: ids divisible by 50, against all rows."""
     vectors = table(spark, sf_dir, "embeddings")
     return nearest(build_index(vectors, "vec_id", "embedding"), vectors.where(F.col("vec_id") % 50 == 0), "vec_id", "embedding")

@@ -67,9 +67,9 @@ def test_neighbours(spark):
     s = cosines(x)
     np.fill_diagonal(s, -2)
     d = frame(spark, x, ODD)
-    index = op10_neighbours.build_index(d, "vec_id", "embedding", shard_rows=500)
-    assert index.count() >= 3
-    out = op10_neighbours.nearest(index, d.where("vec_id % 20 = 0"), "vec_id", "embedding", block=20).collect()
+    index = op10_neighbours.build_index(d, "vec_id", "embedding", rows_a_shard=500)
+    assert index.count >= 3 and index.shards.count() >= 3
+    out = op10_neighbours.nearest(index, d.where("vec_id % 20 = 0"), "vec_id", "embedding", part_rows=20).collect()
     got = {}
     for r in out:
         got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
@@ -90,3 +90,65 @@ def test_few_candidates(spark):
     assert sorted(r["vec_id"] for r in out) == [1, 2]
     empty = d.limit(0)
     assert op10_neighbours.nearest(op10_neighbours.build_index(empty, "vec_id", "embedding"), d, "vec_id", "embedding").count() == 0
+
+
+def exact(x, ids, q, k=5):
+    """(id, score) of the k nearest of each query, ties to the smaller id."""
+    u = x.astype(float) / np.abs(x).max(axis=1, keepdims=True)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    out = {}
+    for i in q:
+        s = u @ u[ids.index(i)]
+        out[i] = sorted(((-round(float(c), 12), j) for c, j in zip(s, ids, strict=True) if j != i))[:k]
+    return out
+
+
+def test_neighbours_of_equal_vectors_and_ties(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((3000, 16))
+    for g in range(20):
+        x[100 * g + 7 : 100 * g + 60] = x[100 * g + 6]
+    x[1000:2500] = x[999]  # half of all rows are one vector
+    x[2600:2650] = x[2599] * np.array([2.0**k for k in range(50)])[:, None]
+    d = frame(spark, x)
+    index = op10_neighbours.build_index(d, "vec_id", "embedding", rows_a_shard=400)
+    got = {}
+    for r in op10_neighbours.nearest(index, d.where("vec_id % 20 = 0"), "vec_id", "embedding").collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (-round(r["score"], 12), r["vec_id"])
+    want = exact(x, list(range(3000)), range(0, 3000, 20))
+    assert set(got) == set(want) and all(sorted(got[q]) == [1, 2, 3, 4, 5] for q in want)
+    assert np.mean([[got[q][k + 1][1] == want[q][k][1] for k in range(5)] for q in want]) >= 0.98
+    assert all([got[q][k + 1] for k in range(5)] == want[q] for q in want if 1000 <= q < 2500)
+
+
+def test_neighbours_with_any_finite_norm(spark):
+    rows = [[1.0, 0.0, 1.0], [0.0, 1.0, 0.0], [1e-200, 0.0, 1e-200], [1e200, 1e199, 1e200], [1.0, 0.2, 1.0], [1e200, 0.0, -1e200], [5e-324, 0.0, 0.0], [1e308, -1e308, 1e308]]
+    schema = "vec_id long, embedding array<double>"
+    d = spark.createDataFrame(list(enumerate(rows)), schema)
+    index = op10_neighbours.build_index(d, "vec_id", "embedding")
+    got = {}
+    for r in op10_neighbours.nearest(index, d, "vec_id", "embedding").orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((-round(r["score"], 12), r["vec_id"]))
+    assert got == exact(np.array(rows), list(range(8)), range(8))
+    # an id with several vectors counts once, a row without an id not at all
+    twice = d.unionByName(d).unionByName(spark.createDataFrame([(1, [9.0, 9.0, 9.0]), (None, [1.0, 1.0, 1.0])], schema))
+    again = op10_neighbours.nearest(op10_neighbours.build_index(twice, "vec_id", "embedding"), twice, "vec_id", "embedding").collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in again) == sorted((q, k + 1, i) for q, best in got.items() for k, (_, i) in enumerate(best))
+
+
+def test_graph_finds_near_copies():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((4000, 32))
+    x[1000:2500] = x[999] + rng.standard_normal((1500, 32)) * 0.01
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    g = op10_neighbours.build(x, np.arange(4000))
+    q = np.arange(0, 4000, 25)
+    s = x[q] @ x.T
+    found = op10_neighbours.search(g, x, x[q])
+    got = -np.sort(-np.where(found >= 0, np.take_along_axis(s, np.maximum(found, 0), axis=1), -9), axis=1)[:, :6]
+    best = -np.sort(-s, axis=1)[:, :6]
+    assert (got >= best - 1e-6).mean() >= 0.97
+
+
+def test_shards_grow_with_the_table():
+    assert [op10_neighbours.shard_rows(n) for n in (10, 10**6, 10**7, 10**9)] == [8192, 8192, 39063, 1 << 18]
