@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from folio.llm.common import connected_components, materialize, table
 
@@ -17,7 +18,11 @@ COSINE = 0.95
 PROJECTIONS = 64
 RECALL = 0.999
 SIGNS = 64
-BLOCK = 1024
+BLOCK = 4096
+#: Classes of a cell whose windows are joined; beyond that a cell is compared in blocks.
+SMALL = 64
+#: Places on sorted projections are whole numbers of this.
+UNIT = 1e-6
 #: Projected values held at once while cells are made; at 1e8 rows a vector has some 7000 of them.
 PLACES = 1 << 21
 SEED = 104729
@@ -50,28 +55,20 @@ def needed(cosine: float, projections: int = PROJECTIONS, recall: float = RECALL
 
 
 def plan(rows: int, cosine: float, recall: float = 0.997) -> tuple[int, int, float]:
-    """(projections in a table, tables, cell width) for so many rows.
+    """(projections that make the cells of a table, tables, cell width) for so many rows; a table sorts one more projection inside its cells.
 
-    Cells are five distances wide. A table joins so many projections that about one row in all falls
-    into another row's cell by chance; as many tables are taken as the recall asks for. The number of
-    projections follows the logarithm of the rows, so work grows a little faster than the rows.
+    Cells are five distances wide. A table has so many projections in all that about one row falls
+    into another row's cell by chance; as many tables are taken as the recall asks for, without an upper
+    bound. The number of projections follows the logarithm of the rows, so work grows a little faster
+    than the rows.
     """
-    d, _ = window(cosine)
+    d, half = window(cosine)
     width = 5 * d
     near = 1 - d * math.sqrt(2 / math.pi) / width  # two values at mean distance d * sqrt(2 / pi) share a cell of random offset
     far = min(0.9, width / (2 * math.sqrt(math.pi)))
-    k = max(4, math.ceil(math.log(max(rows, 2)) / -math.log(far)))
-    return k, math.ceil(math.log(1 - recall) / math.log(1 - near**k)), width
-
-
-def unit(rows: list) -> tuple[np.ndarray, np.ndarray]:
-    """(which rows are usable, their unit vectors), all of one length."""
-    ok = [r is not None and len(r) > 0 and all(x is not None for x in r) for r in rows]
-    idx = np.flatnonzero(ok)
-    m = np.array([rows[i] for i in idx], np.float64) if len(idx) else np.zeros((0, 1))
-    norm = np.linalg.norm(m, axis=1)
-    good = np.isfinite(norm) & (norm > 0) & np.isfinite(m).all(axis=1)
-    return idx[good], m[good] / norm[good, None]
+    k = max(4, math.ceil(math.log(max(rows, 2)) / -math.log(far))) - 1
+    found = near**k * math.erf(half / (d * math.sqrt(2)))
+    return k, math.ceil(math.log(1 - recall) / math.log(1 - found)), width
 
 
 def valid(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -81,39 +78,47 @@ def valid(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return v.where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).where(~bad & F.exists("v", lambda x: x != 0))
 
 
-def keys(valid_rows: DataFrame, k: int, tables: int, width: float) -> DataFrame:
-    """(id, signs, cells): for each table one hash of the k cells that a vector falls into."""
+def scaled(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(id, v): one usable vector an id, divided by its largest component, so that no norm over- or underflows."""
+    rows = valid(vectors, id_col, vec_col).groupBy("id").agg(F.min("v").alias("v"))
+    most = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    return rows.withColumn("_most", most).select("id", F.transform("v", lambda x: x / F.col("_most") + F.lit(0.0)).alias("v"))
+
 
-    step = max(1, PLACES // (k * tables))
+def keys(rows: DataFrame, k: int, tables: int, width: float) -> DataFrame:
+    """(id, signs, cells, places): for each table a hash of the k cells that a vector falls into and its place on one more projection, in UNIT."""
+
+    step = max(1, PLACES // ((k + 1) * tables))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = {}
         for whole in batches:
             for first in range(0, whole.num_rows, step):
                 batch = whole.slice(first, step)
-                rows = batch.column(1).to_pylist()
-                dims = np.array([len(r) for r in rows])
-                signs, cells = np.zeros(len(rows), np.int64), np.zeros((len(rows), tables), np.int64)
-                for dim in set(dims.tolist()):
+                lists = batch.column(1)
+                dims = lists.value_lengths().to_numpy(zero_copy_only=False)
+                signs, cells, places = np.zeros(len(dims), np.int64), np.zeros((len(dims), tables), np.int64), np.zeros((len(dims), tables), np.int32)
+                for dim in np.unique(dims).tolist():
                     at = np.flatnonzero(dims == dim)
-                    m = np.array([rows[i] for i in at], np.float64)
-                    m /= np.abs(m).max(axis=1, keepdims=True)  # no overflow in the norm
-                    m /= np.linalg.norm(m, axis=1, keepdims=True)
+                    m = lists.take(pa.array(at)).flatten().to_numpy().reshape(-1, dim)
+                    m = m / np.linalg.norm(m, axis=1, keepdims=True)
                     if dim not in made:
-                        made = {dim: (gauss(dim, k * tables, 1), np.random.default_rng(SEED + dim).random(k * tables))}
-                    g, shift = made[dim]
-                    place = np.floor(m @ g / width + shift).astype(np.int64).astype(np.uint64).reshape(len(at), tables, k)
+                        made = {dim: (gauss(dim, (k + 1) * tables, 1), np.random.default_rng(SEED + dim).random(k * tables), gauss(dim, SIGNS, 2))}
+                    g, shift, planes = made[dim]
+                    on = m @ g
+                    places[at] = np.rint(on[:, k * tables :] / UNIT).astype(np.int32)
+                    cell = np.floor(on[:, : k * tables] / width + shift).astype(np.int64).astype(np.uint64).reshape(len(at), tables, k)
                     h = np.arange(tables, dtype=np.uint64)[None, :] + np.full((len(at), 1), dim, np.uint64) * np.uint64(1 << 32)
                     for c in range(k):
-                        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + place[:, :, c]
+                        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + cell[:, :, c]
                     h ^= h >> np.uint64(32)
                     cells[at] = h.view(np.int64)
-                    bits = (m @ gauss(dim, SIGNS, 2) > 0).astype(np.uint64) << np.arange(SIGNS, dtype=np.uint64)
+                    bits = (m @ planes > 0).astype(np.uint64) << np.arange(SIGNS, dtype=np.uint64)
                     signs[at] = bits.sum(axis=1, dtype=np.uint64).view(np.int64)
-                lists = pa.ListArray.from_arrays(np.arange(0, cells.size + 1, tables, dtype=np.int32), cells.ravel())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signs), lists], names=["id", "signs", "cells"])
+                ends = pa.array(np.arange(0, cells.size + 1, tables, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signs), pa.ListArray.from_arrays(ends, cells.ravel()), pa.ListArray.from_arrays(ends, places.ravel())], names=["id", "signs", "cells", "places"])
 
-    return valid_rows.mapInArrow(run, "id long, signs long, cells array<long>")
+    return rows.select("id", "v").mapInArrow(run, "id long, signs long, cells array<long>, places array<int>")
 
 
 def close_pairs(pairs: DataFrame, rows: DataFrame, cosine: float) -> DataFrame:
@@ -123,12 +128,11 @@ def close_pairs(pairs: DataFrame, rows: DataFrame, cosine: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            va, vb = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             keep = np.zeros(batch.num_rows, bool)
-            dims = np.array([len(r) for r in va])
-            for dim in set(dims.tolist()):
+            dims = batch.column(2).value_lengths().to_numpy(zero_copy_only=False)
+            for dim in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == dim)
-                a, b = np.array([va[i] for i in at]), np.array([vb[i] for i in at])
+                a, b = (batch.column(c).take(pa.array(at)).flatten().to_numpy().reshape(-1, dim) for c in (2, 3))
                 na, nb = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
                 g = gauss(dim, PROJECTIONS, 3)
                 hits = (np.abs((a / na[:, None]) @ g - (b / nb[:, None]) @ g) <= half).sum(axis=1)
@@ -138,75 +142,118 @@ def close_pairs(pairs: DataFrame, rows: DataFrame, cosine: float) -> DataFrame:
     return both.select("a", "b", "va", "vb").mapInArrow(run, "a long, b long")
 
 
+def blocks_of(members: DataFrame, key: str, block: int) -> DataFrame:
+    """members dealt for all pairs of blocks (i <= j) of their group: columns i, j and mine, the block of the row itself."""
+    sizes = members.groupBy(F.col(key).alias("_k")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_blocks"))
+    cut = members.join(sizes, F.col(key) == F.col("_k")).drop("_k")
+    cut = cut.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    return cut.withColumns({"i": F.least("mine", "_other"), "j": F.greatest("mine", "_other")}).drop("_other", "_blocks")
+
+
+def sides(pdf: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, pd.DataFrame, np.ndarray]]:
+    """(rows of block i, rows of block j, cosines) of a pair of blocks: lengths apart, a strip of block i at a time."""
+    i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+    for _, part in pdf.groupby(pdf["v"].map(len)):
+        left, right = part[part["mine"] == i], part[part["mine"] == j]
+        if not len(left) or not len(right):
+            continue
+        a, b = np.stack(left["v"].to_list()), np.stack(right["v"].to_list())
+        a, b = a / np.linalg.norm(a, axis=1, keepdims=True), b / np.linalg.norm(b, axis=1, keepdims=True)
+        for k in range(0, len(a), 512):
+            yield left.iloc[k : k + 512], right, a[k : k + 512] @ b.T
+
+
+def crowded_links(members: DataFrame, rows: DataFrame, cosine: float, block: int) -> DataFrame:
+    """Edges (a, b) between components that meet in crowded cells (cell, id, label): one for a vector and a component at most, no pairs."""
+    cut = blocks_of(members, "cell", block).join(rows.select("id", "v"), "id")
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for left, right, cos in sides(pdf):
+            r, c = np.nonzero((cos >= cosine) & (left["label"].to_numpy()[:, None] != right["label"].to_numpy()[None, :]))
+            edges = pd.DataFrame({"a": left["id"].to_numpy()[r], "b": right["id"].to_numpy()[c], "to": right["label"].to_numpy()[c]})
+            out.append(edges.drop_duplicates(["a", "to"])[["a", "b"]])
+        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []})
+
+    return cut.groupBy("cell", "i", "j").applyInPandas(link, "a long, b long")
+
+
 def link_counts(rows: DataFrame, labels: DataFrame, cosine: float, block: int = BLOCK) -> DataFrame:
-    """(id, n_links): links of each vector, counted inside its component in pairs of blocks of bounded size."""
+    """(id, linked): vectors that rows (id, v, n) of a component are linked with, each counted n times, in pairs of blocks of bounded size."""
     named = rows.join(labels.withColumnRenamed("id", "_n"), F.col("id") == F.col("_n")).drop("_n")
-    sizes = labels.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    cut = named.join(sizes.withColumnRenamed("label", "_l"), F.col("label") == F.col("_l")).drop("_l")
-    cut = cut.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = cut.select("label", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "v")
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        for dim, part in pdf.groupby(pdf["v"].map(len)):
-            x = {}
-            for k in {i, j}:
-                p = part[part["mine"] == k]
-                m = np.stack(p["v"].to_list()) if len(p) else np.zeros((0, dim))
-                x[k] = (p["id"].to_numpy(), m, np.linalg.norm(m, axis=1))
-            (ia, a, na), (ib, b, nb) = x[i], x[j]
-            hit = (a @ b.T) / (na[:, None] * nb[None, :]) >= cosine
-            hit &= ia[:, None] != ib[None, :]
-            out.append(pd.DataFrame({"id": ia, "n": hit.sum(axis=1)}))
-            if i != j:
-                out.append(pd.DataFrame({"id": ib, "n": hit.sum(axis=0)}))
-        return pd.concat(out)
-
-    return cut.groupBy("label", "i", "j").applyInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n_links"))
-
-
-def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", cosine: float = COSINE) -> DataFrame:
+        out, same = [pd.DataFrame({"id": pdf["id"], "linked": 0})], pdf["i"].iloc[0] == pdf["j"].iloc[0]
+        for left, right, cos in sides(pdf):
+            hit = (cos >= cosine) & (left["id"].to_numpy()[:, None] != right["id"].to_numpy()[None, :])
+            out.append(pd.DataFrame({"id": left["id"], "linked": hit @ right["n"].to_numpy()}))
+            if not same:
+                out.append(pd.DataFrame({"id": right["id"], "linked": left["n"].to_numpy() @ hit}))
+        return pd.concat(out).groupby("id", as_index=False).sum()
+
+    return blocks_of(named, "label", block).groupBy("label", "i", "j").applyInPandas(count, "id long, linked long").groupBy("id").agg(F.sum("linked").alias("linked"))
+
+
+def window_pairs(members: DataFrame, half: float, most: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a cell and whose places on its sorted projection are at most `half` apart.
+
+    Each row looks at the rows after it in its window of the sorted places, so a pair of a cell is met
+    once; signs of other projections drop most chance meetings before any vector is read.
+    """
+    w = Window.partitionBy("cell").orderBy("place").rangeBetween(Window.currentRow, math.ceil(half / UNIT))
+    near = members.withColumn("near", F.collect_list(F.struct(F.col("id").alias("b"), F.col("signs").alias("s"), F.col("label").alias("l"))).over(w)).select("id", "signs", "label", F.inline("near"))
+    near = near.where((F.col("id") != F.col("b")) & (F.col("label") != F.col("l")) & (F.bit_count(F.col("signs").bitwiseXOR(F.col("s"))) <= most))
+    return near.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+
+
+def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", cosine: float = COSINE, block: int = BLOCK, small: int = SMALL) -> DataFrame:
     """One row a row of vectors: id, n_links, component_id, kept.
 
-    Single sorted projections are weak filters (an unrelated pair falls into a window a fifth as often
-    as a linked one), so windows of several projections are first joined to cells; vectors that share
-    a cell in one of many tables are candidates. In a cell each vector is compared with the smallest
-    id, later only with vectors of other components, so a cell of m vectors gives m pairs, not m * m.
-    Candidates whose count of query-centred window collisions over 64 projections reaches the
-    recall-calibrated one are verified by the cosine itself. Links lie inside components; they are
-    then counted exactly in pairs of blocks, and no pair is written out.
+    Equal vectors are one class with a count. Classes are sorted along many one-dimensional projections
+    and meet in query-centred windows of them. As a window of one projection holds a quarter of all
+    unrelated vectors, each projection is sorted inside cells of `k` others, so that work follows the
+    rows; as many projections are taken as the recall asks for. Pairs whose count of window
+    collisions over 64 further projections reaches the recall-calibrated one are verified by the cosine.
+
+    In a cell each class is first compared with the smallest id of its part of the projection, so
+    copies make a star and not their pairs; the windows then look for links between different
+    components only. Cells of more than `small` classes are compared in blocks inside tasks, and no
+    pair of them is written out. Links lie inside components; there they are counted exactly in blocks.
 
     Vectors that are null, empty, zero or hold null or non-finite values link with nothing; vectors
-    of different lengths never link. A null id: n_links 0, component_id null, kept. Rows that repeat
-    an id are one vector for linking. An empty table gives an empty result; other columns are not read.
+    of different lengths never link; components of any finite size do. A null id: n_links 0,
+    component_id null, kept. Rows that repeat an id are one vector for linking, the smallest of them;
+    equal vectors are links like others. An empty table gives an empty result; other columns are not read.
     """
     every = vectors.select(F.col(id_col).cast("long").alias("id"))
-    rows = materialize(valid(vectors, id_col, vec_col).dropDuplicates(["id"]))
+    one = materialize(scaled(vectors, id_col, vec_col).withColumns({"_a": F.xxhash64("v"), "_b": F.xxhash64(F.lit(1), "v")}))
+    classes = materialize(one.groupBy("_a", "_b").agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("n")))
+    rows = materialize(one.select("id", "v").join(classes.select("class", "n"), F.col("id") == F.col("class")).drop("class"))
     k, tables, width = plan(rows.count(), cosine)
     cells = materialize(keys(rows, k, tables, width))
-    spread = cells.select("id", "signs", F.explode("cells").alias("cell"))
-    shared = spread.groupBy("cell").agg(F.min("id").alias("rep"), F.max("id").alias("top")).where("rep < top").select("cell", "rep")
+    spread = cells.select("id", "signs", F.inline(F.arrays_zip(F.col("cells").alias("cell"), F.col("places").alias("place"))))
+    shared = spread.groupBy("cell").agg(F.min("id").alias("least"), F.max("id").alias("top")).where("least < top").select("cell")
     members = materialize(spread.join(shared, "cell"))
     # signs of 64 projections: at this cosine so many differ; five standard deviations are left
     p = math.acos(cosine) / math.pi
     most = int(SIGNS * p + 5 * math.sqrt(SIGNS * p * (1 - p)))
-    sign_of = cells.select(F.col("id").alias("rep"), F.col("signs").alias("rep_signs"))
-    stars = members.where("id <> rep").select("rep", "id", "signs").distinct().join(sign_of, "rep")
-    stars = stars.where(F.bit_count(F.col("signs").bitwiseXOR(F.col("rep_signs"))) <= most).select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    links = materialize(close_pairs(stars, rows, cosine))
+    part = F.floor(F.col("place") / int(width / UNIT))
+    reps = members.groupBy("cell", part.alias("part")).agg(F.min(F.struct("id", "signs")).alias("rep"))
+    stars = members.withColumn("part", part).join(reps, ["cell", "part"]).where((F.col("id") != F.col("rep.id")) & (F.bit_count(F.col("signs").bitwiseXOR(F.col("rep.signs"))) <= most))
+    links = materialize(close_pairs(stars.select(F.col("rep.id").alias("a"), F.col("id").alias("b")).distinct(), rows, cosine))
     labels = connected_components(links)
-    named = members.join(labels.withColumnRenamed("id", "_n"), F.col("id") == F.col("_n"), "left").select("cell", "rep", "id", "signs", F.coalesce("label", "id").alias("label"))
-    mixed = named.groupBy("cell").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("cell")
+    named = members.join(labels.withColumnRenamed("id", "_n"), F.col("id") == F.col("_n"), "left").select("cell", "place", "id", "signs", F.coalesce("label", "id").alias("label"))
+    mixed = named.groupBy("cell").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("cell", "size")
     left = materialize(named.join(mixed, "cell"))
-    x, y = left.alias("x"), left.alias("y")
-    rest = x.join(y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & (F.col("x.id") != F.col("x.rep")) & (F.bit_count(F.col("x.signs").bitwiseXOR(F.col("y.signs"))) <= most))
-    more = close_pairs(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), rows, cosine)
+    more = close_pairs(window_pairs(left.where(F.col("size") <= small), window(cosine)[1], most), rows, cosine)
+    more = more.unionByName(crowded_links(left.where(F.col("size") > small).select("cell", "id", "label"), rows, cosine, block))
     labels = materialize(connected_components(labels.select(F.col("id").alias("a"), F.col("label").alias("b")).where("a <> b").unionByName(more)))
-    counts = link_counts(rows, labels, cosine)
-    known = labels.join(counts, "id", "left").select(F.col("id").alias("_n"), "label", "n_links")
+    counts = link_counts(rows, labels, cosine, block)
+    known = classes.join(labels, F.col("class") == F.col("id"), "left").drop("id").join(counts, F.col("class") == F.col("id"), "left")
+    known = known.select("_a", "_b", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("label", "class").alias("component"))
+    known = one.select(F.col("id").alias("_n"), "_a", "_b").join(known, ["_a", "_b"])
     out = every.join(known, F.col("id") == F.col("_n"), "left")
-    component = F.coalesce("label", "id")
+    component = F.coalesce("component", "id")
     return out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folio.llm.common import materialize, table
-from folio.llm.op07_embeddings import valid
+from folio.llm.op07_embeddings import scaled
 
 LEAST_ROWS, MOST_ROWS, SHARDS = 1 << 13, 1 << 18, 256
 QUERY_PART = 1 << 16
@@ -232,13 +232,6 @@ def shard_rows(rows: int) -> int:
     return max(LEAST_ROWS, min(MOST_ROWS, math.ceil(rows / SHARDS)))
 
 
-def scaled(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, u): one usable vector an id, divided by its largest component, so that no norm over- or underflows."""
-    rows = valid(vectors, id_col, vec_col).groupBy("id").agg(F.min("v").alias("v"))
-    most = F.array_max(F.transform("v", lambda x: F.abs(x)))
-    return rows.withColumn("_most", most).select("id", F.transform("v", lambda x: x / F.col("_most") + F.lit(0.0)).alias("u"))
-
-
 def build_index(vectors: DataFrame, id_col: str, vec_col: str, rows_a_shard: int | None = None, keep: int = NEAREST + 1) -> Index:
     """One row a shard: ids, vectors and the graph as flat arrays. A shard is a hash range of ids of one vector length, of bounded size.
 
@@ -246,7 +239,7 @@ def build_index(vectors: DataFrame, id_col: str, vec_col: str, rows_a_shard: int
     `keep` smallest ids of each stand for it, so that ties go to the smaller ids. They are found by a
     window limit, which each task applies before the shuffle.
     """
-    every = scaled(vectors, id_col, vec_col).withColumns({"_a": F.xxhash64("u"), "_b": F.xxhash64(F.lit(1), "u")})
+    every = scaled(vectors, id_col, vec_col).withColumns({"_a": F.xxhash64("v"), "_b": F.xxhash64(F.lit(1), "v")})
     ranked = materialize(every.withColumn("_r", F.row_number().over(Window.partitionBy("_a", "_b").orderBy("id"))).where(F.col("_r") <= keep))
     rows = ranked.where("_r = 1")
     twins = ranked.where("_r > 1").select("_a", "_b", F.col("id").alias("twin")).join(rows.select("_a", "_b", F.col("id").alias("rep")), ["_a", "_b"]).select("rep", "twin")
@@ -270,7 +263,7 @@ def build_index(vectors: DataFrame, id_col: str, vec_col: str, rows_a_shard: int
             kinds = [pa.int32()] * 3 + [pa.binary()] * 2 + [pa.list_(pa.int32())] + [pa.binary()] * 2
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values.values(), kinds, strict=True)], names=list(values))
 
-    placed = rows.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), "id", "u")
+    placed = rows.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), "id", "v")
     return Index(materialize(placed.repartitionById(shards, F.col("shard")).mapInArrow(make, INDEX)), materialize(twins), shards)
 
 
@@ -292,7 +285,7 @@ def nearest(index: Index, queries: DataFrame, id_col: str, vec_col: str, k: int
     parts = max(1, math.ceil(q.count() / part_rows))
     columns = [c.split()[0] for c in WORK.split(", ")]
     copies = index.shards.withColumns({"part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1))), "is_query": F.lit(0), "qid": F.lit(None).cast("long"), "q": F.lit(None).cast("array<double>")}).select(columns)
-    sent = q.select(F.explode(F.sequence(F.lit(0), F.lit(index.count - 1))).alias("shard"), F.size("u").alias("dim"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int").alias("part"), F.lit(1).alias("is_query"), F.col("id").alias("qid"), F.col("u").alias("q"))
+    sent = q.select(F.explode(F.sequence(F.lit(0), F.lit(index.count - 1))).alias("shard"), F.size("v").alias("dim"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int").alias("part"), F.lit(1).alias("is_query"), F.col("id").alias("qid"), F.col("v").alias("q"))
     work = copies.unionByName(sent, allowMissingColumns=True).select(columns)
     work = work.repartitionById(index.count * parts, F.col("shard") * parts + F.col("part")).sortWithinPartitions("dim", "is_query")
 

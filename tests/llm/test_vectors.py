@@ -42,14 +42,12 @@ def test_links_and_components(spark):
         if (low == label).all():
             break
         label = low
-    for block in (1024, 16):
-        op07_embeddings.link_counts.__defaults__ = (block,)
-        got = {r["id"]: r for r in op07_embeddings.near_vectors(frame(spark, x, ODD)).collect()}
+    for block, small in ((4096, 64), (16, 3)):  # the second sends most cells through the blocks
+        got = {r["id"]: r for r in op07_embeddings.near_vectors(frame(spark, x, ODD), block=block, small=small).collect()}
         assert len(got) == len(x) + len(ODD)
         assert [got[i]["n_links"] for i in range(len(x))] == (s.sum(axis=1) - 1).tolist()
         assert [got[i]["component_id"] for i in range(len(x))] == label.tolist()
         assert all(got[1000 + k]["n_links"] == 0 and got[1000 + k]["kept"] for k in range(len(ODD)))
-    op07_embeddings.link_counts.__defaults__ = (op07_embeddings.BLOCK,)
     assert op07_embeddings.near_vectors(frame(spark, x).limit(0)).count() == 0
 
 
@@ -152,3 +150,22 @@ def test_graph_finds_near_copies():
 
 def test_shards_grow_with_the_table():
     assert [op10_neighbours.shard_rows(n) for n in (10, 10**6, 10**7, 10**9)] == [8192, 8192, 39063, 1 << 18]
+
+
+def test_links_of_equal_vectors_and_of_any_norm(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((400, 16))
+    x[100:240] = x[99]  # a third of the rows is one vector
+    x[240:260] = x[99] + 0.01 * rng.standard_normal((20, 16))
+    x[300] = x[301] * 1e-200
+    x[302], x[303] = x[304] * 1e200, x[304] * 3e200
+    schema = "vec_id long, embedding array<double>"
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], schema)
+    s = cosines(x / np.abs(x).max(axis=1, keepdims=True)) >= 0.95
+    got = {r["id"]: r for r in op07_embeddings.near_vectors(d).collect()}
+    assert [got[i]["n_links"] for i in range(400)] == (s.sum(axis=1) - 1).tolist()
+    assert {got[i]["component_id"] for i in range(99, 260)} == {99} and got[301]["component_id"] == 300 and got[304]["component_id"] == 302
+    # rows that repeat an id are one vector, a row without an id links with nothing
+    again = op07_embeddings.near_vectors(d.unionByName(d).unionByName(spark.createDataFrame([(None, x[99].tolist())], schema))).collect()
+    assert len(again) == 801 and all((r["n_links"], r["component_id"]) == (got[r["id"]]["n_links"], got[r["id"]]["component_id"]) for r in again if r["id"] is not None)
+    assert [(r["n_links"], r["component_id"], r["kept"]) for r in again if r["id"] is None] == [(0, None, True)]
