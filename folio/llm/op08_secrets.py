@@ -65,9 +65,12 @@ def linked(base: list[tuple[int, int, str]], weak: list[tuple[int, int, str]], s
     for k, spans in by.items():
         a = np.array(sorted(spans), np.int64)
         index[k] = (a[:, 0], np.maximum.accumulate(a[:, 1]))
+    cover = np.array(sorted((s, e) for s, e, _ in base), np.int64).reshape(-1, 2)
+    begins, reach = cover[:, 0], np.maximum.accumulate(cover[:, 1])
     out = []
     for s, e, k in weak:
-        if any(bs < e and s < be for bs, be, _ in base):
+        n = int(np.searchsorted(begins, e))
+        if n and reach[n - 1] > s:
             continue  # a base span covers it already
         for other in COMPLEMENTS[k]:
             if other in index:
@@ -114,8 +117,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Parts of one credential are linked where they stand in one document at most `scope` code points
     apart, so a scope lies in one row: the interval join runs in the task that reads the row, with no
-    shuffle. A null text is empty and has no spans; ids may be null or repeat; an empty table gives
-    an empty result. Only the two named columns are read.
+    shuffle. A null text is empty and has no spans; ids may be null or repeat, each row is scanned on its
+    own; spans of one start go by kind; texts are scanned whole, one at a time, by searches that do not
+    grow with the square of what they find; an empty table gives an empty result. Only the two named
+    columns are read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
