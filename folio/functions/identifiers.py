@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folio.functions.dates import page_date
 from folio.functions.text import blank_to_null
 
+#: Patterns of identifiers in running text.
 DOI = r"(10\.\d{4,}/[^\s'\"<>\[\]]+)"
 PMID = r"(?i)(?:pmid[:\s]*|pubmed\.ncbi\.nlm\.nih\.gov/)(\d{7,8})"
 ARXIV = r"(?i)(?:arxiv[:\s]*|arxiv\.org/abs/)(\d{4}\.\d{4,5}(?:v\d+)?)"
 
+#: What stands before a DOI in a URL, tried in this order; the last form takes one anywhere.
+URL_DOI = (r"doi\.org/(10\.[^\s/]+/\S+)", r"doi/(10\.[^\s/]+/\S+)", r"(10\.\d{4,}/\S+)")
+#: Places of a DOI in the URLs of publishers, tried in this order.
+PUBLISHER_PLACES = (r"doi\.org/", r"dx\.doi\.org/", r"nature\.com/articles/", r"science\.org/doi/", r"cell\.com/.*/", r"nejm\.org/doi/full/", r"thelancet\.com/.*/", r"plos\.org/.*/", r"biorxiv\.org/.*/", r"medrxiv\.org/.*/")
+#: The DOI form of JSON-LD values and the fields that may hold one, tried in this order.
+LD_DOI = r"10\.\d{4,}/[^\s\"'<>)}\]]+[^\s\"'<>)}\].,;:]"
+LD_DOI_FIELDS = ("doi", "@id", "identifier", "sameAs", "url")
+
 #: Query parameters that only track visits.
 TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "fbclid", "gclid", "ref", "source", "mc_cid", "mc_eid", "_hsenc", "_hsmi")
 #: Substrings that tell the type of a source, in this order.
@@ -37,6 +47,28 @@ def normalize_doi(c: Column) -> Column:
     return F.when(F.startswith(d, F.lit("10.")), d)
 
 
+def doi_in_url(url: Column) -> Column:
+    """DOI of a URL by the first form that fits; end slashes cut."""
+    found = F.coalesce(*[extracted(url, f"(?i){p}") for p in URL_DOI])
+    return normalize_doi(F.regexp_replace(found, r"[/\s]+$", ""))
+
+
+def publisher_doi(url: Column) -> Column:
+    """DOI at one of the known places of publishers' URLs, as it is written, without query and end punctuation."""
+    found = F.coalesce(*[extracted(url, rf"(?i){p}(10\.\d{{4,}}/[^\s?#]+)") for p in PUBLISHER_PLACES])
+    return F.regexp_replace(found, r"[.,;:]+$", "")
+
+
+def pubmed_path_pmid(url: Column) -> Column:
+    """The digits after the host of PubMed."""
+    return extracted(url, r"(?i)pubmed\.ncbi\.nlm\.nih\.gov/(\d+)")
+
+
+def pubmed_end_pmid(url: Column) -> Column:
+    """Seven or eight digits that end the path of a PubMed URL."""
+    return F.when(F.contains(url, F.lit("pubmed.ncbi.nlm.nih.gov")), extracted(url, r"/(\d{7,8})/?(?:\?|$)"))
+
+
 def normalize_pmid(c: Column) -> Column:
     return blank_to_null(F.regexp_replace(F.coalesce(c, F.lit("")), "[^0-9]", ""))
 
@@ -188,22 +220,56 @@ def json_ld(html: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), F.lit(1))
 
 
+def ld_objects(html: Column) -> Column:
+    """The JSON-LD objects of a page as texts; a list gives its items."""
+    body = F.transform(json_ld(html), lambda b: F.trim(b))
+    return F.flatten(F.transform(body, lambda b: F.when(F.startswith(b, F.lit("[")), F.coalesce(F.from_json(b, "array<string>"), F.array().cast("array<string>"))).otherwise(F.array(b))))
+
+
+def _doi_of(c: Column) -> Column:
+    return F.rtrim(blank_to_null(F.regexp_extract(F.coalesce(c, F.lit("")), LD_DOI, 0)), F.lit(".,;:"))
+
+
+def ld_doi(o: Column) -> Column:
+    """DOI of one JSON-LD object: each field may be a text, a structured identifier or a list of both."""
+    found = []
+    for name in LD_DOI_FIELDS:
+        v = F.trim(F.get_json_object(o, f"$['{name}']"))
+        named = lambda x: (F.get_json_object(x, "$['@type']") == "PropertyValue") & (F.get_json_object(x, "$.propertyID") == "doi")
+        inner = F.coalesce(F.when(named(v), _doi_of(F.get_json_object(v, "$.value"))), _doi_of(F.coalesce(blank_to_null(F.get_json_object(v, "$.value")), F.get_json_object(v, "$['@value']"))))
+        of_item = lambda x: F.when(F.startswith(F.trim(x), F.lit("{")), F.when(named(x), _doi_of(F.get_json_object(x, "$.value")))).otherwise(_doi_of(x))
+        items = F.try_element_at(F.filter(F.transform(F.from_json(v, "array<string>"), of_item), lambda x: x.isNotNull()), F.lit(1))
+        found.append(F.when(F.startswith(v, F.lit("{")), inner).when(F.startswith(v, F.lit("[")), items).otherwise(_doi_of(v)))
+    return F.coalesce(*found)
+
+
+def ld_metadata(o: Column) -> Column:
+    """struct(title, published, source) of one JSON-LD object."""
+    get = lambda n: blank_to_null(F.get_json_object(o, n))
+    whole = get("$.publisher")
+    publisher = F.when(F.startswith(whole, F.lit("{")), get("$.publisher.name")).otherwise(F.when(~F.startswith(whole, F.lit("[")), whole))
+    return F.struct(F.coalesce(get("$.headline"), get("$.name")).alias("title"), page_date(F.coalesce(get("$.datePublished"), get("$.dateCreated"))).alias("published"), F.coalesce(publisher, get("$.isPartOf.name")).alias("source"))
+
+
+def _first(c: Column) -> Column:
+    return F.try_element_at(F.filter(c, lambda x: x.isNotNull()), F.lit(1))
+
+
 def html_doi(html: Column) -> Column:
     """DOI of a page: citation_doi, dc.identifier, og:url, a doi.org link, then JSON-LD."""
-    ld = F.array_join(json_ld(html), " ")
-    return F.coalesce(doi_in(meta_content(html, "citation_doi")), doi_in(meta_content(html, "dc.identifier")), doi_in(meta_content(html, "og:url")), doi_in(extracted(html, r"(?i)href=[\"'](https?://(?:dx\.)?doi\.org/[^\"']+)")), doi_in(ld))
+    return F.coalesce(doi_in(meta_content(html, "citation_doi")), doi_in(meta_content(html, "dc.identifier")), doi_in(meta_content(html, "og:url")), doi_in(extracted(html, r"(?i)href=[\"'](https?://(?:dx\.)?doi\.org/[^\"']+)")), _first(F.transform(ld_objects(html), ld_doi)))
 
 
 def html_title(html: Column) -> Column:
     t = F.trim(extracted(html, r"(?is)<title[^>]*>(.*?)</title>"))
-    head = F.get_json_object(F.try_element_at(json_ld(html), F.lit(1)), "$.headline")
-    return F.coalesce(meta_content(html, "og:title"), meta_content(html, "citation_title"), t, head)
+    return F.coalesce(blank_to_null(meta_content(html, "og:title")), blank_to_null(meta_content(html, "citation_title")), blank_to_null(t), _first(F.transform(ld_objects(html), lambda o: ld_metadata(o)["title"])))
 
 
 def html_date(html: Column) -> Column:
-    published = F.get_json_object(F.try_element_at(json_ld(html), F.lit(1)), "$.datePublished")
-    return F.coalesce(meta_content(html, "citation_publication_date"), meta_content(html, "article:published_time"), meta_content(html, "dc.date"), published)
+    """ISO form of the date of a page."""
+    published = _first(F.transform(ld_objects(html), lambda o: ld_metadata(o)["published"]))
+    return F.coalesce(*[page_date(meta_content(html, n)) for n in ("citation_publication_date", "article:published_time", "dc.date")], published)
 
 
 def html_journal(html: Column) -> Column:
-    return F.coalesce(meta_content(html, "citation_journal_title"), meta_content(html, "og:site_name"))
+    return F.coalesce(blank_to_null(meta_content(html, "citation_journal_title")), blank_to_null(meta_content(html, "og:site_name")), _first(F.transform(ld_objects(html), lambda o: ld_metadata(o)["source"])))

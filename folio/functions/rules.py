@@ -30,6 +30,10 @@ BASIC_BIOLOGY = ("single-cell atlas", "fibroblast phenotypes", "tumor microenvir
 SCREENING_IMPACT = ("population health impact", "complement existing screening", "population-level screening", "asymptomatic population", "screening program", "public health impact", "multi-cancer early detection", "mced", "genomic blood test", "blood-based screening")
 BREATH = ("breath", "exhaled", "voc", "volatile organic", "breathomics", "olfaction", "canine")
 TARGETS = ("breast", "lung", "prostate", "colon")
+# The three lists of which the blood-test bonus needs one word each.
+MULTI_TEST = ("multi-cancer early detection", "mced")
+BLOOD_TEST = ("blood test", "blood-based", "genomic blood test")
+BESIDE_SCREENING = ("complement existing screening", "existing screening")
 
 FAMILIES = {"detection": DETECTION, "ai": GENERIC_AI, "market": MARKET, "genomics": GENOMICS, "treatment": TREATMENT, "biology": BASIC_BIOLOGY, "impact": SCREENING_IMPACT, "breath": BREATH}
 
@@ -66,7 +70,7 @@ def apply_rules(df: DataFrame, score: str = "score", text: tuple[str, ...] = ("t
     hit = {f"_{k}": any_of(F.col("_low"), words) for k, words in fam.items()}
     d = d.withColumns(hit)
     kind = cancer_type(F.try_element_at(F.col(signals), F.lit("cancer_type")))
-    mced = (F.contains("_low", F.lit("multi-cancer early detection")) | F.contains("_low", F.lit("mced"))) & any_of(F.col("_low"), ("blood test", "blood-based", "genomic blood test")) & any_of(F.col("_low"), ("complement existing screening", "existing screening"))
+    mced = any_of(F.col("_low"), MULTI_TEST) & any_of(F.col("_low"), BLOOD_TEST) & any_of(F.col("_low"), BESIDE_SCREENING)
     near = F.exists(F.split("_low", r"[.!?;\n]+"), lambda s: any_of(s, fam["ai"]) & any_of(s, fam["detection"]))
     flags = [_flag(signals, k) for k in ("detection_methodology", "breath_based", "animal_model", "ngs_genomics")]
     method = flags[0] | flags[1] | flags[2] | flags[3] | F.col("_detection")
@@ -184,8 +188,8 @@ def is_preprint(source: Column, venue: Column, url: Column) -> Column:
 
 
 def credibility(score: Column, preprint: Column) -> Column:
-    """Credibility, at most 65 for preprints."""
-    return F.when(preprint, F.least(score, F.lit(65))).otherwise(score)
+    """Credibility, at most 65 for preprints; unscored stays unscored."""
+    return F.when(preprint & (score > 65), 65).otherwise(score)
 
 
 def citation_context(count: Column, per_year: Column) -> Column:

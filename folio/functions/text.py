@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PUNCT = r"[^\p{L}\p{N}_\s]"
 PUNCT_NOT_DASH = r"[^\p{L}\p{N}_\s-]"
@@ -53,6 +54,15 @@ def strip_html(c: Column) -> Column:
     return squeeze(c)
 
 
+def as_text(c: Column, kind: T.DataType) -> Column:
+    """A column of any type as text: lists and structs as JSON, texts as they are, null stays null."""
+    return F.to_json(c) if isinstance(kind, T.ArrayType | T.StructType | T.MapType) else c.cast("string")
+
+
+def venue_of(venue: Column, source: Column, journal: Column) -> Column:
+    return F.coalesce(blank_to_null(venue), blank_to_null(source), blank_to_null(journal), F.lit(""))
+
+
 def sanitize(c: Column) -> Column:
     """Line and paragraph separators and carriage returns as newlines; other control characters removed."""
     c = F.replace(F.coalesce(c, F.lit("")), F.lit("\u2028"), F.lit("\n"))
@@ -78,8 +88,14 @@ def has_word(c: Column, word: str) -> Column:
 
 
 def matches(c: Column, words: tuple[str, ...]) -> Column:
-    """The words that occur, in the order given."""
-    return F.array_compact(F.array(*[F.when(has_word(c, w.lower().strip()), F.lit(w)) for w in words]))
+    """The words that occur, in the order given.
+
+    Short words must stand alone: the text is cut into words once, by one pass of one pattern, and each
+    short word is then a plain substring between blanks.
+    """
+    spaced = F.concat(F.lit(" "), F.regexp_replace(c, r"[^\p{L}\p{N}_]+", " "), F.lit(" "))
+    hit = lambda w: F.contains(spaced, F.lit(f" {w} ")) if len(w) <= 4 and w.replace("_", "a").isalnum() else has_word(c, w)
+    return F.array_compact(F.array(*[F.when(hit(w.lower().strip()), F.lit(w)) for w in words]))
 
 
 def sentences(c: Column) -> Column:

@@ -27,11 +27,12 @@ def snapshot_counts(merged: DataFrame) -> DataFrame:
     return merged.agg(F.count_if(k == "added").alias("added"), F.count_if(k == "updated").alias("updated"), F.count_if(k == "kept").alias("kept"), F.count(F.lit(1)).alias("total"))
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str], policy: dict[str, str] | None = None, default: str = "keep") -> DataFrame:
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], policy: dict[str, str | tuple[Column, Column]] | None = None, default: str = "keep") -> DataFrame:
     """old with new merged in by key; adds merge_kind (inserted, updated, untouched).
 
     Policy of a column: keep (old value), fill (new unless null, else old), take (new value), null-safe
-    forms of the usual conflict clauses. Keys are unique on both sides (see `latest`). A full outer join
+    forms of the usual conflict clauses, or a pair of expressions over the columns of o and n: the value
+    of an inserted row and that of an updated one. Keys are unique on both sides (see `latest`). A full outer join
     by key: written to a new path and swapped in, it is the portable form of MERGE.
     """
     policy = policy or {}
@@ -41,6 +42,10 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], policy: dict[str, st
     for c in old.columns:
         if c in keys:
             continue
+        if isinstance(policy.get(c), tuple):
+            inserted, updated = policy[c]
+            cols.append(F.when(is_new, inserted).when(is_old, F.col(f"o.{c}")).otherwise(updated).alias(c))
+            continue
         if c not in new.columns:
             cols.append(F.col(f"o.{c}").alias(c))
             continue
@@ -51,6 +56,26 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], policy: dict[str, st
     return both.select(*cols, kind.alias("merge_kind"))
 
 
+def sheet_upsert(sheet: DataFrame, rows: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
+    """(sheet, counts): rows merged in by id; known ids keep date_added and are no longer new, the others get `day` and true.
+
+    Rows without an id are counted as errors. Other columns take the new value.
+    """
+    good = latest(rows.where(F.coalesce(F.trim("id"), F.lit("")) != ""), ["id"], rows.columns[1])
+    policy = {c: "take" for c in sheet.columns if c != "id"} | {"date_added": (F.lit(day), F.col("o.date_added")), "is_new": (F.lit("true"), F.lit("false"))}
+    out = upsert(sheet, good, ["id"], policy)
+    k = F.col("merge_kind")
+    bad = rows.agg(F.count_if(F.coalesce(F.trim("id"), F.lit("")) == "").alias("errors"))
+    counts = out.agg(F.count_if(k == "inserted").alias("added"), F.count_if(k == "updated").alias("updated"), F.count_if(k == "untouched").alias("untouched")).crossJoin(F.broadcast(bad))  # one row each
+    return out.drop("merge_kind"), counts
+
+
+def pending_upsert(old: DataFrame, new: DataFrame, now: str, keys: tuple[str, ...] = ("publication_id", "week_start")) -> DataFrame:
+    """Pending fetches: status and original_url are refreshed, alerted_at stays; a row inserted as pending is alerted now."""
+    alerted = (F.when(F.col("n.status") == "pending", F.lit(now)), F.col("o.alerted_at"))
+    return upsert(old, new, list(keys), {"status": "take", "original_url": "take", "alerted_at": alerted})
+
+
 def insert_or_ignore(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.unionByName(new.join(old.select(*keys), keys, "left_anti"))
 

@@ -29,6 +29,39 @@ def call(df: DataFrame, key: str, kind: str, columns: list[str], fn: Callable[[l
     return df.select(*dict.fromkeys([key, *columns])).mapInPandas(run, f"{key} {kind}, {ANSWER}")
 
 
+class Retry(Exception):
+    """Raised by a function for a failure that may pass (a time-out, a busy server); other errors are final."""
+
+
+def deliver(df: DataFrame, key: str, kind: str, columns: list[str], send: Callable[[list[dict]], None], size: int = 100, tries: int = 3, wait: float = 0.5) -> DataFrame:
+    """(key, chunk, attempts, error): rows are sent in chunks of up to `size`; a Retry is tried again after a growing pause, other errors are not.
+
+    Chunks are cut inside tasks, so a row is sent once per attempt of its task; `send` must bear repeats.
+    """
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chunk = 0
+        for p in parts:
+            for i in range(0, len(p), size):
+                rows, error, attempt = p.iloc[i : i + size], None, 0
+                while attempt < tries:
+                    attempt += 1
+                    try:
+                        send(rows[columns].to_dict("records"))
+                        error = None
+                        break
+                    except Retry as e:
+                        error = str(e)[:200]
+                        time.sleep(wait * 2 ** (attempt - 1) if attempt < tries else 0)
+                    except Exception as e:
+                        error = str(e)[:200]
+                        break
+                yield pd.DataFrame({key: rows[key], "chunk": chunk, "attempts": attempt, "error": error})
+                chunk += 1
+
+    return df.select(*dict.fromkeys([key, *columns])).mapInPandas(run, f"{key} {kind}, chunk int, attempts int, error string")
+
+
 def unanswered(df: DataFrame, answers: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(answers.where("error IS NULL").select(*keys), keys, "left_anti")
 
@@ -46,3 +79,42 @@ def read_through(df: DataFrame, cache: DataFrame, key: str, value: str, fallback
     origin = F.when(F.col("_v").isNotNull(), "hit").when(fallback.isNotNull(), "generated").otherwise("failed")
     out = d.withColumn("origin", origin).withColumn(value, F.coalesce("_v", fallback)).drop("_k", "_v")
     return out, out.groupBy("origin").agg(F.count(F.lit(1)).alias("n"))
+
+
+def score_records(items: DataFrame, memo: DataFrame, answers: Callable[[DataFrame], DataFrame], run_id: str, key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """(scores of all items, rows to add to the memo): each item is asked once in a run and its answer is parsed and put through the rules.
+
+    memo has (run_id, key, score, reason, confidence). Items it answers for this run are not asked again;
+    `answers` maps the others to (key, answer). Answers that cannot be used give a null score with the
+    error as reason and are not remembered, so the next run of the same id asks again.
+    """
+    from folio.functions.jsonx import scored
+    from folio.functions.rules import apply_rules, with_reason
+
+    known = memo.where(F.col("run_id") == run_id).groupBy(key).agg(F.min(F.struct("score", "reason", "confidence")).alias("m"))
+    known = items.join(known, key).select(key, "m.score", "m.reason", "m.confidence", F.lit("memo").alias("origin"))
+    open_ = items.join(memo.where(F.col("run_id") == run_id).select(key), key, "left_anti")
+    got = open_.join(answers(open_), key, "left").withColumn("_r", scored(F.col("answer"), "relevancy_score", "relevancy_reason"))
+    ruled = apply_rules(got.where("_r.valid").withColumn("score", F.col("_r.score")), "score", ("title", "source", "raw_text"))
+    new = ruled.select(key, F.col("adjusted_score").alias("score"), with_reason(F.col("_r.reason"), F.col("adjustments")).alias("reason"), F.col("_r.confidence").alias("confidence"), F.lit("asked").alias("origin"))
+    failed = got.where("NOT _r.valid").select(key, F.lit(None).cast("int").alias("score"), F.when(F.col("answer").isNull(), "no answer").otherwise("answer not usable").alias("reason"), F.lit("low").alias("confidence"), F.lit("failed").alias("origin"))
+    return known.unionByName(new).unionByName(failed), new.select(F.lit(run_id).alias("run_id"), key, "score", "reason", "confidence")
+
+
+def citation_features(items: DataFrame, cache: DataFrame, counts: DataFrame, as_of, days: int = 7, key: str = "id") -> DataFrame:
+    """items with doi, pmid, citation_count, citations_per_year, available and origin (cache or looked_up).
+
+    Identifiers come from the URL. A cache entry younger than `days` is used as it is; the others are
+    looked up by DOI, else PMID, in counts (doi, pmid, citation_count, citations_per_year). A count of
+    zero is no data.
+    """
+    from folio.functions.identifiers import extracted, pubmed_path_pmid
+
+    d = items.withColumns({"doi": extracted(F.col("url"), r"(10\.\d{4,}/\S+)"), "pmid": pubmed_path_pmid(F.col("url"))})
+    fresh = cache.where(F.col("cached_at") > F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(days))).groupBy(F.col(key).alias("_k")).agg(F.max_by(F.struct(F.col("citation_count").alias("c"), F.col("citations_per_year").alias("y")), "cached_at").alias("_hit"))
+    one = lambda c: counts.where(F.col(c).isNotNull()).groupBy(F.col(c).alias(f"_{c}")).agg(F.max(F.struct(F.col("citation_count").alias("c"), F.col("citations_per_year").alias("y"))).alias(f"_by_{c}"))
+    d = d.join(fresh, F.col(key) == F.col("_k"), "left").join(one("doi"), F.col("doi") == F.col("_doi"), "left").join(one("pmid"), F.col("pmid") == F.col("_pmid"), "left")
+    best = F.coalesce("_hit", "_by_doi", "_by_pmid")
+    some = (F.coalesce(best["c"], F.lit(0)) > 0) | (F.coalesce(best["y"], F.lit(0.0)) > 0)
+    d = d.withColumns({"available": F.coalesce(some, F.lit(False)), "citation_count": F.when(some, best["c"]), "citations_per_year": F.when(some, best["y"]), "origin": F.when(F.col("_hit").isNotNull(), "cache").otherwise("looked_up")})
+    return d.drop("_k", "_hit", "_doi", "_pmid", "_by_doi", "_by_pmid")

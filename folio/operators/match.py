@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from folio.functions.extract import sequence_ratio
 from folio.functions.text import jaccard, title_key
+from folio.session import shared_folder
 
 
 def latest(df: DataFrame, keys: list[str], order: str, keep: str = "latest") -> DataFrame:
@@ -35,35 +36,74 @@ def cascade(left: DataFrame, right: DataFrame, keys: list[str], value: str, orde
     return out.withColumn(value, F.coalesce(*found)["v"]).withColumn("match_key", name).drop(*[f"_{p}_{k}" for k in keys for p in "km"])
 
 
-def similar_titles(a: DataFrame, b: DataFrame, a_id: str, b_id: str, title: str = "title", least: float = 0.85, style: str = "eval") -> DataFrame:
-    """(a_id, b_id, similarity): titles whose word sets have a Jaccard similarity over `least`.
+def similar_keys(keys: DataFrame, least: float = 0.85) -> DataFrame:
+    """(ka, kb, similarity), ka < kb: keys (k) whose word sets have a Jaccard similarity over `least`.
 
-    Prefix filter: with words ranked by how few titles hold them, two sets that similar share one of
-    their first n - ceil(least * n) + 1 words. Titles are joined on those words only, with the length
-    test in the join, so frequent words never build pairs. Equal titles are collapsed first.
+    Prefix filter: with words ranked by how few keys hold them, two sets that similar share one of
+    their first n - ceil(least * n) + 1 words. Keys are joined on those words only, with the length
+    test in the join, so frequent words never build pairs.
     """
-    word_set = lambda df, i, side: df.select(F.col(i).alias(f"{side}_id"), title_key(F.col(title), style).alias("k")).where("k <> ''")
-    x, y = word_set(a, a_id, "a"), word_set(b, b_id, "b")
-    keys = x.select("k").unionByName(y.select("k")).distinct().withColumn("w", F.array_distinct(F.split("k", " ")))
+    keys = keys.where("k <> ''").select("k").distinct().withColumn("w", F.array_distinct(F.split("k", " ")))
     words = keys.select("k", F.size("w").alias("n"), F.explode("w").alias("word"))
     ranked = words.join(words.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "word")
     place = F.row_number().over(Window.partitionBy("k").orderBy("df", "word"))
     prefix = ranked.withColumn("p", place).where(F.col("p") <= F.col("n") - F.ceil(F.col("n") * least) + 1).select("k", "n", "word")
     l, r = prefix.alias("l"), prefix.alias("r")
-    pairs = l.join(r, (F.col("l.word") == F.col("r.word")) & (F.col("l.n") >= least * F.col("r.n")) & (F.col("r.n") >= least * F.col("l.n")))
-    pairs = pairs.select(F.col("l.k").alias("ka"), F.col("r.k").alias("kb")).distinct().withColumn("similarity", jaccard(F.col("ka"), F.col("kb"))).where(F.col("similarity") > least)
-    return pairs.join(x, F.col("ka") == x["k"]).drop("k").join(y, F.col("kb") == y["k"]).select("a_id", "b_id", "similarity")
+    pairs = l.join(r, (F.col("l.word") == F.col("r.word")) & (F.col("l.k") < F.col("r.k")) & (F.col("l.n") >= least * F.col("r.n")) & (F.col("r.n") >= least * F.col("l.n")))
+    return pairs.select(F.col("l.k").alias("ka"), F.col("r.k").alias("kb")).distinct().withColumn("similarity", jaccard(F.col("ka"), F.col("kb"))).where(F.col("similarity") > least)
+
+
+def similar_titles(a: DataFrame, b: DataFrame, a_id: str, b_id: str, title: str = "title", least: float = 0.85, style: str = "eval") -> DataFrame:
+    """(a_id, b_id, similarity): titles of two tables that are alike; equal ones are 1.0 alike.
+
+    Titles meet as distinct keys and each key is named by its smallest id on either side, so a title
+    that a thousand rows share is one link and not a million; `title_classes` says which rows share it.
+    """
+    key = title_key(F.col(title), style).alias("k")
+    x, y = (df.select(F.col(i).alias("id"), key).where("k <> ''").groupBy("k").agg(F.min("id").alias("id")) for df, i in ((a, a_id), (b, b_id)))
+    keys = x.select("k").unionByName(y.select("k"))
+    near = similar_keys(keys, least)
+    both = near.unionByName(near.select(F.col("kb").alias("ka"), F.col("ka").alias("kb"), "similarity"))
+    equal = x.join(y.select("k", F.col("id").alias("b_id")), "k").select(F.col("id").alias("a_id"), "b_id", F.lit(1.0).alias("similarity"))
+    near = both.join(x.select(F.col("k").alias("ka"), F.col("id").alias("a_id")), "ka").join(y.select(F.col("k").alias("kb"), F.col("id").alias("b_id")), "kb").select("a_id", "b_id", "similarity")
+    return equal.unionByName(near)
+
+
+def title_classes(df: DataFrame, key: str, title: str = "title", style: str = "eval") -> DataFrame:
+    """(id, class): rows and the smallest id with their title; rows without a title are left out."""
+    t = df.select(F.col(key).alias("id"), title_key(F.col(title), style).alias("k")).where("k <> ''")
+    return t.join(t.groupBy("k").agg(F.min("id").alias("class")), "k").select("id", "class")
+
+
+def same_items(df: DataFrame, key: str = "id", doi: str | None = None, pmid: str | None = None, title: str = "title", least: float = 0.85, equal_from: int = 20) -> DataFrame:
+    """Edges (a_id, b_id) of rows that are one item: equal DOI, equal PMID, equal titles of more than `equal_from` characters, or titles with similar words.
+
+    Rows that share a value are linked to the smallest id that has it, so a value makes a star.
+    """
+    norm = title_key(F.col(title), "eval")
+    stars = [F.lower(F.trim(F.col(doi)))] if doi else []
+    stars += [F.trim(F.col(pmid).cast("string"))] if pmid else []
+    stars.append(F.when(F.length(norm) > equal_from, norm))
+    edges = None
+    for value in stars:
+        t = df.select(F.col(key).alias("b_id"), value.alias("v")).where("v IS NOT NULL AND v <> ''")
+        e = t.join(t.groupBy("v").agg(F.min("b_id").alias("a_id")), "v").where("a_id < b_id").select("a_id", "b_id")
+        edges = e if edges is None else edges.unionByName(e)
+    # a title is named by its smallest id; the rows that share it (also a short one, which is 1.0 alike) hang on that
+    shared = title_classes(df, key, title).where("class < id").select(F.col("class").alias("a_id"), F.col("id").alias("b_id"))
+    near = similar_titles(df, df, key, key, title, least).where("a_id < b_id").select("a_id", "b_id")
+    return edges.unionByName(shared).unionByName(near).distinct()
 
 
 def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
-    """(id, label): smallest id that can be reached, by min-label steps with pointer jumping; checkpointed each round."""
+    """(id, label): smallest id that can be reached, by min-label steps with pointer jumping; checkpointed each round.
+
+    Checkpoints go to spark.checkpoint.dir. Where none is set a temporary folder serves, but only if
+    driver and executors are one process. Labels that are not final after `rounds` are an error.
+    """
     e = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
     e = e.unionByName(e.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
-    spark = e.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="folio-checkpoint-"))
+    shared_folder(e.sparkSession)
     e = e.checkpoint()
     label = e.select(F.col("x").alias("id"), F.col("x").alias("label")).distinct()
     before = None
@@ -74,9 +114,9 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
         label = step.join(jump, F.col("label") == F.col("_i"), "left").select("id", F.least("label", F.coalesce("_l", "label")).alias("label")).checkpoint()
         now = label.agg(F.sum(F.xxhash64("id", "label").cast("decimal(38,0)"))).first()
         if now == before:
-            break
+            return label
         before = now
-    return label
+    raise RuntimeError(f"components are not final after {rounds} rounds")
 
 
 def merge_items(items: DataFrame, key: str, edges: DataFrame) -> DataFrame:

@@ -12,13 +12,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Cut points that divide distinct values for the two levels of a running sum; a sketch of bounded size.
+RANGES = 256
+
+
+def running_rows(counts: DataFrame, value: str, group: str | None, ranges: int = RANGES) -> DataFrame:
+    """counts (value, _n, maybe group) with _before, the rows of smaller values.
+
+    Values are cut into ranges at approximate quantiles; rows are summed by range, ranges are accumulated,
+    then the values inside each range on their own, so no task holds all values.
+    """
+    keys = [] if group is None else [group]
+    ends = F.percentile_approx(value, [F.lit(i / ranges) for i in range(1, ranges)], F.lit(4 * ranges))
+    cut = counts.crossJoin(F.broadcast(counts.agg(ends.alias("_ends"))))  # one row of at most `ranges` numbers
+    cut = cut.withColumn("_range", F.size(F.filter("_ends", lambda x: x < F.col(value)))).drop("_ends")
+    first = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1) if keys else Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = cut.groupBy(*keys, "_range").agg(F.sum("_n").alias("_all")).withColumn("_base", F.coalesce(F.sum("_all").over(first), F.lit(0))).drop("_all")
+    inside = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    both = cut.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(sums, [*keys, "_range"])
+    return both.withColumn("_before", F.col("_base") + F.col("_in")).drop("_range", "_base", "_in")
+
+
 def average_ranks(df: DataFrame, value: str, out: str, group: str | None = None) -> DataFrame:
     """Adds the rank of `value`, ties sharing their mean rank."""
     keys = [value] if group is None else [group, value]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(value) if group is None else Window.partitionBy(group).orderBy(value)
-    counts = counts.withColumn(out, F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + (F.col("_n") + 1) / 2).drop("_n")
-    return df.join(counts, keys)
+    counts = running_rows(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), value, group)
+    return df.join(counts.withColumn(out, F.col("_before") + (F.col("_n") + 1) / 2).drop("_n", "_before"), keys)
+
+
+def ordinal_ranks(df: DataFrame, value: str, key: str, out: str) -> DataFrame:
+    """Adds the place of each row by value, ties in the order of `key`; only rows of one value and hash range of keys meet in a task."""
+    counts = running_rows(df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")), value, None)
+    tied = df.join(counts, value)
+    ties = running_rows(df.groupBy(value, key).agg(F.count(F.lit(1)).alias("_n")), key, value).select(F.col(value).alias("_v"), F.col(key).alias("_k"), F.col("_before").alias("_ties"))
+    return tied.join(ties, (F.col(value) == F.col("_v")) & (F.col(key) == F.col("_k"))).withColumn(out, F.col("_before") + F.col("_ties") + 1).drop("_n", "_before", "_v", "_k", "_ties")
 
 
 def spearman(df: DataFrame, score: str, rating: str, group: str | None = None) -> DataFrame:
@@ -31,12 +58,11 @@ def spearman(df: DataFrame, score: str, rating: str, group: str | None = None) -
 
 
 def spearman_ordinal(df: DataFrame, score: str, rating: str, key: str) -> DataFrame:
-    """1 - 6 * sum d^2 / (n (n^2 - 1)) with ordinal ranks, ties in the order of `key`. For samples: ranks are made in one task."""
+    """1 - 6 * sum d^2 / (n (n^2 - 1)) with ordinal ranks, ties in the order of `key`, which is unique and orders by number."""
     d = df.where(F.col(score).isNotNull() & F.col(rating).isNotNull())
-    rank = lambda c: F.row_number().over(Window.orderBy(c, key)).cast("double")
-    d = d.withColumn("_a", rank(score)).withColumn("_b", rank(rating))
+    d = ordinal_ranks(ordinal_ranks(d, score, key, "_a"), rating, key, "_b")
     n = F.count(F.lit(1)).cast("double")
-    return d.agg(F.when(n >= 3, 1 - 6 * F.sum(F.pow(F.col("_a") - F.col("_b"), 2)) / (n * (n * n - 1))).alias("rho"), F.count(F.lit(1)).alias("n"))
+    return d.agg(F.when(n >= 3, 1 - 6 * F.sum(F.pow(F.col("_a").cast("double") - F.col("_b").cast("double"), 2)) / (n * (n * n - 1))).alias("rho"), F.count(F.lit(1)).alias("n"))
 
 
 def ranking_metrics(df: DataFrame, score: str, relevance: str, key: str, ks: tuple[int, ...] = (5, 10, 20), relevant: int = 3) -> DataFrame:
@@ -84,6 +110,13 @@ def ratings(labels: DataFrame, key: str, rating: str) -> DataFrame:
     return by.groupBy(key).agg((F.sum(F.col(rating) * F.col("_n")) / F.sum("_n")).alias("mean_rating"), F.max_by(F.col(rating), F.struct("_n", rating)).alias("majority_rating"), F.sum("_n").alias("n_labels"))
 
 
+def label_summary(labels: DataFrame, key: str, rating: str, score: str) -> DataFrame:
+    """One row: labels and publications, labels of each rating 0 to 3, and the mean over publications of their mean score."""
+    per = labels.where(F.col(score).isNotNull()).groupBy(key).agg(F.avg(score).alias("_m"))
+    counts = labels.agg(F.count(F.lit(1)).alias("n_labels"), F.count_distinct(key).alias("n_publications"), *[F.count_if(F.col(rating) == r).alias(f"rating_{r}") for r in range(4)])
+    return counts.crossJoin(F.broadcast(per.agg(F.avg("_m").alias("mean_of_means"))))  # one row each
+
+
 def enough_ratings(df: DataFrame, labels: str, n: int) -> DataFrame:
     return df.where(F.size(F.filter(labels, lambda l: l["rating"].isNotNull())) >= n)
 
@@ -100,20 +133,28 @@ def label_of(labels: Column, source: str) -> Column:
 class Calibrator:
     """A monotone map of scores 0..100 by isotonic regression.
 
-    The fit pools rows by score in Spark (one row a distinct score), so the driver sees no more rows
-    than there are scores. mode='exact' is isotonic regression; mode='pairwise' repeats passes that
-    pool each run of falling values until nothing falls or twice as many passes as rows are done.
+    The fit pools rows by score in Spark: scores lie in 0..100 and are told apart to `GRID` of a point, so
+    the driver sees no more rows than the grid has places, whatever the table. mode='exact' is isotonic
+    regression; mode='pairwise' repeats passes that pool each run of falling values until nothing falls
+    or twice as many passes as rows are done. It works on single rows, so it is for samples and refuses
+    more than `PAIRWISE_ROWS`.
     """
 
+    GRID = 100
+    PAIRWISE_ROWS = 100_000
+
     def __init__(self, xs: list[float], ys: list[float]):
         self.xs, self.ys = xs, ys
 
     @classmethod
     def fit(cls, df: DataFrame, score: str, rating: str, scale: float = 100 / 3, mode: str = "exact") -> Calibrator:
         d = df.where(F.col(score).isNotNull() & F.col(rating).isNotNull())
-        rows = d.groupBy(F.col(score).cast("double").alias("x")).agg(F.avg(F.col(rating) * F.lit(scale)).alias("y"), F.count(F.lit(1)).alias("w")).orderBy("x").toPandas()
+        place = F.bround(F.least(F.lit(100.0), F.greatest(F.lit(0.0), F.col(score).cast("double"))) * cls.GRID) / cls.GRID
+        rows = d.groupBy(place.alias("x")).agg(F.avg(F.col(rating) * F.lit(scale)).alias("y"), F.count(F.lit(1)).alias("w")).orderBy("x").toPandas()
         if rows["w"].sum() < 5:
             raise ValueError("at least five rows are needed")
+        if mode == "pairwise" and rows["w"].sum() > cls.PAIRWISE_ROWS:
+            raise ValueError(f"mode='pairwise' is for samples of up to {cls.PAIRWISE_ROWS} rows")
         x, y, w = (rows[c].to_numpy(float) for c in "xyw")
         fitted = pool(y, w) if mode == "exact" else pool_pairwise(np.repeat(y, w.astype(int)))[np.cumsum(w.astype(int)) - 1]
         keep = np.concatenate([[True], fitted[1:] != fitted[:-1]])

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folio.functions.dates import day_ordinal, recency_points
+from folio.operators.metrics import RANGES, ordinal_ranks
 
 # Words and sources that raise the heuristic rank.
 PRIORITY_WORDS = ("biomarker", "early detection", "ctdna", "cell-free dna", "methylation", "liquid biopsy", "diagnostic", "detection method", "sensitivity", "specificity")
@@ -82,10 +84,17 @@ def must_reads(reranked: DataFrame, n: int = 5, shortlist: int = 25) -> DataFram
 
 
 def repair_ranking(candidates: DataFrame, ranked: DataFrame) -> DataFrame:
-    """(id, rank): known ids in the order of `ranked` (pos, id), without repeats, then missing ones in their own order (seq)."""
+    """(id, rank): known ids in the order of `ranked` (pos, id), without repeats, then missing ones in their own order (seq).
+
+    Places are made in two levels, by ranges of pos and of seq, so no task sorts all rows.
+    """
     first = ranked.groupBy("id").agg(F.min("pos").alias("pos"))
     d = candidates.join(first, "id", "left")
-    return d.select("id", F.row_number().over(Window.orderBy(F.col("pos").asc_nulls_last(), "seq")).alias("rank"), F.col("pos").isNull().alias("appended"))
+    known, rest = d.where(F.col("pos").isNotNull()), d.where(F.col("pos").isNull())
+    n = known.agg(F.count(F.lit(1)).alias("_known"))
+    top = ordinal_ranks(known, "pos", "seq", "rank").select("id", "rank", F.lit(False).alias("appended"))
+    more = ordinal_ranks(rest.select("id", "seq", F.lit(0).alias("_z")), "_z", "seq", "_r").crossJoin(F.broadcast(n))  # one row
+    return top.unionByName(more.select("id", (F.col("_r") + F.col("_known")).alias("rank"), F.lit(True).alias("appended")))
 
 
 def minmax(df: DataFrame, score: str, out: str = "normalized") -> DataFrame:
@@ -98,18 +107,35 @@ def minmax(df: DataFrame, score: str, out: str = "normalized") -> DataFrame:
 def byte_budget(df: DataFrame, group: str, rank: str, size: str, budget: int) -> DataFrame:
     """Adds attached: in rank order each item is taken if it still fits; a later smaller one may fit after one that did not.
 
-    A group is one digest, a few dozen rows; the fold runs inside one array expression.
+    What fits depends on all that was taken before, so the items of a group (one digest) are walked in
+    one pass; only rank and size go there.
+    """
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, left, took = pdf.sort_values("_r"), budget, []
+        for s in pdf["_s"]:
+            fits = s is not None and s == s and s <= left
+            left -= int(s) if fits else 0
+            took.append(fits)
+        return pdf[["_g", "_r"]].assign(attached=took)
+
+    kind, place = df.schema[group].dataType.simpleString(), df.schema[rank].dataType.simpleString()
+    slim = df.select(F.col(group).alias("_g"), F.col(rank).alias("_r"), F.col(size).cast("double").alias("_s"))
+    took = slim.groupBy("_g").applyInPandas(walk, f"_g {kind}, _r {place}, attached boolean")
+    return df.join(took, (F.col(group) == F.col("_g")) & (F.col(rank) == F.col("_r"))).drop("_g", "_r")
+
+
+def ranking_checks(df: DataFrame, rank: str, score: str, top: int, least: float, ranges: int = RANGES) -> DataFrame:
+    """Data-quality counts: rows whose successor has a higher score, and high scores left out of the first `top`.
+
+    Rows are compared inside ranges of the rank; the last row of a range meets the first of the next one.
     """
-    items = df.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), F.col(size).cast("long").alias("s")))).alias("_i"))
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("took"))
-    fits = lambda a, x: a["used"] + x["s"] <= budget
-    step = lambda a, x: F.when(F.coalesce(fits(a, x), F.lit(False)), F.struct((a["used"] + x["s"]).alias("used"), F.array_append(a["took"], x["r"].cast("int")).alias("took"))).otherwise(a)
-    took = items.select(F.col(group).alias("_g"), F.aggregate("_i", start, step)["took"].alias("_took"))
-    return df.join(took, F.col(group) == F.col("_g")).withColumn("attached", F.array_contains("_took", F.col(rank).cast("int"))).drop("_g", "_took")
-
-
-def ranking_checks(df: DataFrame, rank: str, score: str, top: int, least: float) -> DataFrame:
-    """Data-quality counts: rows out of order, and high scores left out of the first `top`."""
-    w = Window.orderBy(rank)
-    d = df.withColumn("_next", F.lead(F.coalesce(F.col(score), F.lit(-1))).over(w))
-    return d.agg(F.count_if(F.col("_next") > F.coalesce(F.col(score), F.lit(-1))).alias("out_of_order"), F.count_if((F.col(rank) > top) & (F.col(score) >= least)).alias("high_excluded"))
+    s = F.coalesce(F.col(score), F.lit(-1))
+    ends = df.agg(F.percentile_approx(rank, [F.lit(i / ranges) for i in range(1, ranges)], F.lit(4 * ranges)).alias("_ends"))
+    d = df.crossJoin(F.broadcast(ends))  # one row of at most `ranges` numbers
+    d = d.select(F.col(rank).alias("_r"), s.alias("_s"), F.size(F.filter("_ends", lambda x: x < F.col(rank))).alias("_range"))
+    inside = d.withColumn("_next", F.lead("_s").over(Window.partitionBy("_range").orderBy("_r")))
+    ends = d.groupBy("_range").agg(F.min_by("_s", "_r").alias("_first"), F.max_by("_s", "_r").alias("_last")).withColumn("_next", F.lead("_first").over(Window.orderBy("_range")))
+    falls = inside.agg(F.count_if(F.col("_next") > F.col("_s")).alias("a"), F.count_if((F.col("_r") > top) & (F.col("_s") >= least)).alias("high_excluded"))
+    seams = ends.agg(F.count_if(F.col("_next") > F.col("_last")).alias("b"))
+    return falls.crossJoin(F.broadcast(seams)).select((F.col("a") + F.col("b")).alias("out_of_order"), "high_excluded")  # one row each

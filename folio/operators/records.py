@@ -142,3 +142,70 @@ def paper_for_review(df: DataFrame) -> DataFrame:
 
     text = lambda c: sanitize(F.col(c)) if c in df.columns else F.lit("")
     return df.select("id", *[text(c).alias(c) for c in ("title", "raw_text", "summary", "source")])
+
+
+def sanitized(df: DataFrame, columns: tuple[str, ...] = ("title", "raw_text", "summary", "source")) -> DataFrame:
+    """The record with its texts cleaned of control characters; other columns as they are."""
+    from folio.functions.text import sanitize
+
+    return df.withColumns({c: sanitize(F.col(c)) for c in columns if c in df.columns})
+
+
+def enriched(pubs: DataFrame, must_reads: DataFrame, reviews: DataFrame, key: str = "id") -> DataFrame:
+    """The digest's record of each publication: its own columns first, then must-reads, reviews and the evaluator's JSON.
+
+    must_reads and reviews have one row an id at most and any of the columns named here; a score of zero
+    is a score. Each side is one left join, and all fallbacks are one projection.
+    """
+    from folio.functions import jsonx, text
+    from folio.functions.identifiers import link
+
+    m = must_reads.select(F.col(key).alias("_mk"), F.struct(*[c for c in must_reads.columns if c != key]).alias("m"))
+    t = reviews.select(F.col(key).alias("_tk"), F.struct(*[c for c in reviews.columns if c != key]).alias("t"))
+    d = pubs.join(m, F.col(key) == F.col("_mk"), "left").join(t, F.col(key) == F.col("_tk"), "left")
+    none = F.lit(None).cast("string")
+    p_ = lambda c: F.col(c) if c in pubs.columns else none
+    m_ = lambda c: F.col(f"m.{c}") if c in must_reads.columns else none
+    t_ = lambda c: F.col(f"t.{c}") if c in reviews.columns else none
+    own = F.col("final_relevancy_score") if "final_relevancy_score" in pubs.columns else F.lit(None).cast("int")
+    legacy = own.isNull()
+    e_ = lambda c: F.when(legacy, F.get_json_object(t_("gpt_eval_json"), f"$.{c}"))
+    filled = lambda *c: F.coalesce(*[blank_to_null(x.cast("string")) for x in c])
+    whole = lambda c: c.cast("int")
+    score = F.coalesce(own, whole(t_("final_relevancy_score")), whole(e_("final_relevancy_score")), whole(m_("final_relevancy_score")), whole(p_("relevancy_score")))
+    reviewer = lambda name: F.coalesce(whole(p_(f"{name}_score")), jsonx.review_score(t_(f"{name}_review_json")))
+    reason = text.clean_reason(filled(p_("final_relevancy_reason"), m_("final_relevancy_reason"), t_("final_relevancy_reason"), e_("final_relevancy_reason")))
+    listed = F.from_json(m_("key_findings"), "array<string>")
+    findings = F.when(listed.isNotNull(), F.slice(listed, 1, 3)).when(blank_to_null(m_("key_findings")).isNotNull(), F.array(m_("key_findings"))).otherwise(text.key_findings(filled(m_("final_summary"), p_("summary"))))
+    credibility = F.coalesce(whole(p_("credibility_score")), whole(m_("credibility_score")))
+    return d.select(
+        key, F.coalesce(blank_to_null(p_("title")), F.lit("Untitled Publication")).alias("title"), F.coalesce(blank_to_null(p_("source")), F.lit("Unknown Source")).alias("source"),
+        F.coalesce(blank_to_null(p_("venue")), blank_to_null(p_("source")), F.lit("Unknown Venue")).alias("venue"), p_("published_date").alias("published_date"), link(p_("canonical_url"), p_("url"), p_("doi"), p_("pmid")).alias("link"),
+        score.alias("relevancy_score"), text.ordinal_label(score).alias("relevancy_ordinal"), credibility.alias("credibility_score"), reviewer("claude").alias("claude_score"), reviewer("gemini").alias("gemini_score"),
+        F.coalesce(blank_to_null(reason), text.fallback_reason(p_("title"), p_("source"), p_("venue"))).alias("why_it_matters"),
+        F.coalesce(filled(p_("final_summary"), m_("final_summary"), t_("final_summary"), e_("final_summary"), p_("summary")), F.substring(p_("raw_text"), 1, 500), F.lit("")).alias("summary"),
+        findings.alias("key_findings"), F.coalesce(p_("confidence").cast("string"), m_("confidence").cast("string"), t_("confidence").cast("string"), e_("confidence"), m_("credibility_confidence"), F.lit("")).alias("confidence"),
+        F.coalesce(filled(p_("agreement_level"), m_("agreement_level"), t_("agreement_level"), e_("agreement_level")), F.lit("")).alias("agreement_level"), jsonx.as_list(filled(p_("disagreements"), e_("disagreements"))).alias("disagreements"),
+        F.coalesce(filled(p_("credibility_signals_json"), m_("credibility_signals")), F.lit("{}")).alias("commercial_signals"), F.coalesce(filled(p_("credibility_reason"), m_("credibility_reason")), F.lit("")).alias("credibility_reason"),
+    )
+
+
+def must_reads_document(ranked: DataFrame, run_id: str, top: int = 5, score: str = "final_relevancy_score", key: str = "id") -> DataFrame:
+    """One row for the must-reads file of a run: counts and the best rows as a list of structs with what columns they have."""
+    best = ranked.orderBy(F.coalesce(F.col(score), F.lit(0)).desc(), key).limit(top)
+    order = F.struct((-F.coalesce(F.col(score), F.lit(0))).alias("o"), F.col(key).alias("k"), F.struct(*ranked.columns).alias("r"))
+    one = best.agg(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["r"]).alias("must_reads"))  # `top` rows
+    total = ranked.agg(F.count(F.lit(1)).alias("total_candidates"))
+    return one.crossJoin(F.broadcast(total)).select(F.lit(run_id).alias("run_id"), "total_candidates", F.size("must_reads").alias("must_reads_count"), "must_reads")
+
+
+SECTION = "tool_id string, section_title string, period_start string, period_end string, narrative string, items array<string>"
+
+
+def normalized_section(answers: DataFrame, json: str, fallback: dict[str, str]) -> DataFrame:
+    """Sections from untrusted JSON: fields that are missing or garbled come from `fallback`, items are cleaned, others dropped."""
+    s = answers.withColumn("_s", F.from_json(json, SECTION))
+    item = lambda x: F.struct(F.coalesce(blank_to_null(F.trim(F.get_json_object(x, "$.title"))), F.lit("Untitled")).alias("title"), F.coalesce(F.trim(F.get_json_object(x, "$.summary")), F.lit("")).alias("summary"), F.get_json_object(x, "$.url").alias("url"), F.when(F.startswith(F.get_json_object(x, "$.meta"), F.lit("{")), F.get_json_object(x, "$.meta")).otherwise("{}").alias("meta"))
+    items = F.transform(F.filter(F.coalesce("_s.items", F.array().cast("array<string>")), lambda x: F.startswith(F.trim(x), F.lit("{"))), item)
+    fields = {c: F.coalesce(blank_to_null(F.col(f"_s.{c}")), F.lit(fallback.get(c))) for c in ("tool_id", "section_title", "period_start", "period_end")}
+    return s.withColumns({**fields, "narrative": blank_to_null(F.col("_s.narrative")), "items": items}).drop("_s")

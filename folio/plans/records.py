@@ -87,14 +87,6 @@ def run_funnel(spark, sf_dir):
     return records.funnel_counts(pubs(spark, sf_dir), {"in_window": F.expr("published_date >= date'2024-02-01'"), "usable": F.length("raw_text") > 200, "evaluated": F.coalesce(F.col("score") >= 50, F.lit(False))})
 
 
-@query("pdf_classes", "WITH c AS (SELECT CASE WHEN doc_id % 7 = 0 THEN 'cached' WHEN doc_id % 5 = 0 THEN 'no_identifiers' WHEN doc_id % 3 = 0 THEN 'miss' WHEN doc_id % 2 = 0 THEN 'licence_blocked' ELSE 'fetched' END AS reason FROM documents) SELECT reason, count(*) AS n FROM c GROUP BY 1")
-def pdf_classes(spark, sf_dir):
-    i = F.col("id")
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")).withColumn("doi", F.when(i % 5 != 0, "10.1/x")).withColumn("pmid", F.lit(" "))
-    found = d.where("id % 3 <> 0").select("id", F.when(i % 2 == 0, "closed").otherwise("cc-by").alias("license"))
-    return attachments.classify(d, d.where("id % 7 = 0"), found).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("pdf_finalize", "SELECT CASE WHEN doc_id % 4 = 0 THEN 'attached' WHEN doc_id % 3 = 2 THEN 'done' ELSE 'cutoff' END AS status, count(*) AS n FROM documents GROUP BY 1")
 def pdf_finalize(spark, sf_dir):
     i = F.col("doc_id") % 3

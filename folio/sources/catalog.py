@@ -66,3 +66,35 @@ def metadata_lookup(df: DataFrame, title_key: Column, key: str) -> DataFrame:
     """One row a normalised title: the first by key."""
     rest = [c for c in df.columns]
     return df.withColumn("_t", title_key).where("_t <> ''").groupBy("_t").agg(F.min_by(F.struct(*rest), F.col(key)).alias("r")).select(F.col("_t").alias("title_key"), "r.*")
+
+
+def resolution_stats(df: DataFrame, source_type: str = "source_type", resolved: str = "canonical_url") -> DataFrame:
+    """Rows and resolved rows of each source type."""
+    ok = F.coalesce(F.col(resolved), F.lit("")) != ""
+    return df.groupBy(source_type).agg(F.count(F.lit(1)).alias("total"), F.count_if(ok).alias("resolved"))
+
+
+def pending_reminder(pending_rows: DataFrame, must_reads: DataFrame, week: str) -> DataFrame:
+    """Pending rows of a week with the title of their must-read, 'Untitled' where there is none."""
+    t = must_reads.groupBy(F.col("id").alias("_k")).agg(F.max("title").alias("title"))
+    d = pending(pending_rows, week, "pending").join(t, F.col("publication_id") == F.col("_k"), "left")
+    return d.withColumn("title", F.coalesce("title", F.lit("Untitled"))).drop("_k")
+
+
+def get(df: DataFrame, publication_id: str | None, key: str = "id") -> DataFrame:
+    """The row of an id; an empty or missing id is an error."""
+    if publication_id is None or not str(publication_id).strip():
+        raise ValueError("an id is needed")
+    return by_id(df, key, publication_id)
+
+
+def must_reads(df: DataFrame, as_of: datetime, since_days: int = 7, limit: int = 10, ts: str = "published_date", score: str = "score") -> DataFrame:
+    """The best scored rows of the last days: 1 to 90 days and 1 to 20 rows, other values are drawn in."""
+    days, n = max(1, min(90, since_days)), max(1, min(20, limit))
+    d = df.where(F.col(ts) >= F.lit(as_of).cast(df.schema[ts].dataType) - F.make_dt_interval(F.lit(days)))
+    return d.orderBy(F.coalesce(F.col(score), F.lit(-1)).desc(), F.col(ts).desc(), "id").limit(n)
+
+
+def must_reads_of_files(files: DataFrame, json: str, order: str, schema: str, as_of: datetime, limit: int = 10) -> DataFrame:
+    """The same from the JSON lists of earlier runs, for when no table can be read: each id by its latest file, ranked by score."""
+    return exploded_must_reads(files, json, order, schema).orderBy(F.col("score").desc_nulls_last(), "id").limit(max(1, min(20, limit)))

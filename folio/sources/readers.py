@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.functions.dates import best_date, clamp_future, feed_date
-from folio.functions.identifiers import doi_in, pmid_in, pubmed_url, record_id
+from folio.functions.identifiers import doi_in, doi_in_url, pmid_in, pubmed_url, record_id
 from folio.functions.rules import map_rating, to_int
 from folio.functions.text import blank_to_null, strip_html, title_key
+from folio.operators.records import items_to_seeds
 
 FEED_ITEM = "title string, link string, pubDate string, description string, author string"
 SUMMARY = "struct<uid: string, title: string, source: string, fulljournalname: string, pubdate: string, sortpubdate: string, epubdate: string, authors: array<struct<name: string>>>"
@@ -41,11 +42,17 @@ def pubmed(spark: SparkSession, path: str, name: str, as_of) -> DataFrame:
 
 
 def all_sources(spark: SparkSession, sources: list[dict], as_of, since=None) -> tuple[DataFrame, DataFrame]:
-    """(rows, stats): the union of the sources; one that cannot be planned is a row of stats with its error."""
+    """(rows, stats): the union of the sources; one that cannot be read is a row of stats with its error.
+
+    Each source is read once on its own before it joins the union, so a malformed or missing file fails
+    there and never the run; landed files are small beside what is made of them.
+    """
     parts, failed = [], []
     for s in sources:
         try:
-            parts.append({"rss": feed, "pubmed": pubmed}[s["type"]](spark, s["path"], s["name"], as_of))
+            part = {"rss": feed, "pubmed": pubmed}[s["type"]](spark, s["path"], s["name"], as_of)
+            part.write.format("noop").mode("overwrite").save()
+            parts.append(part)
         except Exception as e:
             failed.append((s["name"], "error", str(e)[:200]))
     if not parts:
@@ -60,10 +67,18 @@ def all_sources(spark: SparkSession, sources: list[dict], as_of, since=None) ->
 
 
 def papers_csv(spark: SparkSession, path: str, summaries: str | None = None, limit: int | None = None) -> DataFrame:
-    """A CSV of new rows; a side file {id: summary} fills the summary, else the one-liner."""
+    """A CSV of new rows; a side file fills the summary, else the one-liner.
+
+    The side file is {id: text}, {id: {summary, one_liner}}, a list of {id, summary, one_liner} or
+    {"summaries": such a list}.
+    """
     d = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"')
     if summaries:
-        s = spark.read.option("wholetext", True).text(summaries).select(F.explode(F.from_json("value", "map<string,string>")).alias("_id", "_s"))
+        entry = lambda v: F.coalesce(blank_to_null(F.get_json_object(v, "$.summary")), blank_to_null(F.get_json_object(v, "$.one_liner")), F.when(~F.startswith(F.trim(v), F.lit("{")), v))
+        whole = spark.read.option("wholetext", True).text(summaries).select(F.trim("value").alias("value"))
+        items = whole.select(F.explode(F.from_json(F.when(F.startswith("value", F.lit("[")), F.col("value")).otherwise(F.get_json_object("value", "$.summaries")), "array<string>")).alias("v")).select(F.get_json_object("v", "$.id").alias("_id"), entry(F.col("v")).alias("_s"))
+        by_id = whole.where(~F.startswith("value", F.lit("[")) & F.get_json_object("value", "$.summaries").isNull()).select(F.explode(F.from_json("value", "map<string,string>")).alias("_id", "v")).select("_id", entry(F.col("v")).alias("_s"))
+        s = items.unionByName(by_id).groupBy("_id").agg(F.max("_s").alias("_s"))
         d = d.join(s, F.col("id") == F.col("_id"), "left").withColumn("summary", F.coalesce("_s", blank_to_null(F.col("one_liner")))).drop("_id", "_s")
     return d if limit is None else d.orderBy("id").limit(limit)
 
@@ -115,3 +130,42 @@ def seeds(spark: SparkSession, path: str) -> DataFrame:
 
 def snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).schema("run_id string, publication_ids array<string>").json(path).select("run_id", F.explode("publication_ids").alias("id"))
+
+
+LABEL = "struct<source: string, rater: string, rating_0_3: string, rating_raw: string, rationale: string, confidence: string>"
+ITEM = f"publication_id string, title string, url string, canonical_url string, doi string, labels array<{LABEL}>"
+
+
+def unified_dataset(spark: SparkSession, path: str) -> DataFrame:
+    """Evaluation items with their labels: a JSON list, one wrapped in data, records or items, a single object, or a CSV with a row a label.
+
+    A title that is a URL gives the URL and its DOI. Rows of a CSV are grouped by id, else by normalised title.
+    """
+    if format_of(path) == "json":
+        whole = spark.read.option("wholetext", True).text(path).select(F.trim("value").alias("v"))
+        wrapped = F.coalesce(*[F.get_json_object("v", f"$.{k}") for k in ("data", "records", "items")])
+        listed = F.from_json(F.when(F.startswith("v", F.lit("[")), F.col("v")).otherwise(wrapped), "array<string>")
+        d = whole.select(F.explode(F.coalesce(listed, F.array("v"))).alias("e")).select(F.from_json("e", ITEM).alias("i")).select("i.*")
+        d = d.withColumn("labels", F.coalesce("labels", F.array().cast(f"array<{LABEL}>")))
+    else:
+        t = spark.read.csv(path, header=True, multiLine=True, escape='"', sep="\t" if format_of(path) == "tsv" else ",")
+        have = lambda c: blank_to_null(F.trim(F.col(c))) if c in t.columns else F.lit(None).cast("string")
+        label = F.struct(*[have(f"label_{n}").alias(a) for n, a in (("source", "source"), ("rater", "rater"), ("rating_0_3", "rating_0_3"), ("rating_raw", "rating_raw"), ("rationale", "rationale"), ("confidence", "confidence"))])
+        key = F.coalesce(have("publication_id"), blank_to_null(title_key(have("title"), "eval")))
+        first = [F.first(c, ignorenulls=True).alias(c) for c in ("publication_id", "title", "url", "canonical_url", "doi")]
+        rows = t.select(key.alias("_key"), *[have(c).alias(c) for c in ("publication_id", "title", "url", "canonical_url", "doi")], label.alias("label")).where("_key IS NOT NULL")
+        d = rows.groupBy("_key").agg(*first, F.sort_array(F.collect_list("label")).alias("labels")).drop("_key")
+    link = F.when(F.rlike("title", F.lit("(?i)^https?://")), F.col("title"))
+    d = d.withColumn("url", F.coalesce(blank_to_null(F.col("url")), link))
+    return d.withColumn("doi", F.coalesce(blank_to_null(F.col("doi")), doi_in_url(F.col("url"))))
+
+
+def benchmark_items(spark: SparkSession, path: str) -> DataFrame:
+    """(type, value): a list, or one wrapped in data, items, records or publications, of seeds or of full items, each by its best identifier."""
+    whole = spark.read.option("wholetext", True).text(path).select(F.trim("value").alias("v"))
+    wrapped = F.coalesce(*[F.get_json_object("v", f"$.{k}") for k in ("data", "items", "records", "publications")])
+    e = whole.select(F.explode(F.from_json(F.when(F.startswith("v", F.lit("[")), F.col("v")).otherwise(wrapped), "array<string>")).alias("e"))
+    e = e.select(F.from_json("e", "type string, value string, doi string, pmid string, url string, publication_id string, id string, title string").alias("i")).select("i.*")
+    seed = e.where("type IS NOT NULL AND value IS NOT NULL").select("type", "value")
+    full = items_to_seeds(e.where("type IS NULL OR value IS NULL").drop("type", "value").withColumn("publication_id", F.coalesce("publication_id", "id")))
+    return seed.unionByName(full.where("type IS NOT NULL").select("type", "value"))

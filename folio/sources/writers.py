@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,3 +61,28 @@ def chunked(df: DataFrame, key: str, size: int) -> DataFrame:
     """Adds chunk: ids of about `size` rows by hash, for batched delivery."""
     n = max(1, -(-df.count() // size))
     return df.withColumn("chunk", F.pmod(F.xxhash64(key), F.lit(n)))
+
+
+def append_log(df: DataFrame, path: str) -> None:
+    """Appends rows to a log of deliveries; each append is its own set of files."""
+    df.write.mode("append").parquet(path)
+
+
+def artifacts(df: DataFrame, path: str) -> None:
+    """Rows as JSON with dates and times in ISO form and nulls kept, in one file a task."""
+    iso = {f.name: F.date_format(f.name, "yyyy-MM-dd") if isinstance(f.dataType, T.DateType) else F.date_format(f.name, "yyyy-MM-dd'T'HH:mm:ss") for f in df.schema if isinstance(f.dataType, T.DateType | T.TimestampType | T.TimestampNTZType)}
+    df.withColumns(iso).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def evaluation_json(items: DataFrame, metrics: DataFrame, path: str, **settings: str) -> None:
+    """Metrics (one row) and settings beside the items, as two JSON folders; names that begin with '_' are left out."""
+    metrics.select(*[F.lit(v).alias(k) for k, v in settings.items()], F.struct(*metrics.columns).alias("metrics")).coalesce(1).write.mode("overwrite").json(f"{path}/metrics")
+    items.select(*[c for c in items.columns if not c.startswith("_")]).write.mode("overwrite").json(f"{path}/items")
+
+
+def compressed_copy(spark: SparkSession, source: str, path: str) -> DataFrame:
+    """A gzip JSON copy of a stored table with (bytes, copied_bytes, ratio) from the file listings."""
+    compressed_json(spark.read.parquet(source), path)
+    size = lambda p, name: spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p).agg(F.sum("length").alias(name))
+    both = size(source, "bytes").crossJoin(size(path, "copied_bytes"))  # one row each
+    return both.withColumn("ratio", F.round(F.col("copied_bytes") / F.col("bytes"), 4))

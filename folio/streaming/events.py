@@ -43,10 +43,17 @@ def sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 hour")
     return events.withWatermark("ts", delay).groupBy(F.session_window("ts", gap), "user_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def rate_limited(events: DataFrame, key: str = "user_id", most: int = 10, seconds: int = 60) -> DataFrame:
-    """Adds accepted: at most `most` accepted events in any `seconds` before, by key. State is the accepted times of the window."""
+def rate_limited(events: DataFrame, key: str = "user_id", most: int = 10, seconds: int = 60, delay: str = "1 hour") -> DataFrame:
+    """Adds accepted: at most `most` accepted events in any `seconds` before, by key.
+
+    State is the accepted times of the window; it goes when the watermark has passed the last of them by
+    `seconds`, so keys that fall silent leave nothing behind.
+    """
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         times = list(state.get[0]) if state.exists else []
         rows = pd.concat(list(batches)).sort_values(["ts", "event_id"], ignore_index=True)
         ok = []
@@ -56,18 +63,34 @@ def rate_limited(events: DataFrame, key: str = "user_id", most: int = 10, second
             if ok[-1]:
                 times.append(t)
         state.update((times,))
+        last = max(times) if times else 0
+        state.setTimeoutTimestamp(int(max(last + seconds, state.getCurrentWatermarkMs() / 1000 + 1) * 1000))
         yield pd.DataFrame({"event_id": rows["event_id"], key: k[0], "accepted": ok})
 
-    return events.groupBy(key).applyInPandasWithState(step, f"event_id long, {key} long, accepted boolean", "times array<double>", "append", GroupStateTimeout.NoTimeout)
+    d = events.withWatermark("ts", delay).groupBy(key)
+    return d.applyInPandasWithState(step, f"event_id long, {key} long, accepted boolean", "times array<double>", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def new_ids(events: DataFrame, key: str = "user_id", keep: str | None = None) -> DataFrame:
+    """The first event of each key ever seen; with `keep`, a key unseen for so long counts as new again and its state goes.
 
+    Without `keep` the state is the snapshot of all keys itself, a key each; use the batch form
+    (`change.detect_changes` against the stored snapshot) where that outgrows the state store.
+    """
+    if keep is None:
+        return events.dropDuplicates([key])
+    return events.withWatermark("ts", keep).dropDuplicatesWithinWatermark([key])
 
-def new_ids(events: DataFrame, key: str = "user_id") -> DataFrame:
-    """The first event of each key ever seen."""
-    return events.dropDuplicates([key])
+
+def run_to_table(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Drives a bounded stream to its end into Parquet and reads that back."""
+    q = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def run_to_memory(df: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Drives a bounded stream to its end into a memory table."""
+    """Drives a bounded stream to its end into a memory table; for small results."""
     w = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
     q = (w.option("checkpointLocation", checkpoint) if checkpoint else w).start()
     q.awaitTermination()
