@@ -127,9 +127,9 @@ def gate(df: DataFrame, title: str = "title", abstract: str = "raw_text", venue:
 def audit(gated: DataFrame, key: str, rate: float = 0.02, seed: str = "audit") -> DataFrame:
     """Adds audit_selected: max(1, floor(n * rate)) of the n low rows, chosen by a hash order of seed and key.
 
-    The chosen rows are the n smallest hashes: a top-k by threshold, so no task sorts all low rows.
+    The chosen rows are the n smallest md5 of seed and key: a top-k, so no task sorts all low rows.
     """
-    low = gated.where("gate_bucket = 'low'").withColumn("_h", F.xxhash64(F.lit(seed), key))
+    low = gated.where("gate_bucket = 'low'").withColumn("_h", F.md5(F.concat(F.lit(seed + ":"), F.col(key).cast("string")).cast("binary")))
     n = low.count()
     k = min(n, max(1, int(n * rate))) if n and rate > 0 else 0
     if not k:

@@ -23,7 +23,7 @@ def running_rows(counts: DataFrame, value: str, group: str | None, ranges: int =
     then the values inside each range on their own, so no task holds all values.
     """
     keys = [] if group is None else [group]
-    ends = F.percentile_approx(value, [F.lit(i / ranges) for i in range(1, ranges)], F.lit(4 * ranges))
+    ends = F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 4 * ranges)
     cut = counts.crossJoin(F.broadcast(counts.agg(ends.alias("_ends"))))  # one row of at most `ranges` numbers
     cut = cut.withColumn("_range", F.size(F.filter("_ends", lambda x: x < F.col(value)))).drop("_ends")
     first = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1) if keys else Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

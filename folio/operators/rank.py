@@ -131,7 +131,7 @@ def ranking_checks(df: DataFrame, rank: str, score: str, top: int, least: float,
     Rows are compared inside ranges of the rank; the last row of a range meets the first of the next one.
     """
     s = F.coalesce(F.col(score), F.lit(-1))
-    ends = df.agg(F.percentile_approx(rank, [F.lit(i / ranges) for i in range(1, ranges)], F.lit(4 * ranges)).alias("_ends"))
+    ends = df.agg(F.percentile_approx(rank, [i / ranges for i in range(1, ranges)], 4 * ranges).alias("_ends"))
     d = df.crossJoin(F.broadcast(ends))  # one row of at most `ranges` numbers
     d = d.select(F.col(rank).alias("_r"), s.alias("_s"), F.size(F.filter("_ends", lambda x: x < F.col(rank))).alias("_range"))
     inside = d.withColumn("_next", F.lead("_s").over(Window.partitionBy("_range").orderBy("_r")))

@@ -7,10 +7,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.functions import dates, gate, identifiers, jsonx, rules, text
+from folio.functions import gate, identifiers, rules, text
 from folio.functions.extract import sequence_ratio
-from folio.operators import change, dedupe, match, metrics, rank, search
+from folio.operators import change, match, metrics, rank, records, search
 from folio.plans.registry import query, table
+from folio.sources import writers
 
 AS_OF = datetime(2024, 2, 10)
 
@@ -67,7 +68,7 @@ def score_distribution(spark, sf_dir):
 
 
 def _title_sql(body: str) -> str:
-    return f"WITH {PUBS} SELECT id, {body} AS key FROM pubs"
+    return f"WITH {PUBS} SELECT id, {body} AS key, md5({body.replace('title', 'raw_text')}) AS of_text FROM pubs"
 
 
 SQUEEZE = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
@@ -79,7 +80,7 @@ TITLE_SQL = {
     "space": SQUEEZE.format("lower(title)"),
 }
 for _style, _body in TITLE_SQL.items():
-    query(f"title_norm_{_style}", _title_sql(_body))(lambda spark, sf_dir, s=_style: pubs(spark, sf_dir).select("id", text.title_key(F.col("title"), s).alias("key")))
+    query(f"title_norm_{_style}", _title_sql(_body))(lambda spark, sf_dir, s=_style: pubs(spark, sf_dir).select("id", text.title_key(F.col("title"), s).alias("key"), F.md5(text.title_key(F.col("raw_text"), s).cast("binary")).alias("of_text")))
 
 
 @query("record_id_sha256", f"WITH {PUBS} SELECT id, sha256(title || '|' || source || '|' || url) AS record_id, substring(sha256({TITLE_SQL['eval']}), 1, 16) AS title_hash, sha256(lower(trim(raw_text))) AS content_hash FROM pubs")
@@ -159,21 +160,6 @@ def cascade_match(spark, sf_dir):
     return match.cascade(i, r, ["k1", "k2", "k3"], "v", "v").select("item", "v", "match_key")
 
 
-@query("similar_titles")
-def similar_titles(spark, sf_dir):
-    p = pubs(spark, sf_dir).select("id", "title")
-    return match.similar_titles(p, p, "id", "id").where("a_id < b_id").select("a_id", "b_id", F.round("similarity", 6).alias("similarity"))
-
-
-@query("merged_items")
-def merged_items(spark, sf_dir):
-    p = pubs(spark, sf_dir).select("id", "title")
-    e = match.similar_titles(p, p, "id", "id").where("a_id < b_id")
-    l = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.array("quality").alias("labels"))
-    items = p.join(l, "id", "left").withColumn("labels", F.coalesce("labels", F.array().cast("array<int>")))
-    return match.merge_items(items, "id", e).select("id", "title", F.size("labels").alias("n_labels"))
-
-
 @query("title_sequence_ratio")
 def title_sequence_ratio(spark, sf_dir):
     p = pubs(spark, sf_dir)
@@ -211,6 +197,11 @@ def gate_bucket(spark, sf_dir):
     return _gated(spark, sf_dir).select("id", F.col("gate_score").cast("long").alias("gate_score"), "venue_match", "gate_bucket", F.size("keyword_matches").cast("long").alias("n_keywords"))
 
 
+@query("audit_rows", f"{_GATE}, l AS (SELECT id, row_number() OVER (ORDER BY md5('audit:' || CAST(id AS VARCHAR)), id) AS n, count(*) OVER () AS all_low FROM g WHERE gate_bucket = 'low') SELECT id FROM l WHERE n <= greatest(1, CAST(floor(all_low * 0.05) AS BIGINT)) UNION ALL SELECT id FROM g WHERE gate_bucket IN ('high', 'maybe')")
+def audit_rows(spark, sf_dir):
+    return gate.to_evaluate(gate.audit(_gated(spark, sf_dir), "id", 0.05)).select("id")
+
+
 @query("gate_stats", f"{_GATE}, c AS (SELECT count(*) AS total, count(*) FILTER (WHERE gate_bucket = 'high') AS high, count(*) FILTER (WHERE gate_bucket = 'maybe') AS maybe, count(*) FILTER (WHERE gate_bucket = 'low') AS low, count(*) FILTER (WHERE venue_match) AS venue_promoted, count(*) FILTER (WHERE n_keywords > 0) AS keyword_promoted FROM g) SELECT *, CASE WHEN low = 0 THEN 0 ELSE greatest(1, CAST(floor(low * 0.02) AS BIGINT)) END AS audited_low, high + maybe + CASE WHEN low = 0 THEN 0 ELSE greatest(1, CAST(floor(low * 0.02) AS BIGINT)) END AS to_evaluate FROM c")
 def gate_stats(spark, sf_dir):
     return gate.gate_stats(gate.audit(_gated(spark, sf_dir), "id"))
@@ -334,12 +325,6 @@ def majority_rating(spark, sf_dir):
     return metrics.ratings(l, "item", "r").withColumn("mean_rating", F.round("mean_rating", 6))
 
 
-@query("calibration_table")
-def calibration_table(spark, sf_dir):
-    d = _items(spark, sf_dir)
-    return metrics.Calibrator.fit(d, "score", "rating").table(d)
-
-
 def _query_vector(d: DataFrame) -> list[float]:
     return [float(x) for x in d.where("vec_id = 7").select("embedding").first()[0]]
 
@@ -371,13 +356,6 @@ def embedding_text(spark, sf_dir):
     return pubs(spark, sf_dir).select("id", F.sha2(t, 256).alias("digest"))
 
 
-@query("required_field_rejects", f"WITH {PUBS}, r AS (SELECT CASE WHEN id % 13 = 0 THEN 'date' WHEN id % 17 = 0 THEN 'url' WHEN trim(title) = '' THEN 'title' ELSE 'ok' END AS reason FROM pubs) SELECT reason, count(*) AS n FROM r GROUP BY 1")
-def required_field_rejects(spark, sf_dir):
-    d = pubs(spark, sf_dir).withColumn("day", F.when(F.col("id") % 13 != 0, F.col("published_date"))).withColumn("url", F.when(F.col("id") % 17 != 0, F.col("url")))
-    reason = F.when(F.col("day").isNull(), "date").when(F.col("url").isNull(), "url").when(F.trim("title") == "", "title").otherwise("ok")
-    return d.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("coverage_counters", f"WITH {PUBS}, n AS (SELECT * FROM pubs ORDER BY published_date DESC, id LIMIT 50) SELECT count(*) AS n, count(score) AS scored, count(*) FILTER (WHERE raw_text <> '') AS with_text FROM n")
 def coverage_counters(spark, sf_dir):
     d = pubs(spark, sf_dir).orderBy(F.col("published_date").desc(), "id").limit(50)
@@ -389,11 +367,6 @@ def future_dates(spark, sf_dir):
     return pubs(spark, sf_dir).where("published_date > date_add(date'2024-02-20', 2)").select("id", F.col("published_date").cast("string").alias("day"))
 
 
-@query("trigram_check", f"WITH {PUBS}, w AS (SELECT id, string_split(trim(regexp_replace(lower(title), '\\s+', ' ', 'g')), ' ') AS t, trim(regexp_replace(lower(substring(raw_text, 20, 300)), '\\s+', ' ', 'g')) AS x FROM pubs) SELECT id, coalesce(len(list_filter(range(1, len(t) - 1), lambda i: contains(x, array_to_string(t[i:i + 2], ' ')))) > 0, FALSE) AS ok FROM w")
-def trigram_check(spark, sf_dir):
-    return pubs(spark, sf_dir).select("id", text.shares_trigram(F.col("title"), F.substring("raw_text", 20, 300)).alias("ok"))
-
-
 @query("conversation_reviews", "WITH t AS (SELECT conv_id, count(*) FILTER (WHERE role = 'user') AS u, count(*) FILTER (WHERE role = 'assistant') AS a, CAST(sum(length(text)) % 101 AS INTEGER) AS s1, CAST(max(length(text)) % 101 AS INTEGER) AS s2 FROM conversations GROUP BY 1) SELECT conv_id, u, a, CASE WHEN abs(s1 - s2) <= 15 THEN 'high' WHEN abs(s1 - s2) <= 30 THEN 'moderate' ELSE 'low' END AS agreement FROM t")
 def conversation_reviews(spark, sf_dir):
     n = F.length("text")
@@ -401,11 +374,80 @@ def conversation_reviews(spark, sf_dir):
     return d.select("conv_id", "u", "a", rules.agreement(F.col("s1"), F.col("s2")).alias("agreement"))
 
 
-@query("benchmark_in_documents")
-def benchmark_in_documents(spark, sf_dir):
-    """Benchmark items whose first trigram of words occurs in documents: an equi-join on hashed trigrams, exact test after."""
-    b = table(spark, sf_dir, "benchmark").select("item_id", text.trigrams(F.col("text")).alias("g")).where(F.size("g") > 0).select("item_id", F.element_at("g", 1).alias("gram"))
-    d = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array_distinct(text.trigrams(F.col("text")))).alias("gram"))
-    return d.join(b, "gram").groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_documents"))
+@query("trigram_check", f"WITH {PUBS}, w AS (SELECT id, string_split(trim(regexp_replace(lower(title), '\\s+', ' ', 'g')), ' ') AS t, trim(regexp_replace(lower(CASE WHEN id % 2 = 0 THEN substring(raw_text, 20) ELSE raw_text END), '\\s+', ' ', 'g')) AS x FROM pubs) SELECT id, coalesce(len(list_filter(range(1, len(t) - 1), lambda i: contains(x, array_to_string(t[i:i + 2], ' ')))) > 0, FALSE) AS ok FROM w")
+def trigram_check(spark, sf_dir):
+    whole = F.when(F.col("id") % 2 == 0, F.expr("substring(raw_text, 20)")).otherwise(F.col("raw_text"))
+    return pubs(spark, sf_dir).select("id", text.shares_trigram(F.col("title"), whole).alias("ok"))
+
+
+@query("required_field_rejects", f"WITH {PUBS}, r AS (SELECT CASE WHEN id % 13 = 0 THEN 'date' WHEN id % 17 = 0 THEN 'url' WHEN trim(title) = '' THEN 'title' ELSE 'ok' END AS reason FROM pubs) SELECT reason, count(*) AS n FROM r GROUP BY 1")
+def required_field_rejects(spark, sf_dir):
+    d = pubs(spark, sf_dir).withColumn("day", F.when(F.col("id") % 13 != 0, F.col("published_date"))).withColumn("url", F.when(F.col("id") % 17 != 0, F.col("url")))
+    return records.reject_reasons(d, {"date": F.col("day").isNotNull(), "url": F.col("url").isNotNull(), "title": F.trim("title") != ""})
+
+
+@query("quarantined_rows", f"WITH {PUBS} SELECT id, CASE WHEN id % 13 = 0 THEN 'date' WHEN trim(title) = '' THEN 'title' END AS reject_reason FROM pubs WHERE id % 13 = 0 OR trim(title) = ''")
+def quarantined_rows(spark, sf_dir):
+    d = pubs(spark, sf_dir).withColumn("day", F.when(F.col("id") % 13 != 0, F.col("published_date")))
+    return writers.quarantine(d, {"date": F.col("day").isNotNull(), "title": F.trim("title") != ""})[1].select("id", "reject_reason")
+
+
+#: Titles of fourteen words of which some are near copies of others: a word is replaced or dropped.
+NEAR_TITLE = "CASE id % 4 WHEN 0 THEN w || ' final report' WHEN 1 THEN w || ' final reports' WHEN 2 THEN upper(w) || ', final report' ELSE title END"
+_NEAR_WORDS = "'study ' || CAST(id % 90 AS STRING) || ' of ' || source || ' k' || CAST(id % 7 AS STRING) || ' one two three four five six seven eight nine ten'"
+NEAR = f"{PUBS}, near AS (SELECT id, {NEAR_TITLE} AS title, CASE WHEN id % 10 = 0 THEN '10.1/x' || CAST(id % 30 AS VARCHAR) END AS doi, CASE WHEN id % 15 = 5 THEN CAST(id % 45 AS VARCHAR) END AS pmid FROM (SELECT *, {_NEAR_WORDS} AS w FROM pubs))"
+_SIMILAR = f"""{NEAR}, k AS (SELECT {TITLE_SQL['eval']} AS k, min(id) AS id FROM near GROUP BY 1 HAVING k <> ''), s AS (SELECT k, id, list_distinct(string_split(k, ' ')) AS w FROM k),
+sim AS (SELECT a.id AS a_id, b.id AS b_id, len(list_intersect(a.w, b.w)) / CAST(len(list_distinct(list_concat(a.w, b.w))) AS DOUBLE) AS similarity FROM s a JOIN s b ON a.id < b.id AND len(a.w) >= 0.85 * len(b.w) AND len(b.w) >= 0.85 * len(a.w) AND len(list_intersect(a.w, b.w)) >= 0.85 * len(a.w))"""
+
+
+def near_titles(spark, sf_dir) -> DataFrame:
+    d = pubs(spark, sf_dir).withColumn("w", F.expr(_NEAR_WORDS))
+    return d.select("id", F.expr(NEAR_TITLE).alias("title"), F.expr("CASE WHEN id % 10 = 0 THEN '10.1/x' || CAST(id % 30 AS STRING) END").alias("doi"), F.expr("CASE WHEN id % 15 = 5 THEN CAST(id % 45 AS STRING) END").alias("pmid"))
+
+
+@query("similar_titles", f"WITH {_SIMILAR} SELECT a_id, b_id, round(similarity, 6) AS similarity FROM sim WHERE similarity > 0.85")
+def similar_titles(spark, sf_dir):
+    p = near_titles(spark, sf_dir)
+    return match.similar_titles(p, p, "id", "id").where("a_id < b_id").select("a_id", "b_id", F.round("similarity", 6).alias("similarity"))
 
 
+@query("merged_items", f"""WITH RECURSIVE {_SIMILAR}, star AS (SELECT min(id) OVER (PARTITION BY doi) AS a, id AS b FROM near WHERE doi IS NOT NULL UNION SELECT min(id) OVER (PARTITION BY pmid), id FROM near WHERE pmid IS NOT NULL UNION SELECT min(id) OVER (PARTITION BY {TITLE_SQL['eval']}), id FROM near WHERE {TITLE_SQL['eval']} <> '' UNION SELECT a_id, b_id FROM sim WHERE similarity > 0.85),
+e AS (SELECT a, b FROM star WHERE a <> b UNION SELECT b, a FROM star WHERE a <> b), r AS (SELECT DISTINCT a AS id, a AS l FROM e UNION SELECT e.b, r.l FROM r JOIN e ON e.a = r.id WHERE r.l < e.b), g AS (SELECT id, min(l) AS l FROM r GROUP BY 1), m AS (SELECT p.id, coalesce(least(g.l, p.id), p.id) AS item, q.quality FROM pubs p LEFT JOIN g ON p.id = g.id LEFT JOIN labels q ON p.id = q.doc_id)
+SELECT item AS id, count(quality) AS n_labels, count(*) AS n_rows FROM m GROUP BY 1""")
+def merged_items(spark, sf_dir):
+    p = near_titles(spark, sf_dir)
+    edges = match.same_items(p, "id", "doi", "pmid")
+    l = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.array("quality").alias("labels"))
+    items = p.select("id", F.array(F.lit(1)).alias("one")).join(l, "id", "left").withColumn("labels", F.array(F.struct(F.col("id").alias("i"), F.coalesce("labels", F.array().cast("array<int>")).alias("q"))))
+    merged = match.merge_items(items.select("id", "labels"), "id", edges)
+    return merged.select("id", F.size(F.flatten(F.transform("labels", lambda x: x["q"]))).cast("long").alias("n_labels"), F.size("labels").cast("long").alias("n_rows"))
+
+
+_ISO = f"""{ITEMS}, x AS (SELECT CAST(score AS DOUBLE) AS x, avg(rating * (100 / 3.0::DOUBLE)) AS y, count(*) AS w FROM items WHERE score IS NOT NULL GROUP BY 1), c AS (SELECT x, sum(y * w) OVER o AS s, sum(w) OVER o AS n, row_number() OVER (ORDER BY x) AS i FROM x WINDOW o AS (ORDER BY x ROWS UNBOUNDED PRECEDING)),
+lo AS (SELECT k.i, j.i AS j, min((z.s - coalesce(b.s, 0)) / (z.n - coalesce(b.n, 0))) AS m FROM c k JOIN c j ON j.i <= k.i JOIN c z ON z.i >= k.i LEFT JOIN c b ON b.i = j.i - 1 GROUP BY 1, 2), f AS (SELECT c.i, c.x, max(m) AS y FROM c JOIN lo ON lo.i = c.i GROUP BY 1, 2),
+p AS (SELECT x, y FROM (SELECT *, lag(y) OVER (ORDER BY i) AS py FROM f) WHERE py IS NULL OR abs(y - py) > 1e-9), q AS (SELECT x, y FROM p UNION ALL SELECT 0, (SELECT y FROM p ORDER BY x LIMIT 1) WHERE (SELECT min(x) FROM p) > 0 UNION ALL SELECT 100, (SELECT y FROM p ORDER BY x DESC LIMIT 1) WHERE (SELECT max(x) FROM p) < 100), t AS (SELECT CAST(unnest(range(0, 101, 10)) AS INTEGER) AS score)"""
+
+
+@query("calibration_table", f"WITH {_ISO}, a AS (SELECT score, arg_max(x, x) FILTER (WHERE x < score) AS x0, arg_max(y, x) FILTER (WHERE x < score) AS y0, arg_min(x, x) FILTER (WHERE x >= score) AS x1, arg_min(y, x) FILTER (WHERE x >= score) AS y1 FROM t, q GROUP BY 1) SELECT score, round(coalesce(y0 + (score - x0) / (x1 - x0) * (y1 - y0), y1), 6) AS calibrated FROM a")
+def calibration_table(spark, sf_dir):
+    d = _items(spark, sf_dir)
+    c = metrics.Calibrator.fit(d, "score", "rating")
+    again = metrics.Calibrator.from_json(c.to_json())
+    if not (again.monotone() and again.bounded(0, 100) and again.xs == c.xs):
+        raise ValueError("a stored calibrator differs from the fitted one")
+    return again.table(d).withColumn("calibrated", F.round("calibrated", 6))
+
+
+_GRAMS = "list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')))"
+_WORDS = "string_split(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ')"
+
+
+@query("benchmark_in_documents", f"""WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark), d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL), bg AS (SELECT item_id, unnest({_GRAMS}) AS g, len({_GRAMS}) AS n FROM b WHERE len(w) >= 3), dg AS (SELECT doc_id, unnest({_GRAMS}) AS g FROM d WHERE len(w) >= 3),
+h AS (SELECT item_id, doc_id, count(*) AS hits, any_value(n) AS n FROM bg JOIN dg USING (g) GROUP BY 1, 2) SELECT item_id, count(*) AS n_touched, count(*) FILTER (WHERE 2 * hits >= n) AS n_documents FROM h GROUP BY 1""")
+def benchmark_in_documents(spark, sf_dir):
+    """Documents that share trigrams of words with a benchmark item, and those that hold half of its trigrams or more: an equi-join on the trigrams themselves."""
+    grams = lambda d, key: d.select(key, F.array_distinct(text.trigrams(F.col("text"))).alias("g")).where(F.size("g") > 0)
+    b = grams(table(spark, sf_dir, "benchmark"), "item_id").select("item_id", F.size("g").alias("n"), F.explode("g").alias("gram"))
+    d = grams(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", F.explode("g").alias("gram"))
+    hits = d.join(b, "gram").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("hits"), F.first("n").alias("n"))
+    return hits.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_touched"), F.count_if(2 * F.col("hits") >= F.col("n")).alias("n_documents"))

@@ -145,11 +145,11 @@ def neighbour_lane(spark, sf_dir):
     return match.neighbour_lane(seeds, edges)
 
 
-@query("byte_budget", f"""WITH RECURSIVE {EV}, i AS (SELECT run_day, event_id, value, row_number() OVER (PARTITION BY run_day ORDER BY value DESC, event_id) AS r, CAST(k AS BIGINT) * 100 + 37 AS size FROM ev), t AS (SELECT * FROM i WHERE r <= 12),
+@query("byte_budget", f"""WITH RECURSIVE {EV}, i AS (SELECT run_day, event_id, value, row_number() OVER (PARTITION BY run_day ORDER BY value DESC, event_id) AS r, CAST(k AS BIGINT) * 100 + 37 AS size FROM ev), t AS (SELECT * FROM i),
 w AS (SELECT run_day, r, CASE WHEN size <= 9000 THEN size ELSE 0 END AS used, size <= 9000 AS attached FROM t WHERE r = 1 UNION ALL SELECT t.run_day, t.r, CASE WHEN w.used + t.size <= 9000 THEN w.used + t.size ELSE w.used END, w.used + t.size <= 9000 FROM w JOIN t ON t.run_day = w.run_day AND t.r = w.r + 1)
 SELECT CAST(run_day AS VARCHAR) AS run_day, CAST(r AS BIGINT) AS r, attached FROM w""")
 def byte_budget(spark, sf_dir):
-    d = scored(spark, sf_dir).withColumn("r", F.row_number().over(Window.partitionBy("run_day").orderBy(F.desc("value"), "event_id"))).where("r <= 12").withColumn("size", F.col("k") * 100 + 37)
+    d = scored(spark, sf_dir).withColumn("r", F.row_number().over(Window.partitionBy("run_day").orderBy(F.desc("value"), "event_id"))).withColumn("size", F.col("k") * 100 + 37)
     return rank.byte_budget(d, "run_day", "r", "size", 9000).select(F.col("run_day").cast("string").alias("run_day"), F.col("r").cast("long").alias("r"), "attached")
 
 

@@ -1,0 +1,535 @@
+"""Queries for readers, sinks, outside functions and streams: rows are written to scratch files in the form they land in, read back by the operator, and held against SQL."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folio.functions import gate, identifiers, rules, text
+from folio.operators import change, external, match, metrics, rank, records, search
+from folio.plans.documents import ITEMS, PUBS, TITLE_SQL, pubs
+from folio.plans.events import EV, scored
+from folio.plans.identify import ID, NORM_DOI, REFS, URL_DOI_SQL, ex, norm_url, refs, text_doi, text_pmid
+from folio.plans.parsing import ANSWERS, answers
+from folio.plans.registry import query, table
+from folio.session import scratch_path
+from folio.sources import catalog, readers, schema, writers
+from folio.streaming import events as streams
+
+AS_OF = datetime(2024, 2, 10)
+TITLED = "id % 5 <> 4 AND trim(title) <> ''"
+
+
+# ---- readers
+@query("feed_items", f"WITH {PUBS} SELECT sha256('T ' || CAST(id AS VARCHAR) || ' & <b>' || source || '</b>' || '|' || 'feed-a' || '|' || 'https://x.example/' || CAST(id AS VARCHAR)) AS id, 'T ' || CAST(id AS VARCHAR) || ' & ' || source AS title, CASE WHEN id % 3 = 2 THEN '2024-02-10' ELSE strftime(published_date, '%Y-%m-%d') END AS day, id % 3 = 2 AS missing_date, CASE WHEN id % 4 = 0 THEN 0 ELSE 1 END AS n_authors FROM pubs")
+def feed_items(spark, sf_dir):
+    i = F.col("id").cast("string")
+    day = F.expr("CASE id % 3 WHEN 0 THEN date_format(published_date, 'E, d MMM yyyy') || ' 10:00:00 GMT' WHEN 1 THEN CAST(published_date AS STRING) ELSE 'soon' END")
+    items = pubs(spark, sf_dir).select(F.concat(F.lit("T "), i, F.lit(" & <b>"), "source", F.lit("</b>")).alias("title"), F.concat(F.lit("https://x.example/"), i).alias("link"), day.alias("pubDate"), F.when(F.col("id") % 4 != 0, F.concat(F.lit("a "), "source")).alias("author"))
+    path = scratch_path(spark)
+    items.write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)
+    rows, _ = readers.all_sources(spark, [{"type": "rss", "path": path, "name": "feed-a"}, {"type": "rss", "path": path + "-absent", "name": "gone"}], AS_OF)
+    return rows.select("id", "title", F.date_format("published_date", "yyyy-MM-dd").alias("day"), "missing_date", F.size("authors").alias("n_authors"))
+
+
+@query("source_stats", f"WITH {PUBS} SELECT 'feed-a' AS name, count(*) AS kept, count(*) FILTER (WHERE id % 3 = 2) AS missing_date_count, 'ok' AS status FROM pubs WHERE id % 3 = 2 OR published_date >= DATE '2024-01-20' UNION ALL SELECT 'gone', NULL, NULL, 'error'")
+def source_stats(spark, sf_dir):
+    items = pubs(spark, sf_dir).select(F.col("title"), F.lit("l").alias("link"), F.expr("CASE WHEN id % 3 = 2 THEN 'soon' ELSE CAST(published_date AS STRING) END").alias("pubDate"))
+    path = scratch_path(spark)
+    items.write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)
+    return readers.all_sources(spark, [{"type": "rss", "path": path, "name": "feed-a"}, {"type": "rss", "path": path + "-absent", "name": "gone"}], AS_OF, datetime(2024, 1, 20))[1].select("name", "kept", "missing_date_count", "status")
+
+
+@query("pubmed_records", f"WITH {PUBS} SELECT 'https://pubmed.ncbi.nlm.nih.gov/' || CAST(10000 + id AS VARCHAR) || '/' AS url, rtrim(title, '.') AS title, 'A ' || source || '|B' AS authors, CASE WHEN id % 3 = 0 THEN CAST(published_date AS VARCHAR) WHEN id % 3 = 1 THEN '2023-12-05' END AS day, CASE id % 3 WHEN 0 THEN 'pubdate' WHEN 1 THEN 'sortpubdate' END AS date_source FROM pubs WHERE {TITLED}")
+def pubmed_records(spark, sf_dir):
+    p = pubs(spark, sf_dir).where(TITLED)
+    uid = (F.col("id") + 10000).cast("string")
+    rec = F.struct(uid.alias("uid"), F.concat(F.rtrim("title", F.lit(".")), F.lit(".")).alias("title"), F.expr("CASE WHEN id % 3 = 0 THEN replace(CAST(published_date AS STRING), '-', '/') ELSE 'n.d.' END").alias("pubdate"), F.expr("CASE WHEN id % 3 = 1 THEN '2023/12/05 00:00' END").alias("sortpubdate"), F.array(F.struct(F.concat(F.lit("A "), "source").alias("name")), F.struct(F.lit("B").alias("name"))).alias("authors"))
+    files = p.groupBy(F.floor(F.col("id") / 200).alias("f")).agg(F.map_from_entries(F.collect_list(F.struct(uid.alias("k"), rec.alias("v")))).alias("result"))  # 200 records a file
+    path = scratch_path(spark)
+    files.select(F.to_json(F.struct("result")).alias("value"), "f").write.partitionBy("f").text(path)
+    d = readers.pubmed(spark, path, "pm", AS_OF.date())
+    return d.select("url", "title", F.array_join("authors", "|").alias("authors"), F.date_format("published_date", "yyyy-MM-dd").alias("day"), "date_source")
+
+
+@query("source_lists", f"WITH {PUBS} SELECT id, source FROM pubs WHERE source IN ('src1', 'src3', 'src5') AND source NOT IN ('src3')")
+def source_lists(spark, sf_dir):
+    path = scratch_path(spark)
+    spark.createDataFrame([("# sources",), (" src1 ",), ("",), ("src3",), ("src5",), ("#src6",)], "value string").coalesce(1).write.text(path)
+    listed = readers.lines(spark, path)
+    d = pubs(spark, sf_dir).select("id", "source")
+    return d.join(F.broadcast(listed), d["source"] == listed["value"], "left_semi").where(~F.col("source").isin("src3"))  # a list of a few lines
+
+
+@query("seed_routes", f"WITH {REFS}, s AS (SELECT id, CASE id % 4 WHEN 0 THEN 'doi' WHEN 1 THEN 'pmid' WHEN 2 THEN 'title' ELSE 'isbn' END AS type, CASE id % 4 WHEN 0 THEN '10.1/a' || CAST(id % 60 AS VARCHAR) WHEN 1 THEN CAST(id % 80 AS VARCHAR) WHEN 2 THEN title ELSE 'x' END AS value FROM refs), d AS (SELECT '10.1/a' || CAST(item_id AS VARCHAR) AS value, item_id FROM benchmark), m AS (SELECT CAST(item_id * 2 AS VARCHAR) AS value, item_id FROM benchmark) SELECT s.id, s.type, coalesce(d.item_id, m.item_id) AS resolved_id, CASE WHEN s.type NOT IN ('doi', 'pmid') THEN 'unknown type ' || s.type WHEN coalesce(d.item_id, m.item_id) IS NULL THEN 'not found by ' || s.type END AS error FROM s LEFT JOIN d ON s.type = 'doi' AND s.value = d.value LEFT JOIN m ON s.type = 'pmid' AND s.value = m.value")
+def seed_routes(spark, sf_dir):
+    s = pubs(spark, sf_dir).select("id", F.expr("CASE id % 4 WHEN 0 THEN 'doi' WHEN 1 THEN 'pmid' WHEN 2 THEN 'title' ELSE 'isbn' END").alias("type"), F.expr("CASE id % 4 WHEN 0 THEN '10.1/a' || CAST(id % 60 AS STRING) WHEN 1 THEN CAST(id % 80 AS STRING) WHEN 2 THEN title ELSE 'x' END").alias("value"))
+    b = table(spark, sf_dir, "benchmark")
+    by = {"doi": b.select(F.expr("'10.1/a' || CAST(item_id AS STRING)").alias("value"), F.col("item_id").alias("id")), "pmid": b.select(F.expr("CAST(item_id * 2 AS STRING)").alias("value"), F.col("item_id").alias("id"))}
+    return match.routed(s, by).select("id", "type", "resolved_id", F.col("resolution_error").alias("error"))
+
+
+#: Entries of side files and what stands around them: {id: text}, {id: object}, a list, a wrapped list.
+SIDE = (
+    ("'\"' || CAST(id AS STRING) || '\": \"m ' || source || '\"'", "{", "}"),
+    ("'\"' || CAST(id AS STRING) || '\": {\"summary\": \"\", \"one_liner\": \"o ' || source || '\"}'", "{", "}"),
+    ("'{\"id\": \"' || CAST(id AS STRING) || '\", \"summary\": \"l ' || source || '\"}'", "[", "]"),
+    ("'{\"id\": \"' || CAST(id AS STRING) || '\", \"summary\": \"w ' || source || '\"}'", '{"summaries": [', "]}"),
+)
+
+
+@query("papers_from_csv", f"WITH {PUBS} SELECT CAST(id AS VARCHAR) AS id, CASE WHEN id % 6 < 4 THEN CASE id % 6 WHEN 0 THEN 'm ' WHEN 1 THEN 'o ' WHEN 2 THEN 'l ' ELSE 'w ' END || source ELSE nullif(title, '') END AS summary FROM pubs")
+def papers_from_csv(spark, sf_dir):
+    p = pubs(spark, sf_dir)
+    path, side = scratch_path(spark), scratch_path(spark)
+    p.select("id", F.regexp_replace("title", r"[\r\n]", " ").alias("one_liner")).write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    kind = F.expr("CASE id % 6 " + " ".join(f"WHEN {k} THEN {e}" for k, (e, _, _) in enumerate(SIDE)) + " END")
+    files = p.where("id % 6 < 4").groupBy((F.col("id") % 6).alias("k"), F.floor(F.col("id") / 600).alias("f")).agg(F.array_join(F.collect_list(kind), ", ").alias("l"))  # 100 entries a file
+    around = F.array(*[F.struct(F.lit(x).alias("a"), F.lit(z).alias("z")) for _, x, z in SIDE])[F.col("k").cast("int")]
+    files.select(F.concat(around["a"], "l", around["z"]).alias("value"), "k", "f").write.partitionBy("k", "f").text(side)
+    return readers.papers_csv(spark, path, f"{side}/*/*").select("id", F.when(F.trim("summary") != "", F.col("summary")).alias("summary"))
+
+
+@query("eval_items", f"""WITH {PUBS}, r AS (SELECT id, CASE WHEN id % 3 = 0 THEN 'p' || CAST(id % 50 AS VARCHAR) END AS pid, CASE WHEN id % 7 = 0 THEN 'https://doi.org/10.1/t' || CAST(id % 20 AS VARCHAR) ELSE 'Title ' || CAST(id % 30 AS VARCHAR) END AS t, source FROM pubs), k AS (SELECT *, coalesce(pid, {TITLE_SQL['eval'].replace('title', 't')}) AS key FROM r)
+SELECT key, count(*) AS n_labels, count(DISTINCT source) AS n_sources FROM k GROUP BY 1""")
+def eval_items(spark, sf_dir):
+    d = pubs(spark, sf_dir).select(F.expr("CASE WHEN id % 3 = 0 THEN 'p' || CAST(id % 50 AS STRING) ELSE '' END").alias("publication_id"), F.expr("CASE WHEN id % 7 = 0 THEN 'https://doi.org/10.1/t' || CAST(id % 20 AS STRING) ELSE 'Title ' || CAST(id % 30 AS STRING) END").alias("title"), F.col("source").alias("label_source"), F.col("id").alias("label_rater"))
+    path = scratch_path(spark) + ".csv"
+    d.write.csv(path, header=True, escape='"')
+    u = readers.unified_dataset(spark, path)
+    key = F.coalesce("publication_id", text.title_key(F.col("title"), "eval"))
+    return u.select(key.alias("key"), F.size("labels").cast("long").alias("n_labels"), F.size(F.array_distinct(F.transform("labels", lambda l: l["source"]))).cast("long").alias("n_sources"))
+
+
+@query("eval_items_json", f"""WITH {PUBS}, r AS (SELECT id, CASE WHEN id % 3 = 0 THEN 'https://doi.org/10.1/j' || CAST(id AS VARCHAR) ELSE 'Title ' || CAST(id AS VARCHAR) END AS title, CASE WHEN id % 6 = 0 THEN 'https://u.example/10.2222/own' END AS own FROM pubs), u AS (SELECT id, title, coalesce(own, CASE WHEN starts_with(title, 'https://') THEN title END) AS u FROM r) SELECT title, u AS url, {NORM_DOI.format(f"regexp_replace({URL_DOI_SQL}, '[/\\s]+$', '')")} AS doi FROM u""")
+def eval_items_json(spark, sf_dir):
+    item = F.to_json(F.struct(F.expr("CASE WHEN id % 3 = 0 THEN 'https://doi.org/10.1/j' || CAST(id AS STRING) ELSE 'Title ' || CAST(id AS STRING) END").alias("title"), F.expr("CASE WHEN id % 6 = 0 THEN 'https://u.example/10.2222/own' END").alias("url")))
+    p = pubs(spark, sf_dir).select("id", item.alias("v"))
+    whole = p.groupBy((F.col("id") % 4).alias("k"), F.floor(F.col("id") / 400).alias("f")).agg(F.array_join(F.collect_list("v"), ",").alias("l"))  # 100 items a file
+    body = F.when(F.col("k") == 0, F.concat(F.lit("["), "l", F.lit("]"))).otherwise(F.concat(F.lit('{"'), F.element_at(F.array(F.lit("-"), F.lit("data"), F.lit("records"), F.lit("items")), (F.col("k") + 1).cast("int")), F.lit('": ['), "l", F.lit("]}")))
+    path = scratch_path(spark) + ".json"
+    whole.select(body.alias("value"), "k", "f").write.partitionBy("k", "f").text(path)
+    return readers.unified_dataset(spark, path).select("title", "url", "doi")
+
+
+@query("benchmark_seeds", f"WITH {PUBS} SELECT CASE id % 4 WHEN 0 THEN 'isbn' WHEN 1 THEN 'doi' WHEN 2 THEN 'url' ELSE 'title' END AS type, CASE id % 4 WHEN 0 THEN 'v' || CAST(id AS VARCHAR) WHEN 1 THEN '10.1/' || CAST(id AS VARCHAR) WHEN 2 THEN url ELSE 'T' || CAST(id AS VARCHAR) END AS value FROM pubs")
+def benchmark_seeds(spark, sf_dir):
+    i = F.col("id").cast("string")
+    seed = F.to_json(F.struct(F.lit("isbn").alias("type"), F.concat(F.lit("v"), i).alias("value")))
+    full = F.to_json(F.struct(F.when(F.col("id") % 4 == 1, F.concat(F.lit("10.1/"), i)).alias("doi"), F.when(F.col("id") % 4 <= 2, F.col("url")).alias("url"), F.concat(F.lit("T"), i).alias("title")))
+    p = pubs(spark, sf_dir).select("id", F.when(F.col("id") % 4 == 0, seed).otherwise(full).alias("v"))
+    whole = p.groupBy(F.floor(F.col("id") / 100).alias("f")).agg(F.array_join(F.collect_list("v"), ",").alias("l"))  # 100 items a file
+    body = F.when(F.col("f") % 2 == 0, F.concat(F.lit("["), "l", F.lit("]"))).otherwise(F.concat(F.lit('{"publications": ['), "l", F.lit("]}")))
+    path = scratch_path(spark)
+    whole.select(body.alias("value"), "f").write.partitionBy("f").text(path)
+    return readers.benchmark_items(spark, path)
+
+
+@query("ground_truth_rows", f"WITH {PUBS}, g AS (SELECT id, CASE id % 3 WHEN 0 THEN 'Title ' || CAST(id AS VARCHAR) WHEN 1 THEN '10.1234/g' || CAST(id AS VARCHAR) ELSE 'PMID: ' || CAST(10000000 + id AS VARCHAR) END AS v FROM pubs) SELECT v AS value, {text_doi('v')} AS doi, {text_pmid('v')} AS pmid, CASE WHEN id % 3 = 0 THEN 3 WHEN id % 5 = 0 THEN 3 WHEN id % 7 < 4 THEN CAST(id % 7 AS INTEGER) ELSE 0 END AS rating FROM g")
+def ground_truth_rows(spark, sf_dir):
+    v = F.expr("CASE id % 3 WHEN 0 THEN 'Title ' || CAST(id AS STRING) WHEN 1 THEN '10.1234/g' || CAST(id AS STRING) ELSE 'PMID: ' || CAST(10000000 + id AS STRING) END")
+    e = F.when(F.col("id") % 3 == 0, F.concat(F.lit('"'), v, F.lit('"'))).otherwise(F.to_json(F.struct(F.lit("other").alias("type"), v.alias("value"), F.when(F.col("id") % 5 != 0, (F.col("id") % 7).cast("string")).alias("rating"))))
+    p = pubs(spark, sf_dir).select("id", e.alias("v"))
+    whole = p.groupBy(F.floor(F.col("id") / 100).alias("f")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("v"), ","), F.lit("]")).alias("value"))  # 100 items a file
+    path = scratch_path(spark) + ".json"
+    whole.write.partitionBy("f").text(path)
+    return readers.ground_truth(spark, path).select("value", "doi", "pmid", "rating")
+
+
+@query("survey_labels", f"WITH {PUBS}, s AS (SELECT id, CASE WHEN id % 4 = 0 THEN 'q' || CAST(id % 40 AS VARCHAR) END AS pid, 'Paper ' || CAST(id % 25 AS VARCHAR) AS t, CASE WHEN id % 6 = 0 THEN NULL ELSE id % 101 END AS h FROM pubs) SELECT coalesce(pid, lower(t)) AS key, count(*) AS n_labels, round(avg(CASE WHEN h <= 3 THEN h WHEN h < 25 THEN 0 WHEN h < 50 THEN 1 WHEN h < 75 THEN 2 ELSE 3 END), 6) AS mean FROM s WHERE h IS NOT NULL GROUP BY 1")
+def survey_labels(spark, sf_dir):
+    d = pubs(spark, sf_dir).select(F.expr("CASE WHEN id % 4 = 0 THEN 'q' || CAST(id % 40 AS STRING) END").alias("publication_id"), F.expr("'Paper ' || CAST(id % 25 AS STRING)").alias("title"), "source", F.expr("CASE WHEN id % 6 = 0 THEN 'n/a' ELSE CAST(id % 101 AS STRING) END").alias("human_score"), F.concat(F.lit("e"), F.col("id").cast("string")).alias("evaluator"), F.lit("r").alias("reasoning"))
+    path = scratch_path(spark) + ".csv"
+    d.write.csv(path, header=True, escape='"')
+    return readers.survey(spark, path).select("key", F.size("labels").cast("long").alias("n_labels"), F.round(metrics.mean_rating(F.col("labels")), 6).alias("mean"))
+
+
+@query("json_lines_kept", f"WITH {PUBS} SELECT id, source FROM pubs WHERE id % 4 < 2")
+def json_lines_kept(spark, sf_dir):
+    line = F.expr("CASE id % 4 WHEN 2 THEN '' WHEN 3 THEN '{\"id\": broken' ELSE '{\"id\": ' || CAST(id AS STRING) || ', \"source\": \"' || source || '\"}' END")
+    path = scratch_path(spark)
+    pubs(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return readers.json_lines(spark, path, "id long, source string").select("id", "source")
+
+
+@query("snapshot_ids", f"WITH {PUBS} SELECT 'run-' || CAST(id % 3 AS VARCHAR) AS run_id, CAST(id AS VARCHAR) AS id FROM pubs")
+def snapshot_ids(spark, sf_dir):
+    one = pubs(spark, sf_dir).groupBy((F.col("id") % 3).alias("k"), F.floor(F.col("id") / 300).alias("f")).agg(F.collect_list(F.col("id").cast("string")).alias("publication_ids"))  # 100 ids a file
+    path = scratch_path(spark)
+    one.select(F.to_json(F.struct(F.expr("'run-' || CAST(k AS STRING)").alias("run_id"), "publication_ids")).alias("value"), "k", "f").write.partitionBy("k", "f").text(path)
+    return readers.snapshot(spark, path).select("run_id", "id")
+
+
+@query("journal_venues", "WITH s AS (SELECT DISTINCT CASE WHEN user_id % 2 = 0 THEN 'pubmed' ELSE 'rss' END AS type, CASE WHEN user_id % 3 = 0 THEN '\"Journal ' || CAST(user_id % 9 AS VARCHAR) || '\" [Journal] AND x' ELSE 'cancer[title]' END AS q FROM events) SELECT DISTINCT lower(trim(regexp_extract(q, '\"?([^\"\\[]+)\"?\\s*\\[', 1))) AS venue FROM s WHERE type = 'pubmed' AND contains(lower(q), '[journal]')")
+def journal_venues(spark, sf_dir):
+    s = table(spark, sf_dir, "events").select(F.expr("CASE WHEN user_id % 2 = 0 THEN 'pubmed' ELSE 'rss' END").alias("type"), F.expr("CASE WHEN user_id % 3 = 0 THEN '\"Journal ' || CAST(user_id % 9 AS STRING) || '\" [Journal] AND x' ELSE 'cancer[title]' END").alias("query")).distinct()
+    return gate.journal_sources(s)
+
+
+@query("trusted_sources", f"WITH {PUBS}, v AS (SELECT DISTINCT source FROM pubs), t AS (SELECT source FROM v WHERE source IN ('src1', 'src2') UNION SELECT source FROM v WHERE CAST(substring(source, 4) AS INTEGER) % 2 = 0) SELECT p.id, p.source FROM pubs p WHERE p.source IN (SELECT source FROM t) AND p.source NOT IN ('src4')")
+def trusted_sources(spark, sf_dir):
+    found = [r["source"] for r in pubs(spark, sf_dir).where("CAST(substring(source, 4, 9) AS INT) % 2 = 0").select("source").distinct().collect()]  # a configuration list: one row a source
+    return pubs(spark, sf_dir).where(F.col("source").isin(*gate.trusted_venues(("src1", "src2"), tuple(found), ("SRC4",)))).select("id", "source")
+
+
+# ---- sinks
+@query("exported_events", f"WITH {EV} SELECT event_id, mode, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM (SELECT event_id, event_type AS mode, props, user_id FROM events) WHERE user_id % 3 = 0")
+def exported_events(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("mode"), "props", F.col("ts").alias("created_at"), F.concat(F.lit("run"), (F.col("user_id") % 3).cast("string")).alias("run_id"))
+    path = scratch_path(spark)
+    writers.events_jsonl(e, path, "run0", ("props",))
+    return spark.read.schema("event_id long, mode string, props struct<k: int>").json(path).select("event_id", "mode", "props.k")
+
+
+@query("exported_new_rows", f"WITH {PUBS} SELECT CAST(id AS VARCHAR) AS id, source || ';b' AS source_names, CAST(published_date AS VARCHAR) AS date FROM pubs WHERE id NOT IN (SELECT doc_id FROM labels)")
+def exported_new_rows(spark, sf_dir):
+    seen = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
+    d = change.detect_changes(pubs(spark, sf_dir).select("id", "title", "source", F.array("source", F.lit("b")).alias("source_names"), F.col("published_date").cast("string").alias("date"), "url"), seen, "id")
+    path = scratch_path(spark)
+    writers.new_rows_csv(d, path)
+    back = spark.read.csv(path, header=True, escape='"', multiLine=True)
+    schema.check_header(back, writers.NEW_COLUMNS)
+    return back.select("id", "source_names", "date")
+
+
+@query("run_manifest", "SELECT 'r1' AS run_id, 'weekly' AS mode, count(*) AS total, count(DISTINCT source) AS sources, count(DISTINCT doc_id % 700) AS distinct_keys FROM documents")
+def run_manifest(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("total"), F.count_distinct("source").alias("sources"), F.count_distinct(F.col("doc_id") % 700).alias("distinct_keys"))
+    path, pointer = scratch_path(spark), scratch_path(spark)
+    writers.manifest(d, path, run_id="r1", mode="weekly")
+    m = spark.read.schema("run_id string, mode string, counts struct<total: long, sources: long, distinct_keys: long>").json(path)
+    writers.latest_pointer(m.select("run_id"), pointer)
+    return m.join(spark.read.schema("run_id string").json(pointer), "run_id").select("run_id", "mode", "counts.*")
+
+
+@query("must_reads_file", f"WITH {PUBS}, r AS (SELECT id, title, score, row_number() OVER (ORDER BY coalesce(score, 0) DESC, id) AS n FROM pubs) SELECT 'r1' AS run_id, (SELECT count(*) FROM pubs) AS total_candidates, 8 AS must_reads_count, n AS place, id, score, CAST(n AS VARCHAR) || '. **' || title || '** - -, score ' || coalesce(CAST(score AS VARCHAR), '-') AS line FROM r WHERE n <= 8")
+def must_reads_file(spark, sf_dir):
+    ranked = pubs(spark, sf_dir).select("id", "title", F.col("score").alias("final_relevancy_score"))
+    path = scratch_path(spark)
+    writers.compressed_json(records.must_reads_document(ranked, "r1", 8), path)
+    back = spark.read.schema("run_id string, total_candidates long, must_reads_count int, must_reads array<struct<id: long, title: string, final_relevancy_score: int>>").json(path)
+    d = back.select("run_id", "total_candidates", "must_reads_count", F.posexplode("must_reads").alias("p", "m"))
+    lines = records.must_read_lines(d.select((F.col("p") + 1).alias("rank"), "m.title", F.lit("-").alias("source"), F.col("m.final_relevancy_score").alias("score")))
+    d = d.select("run_id", "total_candidates", "must_reads_count", (F.col("p") + 1).cast("long").alias("place"), "m.id", F.col("m.final_relevancy_score").alias("score"))
+    return d.join(lines.select(F.col("rank").cast("long").alias("place"), "line"), "place")
+
+
+@query("digest_log", f"WITH {PUBS} SELECT CAST(published_date AS VARCHAR) AS day, count(*) AS n FROM pubs WHERE id % 2 = 0 OR id % 5 = 0 GROUP BY 1")
+def digest_log(spark, sf_dir):
+    d, path = pubs(spark, sf_dir).select("id", F.col("published_date").cast("string").alias("day")), scratch_path(spark)
+    writers.append_log(d.where("id % 2 = 0"), path)
+    writers.append_log(d.where("id % 2 <> 0 AND id % 5 = 0"), path)
+    return spark.read.parquet(path).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("digest_artifacts", f"WITH {PUBS} SELECT id, CAST(published_date AS VARCHAR) AS day, strftime(published_date, '%Y-%m-%dT00:00:00') AS at, score FROM pubs")
+def digest_artifacts(spark, sf_dir):
+    path = scratch_path(spark)
+    writers.artifacts(pubs(spark, sf_dir).select("id", F.col("published_date").alias("day"), F.col("published_date").cast("timestamp").alias("at"), "score"), path)
+    return spark.read.schema("id long, day string, at string, score int").json(path)
+
+
+@query("evaluation_export", f"WITH {ITEMS} SELECT CAST(id AS VARCHAR) AS id, CAST(score AS VARCHAR) AS score, CAST(rating AS VARCHAR) AS rating, (SELECT count(*) FROM items WHERE score IS NOT NULL) AS n FROM items")
+def evaluation_export(spark, sf_dir):
+    p, l = pubs(spark, sf_dir), table(spark, sf_dir, "labels")
+    items = p.join(l, p["id"] == l["doc_id"]).select("id", "score", (F.col("quality") * 2 + F.col("toxic")).alias("rating"), F.lit("secret").alias("_note"))
+    path, csv = scratch_path(spark), scratch_path(spark)
+    writers.evaluation_json(items, metrics.spearman(items, "score", "rating").select("n"), path, version="v1")
+    writers.results_csv(items, csv)
+    n = spark.read.schema("version string, metrics struct<n: long>").json(f"{path}/metrics").select("metrics.n")
+    back = spark.read.csv(csv, header=True)
+    schema.check_header(back, ("id", "score", "rating"))
+    return back.crossJoin(F.broadcast(n))  # one row
+
+
+@query("compressed_export", "SELECT count(*) AS n, TRUE AS smaller FROM documents")
+def compressed_export(spark, sf_dir):
+    source, path = scratch_path(spark), scratch_path(spark)
+    table(spark, sf_dir, "documents").select("doc_id", F.concat("source", F.lit(" "), F.repeat("lang", 40)).alias("filler")).write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(source)
+    sizes = writers.compressed_copy(spark, source, path)
+    return spark.read.json(path).agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(sizes.select((F.col("ratio") < 1).alias("smaller"))))  # one row each
+
+
+@query("sheet_rows", f"WITH {PUBS} SELECT CAST(id AS VARCHAR) AS id, title, source || '; x' AS authors, coalesce(CAST(score AS VARCHAR), '') AS score, '' AS doi, 24 AS n_columns FROM pubs")
+def sheet_rows(spark, sf_dir):
+    d = schema.sheet_row(pubs(spark, sf_dir).select("id", "title", F.array("source", F.lit("x")).alias("authors"), "score"))
+    schema.check_header(d, schema.SHEET)
+    return d.select("id", "title", "authors", "score", "doi", F.lit(len(d.columns)).alias("n_columns"))
+
+
+SHEET_NEW = "CASE WHEN id % 9 = 0 THEN '' ELSE CAST(id AS STRING) END"
+
+
+@query("sheet_upsert", f"WITH {PUBS}, o AS (SELECT CAST(id AS VARCHAR) AS id, source AS title FROM pubs WHERE id % 2 = 0), n AS (SELECT CAST(id AS VARCHAR) AS id, title FROM pubs WHERE id % 3 = 0 AND id % 9 <> 0) SELECT coalesce(n.id, o.id) AS id, coalesce(n.title, o.title) AS title, CASE WHEN o.id IS NULL THEN '2024-02-10' ELSE '2024-01-01' END AS date_added, CASE WHEN o.id IS NULL THEN 'true' WHEN n.id IS NULL THEN 'true' ELSE 'false' END AS is_new, (SELECT count(*) FROM pubs WHERE id % 9 = 0) AS errors FROM o FULL JOIN n ON o.id = n.id")
+def sheet_upsert(spark, sf_dir):
+    p = pubs(spark, sf_dir)
+    old = p.where("id % 2 = 0").select(F.col("id").cast("string").alias("id"), F.col("source").alias("title"), F.lit("2024-01-01").alias("date_added"), F.lit("true").alias("is_new"))
+    new = p.where("id % 3 = 0").select(F.expr(SHEET_NEW).alias("id"), "title")
+    out, counts = change.sheet_upsert(old, new, "2024-02-10")
+    return out.crossJoin(F.broadcast(counts.select("errors")))  # one row
+
+
+@query("pending_upsert", f"WITH {PUBS}, o AS (SELECT id, CASE WHEN id % 4 = 0 THEN 'done' ELSE 'pending' END AS status, 'old' AS u, 'then' AS a FROM pubs WHERE id % 2 = 0), n AS (SELECT id, CASE WHEN id % 5 = 0 THEN 'uploaded' ELSE 'pending' END AS status, url AS u FROM pubs WHERE id % 3 = 0) SELECT coalesce(n.id, o.id) AS publication_id, coalesce(n.status, o.status) AS status, CASE WHEN n.id IS NULL THEN o.u ELSE n.u END AS original_url, CASE WHEN o.id IS NOT NULL THEN o.a WHEN n.status = 'pending' THEN 'now' END AS alerted_at FROM o FULL JOIN n ON o.id = n.id")
+def pending_upsert(spark, sf_dir):
+    p = pubs(spark, sf_dir).select(F.col("id").alias("publication_id"), F.lit("2024-02-05").alias("week_start"), "url")
+    i = F.col("publication_id")
+    old = p.where(i % 2 == 0).select("publication_id", "week_start", F.when(i % 4 == 0, "done").otherwise("pending").alias("status"), F.lit("old").alias("original_url"), F.lit("then").alias("alerted_at"))
+    new = p.where(i % 3 == 0).select("publication_id", "week_start", F.when(i % 5 == 0, "uploaded").otherwise("pending").alias("status"), F.col("url").alias("original_url"))
+    return change.pending_upsert(old, new, "now").select("publication_id", "status", "original_url", "alerted_at")
+
+
+@query("pending_reminders", f"WITH {PUBS}, f AS (SELECT id, '2024-0' || CAST(1 + id % 3 AS VARCHAR) || '-05' AS w, CASE WHEN id % 4 = 0 THEN 'done' ELSE 'pending' END AS s FROM pubs) SELECT f.id AS publication_id, coalesce(p.title, 'Untitled') AS title FROM f LEFT JOIN (SELECT id, title FROM pubs WHERE score >= 50) p ON f.id = p.id WHERE w = '2024-02-05' AND s = 'pending'")
+def pending_reminders(spark, sf_dir):
+    p = pubs(spark, sf_dir)
+    pend = p.select(F.col("id").alias("publication_id"), F.expr("'2024-0' || CAST(1 + id % 3 AS STRING) || '-05'").alias("week_start"), F.expr("CASE WHEN id % 4 = 0 THEN 'done' ELSE 'pending' END").alias("status"))
+    return catalog.pending_reminder(pend, p.where("score >= 50").select("id", "title"), "2024-02-05").select("publication_id", "title")
+
+
+@query("resolution_stats", f"WITH {REFS}, c AS (SELECT CASE WHEN contains(lower(coalesce(u, '')), 'pubmed') THEN 'pubmed' WHEN contains(lower(coalesce(u, '')), 'doi') THEN 'doi' ELSE 'other' END AS source_type, {norm_url('u')} AS canonical_url FROM refs) SELECT source_type, count(*) AS total, count(*) FILTER (WHERE coalesce(canonical_url, '') <> '') AS resolved FROM c GROUP BY 1")
+def resolution_stats(spark, sf_dir):
+    low = F.lower(F.coalesce("u", F.lit("")))
+    kind = F.when(F.contains(low, F.lit("pubmed")), "pubmed").when(F.contains(low, F.lit("doi")), "doi").otherwise("other")
+    return catalog.resolution_stats(refs(spark, sf_dir).select(kind.alias("source_type"), identifiers.normalize_url(F.col("u")).alias("canonical_url")))
+
+
+@query("aligned_rows", f"WITH {PUBS} SELECT CAST(id AS VARCHAR) AS id, title, CAST(published_date AS VARCHAR) AS date, venue, summary FROM (SELECT *, source AS venue, CAST(NULL AS VARCHAR) AS summary FROM pubs)")
+def aligned_rows(spark, sf_dir):
+    d = pubs(spark, sf_dir).select(F.col("id").alias("pub_id"), "title", F.col("published_date").alias("published"), F.col("source").alias("journal"), F.lit(1).alias("unknown"))
+    d = d.withColumnRenamed(schema.id_column(d), "id")
+    return schema.align(d, schema.PUBLICATION, {"date": ("published",), "venue": ("fulljournalname", "journal")}).select("id", "title", "date", "venue", "summary")
+
+
+@query("run_scores", f"WITH {EV}, r AS (SELECT *, row_number() OVER (PARTITION BY pub_id ORDER BY ts DESC, event_id DESC) AS n FROM ev WHERE k % 4 = 1) SELECT pub_id, value FROM r WHERE n = 1")
+def run_scores(spark, sf_dir):
+    e = scored(spark, sf_dir).withColumns({"run_id": F.concat(F.lit("r"), (F.col("k") % 4).cast("string")), "created_at": F.struct("ts", "event_id")})
+    return catalog.run_scores(e, "r1", "pub_id").select("pub_id", "value")
+
+
+@query("title_lookup", f"WITH {PUBS}, t AS (SELECT {TITLE_SQL['eval']} AS k, min(id) AS id FROM pubs GROUP BY 1 HAVING k <> ''), i AS (SELECT doc_id, quality, toxic FROM labels), j AS (SELECT p.id, {TITLE_SQL['eval']} AS k FROM pubs p) SELECT j.id, coalesce(a.id, t.id) AS found, CASE WHEN a.id IS NOT NULL THEN 'id' WHEN t.id IS NOT NULL THEN 'title' END AS match_key FROM j LEFT JOIN (SELECT id FROM pubs WHERE id % 3 = 0) a ON j.id = a.id LEFT JOIN t ON j.k = t.k AND j.k <> ''")
+def title_lookup(spark, sf_dir):
+    p = pubs(spark, sf_dir)
+    k = text.title_key(F.col("title"), "eval")
+    first = catalog.metadata_lookup(p.select("id", "title"), k, "id").select("title_key", F.col("id").alias("found"))
+    by_id = p.where("id % 3 = 0").select(F.col("id").alias("own"), F.lit(None).cast("string").alias("key"), F.col("id").alias("found"))
+    right = by_id.unionByName(first.select(F.lit(None).cast("long").alias("own"), F.col("title_key").alias("key"), "found"))
+    return match.cascade(p.select("id", F.col("id").alias("own"), k.alias("key")), right, ["own", "key"], "found", "found").select("id", "found", F.when(F.col("match_key") == "own", "id").when(F.col("match_key") == "key", "title").alias("match_key"))
+
+
+@query("match_distribution", f"WITH {ITEMS}, m AS (SELECT i.id, i.rating, CASE WHEN i.id % 2 = 0 THEN 'id' ELSE 'none' END AS k FROM items i) SELECT k AS match_key, rating, count(*) AS n FROM m GROUP BY 1, 2")
+def match_distribution(spark, sf_dir):
+    p, l = pubs(spark, sf_dir), table(spark, sf_dir, "labels")
+    items = p.join(l, p["id"] == l["doc_id"]).select("id", (F.col("quality") * 2 + F.col("toxic")).alias("rating"))
+    index = p.where("id % 2 = 0").select("id", F.col("id").alias("found"))
+    m = match.cascade(items, index, ["id"], "found", "found")
+    return m.groupBy(F.coalesce("match_key", F.lit("none")).alias("match_key"), "rating").agg(F.count(F.lit(1)).alias("n"))
+
+
+MUST = "id long, title string, score int"
+
+
+def _must_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = pubs(spark, sf_dir).select((F.col("id") % 7).alias("day"), F.floor(F.col("id") / 70).alias("f"), F.struct(F.col("id") % 60, F.concat("title", F.lit("")), "score").alias("i"), "id", "title", "score")
+    item = F.struct((F.col("id") % 60).alias("id"), F.lit("t").alias("title"), F.coalesce("score", F.lit(0)).alias("score"))
+    return p.groupBy("day", "f").agg(F.to_json(F.array_sort(F.collect_list(item))).alias("j")).select((F.col("day") * 1000 + F.col("f")).alias("day"), "j")  # ten items a file
+
+
+@query("legacy_must_reads", f"WITH {PUBS}, i AS (SELECT (id % 7) * 1000 + CAST(floor(id / 70) AS BIGINT) AS day, id % 60 AS id, coalesce(score, 0) AS score FROM pubs), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY day DESC, score DESC) AS n FROM i), b AS (SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS place FROM r WHERE n = 1) SELECT id, score FROM b WHERE place <= 12")
+def legacy_must_reads(spark, sf_dir):
+    return catalog.must_reads_of_files(_must_files(spark, sf_dir), "j", "day", MUST, AS_OF, 12).select("id", "score")
+
+
+@query("tool_calls", f"WITH {PUBS}, r AS (SELECT id, row_number() OVER (ORDER BY coalesce(score, -1) DESC, published_date DESC, id) AS n FROM pubs WHERE published_date >= DATE '2024-02-10' - 90) SELECT 'must_reads' AS tool, id FROM r WHERE n <= 20 UNION ALL SELECT 'get', id FROM pubs WHERE id = 42")
+def tool_calls(spark, sf_dir):
+    d = pubs(spark, sf_dir).withColumn("ts", F.col("published_date").cast("timestamp"))
+    best = catalog.must_reads(d, AS_OF, 1000, 500, "ts").select(F.lit("must_reads").alias("tool"), "id")
+    return best.unionByName(catalog.get(d, "42").select(F.lit("get").alias("tool"), "id"))
+
+
+# ---- ranking
+@query("newest_caps", f"WITH {PUBS}, r AS (SELECT id, row_number() OVER (ORDER BY published_date DESC, id) AS n FROM pubs) SELECT id, n > 120 AS skipped FROM r")
+def newest_caps(spark, sf_dir):
+    return rank.cap_flag(pubs(spark, sf_dir).select("id", "published_date"), [F.col("published_date").desc()], 120, "id").select("id", "skipped")
+
+
+@query("rank_points", f"WITH {PUBS}, r AS (SELECT id, row_number() OVER (ORDER BY coalesce(score, -1) DESC, published_date DESC, lower(title), id) AS rk FROM pubs) SELECT id, rk AS rank, greatest(4, 100 - (rk - 1) * 4) AS points FROM r WHERE rk <= 40")
+def rank_points(spark, sf_dir):
+    d = rank.digest(pubs(spark, sf_dir), "score", "published_date", "title", "id", 20, 20)
+    return d.select("id", F.col("rank").cast("long").alias("rank"), rank.rank_score(F.col("rank")).cast("long").alias("points"))
+
+
+@query("ranking_checks", f"WITH {PUBS}, r AS (SELECT id, coalesce(score, -1) AS s, lead(coalesce(score, -1)) OVER (ORDER BY id) AS nx FROM pubs) SELECT count(*) FILTER (WHERE nx > s) AS out_of_order, count(*) FILTER (WHERE id > 20 AND s >= 90) AS high_excluded FROM r")
+def ranking_checks(spark, sf_dir):
+    return rank.ranking_checks(pubs(spark, sf_dir), "id", "score", 20, 90, ranges=16)
+
+
+@query("normalized_vectors", "WITH n AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings) SELECT vec_id, round(list_inner_product(v, v), 6) <> 1 AS scaled, round(v[1] / sqrt(list_inner_product(v, v)), 6) AS first FROM n")
+def normalized_vectors(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    n = search.normalized(e, "embedding").select(F.col("vec_id").alias("_v"), F.round(F.element_at("embedding", 1), 6).alias("first"))
+    v = F.col("embedding").cast("array<double>")
+    return e.join(n, F.col("vec_id") == F.col("_v")).select("vec_id", (F.round(search.dot(v, v), 6) != 1).alias("scaled"), "first")
+
+
+# ---- records
+@query("rerank_inputs", f"WITH {PUBS} SELECT id, substring(title, 1, 250) AS title, md5(substring(CASE WHEN id % 3 = 0 THEN 'summary of ' || source ELSE raw_text END, 1, 400)) AS snippet FROM pubs")
+def rerank_inputs(spark, sf_dir):
+    d = pubs(spark, sf_dir).withColumn("summary", F.expr("CASE WHEN id % 3 = 0 THEN 'summary of ' || source ELSE '' END"))
+    return records.rerank_input(d).select("id", "title", F.md5(F.col("snippet").cast("binary")).alias("snippet"))
+
+
+DIRTY = "title || chr(13) || chr(10) || source || chr(7) || chr(8232) || 'x' || chr(8233) || 'y' || chr(9)"
+
+
+@query("sanitized_records", f"WITH {PUBS} SELECT id, regexp_replace(regexp_replace(replace(replace({DIRTY}, chr(8232), chr(10)), chr(8233), chr(10) || chr(10)), '\\r\\n?', chr(10), 'g'), '[\\x00-\\x08\\x0B-\\x1F]', '', 'g') AS title, source FROM pubs")
+def sanitized_records(spark, sf_dir):
+    dirty = F.concat("title", F.lit("\r\n"), "source", F.lit("\x07\u2028x\u2029y\t"))
+    d = pubs(spark, sf_dir).withColumn("title", dirty)
+    one = records.sanitized(d, ("title",)).select("id", "title", "source")
+    two = records.paper_for_review(d).select(F.col("id").alias("_i"), F.col("title").alias("_t"))
+    return one.join(two, (F.col("id") == F.col("_i")) & (F.col("title") == F.col("_t"))).select("id", "title", "source")
+
+
+@query("brief_sections", f"WITH {PUBS}, r AS (SELECT id, title, source, row_number() OVER (ORDER BY score DESC, id) AS rank FROM pubs WHERE score IS NOT NULL) SELECT 'science' AS section, rank, title, source, 10 AS n_items, 'ok' AS status FROM r WHERE rank <= 10 UNION ALL SELECT 'empty', NULL, NULL, NULL, 0, 'empty'")
+def brief_sections(spark, sf_dir):
+    d = rank.digest(pubs(spark, sf_dir).where("score IS NOT NULL").withColumn("published_date", F.lit("2024-01-01").cast("date")).withColumn("title2", F.lit("")), "score", "published_date", "title2", "id", 10, 5)
+    b = records.brief(d, "science", 10).unionByName(records.brief(d.limit(0), "empty", 10))
+    return b.select("section", F.explode_outer("items").alias("i"), "n_items", "status").select("section", F.col("i.rank").cast("long").alias("rank"), "i.title", F.col("i.meta")["source"].alias("source"), "n_items", "status")
+
+
+RAW_SECTION = """CASE id % 4 WHEN 0 THEN '{"tool_id": "t' || source || '", "items": [{"title": " A ", "summary": "s", "url": "u", "meta": {"k": 1}}, 5, {"summary": " only "}], "narrative": ""}' WHEN 1 THEN '{"section_title": "", "period_start": "2024-01-01", "items": "x"}' WHEN 2 THEN 'garbage' ELSE '{"items": [], "narrative": "n' || source || '"}' END"""
+
+
+@query("normalized_sections", f"WITH {PUBS} SELECT id, CASE WHEN id % 4 = 0 THEN 't' || source ELSE 'fallback' END AS tool_id, 'Science' AS section_title, CASE WHEN id % 4 = 1 THEN '2024-01-01' ELSE '2023-12-25' END AS period_start, CASE WHEN id % 4 = 3 THEN 'n' || source END AS narrative, CASE WHEN id % 4 = 0 THEN 'A:s:u:{{\"k\":1}}|Untitled:only::{{}}' ELSE '' END AS items FROM pubs")
+def normalized_sections(spark, sf_dir):
+    d = records.normalized_section(pubs(spark, sf_dir).select("id", F.expr(RAW_SECTION).alias("j")), "j", {"tool_id": "fallback", "section_title": "Science", "period_start": "2023-12-25", "period_end": "2023-12-31"})
+    shown = F.array_join(F.transform("items", lambda x: F.concat(x["title"], F.lit(":"), x["summary"], F.lit(":"), F.coalesce(x["url"], F.lit("")), F.lit(":"), x["meta"])), "|")
+    return d.select("id", "tool_id", "section_title", "period_start", "narrative", shown.alias("items"))
+
+
+@query("canonical_items", f"WITH {REFS}, c AS (SELECT id, CASE WHEN id % 3 = 0 THEN 'pub' || CAST(id AS VARCHAR) ELSE '' END AS pid, ' ' || title || ' ' AS t, d, p, u FROM refs) SELECT id, coalesce(nullif(pid, ''), substring(sha256({TITLE_SQL['eval'].replace('title', 't')}), 1, 16)) AS publication_id, trim(t) AS title, {TITLE_SQL['eval'].replace('title', 't')} AS title_key, {NORM_DOI.format('d')} AS doi, nullif(regexp_replace(coalesce(p, ''), '[^0-9]', '', 'g'), '') AS pmid, rtrim(lower(trim(u)), '/') AS url FROM c")
+def canonical_items(spark, sf_dir):
+    d = refs(spark, sf_dir).select("id", F.expr(f"CASE WHEN id % 3 = 0 THEN 'pub' || {ID} ELSE '' END").alias("publication_id"), F.concat(F.lit(" "), "title", F.lit(" ")).alias("title"), F.col("d").alias("doi"), F.col("p").alias("pmid"), F.col("u").alias("url"))
+    wide = records.canonical_item(d.withColumn("labels", F.array("id")))
+    return wide.select(F.col("labels")[0].alias("id"), "publication_id", "title", "title_key", "doi", "pmid", "url")
+
+
+@query("item_seeds", f"WITH {REFS}, s AS (SELECT id, CASE WHEN id % 5 = 0 THEN d ELSE '' END AS doi, CASE WHEN id % 4 = 0 THEN p END AS pmid, CASE WHEN id % 3 = 0 THEN u ELSE '' END AS url, CASE WHEN id % 2 = 0 THEN 'i' || CAST(id AS VARCHAR) END AS pid, title FROM refs) SELECT id, CASE WHEN coalesce(doi, '') <> '' THEN 'doi' WHEN coalesce(pmid, '') <> '' THEN 'pmid' WHEN coalesce(url, '') <> '' THEN 'url' WHEN pid IS NOT NULL THEN 'id' WHEN title <> '' THEN 'title' END AS type, coalesce(nullif(doi, ''), nullif(pmid, ''), nullif(url, ''), pid, nullif(title, '')) AS value FROM s")
+def item_seeds(spark, sf_dir):
+    d = refs(spark, sf_dir).select("id", F.expr("CASE WHEN id % 5 = 0 THEN d ELSE '' END").alias("doi"), F.expr("CASE WHEN id % 4 = 0 THEN p END").alias("pmid"), F.expr("CASE WHEN id % 3 = 0 THEN u ELSE '' END").alias("url"), F.expr("CASE WHEN id % 2 = 0 THEN 'i' || CAST(id AS STRING) END").alias("publication_id"), "title")
+    return records.items_to_seeds(d).select("id", "type", "value")
+
+
+FACT_TITLE = "CASE id % 5 WHEN 0 THEN title || ' breath screening' WHEN 1 THEN 'Deep learning ' || title WHEN 2 THEN 'ctDNA phase II ' || title ELSE title END"
+FACT_VENUE = "CASE id % 3 WHEN 0 THEN 'Nature Communications' WHEN 1 THEN '' ELSE source END"
+_TAGS = ", ".join(f"CASE WHEN {' OR '.join(f'contains(low, {chr(39)}{w}{chr(39)})' for w in ws)} THEN '{t}' END" for t, ws in records.TAG_WORDS.items())
+_SLUG = "trim(regexp_replace(trim(replace(replace(replace(lower(trim(v)), ' journal', ''), ' reviews', ''), ' communications', '')), '[^a-z0-9]+', '-', 'g'), '-')"
+
+
+@query("fact_rows", f"""WITH {PUBS}, f AS (SELECT id, {FACT_TITLE} AS t, {FACT_VENUE} AS v, trim(raw_text) AS x FROM pubs WHERE score >= 80 AND trim({FACT_TITLE}) <> '' AND trim(raw_text) <> ''), g AS (SELECT *, concat_ws(chr(10) || chr(10), nullif(t, ''), 'Published in: ' || nullif(v, ''), nullif(x, '')) AS c, lower(t || ' ') AS low FROM f), h AS (SELECT *, substring(c, 1, 1200) AS head FROM g), k AS (SELECT *, 1200 - position('.' IN reverse(head)) + 1 AS last FROM h)
+SELECT id AS source_id, md5(CASE WHEN length(c) <= 1200 THEN c WHEN contains(head, '.') AND last > 600 THEN substring(head, 1, last) ELSE rtrim(substring(c, 1, 1197)) || '...' END) AS fact, array_to_string(list_filter(['scientific', {_TAGS}, CASE WHEN {_SLUG} <> '' AND length({_SLUG}) <= 30 THEN {_SLUG} END, 'high-relevancy'], lambda y: y IS NOT NULL), ',') AS tags FROM k""")
+def fact_rows(spark, sf_dir):
+    d = pubs(spark, sf_dir).withColumns({"title": F.expr(FACT_TITLE), "venue": F.expr(FACT_VENUE)})
+    return records.facts(d).select("source_id", F.md5(F.col("fact").cast("binary")).alias("fact"), F.array_join("tags", ",").alias("tags"))
+
+
+_M = "CASE WHEN id % 3 = 0 THEN CAST(id % 90 AS INT) END"
+
+
+@query("enriched_records", f"""WITH {PUBS}, p AS (SELECT id, CASE WHEN id % 4 = 0 THEN CAST(id % 101 AS INTEGER) END AS own, title, source, CASE WHEN id % 5 = 0 THEN 'Venue ' || CAST(id % 9 AS VARCHAR) ELSE '' END AS venue, CASE WHEN id % 6 = 0 THEN 'Own summary. Two. Three. Four' END AS summary, CASE WHEN id % 7 = 0 THEN 'Gemini review found that it is ' || source END AS reason, raw_text, url FROM pubs),
+m AS (SELECT id, {_M} AS fs, CASE WHEN id % 6 = 2 THEN '["f1", "f2", "f3", "f4"]' WHEN id % 6 = 4 THEN 'one finding' END AS kf, CASE WHEN id % 5 = 1 THEN '• m a • m b' END AS sm FROM pubs WHERE id % 2 = 0), t AS (SELECT id, CASE WHEN id % 5 < 2 THEN CAST(id % 77 AS INTEGER) END AS fs, '{{"review": {{"relevancy_score": ' || CAST(id % 50 AS VARCHAR) || '}}}}' AS cj, CAST(id % 33 AS INTEGER) AS e FROM pubs WHERE id % 3 = 1),
+j AS (SELECT p.*, m.fs AS mfs, m.kf, m.sm, t.fs AS tfs, t.cj, t.e FROM p LEFT JOIN m USING (id) LEFT JOIN t USING (id)), s AS (SELECT *, coalesce(own, tfs, CASE WHEN own IS NULL THEN e END, mfs) AS sc, coalesce(nullif(sm, ''), summary) AS ks FROM j)
+SELECT id, CASE WHEN title = '' THEN 'Untitled Publication' ELSE title END AS title, CASE WHEN venue <> '' THEN venue ELSE source END AS venue, sc AS relevancy_score, CASE WHEN sc >= 80 THEN 'High' WHEN sc >= 65 THEN 'Moderate' ELSE 'Exploratory' END AS ordinal, CAST(json_extract_string(cj, '$.review.relevancy_score') AS INTEGER) AS claude_score, md5(coalesce(nullif(ks, ''), substring(raw_text, 1, 500))) AS summary,
+ array_to_string(CASE WHEN starts_with(kf, '[') THEN ['f1', 'f2', 'f3'] WHEN kf IS NOT NULL THEN [kf] WHEN contains(ks, '•') THEN list_filter(list_transform(string_split(ks, '•'), lambda x: trim(x)), lambda x: x <> '') WHEN ks IS NOT NULL THEN list_transform(list_filter(list_transform(string_split(ks, '.'), lambda x: trim(x)), lambda x: x <> ''), lambda x: x || '.') ELSE [] END[1:3], '|') AS findings,
+ CASE WHEN reason IS NOT NULL THEN 'It is ' || source END AS reviewed_reason FROM s""")
+def enriched_records(spark, sf_dir):
+    p = pubs(spark, sf_dir)
+    own = p.select("id", F.expr("CASE WHEN id % 4 = 0 THEN CAST(id % 101 AS INT) END").alias("final_relevancy_score"), "title", "source", F.expr("CASE WHEN id % 5 = 0 THEN 'Venue ' || CAST(id % 9 AS STRING) ELSE '' END").alias("venue"), F.expr("CASE WHEN id % 6 = 0 THEN 'Own summary. Two. Three. Four' END").alias("summary"), F.expr("CASE WHEN id % 7 = 0 THEN 'Gemini review found that it is ' || source END").alias("final_relevancy_reason"), "raw_text", "url", F.col("published_date"))
+    must = p.where("id % 2 = 0").select("id", F.expr(_M).alias("final_relevancy_score"), F.expr("CASE WHEN id % 6 = 2 THEN '[\"f1\", \"f2\", \"f3\", \"f4\"]' WHEN id % 6 = 4 THEN 'one finding' END").alias("key_findings"), F.expr("CASE WHEN id % 5 = 1 THEN '• m a • m b' END").alias("final_summary"))
+    tri = p.where("id % 3 = 1").select("id", F.expr("CASE WHEN id % 5 < 2 THEN CAST(id % 77 AS INT) END").alias("final_relevancy_score"), F.expr("'{\"review\": {\"relevancy_score\": ' || CAST(id % 50 AS STRING) || '}}'").alias("claude_review_json"), F.expr("'{\"final_relevancy_score\": ' || CAST(id % 33 AS STRING) || '}'").alias("gpt_eval_json"))
+    e = records.enriched(own, must, tri)
+    return e.select("id", "title", "venue", "relevancy_score", F.col("relevancy_ordinal").alias("ordinal"), "claude_score", F.md5(F.col("summary").cast("binary")).alias("summary"), F.array_join("key_findings", "|").alias("findings"), F.when(F.col("id") % 7 == 0, F.col("why_it_matters")).alias("reviewed_reason"))
+
+
+# ---- outside functions
+def _reviewer(rows: list[dict]) -> list[dict]:
+    """Stands in for a model: a score from the length of the source, an error where the id says so."""
+    if any(r["id"] % 97 == 13 for r in rows):
+        raise ValueError("refused")
+    return [{"relevancy_score": r["id"] % 101, "relevancy_reason": f"about {r['source']}", "confidence": "high"} for r in rows]
+
+
+@query("external_reviews", f"WITH {PUBS} SELECT id, CASE WHEN id % 97 <> 13 THEN id % 101 END AS score, CASE WHEN id % 97 = 13 THEN 'refused' END AS error FROM pubs")
+def external_reviews(spark, sf_dir):
+    d = external.call(pubs(spark, sf_dir).select("id", "source"), "id", "long", ["id", "source"], _reviewer, batch=1)
+    return d.select("id", F.get_json_object("answer", "$.relevancy_score").cast("long").alias("score"), "error")
+
+
+def _embed(texts: list[str]) -> list[list[float]]:
+    return [[float(len(t)), 1.0] for t in texts]
+
+
+@query("embedding_backfill", "SELECT doc_id, CAST(length(text) AS DOUBLE) AS first FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings) AND length(text) >= 10")
+def embedding_backfill(spark, sf_dir):
+    have = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"))
+    d = search.backfill(table(spark, sf_dir, "documents").select("doc_id", "text"), have, "doc_id", F.col("text"), _embed)
+    return d.select("doc_id", F.element_at("embedding", 1).cast("double").alias("first"))
+
+
+def _busy(rows: list[dict]) -> None:
+    """Fails for good for some rows and for the moment for others."""
+    if any(r["id"] % 10 == 3 for r in rows):
+        raise external.Retry("busy")
+    if any(r["id"] % 10 == 7 for r in rows):
+        raise ValueError("bad request")
+
+
+@query("delivered_chunks", f"WITH {PUBS} SELECT id, CASE WHEN id % 10 = 3 THEN 2 ELSE 1 END AS attempts, CASE WHEN id % 10 = 3 THEN 'busy' WHEN id % 10 = 7 THEN 'bad request' END AS error FROM pubs")
+def delivered_chunks(spark, sf_dir):
+    return external.deliver(pubs(spark, sf_dir).select("id"), "id", "long", ["id"], _busy, size=1, tries=2, wait=0).select("id", "attempts", "error")
+
+
+_SCORED = f"{ANSWERS}, sc AS (SELECT doc_id AS id, good AND coalesce(CASE WHEN regexp_matches(json_extract_string(j, '$.relevancy_score'), '^-?[0-9]+$') THEN CAST(json_extract_string(j, '$.relevancy_score') AS INTEGER) BETWEEN 0 AND 100 END, FALSE) AND nullif(json_extract_string(j, '$.relevancy_reason'), '') IS NOT NULL AS ok FROM js)"
+
+
+@query("scored_records", f"WITH {_SCORED}, o AS (SELECT id, CASE WHEN id % 6 = 0 THEN 'memo' WHEN ok THEN 'asked' ELSE 'failed' END AS origin FROM sc) SELECT origin, count(*) AS n, count(*) FILTER (WHERE origin = 'memo') AS remembered FROM o GROUP BY 1")
+def scored_records(spark, sf_dir):
+    p = pubs(spark, sf_dir).select("id", "title", "source", "raw_text").withColumn("signals", F.create_map(F.lit("cancer_type"), F.lit("lung")))
+    memo = p.where("id % 6 = 0 OR id % 10 = 1").select(F.when(F.col("id") % 6 == 0, "r1").otherwise("r0").alias("run_id"), "id", F.lit(40).alias("score"), F.lit("known").alias("reason"), F.lit("low").alias("confidence"))
+    ask = lambda d: answers(spark, sf_dir).select(F.col("doc_id").alias("id"), F.col("a").alias("answer")).join(d.select("id"), "id", "left_semi")
+    out, _ = external.score_records(p, memo, ask, "r1")
+    return out.groupBy("origin").agg(F.count(F.lit(1)).alias("n"), F.count_if((F.col("reason") == "known") & (F.col("score") == 40)).alias("remembered"))
+
+
+@query("citation_features", f"""WITH {REFS}, i AS (SELECT id, {ex('u', r'(10\.\d{4,}/\S+)')} AS doi, {ex('u', '(?i)pubmed[.]ncbi[.]nlm[.]nih[.]gov/([0-9]+)')} AS pmid FROM refs), h AS (SELECT *, id % 5 = 0 AND id % 10 < 6 AS hit FROM i), c AS (SELECT id, doi, pmid, hit, CASE WHEN hit THEN id % 3 WHEN doi IS NOT NULL AND length(doi) % 2 = 0 THEN length(doi) - 20 WHEN pmid IS NOT NULL THEN CAST(length(pmid) AS BIGINT) END AS n FROM h)
+SELECT id, doi, pmid, CASE WHEN hit THEN 'cache' ELSE 'looked_up' END AS origin, coalesce(n > 0, FALSE) AS available, CASE WHEN n > 0 THEN n END AS citation_count, CASE WHEN n > 0 THEN 'Citation count: ' || CAST(n AS VARCHAR) || ', citations per year: ' || printf('%.1f', n / 2.0) ELSE 'Citation data: not available' END AS context FROM c""")
+def citation_features(spark, sf_dir):
+    d = refs(spark, sf_dir).select("id", F.col("u").alias("url"))
+    age = F.make_dt_interval(F.when(F.col("id") % 10 < 6, 3).otherwise(9))
+    cache = d.where("id % 5 = 0").select("id", (F.lit(AS_OF).cast("timestamp") - age).alias("cached_at"), (F.col("id") % 3).alias("citation_count"), ((F.col("id") % 3) / 2.0).alias("citations_per_year"))
+    doi, pmid = identifiers.extracted(F.col("url"), r"(10\.\d{4,}/\S+)"), identifiers.pubmed_path_pmid(F.col("url"))
+    none = F.lit(None).cast("string")
+    by_doi = d.select(doi.alias("doi"), none.alias("pmid"), (F.length(doi) - 20).cast("long").alias("citation_count")).where("doi IS NOT NULL AND length(doi) % 2 = 0")
+    by_pmid = d.select(none.alias("doi"), pmid.alias("pmid"), F.length(pmid).cast("long").alias("citation_count")).where("pmid IS NOT NULL")
+    counts = by_doi.unionByName(by_pmid).withColumn("citations_per_year", F.col("citation_count") / 2.0)
+    out = external.citation_features(d, cache, counts, AS_OF)
+    return out.select("id", "doi", "pmid", "origin", "available", "citation_count", rules.citation_context(F.col("citation_count"), F.col("citations_per_year")).alias("context"))
+
+
+# ---- streams
+@query("stream_dedup", "SELECT event_type, count(*) AS n FROM events WHERE ts <= TIMESTAMP '2024-01-20' + INTERVAL 2 DAY GROUP BY 1")
+def stream_dedup(spark, sf_dir):
+    landed = scratch_path(spark)
+    e = table(spark, sf_dir, "events")
+    for _ in range(2):  # a look-back reads the same rows twice
+        e.write.mode("append").parquet(landed)
+    s = streams.deduplicated(streams.reject_future(streams.event_stream(spark, landed), datetime(2024, 1, 20)), delay="90 days")
+    return streams.run_to_table(s, scratch_path(spark), scratch_path(spark)).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_new_ids", "SELECT count(DISTINCT user_id) AS n FROM events")
+def stream_new_ids(spark, sf_dir):
+    landed = scratch_path(spark)
+    table(spark, sf_dir, "events").write.parquet(landed)
+    return streams.run_to_table(streams.new_ids(streams.event_stream(spark, landed)), scratch_path(spark), scratch_path(spark)).agg(F.count(F.lit(1)).alias("n"))

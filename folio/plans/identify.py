@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folio.functions import identifiers
 from folio.operators import dedupe
 from folio.plans.documents import PUBS, TITLE_SQL, pubs
-from folio.plans.registry import query, table
+from folio.plans.registry import query
 
 #: Input expressions over pubs and pages; they are the same text in Spark and in DuckDB.
 ID = "CAST(id AS STRING)"

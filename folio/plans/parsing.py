@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from folio.functions import dates, identifiers, jsonx, rules, text
 from folio.operators import attachments, metrics, records
 from folio.plans.documents import PUBS, pubs
-from folio.plans.identify import DOI_RAW, ID, ex, text_doi
+from folio.plans.identify import DOI_RAW, ID, text_doi
 from folio.plans.registry import query, table
 
 AS_OF = datetime(2024, 2, 10)

@@ -49,25 +49,12 @@ def wire_rows(spark, sf_dir):
     return records.wire(d).select("id", "title", "venue", "published_date", F.md5(F.col("summary").cast("binary")).alias("summary"))
 
 
-@query("fact_rows", f"WITH {PUBS} SELECT id AS source_id, length(title) > 0 AS ok, 'scientific,' || source || ',high-relevancy' AS tags FROM pubs WHERE score >= 80 AND trim(title) <> '' AND trim(raw_text) <> '' AND NOT regexp_matches(lower(title), 'breath|voc|volatile|exhaled|early|screening|diagnos|biomarker|liquid|ctdna|clinical|phase|random|machine|deep|neural')")
-def fact_rows(spark, sf_dir):
-    d = pubs(spark, sf_dir).withColumn("venue", F.col("source")).where(~F.rlike(F.lower("title"), F.lit("breath|voc|volatile|exhaled|early|screening|diagnos|biomarker|liquid|ctdna|clinical|phase|random|machine|deep|neural")))
-    return records.facts(d).select("source_id", (F.length("fact") > 0).alias("ok"), F.array_join("tags", ",").alias("tags"))
-
-
 @query("change_report", f"WITH {PUBS}, r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY published_date DESC, id) AS place FROM pubs) SELECT source, place, '- [NEW] ' || title || ' (' || CAST(published_date AS VARCHAR) || ')' AS line FROM r WHERE place <= 5 UNION ALL SELECT source, 6, '- and ' || CAST(count(*) - 5 AS VARCHAR) || ' more' FROM pubs GROUP BY 1 HAVING count(*) > 5")
 def change_report(spark, sf_dir):
     r = records.change_report(pubs(spark, sf_dir).withColumn("status", F.lit("NEW")), 5)
     return r.select("source", F.col("place").cast("long").alias("place"), "line")
 
 
-@query("item_seeds", f"WITH {PUBS} SELECT id, CASE WHEN id % 3 = 0 THEN 'doi' WHEN id % 3 = 1 THEN 'url' ELSE 'title' END AS type FROM pubs WHERE title <> ''")
-def item_seeds(spark, sf_dir):
-    i = F.col("id")
-    d = pubs(spark, sf_dir).where("title <> ''").select("id", F.when(i % 3 == 0, "10.5555/x").alias("doi"), F.when(i % 3 == 1, F.col("url")).otherwise("").alias("url"), "title")
-    return records.items_to_seeds(d).select("id", "type")
-
-
 @query("citation_lane", "WITH s AS (SELECT doc_id FROM documents WHERE doc_id % 2 = 0 ORDER BY n_chars DESC, doc_id LIMIT 20) SELECT DISTINCT 'd' || CAST((doc_id + x) % 300 AS VARCHAR) AS neighbour FROM s, (SELECT unnest([1, 2, 3, 4]) AS x)")
 def citation_lane(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
