@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 18
+WINDOW = 1 << 20
 SEPARATORS = (9, 10, 11, 12, 13, 32)
 IS_SEP = np.zeros(256, bool)
 IS_SEP[list(SEPARATORS)] = True
@@ -103,13 +104,34 @@ def sequence_hashes(w: np.ndarray, n: int) -> np.ndarray:
     return mix(h + np.uint64(n))
 
 
+def word_hashes(b: np.ndarray) -> np.ndarray:
+    """Hashes of the words of one text, in windows of about WINDOW bytes that end between words."""
+    out, i = [], 0
+    while i < len(b):
+        z = min(len(b), i + WINDOW)
+        while z < len(b) and not IS_SEP[b[z]]:
+            step = np.flatnonzero(IS_SEP[b[z : z + WINDOW]])
+            z = z + int(step[0]) if len(step) else min(len(b), z + WINDOW)
+        part = b[i:z]
+        s, e, _ = word_spans(part, np.array([0, len(part)]))
+        out.append(span_hashes(part, s, e))
+        i = z
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 def shingle_sets(column: pa.Array, n: int = 5) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct hashes of n-word shingles) of each text, ASCII letters lower-cased.
 
-    Fewer than n words make one shingle; no words make none.
+    Fewer than n words make one shingle; no words make none. A text longer than WINDOW bytes is hashed in
+    windows, so the temporaries of a text are those of a window and a few numbers a word.
     """
     for i, j, b, off in text_chunks(column):
         b = LOWER[b]
+        if j == i + 1 and len(b) > WINDOW:
+            w = word_hashes(b)
+            s = np.unique(sequence_hashes(w, n)) if len(w) >= n else sequence_hashes(w, len(w)) if len(w) else np.zeros(0, np.uint64)
+            yield i, s
+            continue
         s, e, at = word_spans(b, off)
         w = span_hashes(b, s, e)
         long = sequence_hashes(w, n)

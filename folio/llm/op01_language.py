@@ -69,6 +69,26 @@ def text_runs(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
         yield start, run
 
 
+def windows(text: str) -> Iterator[tuple[np.ndarray, int]]:
+    """(keys, letters) of a long text in windows of CHARS characters; the last symbols of one window are the context of the next."""
+    tail, after_letter = np.full(ORDER - 1, SPACE, np.uint64), False
+    for i in range(0, len(text) + 1, CHARS):
+        part = text[i : i + CHARS]
+        part += "\n" if i + CHARS > len(text) else ""
+        c = fold_table()[np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        letter = c != SPACE
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]
+        keep[0] |= after_letter
+        after_letter = bool(letter[-1])
+        s = np.concatenate([tail, c[keep].astype(np.uint64)])
+        key = np.zeros(len(s) - ORDER + 1, np.uint64)
+        for k in range(ORDER):
+            key |= s[ORDER - 1 - k : len(s) - k] << np.uint64(16 * k)
+        tail = s[len(s) - ORDER + 1 :]
+        yield key, int(letter.sum())
+
+
 def hashed(keys: np.ndarray, order: int) -> np.ndarray:
     return mix(keys + np.uint64(order * 0x9E3779B97F4A7C15 % 2**64))
 
@@ -112,9 +132,16 @@ class Model:
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(nats a symbol for each language, letters) of each text."""
         h, letters = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
-        for start, run in text_runs(texts):
+        long = {i for i, t in enumerate(texts) if t and len(t) > CHARS}
+        for i in long:
+            sums, count = np.zeros(len(self.languages)), 0
+            for key, n in windows(texts[i]):
+                sums, count = sums + self.log_probs(key).sum(axis=0, dtype=np.float64), count + len(key)
+                letters[i] += n
+            h[i] = -sums / max(count, 1)
+        for start, run in text_runs([None if i in long else t for i, t in enumerate(texts)]):
             key, doc, n = symbols(run)
-            letters[start : start + len(run)] = n
+            letters[start : start + len(run)] += n
             if not len(key):
                 continue
             lp = self.log_probs(key)
@@ -243,8 +270,9 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     The whole text is scored under every language; the lowest cross-entropy a symbol wins. Text that is
     null or has no letter is `und` with score 0. rejected: the winner's cross-entropy lies above the
-    0.998 quantile of that language's calibration rows, so the text fits no learned language well. Ids
-    may be null or repeat; an empty table gives an empty result; without labelled rows all is `und`.
+    0.998 quantile of that language's calibration rows, so the text fits no learned language well. Texts
+    of any length are scored whole, long ones in windows. Equal entropies go to the first language by
+    name. Ids may be null or repeat, each row is judged on its own; an empty table gives an empty result; without labelled rows all is `und`.
     Only the two named columns are read.
     """
 
