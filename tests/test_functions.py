@@ -102,7 +102,7 @@ def test_html_identifiers(spark):
     <script type="application/ld+json">{"headline": "H", "datePublished": "2024-01-02"}</script></head></html>"""
     assert over(spark, identifiers.html_doi, [page, "<a href='https://doi.org/10.5555/y2'>x</a>", ""]) == ["10.1038/x-1", "10.5555/y2", None]
     assert over(spark, identifiers.html_title, [page]) == ["T"]
-    assert over(spark, identifiers.html_date, [page]) == ["2024-01-02"]
+    assert over(spark, identifiers.html_date, [page]) == ["2024-01-02T00:00:00"]
     assert over(spark, identifiers.html_journal, [page]) == ["Journal"]
     assert over(spark, identifiers.licence, ["https://creativecommons.org/licenses/by-nc-nd/4.0", "CC-BY", "x", None, "public domain"]) == ["cc-by-nc-nd", "cc-by", "unknown", "unknown", "public-domain"]
 
