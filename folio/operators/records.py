@@ -209,3 +209,21 @@ def normalized_section(answers: DataFrame, json: str, fallback: dict[str, str])
     items = F.transform(F.filter(F.coalesce("_s.items", F.array().cast("array<string>")), lambda x: F.startswith(F.trim(x), F.lit("{"))), item)
     fields = {c: F.coalesce(blank_to_null(F.col(f"_s.{c}")), F.lit(fallback.get(c))) for c in ("tool_id", "section_title", "period_start", "period_end")}
     return s.withColumns({**fields, "narrative": blank_to_null(F.col("_s.narrative")), "items": items}).drop("_s")
+
+
+def flat_events(results: DataFrame, run_id: str, mode: str, reviewers: tuple[str, ...] = ("claude", "gemini"), names: dict[str, str] | None = None) -> DataFrame:
+    """Review results as events for JSON lines: the evaluator's fields at the top, reviews only where they succeeded.
+
+    results: id, title, source, url, for each reviewer <name>_review (struct success, review, latency_ms,
+    model), evaluation (struct of the evaluator's fields).
+    """
+    done = lambda n: F.col(f"{n}_review.success")
+    when_done = lambda n, f: F.when(done(n), F.col(f"{n}_review.{f}"))
+    top = ("final_relevancy_score", "final_relevancy_reason", "final_summary", "agreement_level", "confidence")
+    fields = [f for f in top if f in results.select("evaluation.*").columns]
+    models = F.struct(*[when_done(n, "model").alias(n) for n in reviewers])
+    return results.select(
+        F.lit(run_id).alias("run_id"), F.lit(mode).alias("mode"), F.col("id").alias("publication_id"), "title", "source", "url",
+        *[when_done(n, "review").alias(f"{n}_review") for n in reviewers], F.to_json("evaluation").alias("gpt_eval"), *[F.col(f"evaluation.{f}").alias(f) for f in fields],
+        models.alias("model_names"), *[when_done(n, "latency_ms").alias(f"{n}_latency_ms") for n in reviewers],
+    )

@@ -75,3 +75,11 @@ def _embed(embed, texts: list[str], batch: int) -> list:
         except Exception:
             out += [None] * len(texts[i : i + batch])
     return out
+
+
+def backfill_counts(rows: DataFrame, vectors: DataFrame, made: DataFrame, key: str, text: Column) -> DataFrame:
+    """One row: rows in all, those that had a vector, too short ones, embedded and failed ones."""
+    open_ = missing(rows, vectors, key).withColumn("_long", F.coalesce(F.length(text) >= 10, F.lit(False)))
+    d = open_.join(made.select(F.col(key).alias("_m"), F.col("embedding").isNotNull().alias("_ok")), F.col(key) == F.col("_m"), "left")
+    counts = d.agg(F.count(F.lit(1)).alias("_open"), F.count_if(~F.col("_long")).alias("too_short"), F.count_if(F.coalesce("_ok", F.lit(False))).alias("embedded"), F.count_if(F.col("_long") & ~F.coalesce("_ok", F.lit(False))).alias("failed"))
+    return counts.crossJoin(F.broadcast(rows.agg(F.count(F.lit(1)).alias("total")))).select("total", (F.col("total") - F.col("_open")).alias("had_vector"), "too_short", "embedded", "failed")  # one row each

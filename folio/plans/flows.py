@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.functions import gate, identifiers, rules, text
+from folio.functions import gate, identifiers, jsonx, rules, text
 from folio.operators import change, external, match, metrics, rank, records, search
 from folio.plans.documents import ITEMS, PUBS, TITLE_SQL, pubs
 from folio.plans.events import EV, scored
@@ -326,18 +326,19 @@ def match_distribution(spark, sf_dir):
     return m.groupBy(F.coalesce("match_key", F.lit("none")).alias("match_key"), "rating").agg(F.count(F.lit(1)).alias("n"))
 
 
-MUST = "id long, title string, score int"
+MUST = "id long, title string, score int, date string"
 
 
 def _must_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = pubs(spark, sf_dir).select((F.col("id") % 7).alias("day"), F.floor(F.col("id") / 70).alias("f"), F.struct(F.col("id") % 60, F.concat("title", F.lit("")), "score").alias("i"), "id", "title", "score")
-    item = F.struct((F.col("id") % 60).alias("id"), F.lit("t").alias("title"), F.coalesce("score", F.lit(0)).alias("score"))
-    return p.groupBy("day", "f").agg(F.to_json(F.array_sort(F.collect_list(item))).alias("j")).select((F.col("day") * 1000 + F.col("f")).alias("day"), "j")  # ten items a file
+    p = pubs(spark, sf_dir)
+    item = F.struct((F.col("id") % 60).alias("id"), F.lit("t").alias("title"), F.coalesce("score", F.lit(0)).alias("score"), F.col("published_date").cast("string").alias("date"))
+    files = p.groupBy((F.col("id") % 7).alias("day"), F.floor(F.col("id") / 70).alias("f")).agg(F.to_json(F.array_sort(F.collect_list(item))).alias("j"))  # ten items a file
+    return files.select((F.col("day") * 100000 + F.col("f")).alias("day"), "j")
 
 
-@query("legacy_must_reads", f"WITH {PUBS}, i AS (SELECT (id % 7) * 1000 + CAST(floor(id / 70) AS BIGINT) AS day, id % 60 AS id, coalesce(score, 0) AS score FROM pubs), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY day DESC, score DESC) AS n FROM i), b AS (SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS place FROM r WHERE n = 1) SELECT id, score FROM b WHERE place <= 12")
+@query("legacy_must_reads", f"WITH {PUBS}, i AS (SELECT (id % 7) * 100000 + CAST(floor(id / 70) AS BIGINT) AS day, id % 60 AS id, coalesce(score, 0) AS score, CAST(published_date AS VARCHAR) AS date FROM pubs), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY day DESC, score DESC) AS n FROM i), b AS (SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS place FROM r WHERE n = 1 AND date >= '2024-01-20') SELECT id, score FROM b WHERE place <= 12")
 def legacy_must_reads(spark, sf_dir):
-    return catalog.must_reads_of_files(_must_files(spark, sf_dir), "j", "day", MUST, AS_OF, 12).select("id", "score")
+    return catalog.must_reads_of_files(_must_files(spark, sf_dir), "j", "day", MUST, "2024-01-20", 12).select("id", "score")
 
 
 @query("tool_calls", f"WITH {PUBS}, r AS (SELECT id, row_number() OVER (ORDER BY coalesce(score, -1) DESC, published_date DESC, id) AS n FROM pubs WHERE published_date >= DATE '2024-02-10' - 90) SELECT 'must_reads' AS tool, id FROM r WHERE n <= 20 UNION ALL SELECT 'get', id FROM pubs WHERE id = 42")
@@ -470,6 +471,12 @@ def _embed(texts: list[str]) -> list[list[float]]:
     return [[float(len(t)), 1.0] for t in texts]
 
 
+def _embed_some(texts: list[str]) -> list[list[float]]:
+    if any(t.startswith("FAIL") for t in texts):
+        raise ValueError("refused")
+    return _embed(texts)
+
+
 @query("embedding_backfill", "SELECT doc_id, CAST(length(text) AS DOUBLE) AS first FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings) AND length(text) >= 10")
 def embedding_backfill(spark, sf_dir):
     have = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"))
@@ -517,6 +524,71 @@ def citation_features(spark, sf_dir):
     return out.select("id", "doi", "pmid", "origin", "available", "citation_count", rules.citation_context(F.col("citation_count"), F.col("citations_per_year")).alias("context"))
 
 
+@query("backfill_counts", "SELECT count(*) AS total, count(*) FILTER (WHERE e.vec_id IS NOT NULL) AS had_vector, count(*) FILTER (WHERE e.vec_id IS NULL AND coalesce(length(text), 0) < 40) AS too_short, count(*) FILTER (WHERE e.vec_id IS NULL AND length(text) >= 40 AND doc_id % 50 <> 7) AS embedded, count(*) FILTER (WHERE e.vec_id IS NULL AND length(text) >= 40 AND doc_id % 50 = 7) AS failed FROM (SELECT doc_id, CASE WHEN n_chars % 9 = 0 THEN substring(text, 1, 5) WHEN length(text) < 40 THEN NULL ELSE text END AS text FROM documents) d LEFT JOIN embeddings e ON e.vec_id = d.doc_id")
+def backfill_counts(spark, sf_dir):
+    have = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.expr("CASE WHEN n_chars % 9 = 0 THEN substring(text, 1, 5) WHEN length(text) < 40 THEN NULL ELSE text END").alias("text"))
+    made = search.backfill(d.withColumn("text", F.when(F.col("doc_id") % 50 == 7, F.concat(F.lit("FAIL "), "text")).otherwise(F.col("text"))), have, "doc_id", F.col("text"), _embed_some, batch=1)
+    return search.backfill_counts(d, have, made, "doc_id", F.col("text"))
+
+
+def _summarize(rows: list[dict]) -> list[dict]:
+    return [{"summary": f"{r['source']}: {(r['title'] or '')[:20]}"} for r in rows]
+
+
+@query("new_summaries", f"WITH {PUBS}, n AS (SELECT p.id, p.source, p.title, l.quality FROM pubs p LEFT JOIN labels l ON p.id = l.doc_id WHERE p.id % 3 = 0) SELECT id, CASE WHEN quality IS NOT NULL THEN 'cached ' || CAST(quality AS VARCHAR) ELSE source || ': ' || substring(title, 1, 20) END AS summary, CASE WHEN quality IS NOT NULL THEN 'hit' ELSE 'generated' END AS origin FROM n")
+def new_summaries(spark, sf_dir):
+    new = pubs(spark, sf_dir).where("id % 3 = 0").select("id", "source", "title")
+    cache = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.concat(F.lit("cached "), F.col("quality").cast("string")).alias("summary"))
+    asked = match.split_cached(new, cache, "id")[1]  # the model sees only what the cache has not
+    made = external.call(asked, "id", "long", ["source", "title"], _summarize).select("id", F.get_json_object("answer", "$.summary").alias("made"))
+    return external.read_through(new.join(made, "id", "left"), cache, "id", "summary", F.col("made"))[0].select("id", "summary", "origin")
+
+
+def _evaluate(rows: list[dict]) -> list[dict]:
+    return [{"final_relevancy_score": (r["a"] + r["b"]) // 2, "final_relevancy_rating_0_3": min(3, (r["a"] + r["b"]) // 50), "final_relevancy_reason": "mean"} for r in rows]
+
+
+@query("evaluated_pairs", f"WITH {PUBS}, p AS (SELECT id, CAST(id % 101 AS BIGINT) AS a, CASE WHEN id % 5 <> 0 THEN (id * 3) % 101 END AS b FROM pubs) SELECT id, b IS NOT NULL AS complete, CAST((a + b) // 2 AS INTEGER) AS score, CASE WHEN b IS NOT NULL THEN CAST(least(3, (a + b) // 50) AS INTEGER) END AS rating FROM p")
+def evaluated_pairs(spark, sf_dir):
+    p = pubs(spark, sf_dir)
+    review = lambda name, score: p.select("id", F.lit(name).alias("reviewer"), score.alias("answer"))
+    reviews = review("a", F.col("id") % 101).unionByName(review("b", (F.col("id") * 3) % 101).where("id % 5 <> 0"))
+    pairs = external.pair_reviews(reviews, "id", ("a", "b"))
+    got = external.call(pairs.where("complete"), "id", "long", ["a", "b"], _evaluate).select(F.col("id").alias("_i"), jsonx.evaluation(F.col("answer")).alias("e"))
+    return pairs.join(got, F.col("id") == F.col("_i"), "left").select("id", "complete", F.col("e.final_score").alias("score"), F.col("e.final_rating").alias("rating"))
+
+
+@query("flat_events", f"WITH {PUBS} SELECT id AS publication_id, 'weekly' AS mode, CASE WHEN id % 4 <> 0 THEN 'r ' || source END AS claude_review, CASE WHEN id % 3 <> 0 THEN CAST(id % 50 AS BIGINT) END AS gemini_latency_ms, CAST(id % 101 AS INTEGER) AS final_relevancy_score, CASE WHEN id % 4 <> 0 THEN 'm1' END AS claude_model FROM pubs")
+def flat_events(spark, sf_dir):
+    review = lambda every, model: F.struct((F.col("id") % every != 0).alias("success"), F.concat(F.lit("r "), "source").alias("review"), (F.col("id") % 50).alias("latency_ms"), F.lit(model).alias("model"))
+    evaluation = F.struct((F.col("id") % 101).cast("int").alias("final_relevancy_score"), F.lit("x").alias("final_summary"))
+    d = pubs(spark, sf_dir).select("id", "title", "source", "url", review(4, "m1").alias("claude_review"), review(3, "m2").alias("gemini_review"), evaluation.alias("evaluation"))
+    path = scratch_path(spark)
+    events = records.flat_events(d, "r1", "weekly").withColumn("created_at", F.lit(AS_OF))
+    writers.events_jsonl(events, path, "r1", ("gpt_eval",))
+    back = spark.read.schema("publication_id long, mode string, claude_review string, gemini_latency_ms long, gpt_eval struct<final_relevancy_score: int>, model_names struct<claude: string>").json(path)
+    return back.select("publication_id", "mode", "claude_review", "gemini_latency_ms", F.col("gpt_eval.final_relevancy_score").alias("final_relevancy_score"), F.col("model_names.claude").alias("claude_model"))
+
+
+@query("venue_chain", f"WITH {PUBS} SELECT id, coalesce(CASE WHEN id % 3 = 0 THEN 'V' || CAST(id AS VARCHAR) END, CASE WHEN id % 2 = 0 THEN source END, CASE WHEN id % 5 < 3 THEN 'J' END, '') AS venue, coalesce(CASE WHEN id % 4 = 0 THEN 'h' || CAST(id AS VARCHAR) END, 'none') AS human FROM pubs")
+def venue_chain(spark, sf_dir):
+    d = pubs(spark, sf_dir).select("id", F.expr("CASE WHEN id % 3 = 0 THEN 'V' || CAST(id AS STRING) ELSE '' END").alias("v"), F.expr("CASE WHEN id % 2 = 0 THEN source END").alias("s"), F.expr("CASE WHEN id % 5 < 3 THEN 'J' ELSE '' END").alias("j"), F.expr("CASE WHEN id % 4 = 0 THEN 'h' || CAST(id AS STRING) ELSE '' END").alias("Human_Score"))
+    named = d.select("id", text.venue_of(F.col("v"), F.col("s"), F.col("j")).alias("venue"))
+    human = schema.survey_fields(d.withColumn("Publication_ID", F.col("id"))).select(F.col("publication_id").cast("long").alias("_i"), "human_score")
+    return named.join(human, F.col("id") == F.col("_i")).select("id", "venue", F.coalesce("human_score", F.lit("none")).alias("human"))
+
+
+@query("relevance_scores", f"WITH {PUBS} SELECT id, score AS relevance, score IS NOT NULL AS scored, CASE WHEN score IS NULL THEN 'unscored' WHEN score = 0 THEN 'irrelevant' ELSE 'scored' END AS kind FROM pubs")
+def relevance_scores(spark, sf_dir):
+    p = pubs(spark, sf_dir)
+    memo = p.where("score IS NOT NULL").select(F.lit("r1").alias("run_id"), "id", "score", F.lit("m").alias("reason"), F.lit("low").alias("confidence"))
+    base = p.select("id", "title", "source", "raw_text").withColumn("signals", F.create_map(F.lit("cancer_type"), F.lit("lung")))
+    none = lambda d: d.select("id", F.lit(None).cast("string").alias("answer"))
+    out, _ = external.score_records(base, memo, none, "r1")  # no model is configured: unknown items stay unscored, which is not 0
+    return out.select("id", F.col("score").alias("relevance"), F.col("score").isNotNull().alias("scored"), F.when(F.col("score").isNull(), "unscored").when(F.col("score") == 0, "irrelevant").otherwise("scored").alias("kind"))
+
+
 # ---- streams
 @query("stream_dedup", "SELECT event_type, count(*) AS n FROM events WHERE ts <= TIMESTAMP '2024-01-20' + INTERVAL 2 DAY GROUP BY 1")
 def stream_dedup(spark, sf_dir):

@@ -95,6 +95,9 @@ def must_reads(df: DataFrame, as_of: datetime, since_days: int = 7, limit: int =
     return d.orderBy(F.coalesce(F.col(score), F.lit(-1)).desc(), F.col(ts).desc(), "id").limit(n)
 
 
-def must_reads_of_files(files: DataFrame, json: str, order: str, schema: str, as_of: datetime, limit: int = 10) -> DataFrame:
-    """The same from the JSON lists of earlier runs, for when no table can be read: each id by its latest file, ranked by score."""
-    return exploded_must_reads(files, json, order, schema).orderBy(F.col("score").desc_nulls_last(), "id").limit(max(1, min(20, limit)))
+def must_reads_of_files(files: DataFrame, json: str, order: str, schema: str, since: str | None = None, limit: int = 10) -> DataFrame:
+    """The same from the JSON lists of earlier runs, for when no table can be read: each id by its latest file, those dated `since` or later, ranked by score."""
+    items = exploded_must_reads(files, json, order, schema)
+    if since is not None:
+        items = items.where(F.coalesce("date", F.lit("")) >= since)
+    return items.orderBy(F.col("score").desc_nulls_last(), "id").limit(max(1, min(20, limit)))

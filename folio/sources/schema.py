@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,8 @@ def struct(fields: str) -> T.StructType:
 PUBLICATION = struct("id string, title string, authors array<string>, source string, date string, url string, raw_text string, summary string, run_id string, venue string, source_names array<string>, date_raw string, date_source string")
 SCORING_EVENT = struct("run_id string, publication_id string, mode string, title string, source string, final_relevancy_score int, final_relevancy_reason string, final_signals_json string, final_summary string, agreement_level string, confidence int, claude_review_json string, gemini_review_json string, gpt_eval_json string, credibility_score int, credibility_reason string, created_at timestamp_ntz")
 SHEET = ("id", "title", "authors", "source", "date", "url", "doi", "pmid", "venue", "year", "summary", "score", "label", "credibility", "signals", "sponsors", "companies", "run_id", "run_mode", "is_new", "date_added", "last_seen", "canonical_url", "source_type")
+#: The fields of a survey row.
+SURVEY = ("publication_id", "title", "final_relevancy_score", "human_score", "reasoning", "evaluator", "confidence")
 ID_NAMES = ("id", "publication_id", "pub_id")
 
 
@@ -53,3 +55,15 @@ def sheet_row(df: DataFrame) -> DataFrame:
         else:
             cols.append(F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name))
     return df.select(*cols)
+
+
+def first_value(df: DataFrame, *names: str) -> Column:
+    """The first of the named columns, whatever their case, that has a value; null where none has."""
+    by_name = {c.lower(): c for c in df.columns}
+    have = [F.nullif(F.col(f"`{by_name[n.lower()]}`").cast("string"), F.lit("")) for n in names if n.lower() in by_name]
+    return F.coalesce(*have, F.lit(None).cast("string"))
+
+
+def survey_fields(df: DataFrame) -> DataFrame:
+    """The fields of a survey row under their own names, from headers in any case."""
+    return df.select(*[first_value(df, c).alias(c) for c in SURVEY])
