@@ -71,18 +71,30 @@ def plan(rows: int, cosine: float, recall: float = 0.997) -> tuple[int, int, flo
     return k, math.ceil(math.log(1 - recall) / math.log(1 - found)), width
 
 
-def valid(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, v): rows with an id and a finite, non-zero vector."""
-    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
-    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return v.where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).where(~bad & F.exists("v", lambda x: x != 0))
+def scaled(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(id, v): one usable vector an id, divided by its largest component, so that no norm over- or underflows.
 
+    Usable are rows with an id and a vector that is not empty, all finite and not all zero. Of rows that
+    repeat an id the smallest vector stays; only those rows are shuffled with their vectors.
+    """
 
-def scaled(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, v): one usable vector an id, divided by its largest component, so that no norm over- or underflows."""
-    rows = valid(vectors, id_col, vec_col).groupBy("id").agg(F.min("v").alias("v"))
-    most = F.array_max(F.transform("v", lambda x: F.abs(x)))
-    return rows.withColumn("_most", most).select("id", F.transform("v", lambda x: x / F.col("_most") + F.lit(0.0)).alias("v"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            some = np.flatnonzero((sizes > 0) & batch.column(0).is_valid().to_numpy(zero_copy_only=False))
+            for dim in np.unique(sizes[some]).tolist():
+                at = pa.array(some[sizes[some] == dim])
+                x = batch.column(1).take(at).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+                most = np.abs(x).max(axis=1)
+                ok = np.isfinite(x).all(axis=1) & (most > 0)
+                x = x[ok] / most[ok, None] + 0.0  # no negative zero
+                lists = pa.ListArray.from_arrays(np.arange(0, x.size + 1, dim, dtype=np.int32), x.ravel())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at).filter(pa.array(ok)), lists], names=["id", "v"])
+
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).mapInArrow(run, "id long, v array<double>")
+    rows = materialize(rows)
+    again = materialize(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"))
+    return rows.join(again, "id", "left_anti").unionByName(rows.join(again, "id", "left_semi").groupBy("id").agg(F.min("v").alias("v")))
 
 
 def keys(rows: DataFrame, k: int, tables: int, width: float) -> DataFrame:
