@@ -97,7 +97,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     in a join that Spark may split where it is skewed.
 
     Null and empty texts have no chunks. A null id is left out; rows that repeat an id are one
-    document; an empty table gives an empty result. Only the two named columns are read.
+    document, so equal rows repeat nothing; a passage that stands twice in one document only is none.
+    Texts are cut whole, with arrays of some fifty bytes a byte for one text longer than a chunk of
+    texts; an empty table gives an empty result. Only the two named columns are read.
     """
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
 
@@ -127,7 +129,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def without_copies(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the passages marked copy cut out of text_col; the first document keeps its own."""
+    """docs with the passages marked copy cut out of text_col; the first document keeps its own.
+
+    A null text stays null; rows without spans, and rows without an id, stay as they are; rows that
+    repeat an id are cut at the same places, so they must be equal. An empty table gives an empty
+    result; other columns pass through.
+    """
 
     @F.pandas_udf("string")
     def cut(texts, cuts):

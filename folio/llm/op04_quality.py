@@ -200,9 +200,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score_quality(docs: DataFrame, model: Additive, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row a row of docs: id, score, predicted.
 
-    Each whole text is scored from counts of its bytes, words and lines. Null and empty texts have the
-    features of a text without words; ids may be null or repeat; an empty table gives an empty result;
-    without labels the score is 0.5. Only the two named columns are read.
+    Each whole text is scored from counts of its bytes, words and lines, whatever its length, with arrays
+    of some fifty bytes a byte for one text longer than a chunk of texts. Null and empty texts have the
+    features of a text without words; ids may be null or repeat, each row is scored on its own; an empty
+    table gives an empty result; without labels the score is 0.5. Only the two named columns are read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -164,7 +164,8 @@ def token_counts(blocks: DataFrame, separator: int = SEPARATOR, width: str = WID
     Separators are searched in whole blocks at once; a document that crosses blocks gets its length
     from the prefix scan. Its separator is not counted. Ids after the last separator of a file are a
     document that is not closed. Two separators in a row hold a document of no tokens. An empty file
-    or table gives no rows; id is null where a block names none.
+    or table gives no rows; id is null where a block names none. Documents of any length are counted, as
+    no task holds more than a block of ids.
     """
     s = stitched(materialize(scan(blocks, separator, width)))
     ends = s.where(F.size("seps") > 0).select("file", "base", "docs_before", "prev_end", "seps", "ids", F.posexplode("seps").alias("p", "sep"))
@@ -178,7 +179,9 @@ def token_counts(blocks: DataFrame, separator: int = SEPARATOR, width: str = WID
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, null texts as empty ones, written as token files of one partition each; then counted from the files alone.
 
-    The ids of the documents are joined to the counts by file and ordinal afterwards.
+    The ids of the documents are joined to the counts by file and ordinal afterwards. Ids may be null or
+    repeat and equal rows stand twice: each row is a document of its own in the files. A text is
+    tokenised whole, one at a time. An empty table gives an empty result.
     """
     folder = scratch_folder(spark)
     index = materialize(write_token_files(table(spark, sf_dir, "documents"), "doc_id", "text", folder))
