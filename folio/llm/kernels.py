@@ -104,19 +104,26 @@ def sequence_hashes(w: np.ndarray, n: int) -> np.ndarray:
     return mix(h + np.uint64(n))
 
 
-def word_hashes(b: np.ndarray) -> np.ndarray:
-    """Hashes of the words of one text, in windows of about WINDOW bytes that end between words."""
-    out, i = [], 0
+def windows(b: np.ndarray) -> Iterator[np.ndarray]:
+    """One text in pieces of about WINDOW bytes that end between words."""
+    i = 0
     while i < len(b):
         z = min(len(b), i + WINDOW)
         while z < len(b) and not IS_SEP[b[z]]:
             step = np.flatnonzero(IS_SEP[b[z : z + WINDOW]])
             z = z + int(step[0]) if len(step) else min(len(b), z + WINDOW)
-        part = b[i:z]
-        s, e, _ = word_spans(part, np.array([0, len(part)]))
-        out.append(span_hashes(part, s, e))
+        yield b[i:z]
         i = z
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def word_hashes(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, bytes) of the words of one text, made in windows."""
+    hashes, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
+    for part in windows(b):
+        s, e, _ = word_spans(part, np.array([0, len(part)]))
+        hashes.append(span_hashes(part, s, e))
+        sizes.append((e - s).astype(np.int32))
+    return np.concatenate(hashes), np.concatenate(sizes)
 
 
 def shingle_sets(column: pa.Array, n: int = 5) -> Iterator[tuple[int, np.ndarray]]:
@@ -128,7 +135,7 @@ def shingle_sets(column: pa.Array, n: int = 5) -> Iterator[tuple[int, np.ndarray
     for i, j, b, off in text_chunks(column):
         b = LOWER[b]
         if j == i + 1 and len(b) > WINDOW:
-            w = word_hashes(b)
+            w, _ = word_hashes(b)
             s = np.unique(sequence_hashes(w, n)) if len(w) >= n else sequence_hashes(w, len(w)) if len(w) else np.zeros(0, np.uint64)
             yield i, s
             continue

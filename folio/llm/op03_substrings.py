@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from folio.llm import kernels
 from folio.llm.common import materialize, table
 from folio.llm.kernels import IS_SEP, span_hashes, text_chunks
 
 REACH = 20
 GUARD = 12
 MIN_WORDS = 20
+MARGIN = 64
 NEVER = np.uint32(2**32 - 1)
 GEAR = np.random.default_rng(611953).integers(0, 2**32, 256, dtype=np.uint32)
 
@@ -69,6 +71,9 @@ def boundaries(b: np.ndarray, off: np.ndarray) -> np.ndarray:
 def chunk_table(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
     """Arrays (row, ordinal, start, end, words, digest) of the chunks of texts; starts and ends in code points."""
     for i, _, b, off in text_chunks(column):
+        if len(off) == 2 and len(b) > kernels.WINDOW:
+            yield from long_chunks(i, b)
+            continue
         s = np.flatnonzero(boundaries(b, off))
         if not len(s):
             continue
@@ -83,6 +88,28 @@ def chunk_table(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
         yield i + row, np.arange(len(s)) - first, chars[s] - chars[off[row]], chars[e] - chars[off[row]], words[e] - words[s], span_hashes(b, s, e)
 
 
+def long_chunks(row: int, b: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """The chunks of one long text, window by window. A window begins at a boundary and sees MARGIN bytes on either side, more than any boundary looks at."""
+    i, k, chars = 0, 0, 0
+    while i < len(b):
+        lo, hi, z = max(0, i - MARGIN), min(len(b), i + kernels.WINDOW + MARGIN), min(len(b), i + kernels.WINDOW)
+        s = np.flatnonzero(boundaries(b[lo:hi], np.array([0, hi - lo]))) + lo
+        inside = s[(s > i) & (s <= z)]
+        if z < len(b) and len(inside):
+            z = int(inside[-1])
+        s = np.concatenate([[i], s[(s > i) & (s < z)]]) - i
+        part = b[i:z]
+        e = np.append(s[1:], len(part))
+        at = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)])
+        body = ~IS_SEP[part]
+        begins = body.copy()
+        begins[1:] &= ~body[:-1]
+        begins[0] &= i == 0 or bool(IS_SEP[b[i - 1]])
+        words = np.concatenate([[0], np.cumsum(begins)])
+        yield np.full(len(s), row), k + np.arange(len(s)), chars + at[s], chars + at[e], words[e] - words[s], span_hashes(part, s, e)
+        i, k, chars = z, k + len(s), chars + int(at[-1])
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """id, start, end, words, chunks, first_id, copy: one row a repeated passage of a document.
 
@@ -98,8 +125,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Null and empty texts have no chunks. A null id is left out; rows that repeat an id are one
     document, so equal rows repeat nothing; a passage that stands twice in one document only is none.
-    Texts are cut whole, with arrays of some fifty bytes a byte for one text longer than a chunk of
-    texts; an empty table gives an empty result. Only the two named columns are read.
+    Texts of any length are cut whole, long ones in windows; an empty table gives an empty result. Only the two named columns are read.
     """
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
 

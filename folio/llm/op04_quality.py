@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folio.llm import kernels
 from folio.llm.common import bounded_fraction, crc_mod, hash_share, table
-from folio.llm.kernels import span_hashes, sequence_hashes, text_chunks, word_spans
+from folio.llm.kernels import sequence_hashes, span_hashes, text_chunks, word_hashes, word_spans
 
 FEATURES = ("log_words", "word_bytes", "longest_word", "distinct_words", "distinct_pairs", "top_word", "repeats_before", "upper", "digits", "stops", "bangs", "bars", "symbols", "non_ascii", "lines_a_word", "repeated_lines", "short_words", "sentence_words")
 SAMPLE = 20_000
@@ -39,6 +40,9 @@ def document_features(column: pa.Array) -> np.ndarray:
     """A row of FEATURES for each whole text; a text without words has zeros."""
     out = np.zeros((len(column), len(FEATURES)))
     for i, j, b, off in text_chunks(column):
+        if j == i + 1 and len(b) > kernels.WINDOW:
+            out[i] = long_features(b)
+            continue
         s, e, at = word_spans(b, off)
         w = span_hashes(b, s, e)
         pairs = sequence_hashes(w, 2)
@@ -87,6 +91,32 @@ def document_features(column: pa.Array) -> np.ndarray:
     return out
 
 
+def long_features(b: np.ndarray) -> np.ndarray:
+    """The same of one long text: bytes and lines are counted in windows, then its words by their hashes."""
+    f = np.zeros(len(FEATURES))
+    w, sizes = word_hashes(b)
+    n = len(w)
+    if not n:
+        return f
+    counts, lines, known, rest = np.zeros(256, np.int64), 0, set(), b""
+    for i in range(0, len(b), kernels.WINDOW):
+        part = b[i : i + kernels.WINDOW]
+        counts += np.bincount(part, minlength=256)
+        *whole, rest = (rest + part.tobytes()).split(b"\n")
+        full = [x for x in whole if x]
+        lines += len(full)
+        known.update(map(hash, full))
+    lines += bool(rest)
+    known |= {hash(rest)} if rest else set()
+    of = lambda t: float((counts * t).sum())
+    stop, breaks = of(STOP), of(NEWLINE)
+    top = np.unique(w, return_counts=True)[1]
+    f[:7] = np.log1p(n), sizes.sum() / n, np.log1p(sizes.max()), len(top) / n, len(np.unique(sequence_hashes(w, 2))) / (n - 1) if n > 1 else 1.0, top.max() / n, (w[1:] == w[:-1]).sum() / n
+    f[7:15] = of(UPPER) / len(b), of(DIGIT) / len(b), stop / n, of(BANG) / n, of(BAR) / n, of(SYMBOL) / len(b), of(HIGH) / len(b), breaks / n
+    f[15:] = 1 - len(known) / max(1, lines) if breaks else 0.0, (sizes <= 2).sum() / n, np.log1p(n / (stop + 1))
+    return f
+
+
 @dataclass
 class Additive:
     """A bin table a feature, and a table of two coarser bins a pair; a score is the sum of one entry of each."""
@@ -200,8 +230,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score_quality(docs: DataFrame, model: Additive, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row a row of docs: id, score, predicted.
 
-    Each whole text is scored from counts of its bytes, words and lines, whatever its length, with arrays
-    of some fifty bytes a byte for one text longer than a chunk of texts. Null and empty texts have the
+    Each whole text is scored from counts of its bytes, words and lines, whatever its length, long ones in
+    windows. Null and empty texts have the
     features of a text without words; ids may be null or repeat, each row is scored on its own; an empty
     table gives an empty result; without labels the score is 0.5. Only the two named columns are read.
     """

@@ -93,6 +93,25 @@ def test_long_texts_have_the_same_shingles(monkeypatch):
     assert [s.tolist() for _, s in kernels.shingle_sets(pa.array(texts))] == whole
 
 
+def long_texts(rng):
+    word = lambda: "".join(rng.choice(list("abcdéghÜ1.!|#"), int(rng.integers(1, 11))))
+    return ["\n".join(" ".join(word() for _ in range(int(rng.integers(0, 12)))) for _ in range(300)), "same line\n" * 400 + "end", " ".join(word() for _ in range(2000)), " \n " * 900, "x" * 3000, "ü" * 2000 + " b\n"]
+
+
+def test_long_texts_have_the_same_features_and_chunks(monkeypatch):
+    texts = long_texts(np.random.default_rng(7))
+    column = pa.array(texts)
+    features = op04_quality.document_features(column)
+    chunks = [tuple(np.concatenate(x).tolist()) for x in zip(*op03_substrings.chunk_table(pa.array(texts[:3:2])), strict=True)]
+    monkeypatch.setattr(kernels, "WINDOW", 701)
+    monkeypatch.setattr(kernels.text_chunks, "__defaults__", (16,))
+    assert np.allclose(op04_quality.document_features(column), features)
+    assert [tuple(np.concatenate(x).tolist()) for x in zip(*op03_substrings.chunk_table(pa.array(texts[:3:2])), strict=True)] == chunks
+    for t in texts:  # chunks of any text, periodic ones too, cover it without gaps
+        rows = [np.concatenate(x).tolist() for x in zip(*op03_substrings.chunk_table(pa.array([t])), strict=True)]
+        assert rows[1] == list(range(len(rows[1]))) and rows[2] == [0, *rows[3][:-1]] and rows[3][-1] == len(t)
+
+
 def test_additive_scores_are_sums_of_bins():
     rng = np.random.default_rng(6)
     x = rng.random((600, 4))
