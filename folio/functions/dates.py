@@ -44,16 +44,22 @@ def record_date(c: Column) -> Column:
     return F.struct(day.alias("day"), (only_year & day.isNotNull()).alias("low_confidence"))
 
 
+#: The forms of a page's date, tried in this order.
+PAGE_ISO = r"^\d{4}-\d{2}-\d{2}"
+PAGE_SLASHES = r"^(\d{4})/(\d{1,2})/(\d{1,2})"
+PAGE_MONTH_FIRST = r"^(\p{L}+)\s+(\d{1,2}),?\s+(\d{4})"
+PAGE_DAY_FIRST = r"^(\d{1,2})\s+(\p{L}+)\s+(\d{4})"
+
+
 def page_date(c: Column) -> Column:
     """ISO text of a page's date: ISO, Y/M/D, 'Month D, Y' or 'D Month Y'; null for others."""
     low = F.lower(c)
-    first, second = r"^(\p{L}+)\s+(\d{1,2}),?\s+(\d{4})", r"^(\d{1,2})\s+(\p{L}+)\s+(\d{4})"
+    first, second, slash = PAGE_MONTH_FIRST, PAGE_DAY_FIRST, PAGE_SLASHES
     at = lambda p, k: F.nullif(F.regexp_extract(low, p, k), F.lit(""))
     month = lambda w: F.coalesce(*[F.when(w.isin(name, name[:3]), F.lit(f"{m:02d}")) for m, name in enumerate(MONTHS, 1)], F.lit(None).cast("string"))
     made = lambda y, m, d: F.concat(y, F.lit("-"), F.lpad(m, 2, "0"), F.lit("-"), F.lpad(d, 2, "0"), F.lit("T00:00:00"))
-    slash = r"^(\d{4})/(\d{1,2})/(\d{1,2})"
     return (
-        F.when(F.rlike(c, F.lit(r"^\d{4}-\d{2}-\d{2}")), F.when(F.contains(c, F.lit("T")), c).otherwise(F.concat(c, F.lit("T00:00:00"))))
+        F.when(F.rlike(c, F.lit(PAGE_ISO)), F.when(F.contains(c, F.lit("T")), c).otherwise(F.concat(c, F.lit("T00:00:00"))))
         .when(F.rlike(c, F.lit(slash)), made(at(slash, 1), at(slash, 2), at(slash, 3)))
         .otherwise(F.coalesce(made(at(first, 3), month(at(first, 1)), at(first, 2)), made(at(second, 3), month(at(second, 2)), at(second, 1))))
     )

@@ -17,6 +17,9 @@ ARXIV = r"(?i)(?:arxiv[:\s]*|arxiv\.org/abs/)(\d{4}\.\d{4,5}(?:v\d+)?)"
 URL_DOI = (r"doi\.org/(10\.[^\s/]+/\S+)", r"doi/(10\.[^\s/]+/\S+)", r"(10\.\d{4,}/\S+)")
 #: Places of a DOI in the URLs of publishers, tried in this order.
 PUBLISHER_PLACES = (r"doi\.org/", r"dx\.doi\.org/", r"nature\.com/articles/", r"science\.org/doi/", r"cell\.com/.*/", r"nejm\.org/doi/full/", r"thelancet\.com/.*/", r"plos\.org/.*/", r"biorxiv\.org/.*/", r"medrxiv\.org/.*/")
+#: The ids in PubMed URLs, after the host and at the end of the path.
+PUBMED_PATH = r"(?i)pubmed\.ncbi\.nlm\.nih\.gov/(\d+)"
+PUBMED_END = r"/(\d{7,8})/?(?:\?|$)"
 #: The DOI form of JSON-LD values and the fields that may hold one, tried in this order.
 LD_DOI = r"10\.\d{4,}/[^\s\"'<>)}\]]+[^\s\"'<>)}\].,;:]"
 LD_DOI_FIELDS = ("doi", "@id", "identifier", "sameAs", "url")
@@ -61,12 +64,12 @@ def publisher_doi(url: Column) -> Column:
 
 def pubmed_path_pmid(url: Column) -> Column:
     """The digits after the host of PubMed."""
-    return extracted(url, r"(?i)pubmed\.ncbi\.nlm\.nih\.gov/(\d+)")
+    return extracted(url, PUBMED_PATH)
 
 
 def pubmed_end_pmid(url: Column) -> Column:
     """Seven or eight digits that end the path of a PubMed URL."""
-    return F.when(F.contains(url, F.lit("pubmed.ncbi.nlm.nih.gov")), extracted(url, r"/(\d{7,8})/?(?:\?|$)"))
+    return F.when(F.contains(url, F.lit("pubmed.ncbi.nlm.nih.gov")), extracted(url, PUBMED_END))
 
 
 def normalize_pmid(c: Column) -> Column:

@@ -108,9 +108,9 @@ def citation_features(items: DataFrame, cache: DataFrame, counts: DataFrame, as_
     looked up by DOI, else PMID, in counts (doi, pmid, citation_count, citations_per_year). A count of
     zero is no data.
     """
-    from folio.functions.identifiers import extracted, pubmed_path_pmid
+    from folio.functions.identifiers import URL_DOI, extracted, pubmed_path_pmid
 
-    d = items.withColumns({"doi": extracted(F.col("url"), r"(10\.\d{4,}/\S+)"), "pmid": pubmed_path_pmid(F.col("url"))})
+    d = items.withColumns({"doi": extracted(F.col("url"), URL_DOI[-1]), "pmid": pubmed_path_pmid(F.col("url"))})
     fresh = cache.where(F.col("cached_at") > F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(days))).groupBy(F.col(key).alias("_k")).agg(F.max_by(F.struct(F.col("citation_count").alias("c"), F.col("citations_per_year").alias("y")), "cached_at").alias("_hit"))
     one = lambda c: counts.where(F.col(c).isNotNull()).groupBy(F.col(c).alias(f"_{c}")).agg(F.max(F.struct(F.col("citation_count").alias("c"), F.col("citations_per_year").alias("y"))).alias(f"_by_{c}"))
     d = d.join(fresh, F.col(key) == F.col("_k"), "left").join(one("doi"), F.col("doi") == F.col("_doi"), "left").join(one("pmid"), F.col("pmid") == F.col("_pmid"), "left")
