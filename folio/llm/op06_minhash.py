@@ -252,5 +252,19 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     return others.unionByName(repeated).drop("_near_id", "_near_key")
 
 
+
+
+#: The same groups in DuckDB: all pairs that share a shingle, compared exactly, then the ids that links reach.
+SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM d),
+n AS (SELECT doc_id, len(g) AS n FROM s), u AS (SELECT doc_id, unnest(g) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT DISTINCT a AS id, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id WHERE r.root < e.b),
+k AS (SELECT id, min(root) AS root FROM r GROUP BY 1)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, coalesce(k.root, n.doc_id) AS component_id, coalesce(k.root, n.doc_id) = n.doc_id AS kept FROM n LEFT JOIN k ON k.id = n.doc_id
+"""
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

@@ -263,6 +263,16 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     counts = link_counts(rows, labels, cosine, block)
     known = classes.join(labels, F.col("class") == F.col("id"), "left").drop("id").join(counts, F.col("class") == F.col("id"), "left")
     known = known.select("_a", "_b", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("label", "class").alias("component"))
+
+
+#: The same links in DuckDB: all pairs by cosine, then the ids that links reach.
+SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), g AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS m FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND a.m > 0 AND b.m > 0 AND list_inner_product(a.e, b.e) / (a.m * b.m) >= 0.95),
+r AS (SELECT DISTINCT a AS id, a AS root FROM l UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id WHERE r.root < l.b),
+k AS (SELECT id, min(root) AS root FROM r GROUP BY 1), c AS (SELECT a, count(*) AS n FROM l GROUP BY 1)
+SELECT v.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, coalesce(k.root, v.vec_id) AS component_id, coalesce(k.root, v.vec_id) = v.vec_id AS kept FROM v LEFT JOIN k ON k.id = v.vec_id LEFT JOIN c ON c.a = v.vec_id
+"""
     known = one.select(F.col("id").alias("_n"), "_a", "_b").join(known, ["_a", "_b"])
     out = every.join(known, F.col("id") == F.col("_n"), "left")
     component = F.coalesce("component", "id")
