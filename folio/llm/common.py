@@ -101,16 +101,39 @@ def bucketed_running_sum(df: DataFrame, group: str, order: list[Column], share:
     return joined.withColumn("run_before", F.col("_base") + F.col("_in")).drop("_g", "_b", "_bucket", "_in", "_base")
 
 
+def dealt_in_blocks(members: DataFrame, key: str, item: str, block: int, salts: int = 32) -> DataFrame:
+    """members with mine (block of the item) and, a row each, i <= j: the pairs of blocks of its group that it belongs to.
+
+    A group of m items has ceil(m / block) blocks. Only groups of several blocks are named, once for each
+    salt; rows meet them by group and salt together, so a crowded group is many tasks.
+    """
+    sizes = members.groupBy(F.col(key).alias("_k")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_blocks")).where("_blocks > 1")
+    sizes = sizes.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = members.withColumn("_salt", F.pmod(F.xxhash64(F.lit("salt"), item), F.lit(salts)).cast("int"))
+    cut = salted.join(sizes, (F.col(key) == F.col("_k")) & (F.col("_salt") == F.col("_s")), "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1))).drop("_k", "_s", "_salt")
+    cut = cut.withColumn("mine", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    return cut.withColumns({"i": F.least("mine", "_other"), "j": F.greatest("mine", "_other")}).drop("_other", "_blocks")
+
+
+def are_stars(e: DataFrame) -> bool:
+    """Does each end u of edges (u, v) have one edge, to a v that has none of its own? Then every component is a star and v its label."""
+    out, into = e.select(F.col("u").alias("x"), F.lit(1).alias("o"), F.lit(0).alias("i")), e.select(F.col("v").alias("x"), F.lit(0).alias("o"), F.lit(1).alias("i"))
+    ends = out.unionByName(into).groupBy("x").agg(F.sum("o").alias("o"), F.max("i").alias("i"))
+    return ends.where("o > 1 OR (o > 0 AND i > 0)").isEmpty()
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, label) for each end of an edge (a, b); label is the smallest id that can be reached.
 
     Alternates large-star and small-star steps, which keep the number of edges linear and end in
-    O(log^2) rounds; each round is a few shuffles, and its edges are written to the shared folder.
-    Components that are not final after max_rounds are an error, never a partial result.
+    O(log^2) rounds; each round is a few shuffles, and its edges are written to the shared folder. It
+    ends as soon as all components are stars. Components that are not final after max_rounds are an
+    error, never a partial result.
     """
-    e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e, before = materialize(e), None
+    e = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     for _ in range(max_rounds):
+        if are_stars(e):
+            break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
@@ -118,11 +141,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         e = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     else:
-        raise RuntimeError(f"components are not final after {max_rounds} rounds")
+        if not are_stars(e):
+            raise RuntimeError(f"components are not final after {max_rounds} rounds")
     roots = e.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()
     return e.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(roots)

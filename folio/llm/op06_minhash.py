@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import connected_components, materialize, table
+from folio.llm.common import connected_components, dealt_in_blocks, materialize, table
 from folio.llm.kernels import list_array, mix, shingle_sets
 
 WORDS = 5
@@ -141,9 +141,7 @@ def block_links(members: DataFrame, sets: DataFrame, per_cent: int, block: int =
     compared exactly by one product of 0/1 matrices over the shingles that occur twice; what comes out is
     a spanning edge for each row, not the pairs.
     """
-    sizes = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    cut = members.join(sizes, "band").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = cut.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node").join(sets, "node")
+    cut = dealt_in_blocks(members, "band", "node", block).select("band", "i", "j", "node").join(sets, "node")
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         nodes, rows = pdf["node"].to_numpy(), [np.asarray(x, np.int64) for x in pdf["set"]]
@@ -252,6 +250,8 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     return others.unionByName(repeated).drop("_near_id", "_near_key")
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 #: The same groups in DuckDB: all pairs that share a shingle, compared exactly, then the ids that links reach.
@@ -266,5 +266,3 @@ r AS (SELECT DISTINCT a AS id, a AS root FROM e UNION SELECT e.b, r.root FROM r
 k AS (SELECT id, min(root) AS root FROM r GROUP BY 1)
 SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, coalesce(k.root, n.doc_id) AS component_id, coalesce(k.root, n.doc_id) = n.doc_id AS kept FROM n LEFT JOIN k ON k.id = n.doc_id
 """
-def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folio.llm.common import connected_components, materialize, table
+from folio.llm.common import connected_components, dealt_in_blocks, materialize, table
 
 COSINE = 0.95
 PROJECTIONS = 64
@@ -154,14 +154,6 @@ def close_pairs(pairs: DataFrame, rows: DataFrame, cosine: float) -> DataFrame:
     return both.select("a", "b", "va", "vb").mapInArrow(run, "a long, b long")
 
 
-def blocks_of(members: DataFrame, key: str, block: int) -> DataFrame:
-    """members dealt for all pairs of blocks (i <= j) of their group: columns i, j and mine, the block of the row itself."""
-    sizes = members.groupBy(F.col(key).alias("_k")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_blocks"))
-    cut = members.join(sizes, F.col(key) == F.col("_k")).drop("_k")
-    cut = cut.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    return cut.withColumns({"i": F.least("mine", "_other"), "j": F.greatest("mine", "_other")}).drop("_other", "_blocks")
-
-
 def sides(pdf: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, pd.DataFrame, np.ndarray]]:
     """(rows of block i, rows of block j, cosines) of a pair of blocks: lengths apart, a strip of block i at a time."""
     i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
@@ -177,7 +169,7 @@ def sides(pdf: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, pd.DataFrame, np.nd
 
 def crowded_links(members: DataFrame, rows: DataFrame, cosine: float, block: int) -> DataFrame:
     """Edges (a, b) between components that meet in crowded cells (cell, id, label): one for a vector and a component at most, no pairs."""
-    cut = blocks_of(members, "cell", block).join(rows.select("id", "v"), "id")
+    cut = dealt_in_blocks(members, "cell", "id", block).join(rows.select("id", "v"), "id")
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -203,7 +195,7 @@ def link_counts(rows: DataFrame, labels: DataFrame, cosine: float, block: int =
                 out.append(pd.DataFrame({"id": right["id"], "linked": left["n"].to_numpy() @ hit}))
         return pd.concat(out).groupby("id", as_index=False).sum()
 
-    return blocks_of(named, "label", block).groupBy("label", "i", "j").applyInPandas(count, "id long, linked long").groupBy("id").agg(F.sum("linked").alias("linked"))
+    return dealt_in_blocks(named, "label", "id", block).groupBy("label", "i", "j").applyInPandas(count, "id long, linked long").groupBy("id").agg(F.sum("linked").alias("linked"))
 
 
 def window_pairs(members: DataFrame, half: float, most: int) -> DataFrame:
@@ -263,6 +255,14 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     counts = link_counts(rows, labels, cosine, block)
     known = classes.join(labels, F.col("class") == F.col("id"), "left").drop("id").join(counts, F.col("class") == F.col("id"), "left")
     known = known.select("_a", "_b", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("label", "class").alias("component"))
+    known = one.select(F.col("id").alias("_n"), "_a", "_b").join(known, ["_a", "_b"])
+    out = every.join(known, F.col("id") == F.col("_n"), "left")
+    component = F.coalesce("component", "id")
+    return out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+
+
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
 #: The same links in DuckDB: all pairs by cosine, then the ids that links reach.
@@ -273,11 +273,3 @@ r AS (SELECT DISTINCT a AS id, a AS root FROM l UNION SELECT l.b, r.root FROM r
 k AS (SELECT id, min(root) AS root FROM r GROUP BY 1), c AS (SELECT a, count(*) AS n FROM l GROUP BY 1)
 SELECT v.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, coalesce(k.root, v.vec_id) AS component_id, coalesce(k.root, v.vec_id) = v.vec_id AS kept FROM v LEFT JOIN k ON k.id = v.vec_id LEFT JOIN c ON c.a = v.vec_id
 """
-    known = one.select(F.col("id").alias("_n"), "_a", "_b").join(known, ["_a", "_b"])
-    out = every.join(known, F.col("id") == F.col("_n"), "left")
-    component = F.coalesce("component", "id")
-    return out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
-
-
-def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")

@@ -50,3 +50,17 @@ def test_near_copies_go_by_row(spark):
     left = sorted(((r["doc_id"], (r["text"] or "").lower()) for r in out.collect()), key=repr)
     assert left == sorted([(3, B), (5, A), (9, C), (None, "only here once"), (4, ""), (4, ""), (6, "")], key=repr)
     assert op06_minhash.without_near_duplicates(docs_of(spark, rows).limit(0)).count() == 0
+
+
+def test_components_end_at_stars(spark):
+    from folio.llm.common import are_stars, connected_components
+
+    frame = lambda pairs, names: spark.createDataFrame(pairs, ", ".join(f"{n} long" for n in names))
+    assert are_stars(frame([(5, 1), (6, 1), (9, 2)], "uv"))
+    assert not are_stars(frame([(5, 1), (5, 2)], "uv")) and not are_stars(frame([(5, 3), (3, 1)], "uv"))
+    got = {r["id"]: r["label"] for r in connected_components(frame([(k, k + 1) for k in range(50)] + [(100, 7), (200, 201), (8, 8)], "ab")).collect()}
+    assert got == {**dict.fromkeys(range(51), 0), 100: 0, 200: 200, 201: 200}
+    import pytest
+
+    with pytest.raises(RuntimeError):
+        connected_components(frame([(k, k + 1) for k in range(50)], "ab"), 1)
