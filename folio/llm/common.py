@@ -11,10 +11,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+BATCH_ROWS = 2000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_ROWS rows, unless the session sets its own number.
+
+    At Spark's default of 10 000 rows a batch of texts takes tens of megabytes on both sides of each
+    Python worker; the operators work through a batch in chunks anyway, so small ones cost nothing.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster, spark.checkpoint.dir.
 

@@ -26,6 +26,8 @@ SIGNATURE = "id long, text_key long, n_shingles long, node long, " + ", ".join(f
 
 #: Buckets up to this size emit their pairs; larger ones are compared in blocks of BLOCK rows inside tasks.
 SMALL, BLOCK = 48, 384
+#: Shingles of a pair of blocks that are looked at together.
+PASS = 1 << 20
 MAP_BITS = 25
 
 
@@ -146,18 +148,21 @@ def block_links(members: DataFrame, sets: DataFrame, per_cent: int, block: int =
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         nodes, rows = pdf["node"].to_numpy(), [np.asarray(x, np.int64) for x in pdf["set"]]
         size = np.array([len(r) for r in rows])
-        values, at, seen = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
-        use = seen[at] > 1
-        column = np.cumsum(seen > 1) - 1
-        row = np.repeat(np.arange(len(rows)), size)[use]
         common = np.zeros((len(rows), len(rows)), np.float32)
-        order = np.argsort(column[at[use]], kind="stable")
-        row, col = row[order], column[at[use]][order]
-        for first in range(0, int(col.max(initial=-1)) + 1, 4096):
-            a, z = np.searchsorted(col, [first, first + 4096])
-            m = np.zeros((len(rows), 4096), np.float32)
-            m[row[a:z], col[a:z] - first] = 1
-            common += m @ m.T
+        passes = -(-int(size.sum()) // PASS)
+        for p in range(passes):  # shingles by their remainder, so the temporaries stay small however long the texts are
+            parts = [r[r % passes == p] for r in rows] if passes > 1 else rows
+            values, at, seen = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+            use = seen[at] > 1
+            column = np.cumsum(seen > 1) - 1
+            row = np.repeat(np.arange(len(rows)), [len(r) for r in parts])[use]
+            order = np.argsort(column[at[use]], kind="stable")
+            row, col = row[order], column[at[use]][order]
+            for first in range(0, int(col.max(initial=-1)) + 1, 4096):
+                a, z = np.searchsorted(col, [first, first + 4096])
+                m = np.zeros((len(rows), 4096), np.float32)
+                m[row[a:z], col[a:z] - first] = 1
+                common += m @ m.T
         near = 100 * common >= per_cent * (size[:, None] + size[None, :] - common)
         label = np.arange(len(rows))
         while True:

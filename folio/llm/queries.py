@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import corpus_pipeline
 from folio.llm import op01_language, op02_packing, op03_substrings, op04_quality, op05_mixing, op06_minhash, op07_embeddings, op08_secrets, op09_tokens, op10_neighbours
+from folio.llm.common import small_batches
+
+
+def tuned(f):
+    """f in a session with small Arrow batches."""
+
+    @wraps(f)
+    def run(spark, sf_dir):
+        small_batches(spark)
+        return f(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict:
-    return {
+    every = {
         "op1_language": op01_language.op1_language,
         "op2_packing": op02_packing.op2_packing,
         "op3_substrings": op03_substrings.op3_substrings,
@@ -20,6 +34,7 @@ def queries() -> dict:
         "op10_neighbours": op10_neighbours.op10_neighbours,
         "pipeline": corpus_pipeline.run,
     }
+    return {name: tuned(f) for name, f in every.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -66,8 +66,9 @@ def near_copies(seed=3):
 def test_minhash_against_all_pairs(spark, monkeypatch):
     texts = [*ODD, *near_copies()]
     n, label = components(texts)
-    for small in (48, 3):  # the second sends most buckets through the blocks
+    for small, at_once in ((48, 1 << 20), (3, 1000)):  # the second sends most buckets through the blocks, in passes
         monkeypatch.setattr(op06_minhash, "SMALL", small)
+        monkeypatch.setattr(op06_minhash, "PASS", at_once)
         got = {r["id"]: r for r in op06_minhash.near_duplicates(docs_of(spark, texts)).collect()}
         assert len(got) == len(texts)
         assert [got[i]["n_shingles"] for i in range(len(texts))] == n
