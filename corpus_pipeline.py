@@ -8,11 +8,13 @@ rows with one doc_id from stage 4 on.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm import op02_packing, op04_quality, op05_mixing, op06_minhash, op08_secrets
-from folio.llm.common import materialize, table
+from folio.llm.common import materialize, small_batches, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -54,7 +56,18 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op02_packing.pack_documents(docs).withColumnRenamed("id", "doc_id")
 
 
-STAGES = [("quality", quality), ("near_dedup", near_dedup), ("secrets", secrets), ("mixing", mixing), ("packing", packing)]
+def _stage(f):
+    """A stage in a session with small Arrow batches."""
+
+    @wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return f(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(f.__name__, _stage(f)) for f in (quality, near_dedup, secrets, mixing, packing)]
 
 #: Tokenising and the trained classifier are not expressible in SQL; tests/llm holds each stage against a plain version.
 ORACLE_SQL = None
