@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 
 BATCH_ROWS = 2000
+MAP_BITS = 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +77,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def marked(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """df with _marked: false only if `key` is none of `keys` (their only column), without a shuffle of df.
+
+    The keys go into a bitmap of 2**MAP_BITS places, made by Spark and broadcast: at most 2**(MAP_BITS - 6)
+    rows of 16 bytes however many keys there are. Some other rows are marked too; joins drop them.
+    """
+    place = lambda c: F.pmod(F.xxhash64(F.lit("mark"), c), F.lit(1 << MAP_BITS))
+    p = keys.select(place(F.col(keys.columns[0])).alias("_p"))
+    words = p.groupBy(F.shiftright("_p", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, int(_p & 63))")).alias("_bits"))
+    found = df.withColumn("_p", place(key)).join(F.broadcast(words), F.shiftright("_p", 6) == F.col("_word"), "left")
+    return found.withColumn("_marked", F.coalesce(F.expr("_bits & shiftleft(1L, int(_p & 63))") != 0, F.lit(False))).drop("_p", "_word", "_bits")
+
+
 def valid_id(col: str) -> Column:
     return F.col(col).cast("long")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import wraps
 
 import corpus_pipeline
-from folio.llm import op01_language, op02_packing, op03_substrings, op04_quality, op05_mixing, op06_minhash, op07_embeddings, op08_secrets, op09_tokens, op10_neighbours
+from folio.llm import op01_language, op02_packing, op03_substrings, op04_quality, op05_mixing, op06_minhash, op07_embeddings, op08_secrets, op09_tokens, op10_neighbours, op11_conversations, op12_alignment, op13_suffixes
 from folio.llm.common import small_batches
 
 
@@ -32,6 +32,9 @@ def queries() -> dict:
         "op8_secrets": op08_secrets.op8_secrets,
         "op9_tokens": op09_tokens.op9_tokens,
         "op10_neighbours": op10_neighbours.op10_neighbours,
+        "op11_conversations": op11_conversations.op11_conversations,
+        "op12_alignment": op12_alignment.op12_alignment,
+        "op13_suffixes": op13_suffixes.op13_suffixes,
         "pipeline": corpus_pipeline.run,
     }
     return {name: tuned(f) for name, f in every.items()}
