@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folio.llm.common import table
+from folio.llm.common import materialize, table
 
 #: White space and the marks that end a turn (fixed values).
 SPACE = " \t\n\x0b\x0c\r"
@@ -24,114 +23,161 @@ STEP = {(START, "s"): SYSTEM, (START, "u"): USER, (SYSTEM, "u"): USER, (USER, "a
 ACCEPTED = (START, ASSISTANT)
 ROLES = {"u": "user", "a": "assistant"}
 LEGAL = ("su", "ua", "au")
-#: Rows whose lattice is searched at once.
-STRETCH = 256
-SOUND, CUT, GONE = "sound", "truncated", "mandatory"
-
-
-def search(rows: list[tuple[str, str]], begin: dict[int, tuple[int, str]], last: bool) -> dict[int, tuple[int, str]]:
-    """The cheapest edits of rows (initial, fault) from each state of `begin` (cost and audit so far): for each state at the end its cost and audit.
-
-    Nodes are (row, state). The heuristic is the sum of what the rows ahead cannot avoid: a deletion
-    of each blank or repeated one, a charge of each truncated one; it never sinks by more than an edit
-    costs, so a node is final when it is taken from the queue. The queue is keyed (cost + heuristic,
-    audit): audits that lead to one node at one cost never are prefixes of each other (a longer one
-    has paid for an insertion), so the least audit to a node stays the least of all that pass it. With `last` the search stops
-    at the first accepted end, which is the cheapest one with the least audit.
+#: Rows whose lattice is searched at once, and characters of a conversation that are held until its edits are known.
+STRETCH, HOLD = 256, 1 << 22
+SOUND, CUT, GONE = range(3)
+MUST = {SOUND: 0, CUT: TRUNCATED, GONE: DELETE}
+INITIALS = "sua"
+
+
+def to_go(codes: bytes, states: int = 4) -> dict[int, list[int]]:
+    """The least cost from each state to the end, before the first row of each stretch but the first; codes are 4 * initial + fault a row."""
+    cost = [0, 2 * INSERT, INSERT, 0]  # START, SYSTEM, USER, ASSISTANT at the end
+    out = {}
+    for i in range(len(codes) - 1, STRETCH - 1, -1):
+        at, fault = divmod(codes[i], 4)
+        now = [c + DELETE for c in cost]
+        if fault != GONE:
+            charge = TRUNCATED * (fault == CUT)
+            for (state, role), to in STEP.items():
+                keep = KEEP if at < 3 and INITIALS[at] == role else REROLE if role in ROLES else None
+                if keep is not None:
+                    now[state] = min(now[state], cost[to] + keep + charge)
+        for _ in range(states):
+            for (state, role), to in STEP.items():
+                if role in ROLES:
+                    now[state] = min(now[state], now[to] + INSERT)
+        cost = now
+        if i % STRETCH == 0:
+            out[i] = cost
+    return out
+
+
+def search(codes: bytes, state: int, then: list[int] | None) -> tuple[int, str, int]:
+    """(cost, audit, state at the end): the cheapest edits of rows from a state, of these the one with the least audit.
+
+    Nodes of the lattice are (row, state). The heuristic is the sum of what the rows ahead cannot avoid:
+    a deletion of each blank or repeated one, a charge of each truncated one; it never sinks by more
+    than an edit costs, so a node is final when it is taken from the queue. The queue is keyed (cost +
+    heuristic, audit): audits that lead to one node at one cost never are prefixes of each other (a
+    longer one has paid for an insertion), so the least audit to a node stays the least of all that
+    pass it. `then` has the least cost from each state on, for rows that others follow; insertions
+    behind the last of them belong to those. Without it the rows end the conversation, in an accepted state.
     """
-    n = len(rows)
+    n = len(codes)
     ahead = [0] * (n + 1)
     for i in range(n - 1, -1, -1):
-        ahead[i] = ahead[i + 1] + {SOUND: 0, CUT: TRUNCATED, GONE: DELETE}[rows[i][1]]
-    queue = [(cost + ahead[0], audit, 0, state) for state, (cost, audit) in begin.items()]
-    heapq.heapify(queue)
+        ahead[i] = ahead[i + 1] + MUST[codes[i] % 4]
+    queue = [(ahead[0], "", 0, state)]
     done: set[tuple[int, int]] = set()
-    ends: dict[int, tuple[int, str]] = {}
-    while queue:
+    while True:
         f, audit, i, state = heapq.heappop(queue)
+        if i > n:
+            return f - (then[state] if then else 0), audit, state
         if (i, state) in done:
             continue
         done.add((i, state))
         cost = f - ahead[i]
         if i == n:
-            ends[state] = (cost, audit)
-            if last and state in ACCEPTED:
-                return {state: ends[state]}
+            if then:
+                heapq.heappush(queue, (cost + then[state], audit, n + 1, state))
+                continue
+            if state in ACCEPTED:
+                heapq.heappush(queue, (cost, audit, n + 1, state))
         else:
-            initial, fault = rows[i]
+            at, fault = divmod(codes[i], 4)
             heapq.heappush(queue, (cost + DELETE + ahead[i + 1], audit + "D", i + 1, state))
             if fault != GONE:
-                base = cost + (TRUNCATED if fault == CUT else 0) + ahead[i + 1]
-                if (state, initial) in STEP:
-                    heapq.heappush(queue, (base + KEEP, audit + "K", i + 1, STEP[state, initial]))
+                base = cost + TRUNCATED * (fault == CUT) + ahead[i + 1]
+                if at < 3 and (state, INITIALS[at]) in STEP:
+                    heapq.heappush(queue, (base + KEEP, audit + "K", i + 1, STEP[state, INITIALS[at]]))
                 for role in ROLES:
                     if (state, role) in STEP:
                         heapq.heappush(queue, (base + REROLE, audit + "R", i + 1, STEP[state, role]))
         for role in ROLES:
             if (state, role) in STEP:
                 heapq.heappush(queue, (f + INSERT, audit + "I", i, STEP[state, role]))
-    return ends
+
+
+def cheapest(codes: bytes) -> tuple[int, str]:
+    """(cost, audit) of all rows: stretch by stretch, each on its way to what is cheapest in the end."""
+    then, cost, audits, state = to_go(codes), 0, [], START
+    for i in range(0, max(1, len(codes)), STRETCH):
+        part, audit, state = search(codes[i : i + STRETCH], state, then.get(i + STRETCH))
+        cost += part
+        audits.append(audit)
+    return cost, "".join(audits)
+
+
+class Lines:
+    """The sha256 of the repaired lines, from the audit and the rows in order."""
+
+    def __init__(self, audit: str):
+        self.audit, self.at, self.hash, self.lines, self.next = audit, 0, hashlib.sha256(), 0, "u"
+
+    def _line(self, role: str, text: str) -> None:
+        self.hash.update((("\n" if self.lines else "") + f"{role}:{text}").encode())
+        self.lines += 1
+        self.next = "a" if role[:1] == "u" else "u"
+
+    def inserted(self) -> None:
+        while self.audit[self.at : self.at + 1] == "I":
+            self._line(ROLES[self.next], "")
+            self.at += 1
+
+    def row(self, role: str, text: str) -> None:
+        self.inserted()
+        edit = self.audit[self.at]
+        self.at += 1
+        if edit != "D":
+            self._line(role if edit == "K" else ROLES[self.next], text)
+
+    def digest(self) -> str:
+        self.inserted()
+        return self.hash.hexdigest()
 
 
 class Repair:
-    """One conversation, given row by row in order; what all cheapest ways agree on is hashed and let go."""
-
-    def __init__(self) -> None:
-        self.ends = {START: (0, "")}
-        self.rows: list[tuple[str, str]] = []
-        self.held: list[tuple[str, str]] = []  # role and text of the rows whose edits are not settled
-        self.audit: list[str] = []
-        self.hash, self.lines, self.next = hashlib.sha256(), 0, "u"
+    """One conversation, given row by row in order. A long one keeps a byte a row; its lines are hashed in a second pass."""
+
+    def __init__(self, hold: int = HOLD) -> None:
+        self.codes, self.hold = bytearray(), hold
+        self.held: list[tuple[str, str]] | None = []
+        self.size = 0
         self.counts = {"blank": 0, "duplicate": 0, "truncated": 0}
         self.illegal, self.before = 0, None
-        self.low = self.high = self.turn = None
+        self.low = self.high = None
         self.turns = 0
 
     def row(self, turn: int | None, role: str, text: str, fault: str | None) -> None:
-        if turn is not None and turn != self.turn:
+        if turn is not None and turn != self.high:
             self.low = turn if self.low is None else self.low
-            self.high = self.turn = turn
+            self.high = turn
             self.turns += 1
         initial = role[:1]
         self.illegal += self.before is not None and self.before + initial not in LEGAL
         self.before = initial
         if fault:
             self.counts[fault] += 1
-        self.rows.append((initial, GONE if fault in ("blank", "duplicate") else CUT if fault else SOUND))
-        self.held.append((role, text))
-        if len(self.rows) == STRETCH:
-            self.ends = search(self.rows, self.ends, last=False)
-            self.rows = []
-            self._settle(os.path.commonprefix([audit for _, audit in self.ends.values()]))
-
-    def _line(self, role: str, text: str) -> None:
-        self.hash.update((("\n" if self.lines else "") + f"{role}:{text}").encode())
-        self.lines += 1
-        self.next = "a" if role[:1] == "u" else "u"
-
-    def _settle(self, audit: str) -> None:
-        """Apply the edits that are certain to the first rows held."""
-        k = 0
-        for edit in audit:
-            if edit == "I":
-                self._line(ROLES[self.next], "")
-                continue
-            role, text = self.held[k]
-            k += 1
-            if edit == "K":
-                self._line(role, text)
-            elif edit == "R":
-                self._line(ROLES[self.next], text)
-        del self.held[:k]
-        self.audit.append(audit)
-        self.ends = {state: (cost, a[len(audit) :]) for state, (cost, a) in self.ends.items()}
+        at = INITIALS.find(initial) if initial else -1
+        self.codes.append(4 * (at if at >= 0 else 3) + (SOUND if fault is None else CUT if fault == "truncated" else GONE))
+        self.size += len(text) + 64
+        if self.size > self.hold:
+            self.held = None
+        elif self.held is not None:
+            self.held.append((role, text))
 
     def result(self) -> tuple:
-        """(gaps, blank, duplicate, truncated, illegal, cost, audit, sha256)"""
-        ((cost, audit),) = search(self.rows, self.ends, last=True).values()
-        self._settle(audit)
+        """(gaps, blank, duplicate, truncated, illegal, cost, audit, sha256), the last one null for a long conversation."""
+        cost, audit = cheapest(bytes(self.codes))
         gaps = 0 if self.low is None else self.high - self.low + 1 - self.turns
-        return gaps, *self.counts.values(), self.illegal, cost, "".join(self.audit), self.hash.hexdigest()
+        sha = None
+        if self.held is not None:
+            lines = Lines(audit)
+            for role, text in self.held:
+                lines.row(role, text)
+            sha = lines.digest()
+        return gaps, *self.counts.values(), self.illegal, cost, audit, sha
 
 
 SCHEMA = "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
@@ -158,7 +204,30 @@ def fault(text: str = "text", nth: str = "nth") -> Column:
     return F.when(body == "", "blank").when(F.col(nth) > 1, "duplicate").when(~F.right(body, F.lit(1)).isin(*MARKS), "truncated")
 
 
-def repaired(rows: DataFrame) -> DataFrame:
+def _streamed(schema: str, begin, step, end):
+    """A function of sorted Arrow batches that opens a state at each new conversation, gives it the rows one by one and yields what is left of it."""
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+    types = [pa.string() if f.endswith("string") else pa.int64() for f in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, state, out = None, None, []
+        for batch in batches:
+            for this, *row in zip(*(batch.column(k).to_pylist() for k in range(batch.num_columns)), strict=True):
+                if state is None or this != conv:
+                    if state is not None:
+                        out.append((conv, *end(state)))
+                    conv, state = this, begin()
+                step(state, *row)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+                out = []
+        if state is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip((conv, *end(state)), types, strict=True)], names=names)
+
+    return run
+
+
+def repaired(rows: DataFrame, hold: int = HOLD) -> DataFrame:
     """One row a conversation of rows (conv_id, turn, role, text, live): gaps, faults, the cheapest edits and the sha256 of what they give.
 
     Edits make the role initials `(s?(ua)+)?`: K keeps a row (0), R makes it user or assistant (2), D
@@ -166,47 +235,39 @@ def repaired(rows: DataFrame) -> DataFrame:
     truncated row that stays costs 1 more. The audit is the edits in order, the least in ASCII among the cheapest.
 
     Rows of a conversation are sorted by turn (null first); rows of one turn by role and text, so ties
-    have one result. They stream through the task that holds the conversation: stretches of rows are
-    searched with all states they may end in, and rows whose edits all ends agree on are hashed and
-    let go, so a conversation of any length takes the memory of a stretch. It stays one task, as a
-    sha256 of its lines is made from first to last; repeated rows are found beforehand by a window
-    over its distinct turns. An empty or unknown role has no place in the order and is never kept as it
+    have one result. They stream through the task that holds the conversation, which keeps a byte a
+    row; the lattice is searched in stretches, with the least costs from the next one on. Texts are
+    kept up to `hold` characters; the lines of longer conversations are hashed as their rows stream by a
+    second time, behind their audit. So a conversation of any length takes little memory. It stays one
+    task, as a sha256 of its lines is made from first to last; repeated rows are found by a window
+    over equal rows before. An empty or unknown role has no place in the order and is never kept as it
     is. A conversation whose rows all are dropped has zeros, an empty audit and the hash of the empty
     string; a null conv_id is a conversation of its own; an empty table gives an empty result.
     """
-    dealt = rows.select("conv_id", "turn", "role", "text", "live").repartition("conv_id")
-    order = [F.col("turn").asc_nulls_first(), "role", "text"]
+    rows = rows.select("conv_id", "turn", "role", "text", "live")
+    conv, order = F.col("conv_id").asc_nulls_first(), [F.col("turn").asc_nulls_first(), "role", "text"]
     same = Window.partitionBy("conv_id", "live", "role", F.xxhash64("text"), F.crc32(F.col("text").cast("binary")), F.length("text")).orderBy("turn")
-    marked = dealt.withColumn("nth", F.row_number().over(same)).withColumn("fault", fault()).drop("nth")
-    marked = marked.sortWithinPartitions(F.col("conv_id").asc_nulls_first(), F.desc("live"), *order)
+    told = rows.repartition("conv_id").withColumn("nth", F.row_number().over(same)).withColumn("fault", fault()).drop("nth").sortWithinPartitions(conv, F.desc("live"), *order)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split(" ")[0] for f in SCHEMA.split(", ")]
-        types = [pa.string() if f.endswith("string") else pa.int64() for f in SCHEMA.split(", ")]
-        conv, open_ = None, None
-        out: list[tuple] = []
+    def step(state: Repair, turn, role, text, live, fault) -> None:
+        if live:
+            state.row(turn, role, text, fault)
 
-        def flush() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
-            out.clear()
-            return made
+    first = materialize(told.mapInArrow(_streamed(SCHEMA, lambda: Repair(hold), step, Repair.result), SCHEMA))
+    long = first.where("repaired_sha256 IS NULL").select(F.col("conv_id").alias("_c"), "audit")
+    mine = rows.where("live").join(long, F.col("conv_id").eqNullSafe(F.col("_c")), "left_semi").select("conv_id", F.lit(1).alias("kind"), "turn", "role", "text")
+    heads = long.select(F.col("_c").alias("conv_id"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("turn"), F.lit("").alias("role"), F.col("audit").alias("text"))
 
-        for batch in batches:
-            ids, turns, roles, texts, lives, faults = (batch.column(k).to_pylist() for k in range(6))
-            for k, this in enumerate(ids):
-                if open_ is None or this != conv:
-                    if open_ is not None:
-                        out.append((conv, *open_.result()))
-                    conv, open_ = this, Repair()
-                if lives[k]:
-                    open_.row(turns[k], roles[k], texts[k], faults[k])
-            if out:
-                yield flush()
-        if open_ is not None:
-            out.append((conv, *open_.result()))
-            yield flush()
+    def line(state: list, kind, turn, role, text) -> None:
+        if kind == 0:
+            state.append(Lines(text))
+        else:
+            state[0].row(role, text)
 
-    return marked.select("conv_id", "turn", "role", "text", "live", "fault").mapInArrow(run, SCHEMA)
+    streamed = heads.unionByName(mine).repartition("conv_id").sortWithinPartitions(conv, "kind", *order)
+    hashed = streamed.mapInArrow(_streamed("conv_id long, sha string", list, line, lambda state: (state[0].digest(),)), "conv_id long, sha string")
+    both = first.where("repaired_sha256 IS NULL").join(hashed.withColumnRenamed("conv_id", "_c"), F.col("conv_id").eqNullSafe(F.col("_c")))
+    return first.where("repaired_sha256 IS NOT NULL").unionByName(both.withColumn("repaired_sha256", F.col("sha")).select(first.columns))
 
 
 def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
