@@ -129,13 +129,17 @@ def bucketed_running_sum(df: DataFrame, group: str, order: list[Column], share:
     return joined.withColumn("run_before", F.col("_base") + F.col("_in")).drop("_g", "_b", "_bucket", "_in", "_base")
 
 
-def dealt_in_blocks(members: DataFrame, key: str, item: str, block: int, salts: int = 32) -> DataFrame:
+def dealt_in_blocks(members: DataFrame, key: str, item: str, block: int, salts: int = 32, weight: str | None = None, heavy: int = 0) -> DataFrame:
     """members with mine (block of the item) and, a row each, i <= j: the pairs of blocks of its group that it belongs to.
 
-    A group of m items has ceil(m / block) blocks. Only groups of several blocks are named, once for each
+    A group of m items has ceil(m / block) blocks; with a `weight` it has more, so that a block weighs about
+    `heavy` at most where its items allow. Only groups of several blocks are named, once for each
     salt; rows meet them by group and salt together, so a crowded group is many tasks.
     """
-    sizes = members.groupBy(F.col(key).alias("_k")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_blocks")).where("_blocks > 1")
+    blocks = F.ceil(F.count(F.lit(1)) / block)
+    if weight:
+        blocks = F.least(F.count(F.lit(1)), F.greatest(blocks, F.ceil(F.sum(weight) / heavy)))
+    sizes = members.groupBy(F.col(key).alias("_k")).agg(blocks.cast("int").alias("_blocks")).where("_blocks > 1")
     sizes = sizes.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = members.withColumn("_salt", F.pmod(F.xxhash64(F.lit("salt"), item), F.lit(salts)).cast("int"))
     cut = salted.join(sizes, (F.col(key) == F.col("_k")) & (F.col("_salt") == F.col("_s")), "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1))).drop("_k", "_s", "_salt")

@@ -111,7 +111,7 @@ def long_chunks(row: int, b: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """id, start, end, words, chunks, first_id, copy: one row a repeated passage of a document.
+    """id, text_key, start, end, words, chunks, first_id, copy: one row a repeated passage of a text; text_key is a hash of the text.
 
     A chunk repeats if its digest occurs in two documents or more. Neighbouring repeated chunks make a
     passage; passages of `min_words` words or more are returned. A chunk is some six words on average
@@ -124,15 +124,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     in a join that Spark may split where it is skewed.
 
     Null and empty texts have no chunks. A null id is left out; rows that repeat an id are one
-    document, so equal rows repeat nothing; a passage that stands twice in one document only is none.
+    document, so equal rows repeat nothing and other texts of an id do not repeat each other, but each text has
+    passages of its own; a passage that stands twice in one document only is none.
     Texts of any length are cut whole, long ones in windows; an empty table gives an empty result. Only the two named columns are read.
     """
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
+    d = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).where("id IS NOT NULL")
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for row, *_, h in chunk_table(batch.column(1)):
+            for row, *_, h in chunk_table(batch.column(2)):
                 of = ids[row]
                 s = np.lexsort((of, h))
                 h, of = h[s], of[s]
@@ -142,24 +143,24 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for row, k, s, e, n, h in chunk_table(batch.column(1)):
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[row]), *[pa.array(x.astype(np.int32)) for x in (k, s, e, n)]], names=["digest", "id", "k", "start", "end", "words"])
+            ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for row, k, s, e, n, h in chunk_table(batch.column(2)):
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[row]), pa.array(keys[row]), *[pa.array(x.astype(np.int32)) for x in (k, s, e, n)]], names=["digest", "id", "text_key", "k", "start", "end", "words"])
 
     shared = d.mapInArrow(digests, "digest long, lo long, hi long").groupBy("digest").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("digest", "lo")
-    found = d.mapInArrow(chunks, "digest long, id long, k int, start int, end int, words int").join(shared, "digest").dropDuplicates(["id", "k", "start", "end"])
-    found = materialize(found.select("id", "k", "start", "end", "words", "lo"))
-    run = F.col("k") - F.row_number().over(Window.partitionBy("id").orderBy("k", "start", "end"))
-    spans = found.withColumn("run", run).groupBy("id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count(F.lit(1)).alias("chunks"), F.min("lo").alias("first_id"))
-    return spans.where(F.col("words") >= min_words).select("id", "start", "end", "words", "chunks", "first_id", (F.col("first_id") < F.col("id")).alias("copy"))
+    found = d.mapInArrow(chunks, "digest long, id long, text_key long, k int, start int, end int, words int").join(shared, "digest").dropDuplicates(["id", "text_key", "k"])
+    found = materialize(found.select("id", "text_key", "k", "start", "end", "words", "lo"))
+    run = F.col("k") - F.row_number().over(Window.partitionBy("id", "text_key").orderBy("k"))
+    spans = found.withColumn("run", run).groupBy("id", "text_key", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count(F.lit(1)).alias("chunks"), F.min("lo").alias("first_id"))
+    return spans.where(F.col("words") >= min_words).select("id", "text_key", "start", "end", "words", "chunks", "first_id", (F.col("first_id") < F.col("id")).alias("copy"))
 
 
 def without_copies(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with the passages marked copy cut out of text_col; the first document keeps its own.
 
-    A null text stays null; rows without spans, and rows without an id, stay as they are; rows that
-    repeat an id are cut at the same places, so they must be equal. An empty table gives an empty
-    result; other columns pass through.
+    A null text stays null; rows without spans, and rows without an id, stay as they are; each text of an
+    id that rows repeat is cut at its own places. An empty table gives an empty result; other columns
+    pass through.
     """
 
     @F.pandas_udf("string")
@@ -177,8 +178,9 @@ def without_copies(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", te
 
         return pd.Series([one(t, c) for t, c in zip(texts, cuts, strict=True)])
 
-    by = spans.where("copy").groupBy(F.col("id").alias("_cut_id")).agg(F.collect_list(F.struct("start", "end")).alias("_cuts"))  # no more than a document has
-    return docs.join(by, F.col(id_col) == F.col("_cut_id"), "left").withColumn(text_col, cut(F.col(text_col), F.col("_cuts"))).drop("_cut_id", "_cuts")
+    by = spans.where("copy").groupBy(F.col("id").alias("_cut_id"), F.col("text_key").alias("_cut_key")).agg(F.collect_list(F.struct("start", "end")).alias("_cuts"))  # no more than a document has
+    both = docs.join(by, (F.col(id_col) == F.col("_cut_id")) & (F.xxhash64(text_col) == F.col("_cut_key")), "left")
+    return both.withColumn(text_col, cut(F.col(text_col), F.col("_cuts"))).drop("_cut_id", "_cut_key", "_cuts")
 
 
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -210,14 +210,19 @@ def fit(x: np.ndarray, y: np.ndarray) -> Additive:
 def _features(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(document_features(batch.column(1)).tolist(), pa.list_(pa.float64())), batch.column(2)], names=["id", "x", "y"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(document_features(batch.column(1)).tolist(), pa.list_(pa.float64())), batch.column(2), batch.column(3)], names=["id", "x", "y", "h"])
 
-    return rows.select("id", "text", "y").mapInArrow(run, "id long, x array<double>, y int")
+    made = rows.select("id", "text", "y", F.xxhash64("text").alias("h")).mapInArrow(run, "id long, x array<double>, y int, h long")
+    return made.groupBy("id", "y").agg(F.min_by("x", "h").alias("x"))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Additive:
-    """Fits on at most about `sample` labelled documents, chosen by a hash of the id; features are made in tasks."""
-    marked = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("y")).where("_id IS NOT NULL AND y IS NOT NULL")
+    """Fits on at most about `sample` labels, chosen by a hash of the id; features are made in tasks.
+
+    An id and label count once, with the text of the smallest hash where rows repeat the id, so the
+    sample stays bounded however often they do. Labels and documents without an id are left out.
+    """
+    marked = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("y")).where("_id IS NOT NULL AND y IS NOT NULL").distinct()
     share = bounded_fraction(marked.count(), sample)
     pick = lambda c: hash_share(F.col(c), "quality sample") < share
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(pick("id"))
@@ -245,7 +250,11 @@ def score_quality(docs: DataFrame, model: Additive, id_col: str = "doc_id", text
 
 
 def keep_good(docs: DataFrame, model: Additive, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs that score at least `threshold`, all columns as they are."""
+    """The rows of docs that score at least `threshold`, all columns as they are.
+
+    Each row is judged by its whole text, a null one as an empty one, so rows that repeat an id stay or
+    go on their own; an empty table stays empty.
+    """
 
     @F.pandas_udf("double")
     def score(texts):

@@ -26,6 +26,8 @@ SIGNATURE = "id long, text_key long, n_shingles long, node long, " + ", ".join(f
 
 #: Buckets up to this size emit their pairs; larger ones are compared in blocks of BLOCK rows inside tasks.
 SMALL, BLOCK = 48, 384
+#: Shingles of a block, about.
+HEAVY = 1 << 21
 #: Shingles of a pair of blocks that are looked at together.
 PASS = 1 << 20
 MAP_BITS = 25
@@ -139,11 +141,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
 def block_links(members: DataFrame, sets: DataFrame, per_cent: int, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) that join what is linked inside large buckets (band, node).
 
-    A bucket is cut into blocks, and each pair of blocks is one group of bounded size. All its pairs are
+    A bucket is cut into blocks by the number of its sets and of their shingles, and each pair of blocks is one group of bounded size. All its pairs are
     compared exactly by one product of 0/1 matrices over the shingles that occur twice; what comes out is
     a spanning edge for each row, not the pairs.
     """
-    cut = dealt_in_blocks(members, "band", "node", block).select("band", "i", "j", "node").join(sets, "node")
+    cut = dealt_in_blocks(members, "band", "node", block, weight="n_shingles", heavy=HEAVY).select("band", "i", "j", "node").join(sets, "node")
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         nodes, rows = pdf["node"].to_numpy(), [np.asarray(x, np.int64) for x in pdf["set"]]
@@ -192,7 +194,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sig = materialize(signatures(docs, "id", "text"))
     full = sig.where("n_shingles > 0")
-    classes = full.groupBy("node").agg(F.min("id").alias("cid"))
+    classes = full.groupBy("node").agg(F.min("id").alias("cid"), F.first("n_shingles").alias("n_shingles"))
     banded = full.select("node", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("rep"), F.max("node").alias("top")).where("rep < top").select("band", "rep")
     members = materialize(banded.join(buckets, "band").distinct())
@@ -212,7 +214,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     x, y = l.alias("x"), l.alias("y")
     rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & (F.col("x.node") != F.col("x.rep")) & (estimate("x.sig", "y.sig") >= least))
     rest = materialize(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    large = left.where(F.col("size") > SMALL).select("band", "node")
+    large = left.where(F.col("size") > SMALL).select("band", "node").join(classes.select("node", "n_shingles"), "node")
     sets = sets_of(in_pairs(rest).unionByName(large.select("node")).distinct(), classes, docs)
     more = confirmed(rest, sets, per_cent).unionByName(block_links(large, sets, per_cent)).distinct()
     labels = connected_components(labels.select(F.col("id").alias("a"), F.col("label").alias("b")).where("a <> b").unionByName(more))

@@ -140,7 +140,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redact(docs: DataFrame, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
-    """docs with the secrets of text_col replaced by their kinds; other columns as they are."""
+    """docs with the secrets of text_col replaced by their kinds; other columns as they are.
+
+    Null and empty texts stay as they are; a text of any length is scanned whole; an empty table stays empty.
+    """
 
     @F.pandas_udf("string")
     def clean(texts):

@@ -16,6 +16,8 @@ from folio.llm.common import materialize, table
 from folio.llm.op07_embeddings import scaled
 
 LEAST_ROWS, MOST_ROWS, SHARDS = 1 << 13, 1 << 18, 256
+#: Bytes of the vectors of a shard, which is one value of a row.
+SHARD_BYTES = 1 << 27
 QUERY_PART = 1 << 16
 BATCH = 1024
 #: Marks of visited nodes held at once by searches that run side by side.
@@ -220,16 +222,17 @@ WORK = "shard int, dim int, part int, is_query int, n int, ids binary, vectors b
 
 @dataclass
 class Index:
-    """The shards and `twins`: for vectors that occur several times, the ids beside the smallest one, which stands in the graph."""
+    """The shards and `twins`: for vectors that occur several times, up to `keep` - 1 ids beside the smallest one, which stands in the graph."""
 
     shards: DataFrame
     twins: DataFrame
     count: int
+    keep: int
 
 
-def shard_rows(rows: int) -> int:
-    """Rows of a shard: they grow with the table, so that the searches of a query do so slowly, up to what one task holds easily."""
-    return max(LEAST_ROWS, min(MOST_ROWS, math.ceil(rows / SHARDS)))
+def shard_rows(rows: int, dim: int) -> int:
+    """Rows of a shard: they grow with the table, so that the searches of a query do so slowly, up to what one task holds easily, whatever the length of the vectors."""
+    return max(1, min(max(LEAST_ROWS, min(MOST_ROWS, math.ceil(rows / SHARDS))), SHARD_BYTES // (8 * max(1, dim))))
 
 
 def build_index(vectors: DataFrame, id_col: str, vec_col: str, rows_a_shard: int | None = None, keep: int = NEAREST + 1) -> Index:
@@ -243,8 +246,8 @@ def build_index(vectors: DataFrame, id_col: str, vec_col: str, rows_a_shard: int
     ranked = materialize(every.withColumn("_r", F.row_number().over(Window.partitionBy("_a", "_b").orderBy("id"))).where(F.col("_r") <= keep))
     rows = ranked.where("_r = 1")
     twins = ranked.where("_r > 1").select("_a", "_b", F.col("id").alias("twin")).join(rows.select("_a", "_b", F.col("id").alias("rep")), ["_a", "_b"]).select("rep", "twin")
-    count = rows.count()
-    shards = max(1, math.ceil(count / (rows_a_shard or shard_rows(count))))
+    count, dim = rows.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    shards = max(1, math.ceil(count / (rows_a_shard or shard_rows(count, dim or 1))))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -264,7 +267,7 @@ def build_index(vectors: DataFrame, id_col: str, vec_col: str, rows_a_shard: int
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values.values(), kinds, strict=True)], names=list(values))
 
     placed = rows.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), "id", "v")
-    return Index(materialize(placed.repartitionById(shards, F.col("shard")).mapInArrow(make, INDEX)), materialize(twins), shards)
+    return Index(materialize(placed.repartitionById(shards, F.col("shard")).mapInArrow(make, INDEX)), materialize(twins), shards, keep)
 
 
 def nearest(index: Index, queries: DataFrame, id_col: str, vec_col: str, k: int = NEAREST, beam: int = BEAM, part_rows: int = QUERY_PART) -> DataFrame:
@@ -277,10 +280,13 @@ def nearest(index: Index, queries: DataFrame, id_col: str, vec_col: str, k: int
 
     Vectors that are null, empty, zero or hold null or non-finite values take no part, as queries or as
     candidates; components of any finite size do. Ties go to the smaller id, also among any number of
-    equal vectors. Rows that repeat an id count as one, with the smallest of its vectors; rows without an
+    equal vectors: therefore k is less than the `keep` that the index was built with, and a larger one is an
+    error. Rows that repeat an id count as one, with the smallest of its vectors; rows without an
     id take no part. Vectors of different lengths do not meet. An empty table gives an empty result;
     other columns are not read.
     """
+    if not 0 < k < index.keep:
+        raise ValueError(f"the index keeps {index.keep} ids of equal vectors, so k is 1 to {index.keep - 1}; build it with a larger keep")
     q = scaled(queries, id_col, vec_col)
     parts = max(1, math.ceil(q.count() / part_rows))
     columns = [c.split()[0] for c in WORK.split(", ")]
