@@ -19,6 +19,8 @@ LENGTH = 400
 REACH = 224
 GRAM = 16
 BATCHES = 4
+#: Neighbouring windows that are first told apart together.
+CELL = 14
 PLACE_BITS = 24
 _codes = np.random.default_rng(1313).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SUFFIXES = "prefix long, domain long, doc long, id long, place long"
@@ -113,13 +115,14 @@ def sampled_suffixes(texts: DataFrame, length: int = LENGTH, reach: int = REACH)
 
 
 class SuffixFamily:
-    """Sampled suffix arrays of batches in levels: a level of rank r holds 2**r batches, and two of one rank are merged into one of the next.
+    """Sampled suffix arrays of batches in levels: a level of rank r holds 2**r batches, and equal levels are merged into one of the next rank.
 
     An array has a row for each distinct prefix of its suffixes, with their number, in the order of the
     prefixes' digests, in which equal prefixes stand together; where the suffixes are is kept with the batch. A
-    batch of n suffixes is scanned against one array of each rank, so against log2 of the number of
-    batches, and moves as often in merges. All steps are sorted merges of tables with one row a prefix,
-    so no prefix, however frequent, is more than a row in each.
+    batch is merged with the levels of ranks 0, 1, … up to the first that is free, in one pass that also
+    tells what it shares with them, and scanned against the levels above; so a suffix moves as often as
+    the logarithm of the number of batches. All steps are sorted merges of tables with one row a prefix,
+    combined in the tasks first, so no prefix, however frequent, is more than a row of a task.
     """
 
     def __init__(self) -> None:
@@ -127,17 +130,16 @@ class SuffixFamily:
 
     def add(self, suffixes: DataFrame) -> DataFrame:
         """Takes up a batch; returns the prefixes it has twice or shares with an earlier batch."""
-        array = materialize(suffixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).sortWithinPartitions("prefix"))
-        matches = array.where("n > 1").select("prefix")
-        for level in self.levels.values():
-            matches = matches.unionByName(array.join(level.select("prefix").hint("merge"), "prefix", "left_semi").select("prefix"))
-        matches = materialize(matches.distinct())
-        rank = 0
+        rows, rank = suffixes.select("prefix", F.lit(1).cast("long").alias("n"), F.lit(1).cast("long").alias("new")), 0
         while rank in self.levels:
-            both = self.levels.pop(rank).unionByName(array)
-            array = materialize(both.groupBy("prefix").agg(F.sum("n").alias("n")).sortWithinPartitions("prefix"))
+            rows = rows.unionByName(self.levels.pop(rank).withColumn("new", F.lit(0).cast("long")))
             rank += 1
-        self.levels[rank] = array
+        merged = materialize(rows.groupBy("prefix").agg(F.sum("n").alias("n"), F.sum("new").alias("new")).sortWithinPartitions("prefix"))
+        own = merged.where("new > 0")
+        matches = own.where("n > 1").select("prefix")
+        for level in self.levels.values():
+            matches = matches.unionByName(own.where("n = 1").join(level.select("prefix").hint("merge"), "prefix", "left_semi").select("prefix"))
+        self.levels[rank] = merged.select("prefix", "n")
         return matches
 
 
@@ -155,33 +157,71 @@ def _joined(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     return texts.join(l, (F.col("doc") == F.col("_d")) & F.col("id").eqNullSafe(F.col("_i")), how).drop("_d", "_i")
 
 
-def repeated_windows(texts: DataFrame, evidence: DataFrame, length: int) -> DataFrame:
-    """(doc, id, first, last): windows of the single suffixes in `evidence` (prefix, single, doc, id, place) that another one has too."""
+CELLS = "prefix long, inner long, outer long, suffix long, first long, last long, windows array<long>"
+
+
+def window_cells(texts: DataFrame, evidence: DataFrame, length: int, cell: int = CELL) -> DataFrame:
+    """The windows of the suffixes in `evidence` (suffix, prefix, doc, id, place), in cells of up to `cell` neighbours by their distance from the suffix.
+
+    inner digests the bytes that all windows of a cell hold: equal windows have it in common. outer
+    digests all bytes of the cell: equal ones repeat as a whole. windows are digests of each, from first to last.
+    """
+
+    def cells_of(b: np.ndarray, prefix: np.ndarray, place: np.ndarray, suffix: np.ndarray) -> pa.RecordBatch:
+        at, back, fore = place >> 16, place >> 8 & 255, place & 255
+        lo = int((at - back).min())
+        sums = Sums(b[lo : int((at - fore).max()) + length], _codes)
+        many = back // cell - fore // cell + 1
+        of = np.repeat(np.arange(len(at)), many)
+        c = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + (fore // cell)[of]
+        near, far = np.maximum(fore[of], c * cell), np.minimum(back[of], c * cell + cell - 1)
+        first, last = at[of] - far, at[of] - near
+        shape = c.astype(np.uint64) << np.uint64(1)
+        inner = mix(sums.raw(at[of] - c * cell - lo, at[of] - c * cell - cell + 1 + length - lo) ^ ((shape + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)))
+        shape = (shape << np.uint64(16)) | (near.astype(np.uint64) << np.uint64(9)) | (far.astype(np.uint64) << np.uint64(1))
+        outer = mix(sums.raw(first - lo, last + length - lo) ^ ((shape + np.uint64(2)) * np.uint64(0xC2B2AE3D27D4EB4F)))
+        wide = last - first + 1
+        p = np.arange(wide.sum()) + np.repeat(first - (np.cumsum(wide) - wide), wide)
+        text = mix(sums.raw(p - lo, p - lo + length)).view(np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(wide)]).astype(np.int32)), pa.array(text))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (prefix[of], inner.view(np.int64), outer.view(np.int64), suffix[of], first, last)] + [lists], names=[f.split(" ")[0] for f in CELLS.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                b = np.frombuffer(batch.column(2)[k].as_py().encode(), np.uint8)
-                found = batch.column(3)[k].values
-                prefix, place, single = (found.field(c).to_numpy(zero_copy_only=False) for c in range(3))
-                at, back, fore = place >> 16, place >> 8 & 255, place & 255
-                order = np.argsort(at)
+                b, found = np.frombuffer(batch.column(0)[k].as_py().encode(), np.uint8), batch.column(1)[k].values
+                prefix, place, suffix = (found.field(c).to_numpy(zero_copy_only=False) for c in range(3))
+                order = np.argsort(place)
                 for i in range(0, len(order), 4096):
                     some = order[i : i + 4096]
-                    lo, hi = int((at - back)[some].min()), int((at - fore)[some].max()) + length
-                    sums = Sums(b[lo:hi], _codes)
-                    many = (back - fore)[some] + 1
-                    p = np.arange(many.sum()) + np.repeat((at - back)[some] - np.concatenate([[0], np.cumsum(many)[:-1]]), many)
-                    text = mix(sums.raw(p - lo, p - lo + length))
-                    of = np.repeat(some, many)
-                    doc, own = (pa.array([batch.column(c)[k].as_py()] * len(p), pa.int64()) for c in (0, 1))
-                    yield pa.RecordBatch.from_arrays([pa.array(prefix[of]), pa.array(text.view(np.int64)), doc, own, pa.array(p), pa.array(single[of].astype(bool))], names=["prefix", "text", "doc", "id", "p", "single"])
-
-    lists = evidence.groupBy("doc", "id").agg(F.collect_list(F.struct("prefix", "place", "single")).alias("found"))
+                    yield cells_of(b, prefix[some], place[some], suffix[some])
+
+    lists = evidence.groupBy("doc", "id").agg(F.collect_list(F.struct("prefix", "place", "suffix")).alias("found"))
     some = marked(texts, F.col("doc"), lists.select("doc")).where("_marked").select("doc", "id", "text")
-    windows = materialize(_joined(some, lists, "inner").mapInArrow(run, "prefix long, text long, doc long, id long, p long, single boolean"))
-    twice = windows.groupBy("prefix", "text").agg(F.count(F.lit(1)).alias("n"), F.max("single").alias("any")).where("n > 1 AND any")
-    return windows.where("single").join(twice.select("prefix", "text"), ["prefix", "text"], "left_semi").select("doc", "id", F.col("p").alias("first"), F.col("p").alias("last"))
+    return _joined(some, lists, "inner").select("text", "found").mapInArrow(run, CELLS)
+
+
+def repeated_windows(texts: DataFrame, evidence: DataFrame, length: int) -> DataFrame:
+    """(doc, id, first, last): windows of the single suffixes in `evidence` that another one of the same prefix has too.
+
+    A suffix that is not single stands for others like it; its windows are known to repeat and only
+    tell on others, so it goes without a number (-1). Cells whose bytes repeat as a whole are done. Of the others those
+    with an inner part that repeats are looked at window by window; a bitmap picks them.
+    """
+    evidence = materialize(evidence.withColumn("suffix", F.when(F.col("single"), F.monotonically_increasing_id()).otherwise(-1)))
+    cells = materialize(window_cells(texts, evidence, length))
+    slim = cells.drop("windows")
+    single = F.col("suffix") >= 0
+    both = slim.groupBy("prefix", "outer").agg(F.count(F.lit(1)).alias("n"), F.max("suffix").alias("any")).where("n > 1 AND any >= 0").select("prefix", "outer", F.lit(True).alias("whole"))
+    slim = materialize(slim.join(both, ["prefix", "outer"], "left").select("prefix", "inner", "suffix", "first", "last", F.coalesce("whole", F.lit(False)).alias("whole")))
+    left = single & ~F.col("whole")
+    open_ = slim.groupBy("prefix", "inner").agg(F.count(F.lit(1)).alias("n"), F.max(left).alias("any")).where("n > 1 AND any").select(F.xxhash64("prefix", "inner"))
+    some = marked(cells, F.xxhash64("prefix", "inner"), open_).where("_marked")
+    windows = materialize(some.select("prefix", "suffix", "first", F.posexplode("windows").alias("k", "text")).select("prefix", "text", "suffix", F.when(single, F.col("first") + F.col("k")).alias("p")))
+    twice = windows.groupBy("prefix", "text").agg(F.count(F.lit(1)).alias("n"), F.max("suffix").alias("any")).where("n > 1 AND any >= 0").select("prefix", "text")
+    one = windows.where(single).join(twice, ["prefix", "text"], "left_semi").select("suffix", F.col("p").alias("first"), F.col("p").alias("last"))
+    found = slim.where("whole").where(single).select("suffix", "first", "last").unionByName(one)
+    return found.join(evidence.where(single).select("suffix", "doc", "id"), "suffix").select("doc", "id", "first", "last")
 
 
 def repeated(texts: DataFrame, length: int = LENGTH, reach: int = REACH, batches: int = BATCHES) -> DataFrame:
@@ -189,21 +229,20 @@ def repeated(texts: DataFrame, length: int = LENGTH, reach: int = REACH, batches
 
     Batches of texts go into a SuffixFamily one after the other. Suffixes whose prefix it reports are
     compared by all the bytes of their windows: those with an equal domain repeat as a whole. Where a
-    prefix has several domains, one suffix of each is looked at window by window.
+    prefix has several domains, one suffix of each is looked at more closely.
     """
     suffixes = materialize(sampled_suffixes(texts, length, reach))
     family = SuffixFamily()
-    matches = [family.add(suffixes.where(F.pmod(F.shiftrightunsigned("doc", 1), F.lit(batches)) == k)) for k in range(batches)]
+    matches = [materialize(family.add(suffixes.where(F.pmod(F.shiftrightunsigned("doc", 1), F.lit(batches)) == k))) for k in range(batches)]
     prefixes = matches[0]
     for m in matches[1:]:
         prefixes = prefixes.unionByName(m)
-    prefixes = materialize(prefixes.distinct())
     some = marked(suffixes, F.col("prefix"), prefixes).where("_marked").select(*suffixes.columns)
-    found = materialize(some.join(prefixes, "prefix", "left_semi"))
+    found = materialize(some.join(prefixes.distinct(), "prefix", "left_semi"))
     runs = materialize(found.groupBy("prefix", "domain").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "id", "place")).alias("one")))
     whole = found.join(runs.where("n > 1").select("prefix", "domain"), ["prefix", "domain"], "left_semi").select("doc", "id", first_window().alias("first"), last_window().alias("last"))
     mixed = runs.groupBy("prefix").agg(F.min("domain").alias("lo"), F.max("domain").alias("hi")).where("lo < hi").select("prefix")
-    evidence = materialize(runs.join(mixed, "prefix", "left_semi").select("prefix", (F.col("n") == 1).alias("single"), "one.doc", "one.id", "one.place"))
+    evidence = runs.join(mixed, "prefix", "left_semi").select("prefix", (F.col("n") == 1).alias("single"), "one.doc", "one.id", "one.place")
     return whole.unionByName(repeated_windows(texts, evidence, length))
 
 
