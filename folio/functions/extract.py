@@ -9,18 +9,31 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Phrases before a sponsor or a company name.
-SPONSOR_PHRASES = ("funded by", "supported by", "grant from", "sponsored by", "funding provided by", "research supported by")
-COMPANY_PHRASES = ("employee of", "consultant for", "affiliated with", "received compensation from")
-NAME = r"([A-Z][A-Za-z0-9\s&,.-]{2,50})"
-SPONSORS = [re.compile(rf"{p}\s+{NAME}", re.I) for p in SPONSOR_PHRASES]
-COMPANIES = [re.compile(rf"{p}\s+{NAME}", re.I) for p in COMPANY_PHRASES] + [re.compile(rf"{p}.*?{NAME}", re.I) for p in ("conflict of interest", "disclosure")]
-
-COMMERCIAL = T.StructType([T.StructField(n, T.ArrayType(T.StringType())) for n in ("sponsor_names", "company_names", "snippets")])
+# The patterns of a sponsor and of a company name, in the order in which they are looked for.
+SPONSOR_PATTERNS = (
+    r"funded by\s+([A-Z][A-Za-z0-9\s&,.-]{2,50})",
+    r"supported by\s+([A-Z][A-Za-z0-9\s&,.-]{2,50})",
+    r"grant from\s+([A-Z][A-Za-z0-9\s&,.-]{2,50})",
+    r"sponsored by\s+([A-Z][A-Za-z0-9\s&,.-]{2,50})",
+    r"funding provided by\s+([A-Z][A-Za-z0-9\s&,.-]{2,50})",
+    r"research supported by\s+([A-Z][A-Za-z0-9\s&,.-]{2,50})",
+)
+COMPANY_PATTERNS = (
+    r"employee of\s+([A-Z][A-Za-z0-9\s&,.-]{2,50})",
+    r"consultant for\s+([A-Z][A-Za-z0-9\s&,.-]{2,50})",
+    r"affiliated with\s+([A-Z][A-Za-z0-9\s&,.-]{2,50})",
+    r"conflict of interest.*?([A-Z][A-Za-z0-9\s&,.-]{2,50})",
+    r"received compensation from\s+([A-Z][A-Za-z0-9\s&,.-]{2,50})",
+    r"disclosure.*?([A-Z][A-Za-z0-9\s&,.-]{2,50})",
+)
+
+SPONSORS, COMPANIES = ([re.compile(p, re.I) for p in patterns] for patterns in (SPONSOR_PATTERNS, COMPANY_PATTERNS))
+LISTS = ("sponsor_names", "company_names", "snippets")
+COMMERCIAL = T.StructType([*[T.StructField(n, T.ArrayType(T.StringType())) for n in LISTS], T.StructField("has_sponsor_signal", T.BooleanType()), T.StructField("company_affiliation_signal", T.BooleanType())])
 
 
 def commercial_of(text: str | None, names: int = 5, snippets: int = 2, width: int = 160) -> dict:
-    """Names after the phrases, distinct in order of finding, and short pieces of text around the first ones."""
+    """Names after the phrases, distinct in the order of patterns and places, short pieces of text around the first ones, and whether there are any."""
     found: dict[str, list[str]] = {"sponsor_names": [], "company_names": []}
     seen: list[str] = []
     for key, patterns in (("sponsor_names", SPONSORS), ("company_names", COMPANIES)):
@@ -34,12 +47,13 @@ def commercial_of(text: str | None, names: int = 5, snippets: int = 2, width: in
                 piece = piece if len(piece) <= width else piece[: width - 3] + "..."
                 if piece not in seen:
                     seen.append(piece)
-    return {k: v[:names] for k, v in found.items()} | {"snippets": seen}
+    flags = {"has_sponsor_signal": bool(found["sponsor_names"]), "company_affiliation_signal": bool(found["company_names"])}
+    return {k: v[:names] for k, v in found.items()} | {"snippets": seen} | flags
 
 
 @F.pandas_udf(COMMERCIAL)
 def commercial_signals(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([commercial_of(t) for t in texts], columns=["sponsor_names", "company_names", "snippets"])
+    return pd.DataFrame([commercial_of(t) for t in texts], columns=COMMERCIAL.names)
 
 
 @F.pandas_udf(T.DoubleType())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from folio.functions.text import any_of, matches, title_key
 
@@ -124,18 +125,36 @@ def gate(df: DataFrame, title: str = "title", abstract: str = "raw_text", venue:
     return d.drop("_t", "_a", "_v", "_both", "_venue", "_kt", "_ka", "_new", "_neg", "_strong", "_all")
 
 
+#: Hexadecimal digits of the hash that one histogram tells apart, and rows of one digit group that are ranked at once.
+DIGITS, RANKED = 4, 100_000
+
+
 def audit(gated: DataFrame, key: str, rate: float = 0.02, seed: str = "audit") -> DataFrame:
     """Adds audit_selected: max(1, floor(n * rate)) of the n low rows, chosen by a hash order of seed and key.
 
-    The chosen rows are the n smallest md5 of seed and key: a top-k, so no task sorts all low rows.
+    The chosen rows are those with the smallest md5 of seed and key. The last of them is found first: a
+    histogram of the leading digits of the hashes, 16 ** DIGITS numbers at most, says in which range
+    the cut lies, further digits narrow the range until it holds few rows, and these are ranked. The rest is a
+    filter, so the sample may be as large as the table allows.
     """
-    low = gated.where("gate_bucket = 'low'").withColumn("_h", F.md5(F.concat(F.lit(seed + ":"), F.col(key).cast("string")).cast("binary")))
+    gated = gated.withColumn("_h", F.md5(F.concat(F.lit(seed + ":"), F.col(key).cast("string")).cast("binary")))
+    low = gated.where("gate_bucket = 'low'")
     n = low.count()
-    k = min(n, max(1, int(n * rate))) if n and rate > 0 else 0
-    if not k:
-        return gated.withColumn("audit_selected", F.lit(False))
-    chosen = low.orderBy("_h", key).limit(k).select(F.col(key).alias("_k"), F.lit(True).alias("_c"))
-    return gated.join(chosen, F.col(key) == F.col("_k"), "left").withColumn("audit_selected", F.coalesce("_c", F.lit(False))).drop("_k", "_c")
+    left = min(n, max(1, int(n * rate))) if n and rate > 0 else 0
+    if not left:
+        return gated.withColumn("audit_selected", F.lit(False)).drop("_h")
+    within, rows, known = low, n, 0
+    while rows > RANKED and known < 32:
+        counts = within.groupBy(F.substring("_h", known + 1, DIGITS).alias("d")).agg(F.count(F.lit(1)).alias("n"))
+        upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("d"))).where(F.col("upto") >= left)
+        d, rows, upto = upto.agg(F.min(F.struct("d", "n", "upto")).alias("x")).first()["x"]
+        left -= upto - rows
+        within = within.where(F.substring("_h", known + 1, DIGITS) == d)
+        known += DIGITS
+    placed = within.select(F.struct("_h", F.col(key).alias("k")).alias("at"), F.row_number().over(Window.orderBy("_h", key)).alias("place"))
+    h, k = placed.where(F.col("place") == left).first()["at"]
+    chosen = (F.col("gate_bucket") == "low") & ((F.col("_h") < h) | ((F.col("_h") == h) & (F.col(key) <= F.lit(k))))
+    return gated.withColumn("audit_selected", F.coalesce(chosen, F.lit(False))).drop("_h")
 
 
 def to_evaluate(gated: DataFrame) -> DataFrame:

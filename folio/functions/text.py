@@ -91,11 +91,16 @@ def matches(c: Column, words: tuple[str, ...]) -> Column:
     """The words that occur, in the order given.
 
     Short words must stand alone: the text is cut into words once, by one pass of one pattern, and each
-    short word is then a plain substring between blanks.
+    short word is then a plain substring between blanks. The cut text is the variable of a lambda, so it is made once a row.
     """
+    short = lambda w: len(w) <= 4 and w.replace("_", "a").isalnum()
+    low = [(w, w.lower().strip()) for w in words]
+    if not any(short(v) for _, v in low):
+        return F.array_compact(F.array(*[F.when(has_word(c, v), F.lit(w)) for w, v in low]))
     spaced = F.concat(F.lit(" "), F.regexp_replace(c, r"[^\p{L}\p{N}_]+", " "), F.lit(" "))
-    hit = lambda w: F.contains(spaced, F.lit(f" {w} ")) if len(w) <= 4 and w.replace("_", "a").isalnum() else has_word(c, w)
-    return F.array_compact(F.array(*[F.when(hit(w.lower().strip()), F.lit(w)) for w in words]))
+    hit = lambda x, v: F.contains(x["s"], F.lit(f" {v} ")) if short(v) else has_word(x["c"], v)
+    found = lambda x: F.array_compact(F.array(*[F.when(hit(x, v), F.lit(w)) for w, v in low]))
+    return F.transform(F.array(F.struct(c.alias("c"), spaced.alias("s"))), found)[0]
 
 
 def sentences(c: Column) -> Column:

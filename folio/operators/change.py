@@ -32,13 +32,15 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], policy: dict[str, st
 
     Policy of a column: keep (old value), fill (new unless null, else old), take (new value), null-safe
     forms of the usual conflict clauses, or a pair of expressions over the columns of o and n: the value
-    of an inserted row and that of an updated one. Keys are unique on both sides (see `latest`). A full outer join
-    by key: written to a new path and swapped in, it is the portable form of MERGE.
+    of an inserted row and that of an updated one. Keys are unique on both sides (see `latest`). A key with a null
+    is equal to none, as in a unique index: such an old row stays untouched and such a new one is inserted. A full outer join
+    by key: written to a new path and swapped in, it is the portable form of MERGE; `BucketedTable` merges without a rewrite of the table.
     """
     policy = policy or {}
-    both = old.alias("o").join(new.alias("n"), [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys], "full")
-    is_new, is_old = F.col(f"o.{keys[0]}").isNull(), F.col(f"n.{keys[0]}").isNull()
-    cols: list[Column] = [F.coalesce(f"o.{k}", f"n.{k}").alias(k) for k in keys]
+    o, n = old.withColumn("_is_old", F.lit(True)).alias("o"), new.withColumn("_is_new", F.lit(True)).alias("n")
+    both = o.join(n, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys], "full")
+    is_new, is_old = F.col("o._is_old").isNull(), F.col("n._is_new").isNull()
+    cols: list[Column] = [F.when(is_new, F.col(f"n.{k}")).otherwise(F.col(f"o.{k}")).alias(k) for k in keys]
     for c in old.columns:
         if c in keys:
             continue

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 from collections.abc import Callable, Iterator
@@ -9,6 +10,9 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from folio.operators.titles import stored
 
 ANSWER = "answer string, latency_ms long, error string"
 
@@ -33,33 +37,48 @@ class Retry(Exception):
     """Raised by a function for a failure that may pass (a time-out, a busy server); other errors are final."""
 
 
-def deliver(df: DataFrame, key: str, kind: str, columns: list[str], send: Callable[[list[dict]], None], size: int = 100, tries: int = 3, wait: float = 0.5) -> DataFrame:
-    """(key, chunk, attempts, error): rows are sent in chunks of up to `size`; a Retry is tried again after a growing pause, other errors are not.
+def numbered(df: DataFrame, key: str, out: str = "number") -> DataFrame:
+    """Adds the place of each row in the order of `key`, from 0: rows are sorted in ranges, and the ranges are counted.
 
-    Chunks are cut inside tasks, so a row is sent once per attempt of its task; `send` must bear repeats.
+    The ranges are written before they are counted, so a place never depends on a second sort; at most
+    one row a range is broadcast.
     """
+    part = F.spark_partition_id()
+    d = stored(df.repartitionByRange(key).withColumn("_part", part).sortWithinPartitions(key))
+    ends = d.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    first = ends.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_first"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1
+    return d.withColumn("_in", inside).join(F.broadcast(first), F.col("_part") == F.col("_p")).withColumn(out, (F.col("_first") + F.col("_in")).cast("long")).drop("_part", "_p", "_in", "_first")
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chunk = 0
-        for p in parts:
-            for i in range(0, len(p), size):
-                rows, error, attempt = p.iloc[i : i + size], None, 0
-                while attempt < tries:
-                    attempt += 1
-                    try:
-                        send(rows[columns].to_dict("records"))
-                        error = None
-                        break
-                    except Retry as e:
-                        error = str(e)[:200]
-                        time.sleep(wait * 2 ** (attempt - 1) if attempt < tries else 0)
-                    except Exception as e:
-                        error = str(e)[:200]
-                        break
-                yield pd.DataFrame({key: rows[key], "chunk": chunk, "attempts": attempt, "error": error})
-                chunk += 1
-
-    return df.select(*dict.fromkeys([key, *columns])).mapInPandas(run, f"{key} {kind}, chunk int, attempts int, error string")
+
+def deliver(df: DataFrame, key: str, kind: str, columns: list[str], send: Callable[..., None], size: int = 100, tries: int = 3, wait: float = 0.5, marked: bool = False) -> DataFrame:
+    """(key, chunk, mark, attempts, error): rows are sent in chunks of `size` in the order of key; a Retry is tried again after a growing pause, other errors are not.
+
+    Chunk numbers run over the whole delivery, floor(place / size), so all chunks but the last are full. The mark of a
+    chunk is a hash of its keys, the same in each attempt and in a delivery that is run again; with
+    `marked` it is the second argument of `send`, so that a receiver knows what it has had. A lost task sends its chunks again.
+    """
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(key)
+        mark = hashlib.sha256("\n".join(rows[key].astype(str)).encode()).hexdigest()
+        error, attempt = None, 0
+        while attempt < tries:
+            attempt += 1
+            try:
+                send(rows[columns].to_dict("records"), *([mark] if marked else []))
+                error = None
+                break
+            except Retry as e:
+                error = str(e)[:200]
+                time.sleep(wait * 2 ** (attempt - 1) if attempt < tries else 0)
+            except Exception as e:
+                error = str(e)[:200]
+                break
+        return pd.DataFrame({key: rows[key], "chunk": rows["chunk"], "mark": mark, "attempts": attempt, "error": error})
+
+    d = numbered(df.select(*dict.fromkeys([key, *columns])), key).withColumn("chunk", F.floor(F.col("number") / size).cast("long")).drop("number")
+    return d.groupBy("chunk").applyInPandas(run, f"{key} {kind}, chunk long, mark string, attempts int, error string")
 
 
 def unanswered(df: DataFrame, answers: DataFrame, keys: list[str]) -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folio.functions.extract import sequence_ratio
 from folio.functions.text import jaccard, title_key
-from folio.session import shared_folder
+from folio.operators.titles import linked_keys, may_be_alike, prefixes, stored
 
 
 def latest(df: DataFrame, keys: list[str], order: str, keep: str = "latest") -> DataFrame:
@@ -39,17 +39,13 @@ def cascade(left: DataFrame, right: DataFrame, keys: list[str], value: str, orde
 def similar_keys(keys: DataFrame, least: float = 0.85) -> DataFrame:
     """(ka, kb, similarity), ka < kb: keys (k) whose word sets have a Jaccard similarity over `least`.
 
-    Prefix filter: with words ranked by how few keys hold them, two sets that similar share one of
-    their first n - ceil(least * n) + 1 words. Keys are joined on those words only, with the length
-    test in the join, so frequent words never build pairs.
+    Keys are joined on the rare words of their prefixes only, with a length and a positional filter in
+    the join, so frequent words build few pairs. All similar pairs come out; where groups are what is
+    asked for, `linked_keys` gives them without the pairs.
     """
-    keys = keys.where("k <> ''").select("k").distinct().withColumn("w", F.array_distinct(F.split("k", " ")))
-    words = keys.select("k", F.size("w").alias("n"), F.explode("w").alias("word"))
-    ranked = words.join(words.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "word")
-    place = F.row_number().over(Window.partitionBy("k").orderBy("df", "word"))
-    prefix = ranked.withColumn("p", place).where(F.col("p") <= F.col("n") - F.ceil(F.col("n") * least) + 1).select("k", "n", "word")
+    prefix = stored(prefixes(keys, least))
     l, r = prefix.alias("l"), prefix.alias("r")
-    pairs = l.join(r, (F.col("l.word") == F.col("r.word")) & (F.col("l.k") < F.col("r.k")) & (F.col("l.n") >= least * F.col("r.n")) & (F.col("r.n") >= least * F.col("l.n")))
+    pairs = l.join(r, (F.col("l.word") == F.col("r.word")) & (F.col("l.k") < F.col("r.k")) & may_be_alike(F.col("l.n"), F.col("l.p"), F.col("r.n"), F.col("r.p"), least))
     return pairs.select(F.col("l.k").alias("ka"), F.col("r.k").alias("kb")).distinct().withColumn("similarity", jaccard(F.col("ka"), F.col("kb"))).where(F.col("similarity") > least)
 
 
@@ -91,31 +87,42 @@ def same_items(df: DataFrame, key: str = "id", doi: str | None = None, pmid: str
         edges = e if edges is None else edges.unionByName(e)
     # a title is named by its smallest id; the rows that share it (also a short one, which is 1.0 alike) hang on that
     shared = title_classes(df, key, title).where("class < id").select(F.col("class").alias("a_id"), F.col("id").alias("b_id"))
-    near = similar_titles(df, df, key, key, title, least).where("a_id < b_id").select("a_id", "b_id")
-    return edges.unionByName(shared).unionByName(near).distinct()
+    return edges.unionByName(shared).unionByName(title_links(df, key, title, least)).distinct()
+
+
+def title_links(df: DataFrame, key: str, title: str = "title", least: float = 0.85, style: str = "eval") -> DataFrame:
+    """(a_id, b_id), a_id < b_id: links between similar titles, named by their smallest ids, that join the same rows as all similar pairs; at most a few a title."""
+    named = df.select(F.col(key).alias("id"), title_key(F.col(title), style).alias("k")).where("k <> ''").groupBy("k").agg(F.min("id").alias("id"))
+    links = linked_keys(named.select("k"), least)
+    a, b = named.select(F.col("k").alias("ka"), F.col("id").alias("x")), named.select(F.col("k").alias("kb"), F.col("id").alias("y"))
+    return links.join(a, "ka").join(b, "kb").select(F.least("x", "y").alias("a_id"), F.greatest("x", "y").alias("b_id"))
+
+
+def title_groups(df: DataFrame, key: str, title: str = "title", least: float = 0.85, style: str = "eval") -> DataFrame:
+    """(id, group): each row with a title and the smallest id that equal and similar titles lead to."""
+    classes = title_classes(df, key, title, style)
+    label = components(title_links(df, key, title, least, style), "a_id", "b_id").select(F.col("id").alias("class"), "label")
+    return classes.join(label, "class", "left").select("id", F.coalesce("label", "class").alias("group"))
 
 
 def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
-    """(id, label): smallest id that can be reached, by min-label steps with pointer jumping; checkpointed each round.
+    """(id, label): smallest id that can be reached, by min-label steps with pointer jumping; each round is written to the shared folder.
 
-    Checkpoints go to spark.checkpoint.dir. Where none is set a temporary folder serves, but only if
+    The folder is spark.checkpoint.dir. Where none is set a temporary one serves, but only if
     driver and executors are one process. Labels that are not final after `rounds` are an error.
     """
     e = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
-    e = e.unionByName(e.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
-    shared_folder(e.sparkSession)
-    e = e.checkpoint()
-    label = e.select(F.col("x").alias("id"), F.col("x").alias("label")).distinct()
-    before = None
+    e = stored(e.unionByName(e.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
+    label = stored(e.groupBy(F.col("x").alias("id")).agg(F.least(F.min("y"), F.col("x")).alias("label")))
     for _ in range(rounds):
         near = e.join(label, e["y"] == label["id"]).groupBy("x").agg(F.min("label").alias("m"))
-        step = label.join(near, label["id"] == near["x"]).select("id", F.least("label", "m").alias("label"))
-        jump = step.select(F.col("id").alias("_i"), F.col("label").alias("_l"))
-        label = step.join(jump, F.col("label") == F.col("_i"), "left").select("id", F.least("label", F.coalesce("_l", "label")).alias("label")).checkpoint()
-        now = label.agg(F.sum(F.xxhash64("id", "label").cast("decimal(38,0)"))).first()
-        if now == before:
+        step = label.join(near, label["id"] == near["x"]).select("id", F.least("label", "m").alias("low"), F.col("label").alias("was"))
+        jump = label.select(F.col("id").alias("_i"), F.col("label").alias("_l"))
+        seen = Observation()
+        step = step.join(jump, F.col("low") == F.col("_i"), "left").select("id", F.least("low", F.coalesce("_l", "low")).alias("label"), "was")
+        label = stored(step.observe(seen, F.count_if(F.col("label") != F.col("was")).alias("moved")).select("id", "label"))
+        if not seen.get["moved"]:
             return label
-        before = now
     raise RuntimeError(f"components are not final after {rounds} rounds")
 
 

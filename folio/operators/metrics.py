@@ -7,22 +7,30 @@ score first and the running sum goes over those sums, so no task sorts all rows.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from folio.operators.titles import stored
 
-#: Cut points that divide distinct values for the two levels of a running sum; a sketch of bounded size.
-RANGES = 256
+#: Distinct values of a range, about, and cut points at most: a sketch of bounded size.
+RANGE_ROWS, RANGES = 1 << 16, 4096
 
 
-def running_rows(counts: DataFrame, value: str, group: str | None, ranges: int = RANGES) -> DataFrame:
+def running_rows(counts: DataFrame, value: str, group: str | None, ranges: int | None = None) -> DataFrame:
     """counts (value, _n, maybe group) with _before, the rows of smaller values.
 
-    Values are cut into ranges at approximate quantiles; rows are summed by range, ranges are accumulated,
-    then the values inside each range on their own, so no task holds all values.
+    Values are cut into ranges at approximate quantiles, as many as their number asks for; rows are
+    summed by range, ranges are accumulated, then the values inside each range on their own, so no
+    task holds more than about RANGE_ROWS values. Few values are one range. The counts are written once.
     """
     keys = [] if group is None else [group]
+    counts = stored(counts)
+    ranges = ranges or min(RANGES, -(-counts.count() // RANGE_ROWS))
+    if ranges <= 1:
+        before = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1) if keys else Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     ends = F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 4 * ranges)
     cut = counts.crossJoin(F.broadcast(counts.agg(ends.alias("_ends"))))  # one row of at most `ranges` numbers
     cut = cut.withColumn("_range", F.size(F.filter("_ends", lambda x: x < F.col(value)))).drop("_ends")
@@ -130,11 +138,51 @@ def label_of(labels: Column, source: str) -> Column:
     return F.try_element_at(F.filter(labels, lambda l: l["source"] == source), F.lit(1))["rating"]
 
 
+BLOCK = "x_lo double, x_hi double, y double, w double"
+#: Neighbouring ranges whose blocks are joined at once.
+FAN_IN = 16
+
+
+def join_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Pools neighbouring blocks whose means fall; blocks of one range, or those of several ranges joined at their seams."""
+    pdf = pdf.sort_values("x_lo")
+    stack: list[list[float]] = []
+    for lo, hi, y, w in zip(*(pdf[c].tolist() for c in ("x_lo", "x_hi", "y", "w")), strict=True):
+        stack.append([lo, hi, y * w, w])
+        while len(stack) > 1 and stack[-2][2] / stack[-2][3] >= stack[-1][2] / stack[-1][3]:
+            _, hi, s, w = stack.pop()
+            stack[-1] = [stack[-1][0], hi, stack[-1][2] + s, stack[-1][3] + w]
+    return pd.DataFrame([(lo, hi, s / w, w) for lo, hi, s, w in stack], columns=["x_lo", "x_hi", "y", "w"])
+
+
+def isotonic_blocks(df: DataFrame, score: str, value: str) -> DataFrame:
+    """(x_lo, x_hi, y, w): the isotonic regression of value on the score as it stands, a row a block of equal fitted values with its rows.
+
+    Rows are counted by distinct score, scores are cut into ranges of about RANGE_ROWS, and each range is
+    fitted on its own. A block is a sum, a weight and its ends, so fits can be joined: FAN_IN
+    neighbouring ranges at a time, only what falls at a seam is pooled further, until one is left. What
+    goes on from a range are its blocks, not its scores; noisy values leave few of them.
+    """
+    d = df.where(F.col(score).isNotNull() & F.col(value).isNotNull())
+    counts = stored(d.groupBy(F.col(score).cast("double").alias("x_lo")).agg(F.avg(value).alias("y"), F.count(F.lit(1)).cast("double").alias("w")))
+    ranges = max(1, min(RANGES, -(-counts.count() // RANGE_ROWS)))
+    ends = sorted(set(counts.agg(F.percentile_approx("x_lo", [i / ranges for i in range(1, ranges)], 4 * ranges)).first()[0] or [])) if ranges > 1 else []
+    place = F.size(F.filter(F.lit(ends), lambda e: e < F.col("x_lo"))) if ends else F.lit(0)
+    blocks, groups = counts.select("x_lo", F.col("x_lo").alias("x_hi"), "y", "w", place.alias("r")), len(ends) + 1
+    while True:
+        blocks = blocks.groupBy("r").applyInPandas(lambda key, pdf: join_blocks(pdf).assign(r=key[0]), f"{BLOCK}, r int")
+        if groups == 1:
+            return blocks.drop("r")
+        groups = -(-groups // FAN_IN)
+        blocks = stored(blocks.withColumn("r", F.floor(F.col("r") / FAN_IN).cast("int")))
+
+
 class Calibrator:
     """A monotone map of scores 0..100 by isotonic regression.
 
-    The fit pools rows by score in Spark: scores lie in 0..100 and are told apart to `GRID` of a point, so
-    the driver sees no more rows than the grid has places, whatever the table. mode='exact' is isotonic
+    The fit pools rows by score in Spark: scores lie in 0..100 and are told apart to `grid` of a point, so
+    the driver sees no more rows than the grid has places, whatever the table; with grid=None scores are
+    taken as they stand, and the driver sees the blocks of `isotonic_blocks`. mode='exact' is isotonic
     regression; mode='pairwise' repeats passes that pool each run of falling values until nothing falls
     or twice as many passes as rows are done. It works on single rows, so it is for samples and refuses
     more than `PAIRWISE_ROWS`.
@@ -147,9 +195,15 @@ class Calibrator:
         self.xs, self.ys = xs, ys
 
     @classmethod
-    def fit(cls, df: DataFrame, score: str, rating: str, scale: float = 100 / 3, mode: str = "exact") -> Calibrator:
+    def fit(cls, df: DataFrame, score: str, rating: str, scale: float = 100 / 3, mode: str = "exact", grid: int | None = GRID) -> Calibrator:
         d = df.where(F.col(score).isNotNull() & F.col(rating).isNotNull())
-        place = F.bround(F.least(F.lit(100.0), F.greatest(F.lit(0.0), F.col(score).cast("double"))) * cls.GRID) / cls.GRID
+        place = F.least(F.lit(100.0), F.greatest(F.lit(0.0), F.col(score).cast("double")))
+        if grid is None and mode == "exact":
+            fitted = isotonic_blocks(d.select(place.alias("x"), (F.col(rating) * F.lit(scale)).alias("y")), "x", "y").orderBy("x_lo").toPandas()
+            if fitted["w"].sum() < 5:
+                raise ValueError("at least five rows are needed")
+            return cls._between(fitted["x_lo"].tolist(), fitted["y"].tolist())
+        place = F.bround(place * (grid or cls.GRID)) / (grid or cls.GRID)
         rows = d.groupBy(place.alias("x")).agg(F.avg(F.col(rating) * F.lit(scale)).alias("y"), F.count(F.lit(1)).alias("w")).orderBy("x").toPandas()
         if rows["w"].sum() < 5:
             raise ValueError("at least five rows are needed")
@@ -158,7 +212,11 @@ class Calibrator:
         x, y, w = (rows[c].to_numpy(float) for c in "xyw")
         fitted = pool(y, w) if mode == "exact" else pool_pairwise(np.repeat(y, w.astype(int)))[np.cumsum(w.astype(int)) - 1]
         keep = np.concatenate([[True], fitted[1:] != fitted[:-1]])
-        xs, ys = x[keep].tolist(), fitted[keep].tolist()
+        return cls._between(x[keep].tolist(), fitted[keep].tolist())
+
+    @classmethod
+    def _between(cls, xs: list[float], ys: list[float]) -> Calibrator:
+        """Thresholds from 0 to 100."""
         if xs[0] > 0:
             xs, ys = [0.0, *xs], [ys[0], *ys]
         if xs[-1] < 100:

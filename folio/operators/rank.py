@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folio.functions.dates import day_ordinal, recency_points
-from folio.operators.metrics import RANGES, ordinal_ranks
+from folio.operators.metrics import ordinal_ranks
+from folio.operators.titles import stored
 
 # Words and sources that raise the heuristic rank.
 PRIORITY_WORDS = ("biomarker", "early detection", "ctdna", "cell-free dna", "methylation", "liquid biopsy", "diagnostic", "detection method", "sensitivity", "specificity")
@@ -104,28 +104,85 @@ def minmax(df: DataFrame, score: str, out: str = "normalized") -> DataFrame:
     return d.withColumn(out, F.when(F.col("_lo") == F.col("_hi"), F.lit(50.0)).otherwise(F.bround((F.col(score) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * 100))).drop("_lo", "_hi")
 
 
-def byte_budget(df: DataFrame, group: str, rank: str, size: str, budget: int) -> DataFrame:
-    """Adds attached: in rank order each item is taken if it still fits; a later smaller one may fit after one that did not.
+#: Items that one range of ranks holds about, and the largest number of ranges.
+RANGE_ROWS, MOST_RANGES = 8192, 4096
+#: Steps of a budget that are planned as one job.
+STEPS = 3
+
+
+def _log2(c: Column) -> Column:
+    """The place of the highest bit of a positive number."""
+    return F.length(F.bin(c)) - 1
 
-    What fits depends on all that was taken before, so the items of a group (one digest) are walked in
-    one pass; only rank and size go there.
-    """
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, left, took = pdf.sort_values("_r"), budget, []
-        for s in pdf["_s"]:
-            fits = s is not None and s == s and s <= left
-            left -= int(s) if fits else 0
-            took.append(fits)
-        return pdf[["_g", "_r"]].assign(attached=took)
+def _sums_below(items: DataFrame, classes: int) -> DataFrame:
+    """items (_g, _r, _s, _c) with _below: for each class m the sum of the sizes of the earlier items of the group that are in classes under m.
 
-    kind, place = df.schema[group].dataType.simpleString(), df.schema[rank].dataType.simpleString()
-    slim = df.select(F.col(group).alias("_g"), F.col(rank).alias("_r"), F.col(size).cast("double").alias("_s"))
-    took = slim.groupBy("_g").applyInPandas(walk, f"_g {kind}, _r {place}, attached boolean")
-    return df.join(took, (F.col(group) == F.col("_g")) & (F.col(rank) == F.col("_r"))).drop("_g", "_r")
+    Sums run inside ranges of ranks, and over the sums of the ranges, so a group of any size is many tasks.
+    """
+    n = items.count()
+    ranges = min(MOST_RANGES, -(-n // RANGE_ROWS))
+    small = [F.when(F.col("_c") < m, F.col("_s")).otherwise(0) for m in range(1, classes + 1)]
+    if ranges <= 1:
+        before = Window.partitionBy("_g").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+        return items.withColumn("_below", F.array(F.lit(0).cast("long"), *[F.coalesce(F.sum(x).over(before), F.lit(0)) for x in small]))
+    ends = items.agg(F.percentile_approx("_r", [i / ranges for i in range(1, ranges)], 4 * ranges)).first()[0]
+    cut = items.withColumn("_b", F.size(F.filter(F.lit(sorted(set(ends))), lambda x: x < F.col("_r"))))
+    sums = cut.groupBy("_g", "_b").agg(*[F.sum(x).alias(f"_{m}") for m, x in enumerate(small)])
+    before = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col("_g").alias("_g2"), F.col("_b").alias("_b2"), *[F.coalesce(F.sum(f"_{m}").over(before), F.lit(0)).alias(f"_{m}") for m in range(classes)])
+    before = Window.partitionBy("_g", "_b").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    inside = cut.withColumns({f"_in{m}": F.coalesce(F.sum(x).over(before), F.lit(0)) for m, x in enumerate(small)})
+    both = inside.join(sums, (F.col("_g").eqNullSafe(F.col("_g2"))) & (F.col("_b") == F.col("_b2")))
+    return both.select("_g", "_r", "_s", "_c", F.array(F.lit(0).cast("long"), *[F.col(f"_{m}") + F.col(f"_in{m}") for m in range(classes)]).alias("_below"))
+
+
+def _next_step(now: DataFrame, items: DataFrame, kind: str) -> DataFrame:
+    """Each group taken on to the item at which the room left gets into a lower class, or to its end."""
+    now = now.withColumns({"_m": _log2(F.col("_room")), "_after": F.try_element_at("_steps", F.lit(-1))["upto"]})
+    d = items.join(now.select(F.col("_g").alias("_g2"), "_room", "_base", "_m", "_after"), F.col("_g").eqNullSafe(F.col("_g2"))).where("(_after IS NULL OR _r > _after) AND _c <= _m")
+    d = d.withColumn("_took", F.element_at("_below", F.col("_m") + 1) - F.col("_base"))
+    d = d.where("(_c < _m AND _took + _s > _room - shiftleft(1L, int(_m))) OR (_c = _m AND _took + _s <= _room)")
+    event = d.groupBy(F.col("_g").alias("_g3")).agg(F.min_by(F.struct("_r", "_s", "_c", "_took", "_below"), "_r").alias("_e"))
+    both = now.join(event, F.col("_g").eqNullSafe(F.col("_g3")), "left")
+    room = F.when(F.col("_e").isNull(), 0).otherwise(F.col("_room") - F.col("_e._took") - F.col("_e._s")).cast("long")
+    step = F.struct(F.col("_after").alias("after"), F.col("_e._r").alias("upto"), F.col("_m").cast("int").alias("m"), F.col("_e._r").alias("one"))
+    both = both.withColumns({"_room": room, "_steps": F.concat("_steps", F.array(step).cast(kind))}).withColumn("_m", _log2(F.col("_room")))
+    base = F.element_at("_e._below", F.col("_m") + 1) + F.when(F.col("_e._c") < F.col("_m"), F.col("_e._s")).otherwise(0)
+    return both.select("_g", "_least", "_room", F.when(F.col("_room") > 0, base).otherwise(0).alias("_base"), "_steps", ((F.col("_room") > 0) & (F.col("_m") >= F.col("_least"))).alias("_open"))
 
 
-def ranking_checks(df: DataFrame, rank: str, score: str, top: int, least: float, ranges: int = RANGES) -> DataFrame:
+def byte_budget(df: DataFrame, group: str, rank: str, size: str, budget: int) -> DataFrame:
+    """Adds attached: in rank order each item is taken if it still fits; a later smaller one may fit after one that did not.
+
+    Sizes fall into classes by their highest bit. While the room left has its highest bit at m, items of
+    lower classes all fit, those of higher ones never will again, and one item of class m at most is
+    taken, as that brings the room below. So the room changes its class at the first item where the
+    running sum of the lower classes goes over the edge or one of class m fits; all groups go on to
+    that item at once, in at most as many steps as the budget has bits. Running sums of all classes are made once.
+    Ranks are unique in a group; a null, negative or larger size than the budget never fits, an empty item always does.
+    """
+    slim = df.select(F.col(group).alias("_g"), F.col(rank).alias("_r"), F.floor(F.col(size)).cast("long").alias("_s"))
+    items = slim.where(f"_s BETWEEN 1 AND {int(budget)}").withColumn("_c", _log2(F.col("_s")))
+    items = stored(_sums_below(items, int(budget).bit_length()))
+    kind = f"array<struct<after:{df.schema[rank].dataType.simpleString()},upto:{df.schema[rank].dataType.simpleString()},m:int,one:{df.schema[rank].dataType.simpleString()}>>"
+    state = items.groupBy("_g").agg(F.min("_c").alias("_least")).select("_g", "_least", F.lit(int(budget)).cast("long").alias("_room"), F.lit(0).cast("long").alias("_base"), F.array().cast(kind).alias("_steps"), F.lit(True).alias("_open"))
+    while True:
+        for _ in range(STEPS):
+            state = state.where("NOT _open").unionByName(_next_step(state.where("_open"), items, kind))
+        seen = Observation()
+        state = stored(state.observe(seen, F.count_if("_open").alias("open")))
+        if not seen.get["open"]:
+            break
+    d = df.join(state.select("_g", "_steps"), F.col(group).eqNullSafe(F.col("_g")), "left")
+    r, s = F.col(rank), F.floor(F.col(size)).cast("long")
+    inside = lambda t: (t["after"].isNull() | (r > t["after"])) & (t["upto"].isNull() | (r <= t["upto"]))
+    fits = F.exists("_steps", lambda t: inside(t) & ((_log2(s) < t["m"]) | F.coalesce(r == t["one"], F.lit(False))))
+    attached = F.when(s == 0, True).when((s > 0) & (s <= budget), F.coalesce(fits, F.lit(False))).otherwise(False)
+    return d.withColumn("attached", attached).drop("_g", "_steps")
+
+
+def ranking_checks(df: DataFrame, rank: str, score: str, top: int, least: float, ranges: int = 256) -> DataFrame:
     """Data-quality counts: rows whose successor has a higher score, and high scores left out of the first `top`.
 
     Rows are compared inside ranges of the rank; the last row of a range meets the first of the next one.

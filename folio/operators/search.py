@@ -20,9 +20,16 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def top_k(vectors: DataFrame, query: list[float], key: str, vec: str, k: int, least: float | None = None) -> DataFrame:
-    """The k most similar rows; each partition keeps k, then one merge (TakeOrderedAndProject)."""
+    """The k most similar rows, in the order of the exact cosine, ties by key; each partition keeps k, then one merge (TakeOrderedAndProject).
+
+    The similarity that comes out is rounded to six places; the order and `least` are not.
+    """
+    return _closest(vectors, query, key, vec, k, least).withColumn("similarity", F.round("similarity", 6))
+
+
+def _closest(vectors: DataFrame, query: list[float], key: str, vec: str, k: int, least: float | None) -> DataFrame:
     q = F.array(*[F.lit(float(x)) for x in query])
-    d = vectors.where(F.size(vec) == len(query)).select(key, F.round(cosine(F.col(vec), q), 6).alias("similarity"))
+    d = vectors.where(F.size(vec) == len(query)).select(key, cosine(F.col(vec), q).alias("similarity"))
     if least is not None:
         d = d.where(F.col("similarity") >= least)
     return d.orderBy(F.desc("similarity"), key).limit(k)
@@ -31,10 +38,8 @@ def top_k(vectors: DataFrame, query: list[float], key: str, vec: str, k: int, le
 def search(vectors: DataFrame, rows: DataFrame, query: list[float], key: str, vec: str, k: int = 10, least: float | None = None) -> DataFrame:
     """Hits joined to their rows: k between 1 and 25; with a threshold four times as many are fetched first."""
     k = max(1, min(25, k))
-    hits = top_k(vectors, query, key, vec, k * (4 if least is not None else 1))
+    hits = _closest(vectors, query, key, vec, k * (4 if least is not None else 1), least)
     d = hits.join(rows, key)
-    if least is not None:
-        d = d.where(F.col("similarity") >= least)
     return d.orderBy(F.desc("similarity"), key).limit(k).withColumn("similarity", F.round("similarity", 4))
 
 

@@ -162,8 +162,10 @@ def cascade_match(spark, sf_dir):
 
 @query("title_sequence_ratio")
 def title_sequence_ratio(spark, sf_dir):
+    """Each title against the one it would have from its last sentence."""
     p = pubs(spark, sf_dir)
-    return p.select("id", F.round(sequence_ratio(F.lower("title"), F.lower(F.substring("title", 3, 60))), 6).alias("ratio"))
+    last = F.substring(F.trim(F.element_at(F.split(F.rtrim(F.coalesce("raw_text", F.lit("")), F.lit(". \n")), r"\."), -1)), 1, 80)
+    return p.select("id", F.round(sequence_ratio(F.lower("title"), F.lower(last)), 6).alias("ratio"))
 
 
 @query("rerank_merge", f"WITH {PUBS} SELECT id, CASE WHEN id % 3 = 0 AND trim({TITLE_SQL['rerank']}) <> '' THEN 90 - id % 50 ELSE 0 END AS llm_score, CASE WHEN id % 3 = 0 AND trim({TITLE_SQL['rerank']}) <> '' THEN id % 7 ELSE 999 END AS llm_rank FROM pubs")
@@ -253,11 +255,11 @@ def two_stage_funnel(spark, sf_dir):
     return rank.funnel(pubs(spark, sf_dir).select("id", "score"), "score", "id")
 
 
-@query("rank_repair", f"WITH {PUBS}, c AS (SELECT id, id AS seq FROM pubs WHERE source = 'src3'), p AS (SELECT id, min(pos) AS pos FROM (SELECT id, (id * 7919) % 1009 AS pos FROM pubs WHERE id % 2 = 0) GROUP BY 1) SELECT c.id, row_number() OVER (ORDER BY p.pos NULLS LAST, c.seq) AS rank, p.pos IS NULL AS appended FROM c LEFT JOIN p USING (id)")
+@query("rank_repair", f"WITH {PUBS}, c AS (SELECT id, id AS seq FROM pubs), p AS (SELECT id, min(pos) AS pos FROM (SELECT id, (id * 7919) % 1009 AS pos FROM pubs WHERE id % 2 = 0) GROUP BY 1) SELECT c.id, row_number() OVER (ORDER BY p.pos NULLS LAST, c.seq) AS rank, p.pos IS NULL AS appended FROM c LEFT JOIN p USING (id)")
 def rank_repair(spark, sf_dir):
     p = pubs(spark, sf_dir)
     ranked = p.where("id % 2 = 0").select("id", ((F.col("id") * 7919) % 1009).alias("pos"))
-    r = rank.repair_ranking(p.where("source = 'src3'").select("id", F.col("id").alias("seq")), ranked.unionByName(ranked.withColumn("pos", F.col("pos") + 5000)))
+    r = rank.repair_ranking(p.select("id", F.col("id").alias("seq")), ranked.unionByName(ranked.withColumn("pos", F.col("pos") + 5000)))
     return r.select("id", F.col("rank").cast("long").alias("rank"), "appended")
 
 
@@ -329,10 +331,10 @@ def _query_vector(d: DataFrame) -> list[float]:
     return [float(x) for x in d.where("vec_id = 7").select("embedding").first()[0]]
 
 
-_COS = "round(list_inner_product(CAST(e.embedding AS DOUBLE[]), CAST(q.v AS DOUBLE[])) / (sqrt(list_inner_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[]))) * sqrt(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(q.v AS DOUBLE[])))), 6)"
+_COS = "list_inner_product(CAST(e.embedding AS DOUBLE[]), CAST(q.v AS DOUBLE[])) / (sqrt(list_inner_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[]))) * sqrt(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(q.v AS DOUBLE[]))))"
 
 
-@query("cosine_topk", f"WITH q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = 7) SELECT vec_id, {_COS} AS similarity FROM embeddings e, q ORDER BY similarity DESC, vec_id LIMIT 25")
+@query("cosine_topk", f"WITH q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = 7) SELECT vec_id, round(s, 6) AS similarity FROM (SELECT vec_id, {_COS} AS s FROM embeddings e, q ORDER BY s DESC, vec_id LIMIT 25)")
 def cosine_topk(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     return search.top_k(e, _query_vector(e), "vec_id", "embedding", 25)
@@ -374,9 +376,9 @@ def conversation_reviews(spark, sf_dir):
     return d.select("conv_id", "u", "a", rules.agreement(F.col("s1"), F.col("s2")).alias("agreement"))
 
 
-@query("trigram_check", f"WITH {PUBS}, w AS (SELECT id, string_split(trim(regexp_replace(lower(title), '\\s+', ' ', 'g')), ' ') AS t, trim(regexp_replace(lower(CASE WHEN id % 2 = 0 THEN substring(raw_text, 20) ELSE raw_text END), '\\s+', ' ', 'g')) AS x FROM pubs) SELECT id, coalesce(len(list_filter(range(1, len(t) - 1), lambda i: contains(x, array_to_string(t[i:i + 2], ' ')))) > 0, FALSE) AS ok FROM w")
+@query("trigram_check", f"WITH {PUBS}, w AS (SELECT id, string_split(trim(regexp_replace(lower(title), '\\s+', ' ', 'g')), ' ') AS t, trim(regexp_replace(lower(CASE WHEN id % 2 = 0 THEN reverse(raw_text) ELSE raw_text END), '\\s+', ' ', 'g')) AS x FROM pubs) SELECT id, coalesce(len(list_filter(range(1, len(t) - 1), lambda i: contains(x, array_to_string(t[i:i + 2], ' ')))) > 0, FALSE) AS ok FROM w")
 def trigram_check(spark, sf_dir):
-    whole = F.when(F.col("id") % 2 == 0, F.expr("substring(raw_text, 20)")).otherwise(F.col("raw_text"))
+    whole = F.when(F.col("id") % 2 == 0, F.reverse("raw_text")).otherwise(F.col("raw_text"))
     return pubs(spark, sf_dir).select("id", text.shares_trigram(F.col("title"), whole).alias("ok"))
 
 

@@ -16,8 +16,8 @@ REF_URL = f"""CASE id % 17 WHEN 0 THEN 'https://doi.org/10.1000/ABC.' || {ID} ||
  WHEN 6 THEN 'https://example.org/a/' || {ID} || '#' WHEN 7 THEN 'short' WHEN 8 THEN 'ftp://host.example/' || {ID} WHEN 9 THEN 'https://onlinelibrary.example/doi/10.1002/x' || {ID} || '/' WHEN 10 THEN 'https://PubMed.ncbi.nlm.nih.gov/pubmed/' || CAST(id AS STRING) || '?term=y'
  WHEN 11 THEN 'https://www.science.org/doi/10.1126/sci.' || {ID} || ',' WHEN 12 THEN 'HTTPS://Example.ORG/Path/' || {ID} || 'html?utm_source=a&q=' || source || '&ref=b' WHEN 13 THEN 'https://www.cell.com/x/y/10.1016/j.cell.' || {ID} || ':' WHEN 14 THEN 'x.example/PMID: ' || CAST(20000000 + id AS STRING)
  WHEN 15 THEN 'https://pubmed.ncbi.nlm.nih.gov/abs/' || CAST(30000000 + id AS STRING) || '/?a=1' ELSE NULL END"""
-REF_TEXT = f"""CASE id % 7 WHEN 0 THEN 'see doi:10.' || CAST(1000 + id % 50 AS STRING) || '/S4-' || {ID} || 'whether ' || substring(raw_text, 1, 60) WHEN 1 THEN title || ' PMID: ' || CAST(10000000 + id AS STRING) || ' and more' WHEN 2 THEN 'arXiv:2401.' || CAST(10000 + id % 9000 AS STRING) || 'v2 (' || source || ')'
- WHEN 3 THEN '[10.1234/a_' || {ID} || '] "10.9/x"' WHEN 4 THEN 'pubmed.ncbi.nlm.nih.gov/' || CAST(10000000 + id AS STRING) || ' 10.5555/late.' || {ID} || ';' WHEN 5 THEN raw_text ELSE NULL END"""
+REF_TEXT = f"""CASE id % 7 WHEN 0 THEN 'see doi:10.' || CAST(1000 + id % 50 AS STRING) || '/S4-' || {ID} || 'whether ' || raw_text WHEN 1 THEN raw_text || ' PMID: ' || CAST(10000000 + id AS STRING) || ' and more' WHEN 2 THEN raw_text || ' arXiv:2401.' || CAST(10000 + id % 9000 AS STRING) || 'v2 (' || source || ')'
+ WHEN 3 THEN raw_text || ' [10.1234/a_' || {ID} || '] "10.9/x"' WHEN 4 THEN raw_text || ' pubmed.ncbi.nlm.nih.gov/' || CAST(10000000 + id AS STRING) || ' 10.5555/late.' || {ID} || ';' WHEN 5 THEN raw_text ELSE NULL END"""
 DOI_RAW = f"CASE id % 6 WHEN 0 THEN 'https://doi.org/10.1/A' || {ID} WHEN 1 THEN ' DOI: 10.2/b' || {ID} WHEN 2 THEN 'http://dx.doi.org/10.3/C' WHEN 3 THEN '10.4/' || source WHEN 4 THEN 'abc' || {ID} ELSE NULL END"
 PMID_RAW = f"CASE id % 5 WHEN 0 THEN 'PMID ' || {ID} WHEN 1 THEN {ID} WHEN 2 THEN 'none' WHEN 3 THEN ' 12-34-' || {ID} ELSE NULL END"
 REFS = f"{PUBS}, refs AS (SELECT *, {REF_URL} AS u, {REF_TEXT} AS x, {DOI_RAW} AS d, {PMID_RAW} AS p FROM pubs)"

@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from folio.functions import dates, identifiers, jsonx, rules, text
+from folio.functions import dates, extract, identifiers, jsonx, rules, text
 from folio.operators import attachments, metrics, records
 from folio.plans.documents import PUBS, pubs
 from folio.plans.identify import DOI_RAW, ID, text_doi
@@ -368,7 +368,7 @@ def clean_reasons(spark, sf_dir):
     return pubs(spark, sf_dir).select("id", text.clean_reason(F.expr(ATTRIBUTED)).alias("reason"))
 
 
-SUMMARY = """CASE id % 5 WHEN 0 THEN replace(substring(raw_text, 1, 400), '. ', chr(10) || '- ') WHEN 1 THEN '• ' || replace(substring(raw_text, 1, 400), '. ', '• ') WHEN 2 THEN 'No summary available.' WHEN 3 THEN NULL ELSE raw_text END"""
+SUMMARY = """CASE id % 5 WHEN 0 THEN replace(raw_text, '. ', chr(10) || '- ') WHEN 1 THEN '• ' || replace(raw_text, '. ', '• ') WHEN 2 THEN 'No summary available.' WHEN 3 THEN NULL ELSE raw_text END"""
 _SENT = "list_filter(list_transform(string_split(s, '.'), lambda x: trim(x)), lambda x: x <> '')"
 
 
@@ -416,21 +416,29 @@ def off_topic(spark, sf_dir):
     return pubs(spark, sf_dir).select("id", F.array_join(records.off_topic(F.col("raw_text"), OFF, ("ention", "cancer")), ",").alias("hits"))
 
 
-#: A sponsor phrase and a company phrase with names that end at different signs.
-GRANT = """CASE id % 4 WHEN 0 THEN 'This work was funded by ' || upper(source) || ' Labs; one author is an employee of Acme Corp: thanks.' WHEN 1 THEN 'Supported by The ' || upper(source) || ' Fund / supported by The ' || upper(source) || ' Fund / grant from Zeta_' WHEN 2 THEN 'He is a consultant for Beta & Co. (x) and affiliated with Delta,(y)' ELSE substring(raw_text, 1, 300) END"""
+#: Whole texts with each of the twelve phrases before or behind them, and names that end at different signs.
+GRANT = """CASE id % 7 WHEN 0 THEN 'This work was funded by ' || upper(source) || ' Labs; one author is an employee of Acme Corp: thanks. ' || raw_text WHEN 1 THEN raw_text || ' Supported by The ' || upper(source) || ' Fund / supported by The ' || upper(source) || ' Fund / grant from Zeta_'
+ WHEN 2 THEN 'He is a consultant for Beta & Co. (x) and affiliated with Delta,(y) ' || raw_text WHEN 3 THEN raw_text || ' Disclosure: (1) ' || upper(source) || ' Inc; conflict of interest: none for Omega Ltd/ research supported by Kappa Trust;'
+ WHEN 4 THEN 'Sponsored by ' || source || ' and Sons! Funding provided by Theta.; ' || raw_text || ' received compensation from Iota, Ltd' WHEN 5 THEN 'a conflict of interest ' || raw_text ELSE raw_text END"""
 
 
-def _names_sql(phrases: tuple[str, ...]) -> str:
-    lists = ", ".join(f"regexp_extract_all(g, '(?i){p}\\s+([A-Z][A-Za-z0-9\\s&,.-]{{2,50}})', 1)" for p in phrases)
-    return f"list_filter(list_transform(flatten([{lists}]), lambda x: regexp_replace(trim(x), '[,;.]$', '')), lambda x: x <> '')"
+def _found_sql(patterns: tuple[str, ...]) -> str:
+    """List of (name, start, end) of all matches of the patterns, in order: starts from the pieces between the matches."""
+    one = lambda p: f"""(SELECT list_transform(range(1, len(m) + 1), lambda i: {{'n': regexp_replace(regexp_replace(n[i], '^\\s+|\\s+$', '', 'g'), '[,;.]$', ''), 's': CAST(list_sum(list_transform(q[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT), 'l': length(m[i])}}) FROM (SELECT regexp_extract_all(g, '(?i){p}', 0) AS m, regexp_extract_all(g, '(?i){p}', 1) AS n, regexp_split_to_array(g, '(?i){p}') AS q))"""
+    return f"list_filter(flatten([{', '.join(one(p) for p in patterns)}]), lambda x: x.n <> '')"
 
 
-@query("commercial_signals", f"""WITH {PUBS}, g AS (SELECT id, {GRANT} AS g FROM pubs), n AS (SELECT id, {_names_sql(("funded by", "supported by", "grant from", "sponsored by", "funding provided by", "research supported by"))} AS s, {_names_sql(("employee of", "consultant for", "affiliated with", "received compensation from"))} AS c FROM g),
-d AS (SELECT id, list_filter(s, lambda x, i: list_position(s, x) = i)[1:5] AS s, list_filter(c, lambda x, i: list_position(c, x) = i)[1:5] AS c FROM n) SELECT id, array_to_string(s, '|') AS sponsors, array_to_string(c, '|') AS companies FROM d""")
-def commercial_signals(spark, sf_dir):
-    from folio.functions.extract import commercial_signals as found
+_FIRST = "list_filter({0}, lambda x, i: list_position(list_transform({0}, lambda y: y.n), x.n) = i)"
+_PIECE = "regexp_replace(substring(g, CAST(greatest(0, x.s - 20) AS BIGINT) + 1, CAST(x.s + x.l + 80 - greatest(0, x.s - 20) AS BIGINT)), '^\\s+|\\s+$', '', 'g')"
+
 
-    return pubs(spark, sf_dir).select("id", found(F.expr(GRANT)).alias("c")).select("id", F.array_join("c.sponsor_names", "|").alias("sponsors"), F.array_join("c.company_names", "|").alias("companies"))
+@query("commercial_signals", f"""WITH {PUBS}, g AS (SELECT id, coalesce({GRANT}, '') AS g FROM pubs), f AS (SELECT id, g, {_found_sql(extract.SPONSOR_PATTERNS)} AS s, {_found_sql(extract.COMPANY_PATTERNS)} AS c FROM g), d AS (SELECT id, g, {_FIRST.format("s")} AS s, {_FIRST.format("c")} AS c FROM f),
+p AS (SELECT id, s, c, list_transform(list_concat(s, c), lambda x: CASE WHEN length({_PIECE}) > 160 THEN substring({_PIECE}, 1, 157) || '...' ELSE {_PIECE} END) AS p FROM d)
+SELECT id, array_to_string(list_transform(s, lambda x: x.n)[1:5], '|') AS sponsors, array_to_string(list_transform(c, lambda x: x.n)[1:5], '|') AS companies, array_to_string(list_filter(p, lambda x, i: list_position(p, x) = i)[1:2], '|') AS snippets, len(s) > 0 AS has_sponsor_signal, len(c) > 0 AS company_affiliation_signal FROM p""")
+def commercial_signals(spark, sf_dir):
+    d = pubs(spark, sf_dir).select("id", extract.commercial_signals(F.coalesce(F.expr(GRANT), F.lit(""))).alias("c"))
+    lists = [F.array_join(f"c.{c}", "|").alias(name) for c, name in (("sponsor_names", "sponsors"), ("company_names", "companies"), ("snippets", "snippets"))]
+    return d.select("id", *lists, "c.has_sponsor_signal", "c.company_affiliation_signal")
 
 
 @query("target_types", f"WITH {PUBS} SELECT id, list_contains(['lung', 'colon', 'breast'], CASE lower(trim(k)) WHEN 'colorectal' THEN 'colon' ELSE lower(trim(k)) END) AS target FROM (SELECT id, CASE id % 4 WHEN 0 THEN ' Colorectal' WHEN 1 THEN 'LUNG' WHEN 2 THEN 'other' ELSE '' END AS k FROM pubs)")

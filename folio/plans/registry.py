@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from folio.plans import documents, events, flows, identify, parsing, records, star  # noqa: F401
+    from folio.plans import documents, events, flows, identify, linking, parsing, records, star, stores, streams  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
@@ -43,32 +43,123 @@ def sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 hour")
     return events.withWatermark("ts", delay).groupBy(F.session_window("ts", gap), "user_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def rate_limited(events: DataFrame, key: str = "user_id", most: int = 10, seconds: int = 60, delay: str = "1 hour") -> DataFrame:
-    """Adds accepted: at most `most` accepted events in any `seconds` before, by key.
+class _Limiter(StatefulProcessor):
+    """The accepted times of a key within the window, in a list; a timer clears a key that has fallen silent."""
 
-    State is the accepted times of the window; it goes when the watermark has passed the last of them by
-    `seconds`, so keys that fall silent leave nothing behind.
-    """
+    def __init__(self, key: str, most: int, micros: int):
+        self.key, self.most, self.micros = key, most, micros
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.times = handle.getListState("times", "at long")
 
-    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        times = list(state.get[0]) if state.exists else []
-        rows = pd.concat(list(batches)).sort_values(["ts", "event_id"], ignore_index=True)
-        ok = []
-        for t in rows["ts"].astype("int64") / 1e9 if rows["ts"].dtype == "datetime64[ns]" else rows["ts"].map(lambda x: x.timestamp()):
-            times = [x for x in times if x > t - seconds]
-            ok.append(len(times) < most)
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        d = pd.concat(list(rows)).sort_values(["ts", "event_id"], ignore_index=True)
+        times, ok = [t[0] for t in self.times.get()] if self.times.exists() else [], []
+        for t in d["ts"].astype("datetime64[us]").astype("int64").tolist():
+            times = [x for x in times if x > t - self.micros]
+            ok.append(len(times) < self.most)
             if ok[-1]:
                 times.append(t)
-        state.update((times,))
-        last = max(times) if times else 0
-        state.setTimeoutTimestamp(int(max(last + seconds, state.getCurrentWatermarkMs() / 1000 + 1) * 1000))
-        yield pd.DataFrame({"event_id": rows["event_id"], key: k[0], "accepted": ok})
+        self.times.clear()
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if times:
+            self.times.put([(t,) for t in times])
+            self.handle.registerTimer(max((times[-1] + self.micros) // 1000, timerValues.getCurrentWatermarkInMs()) + 1)
+        yield pd.DataFrame({"event_id": d["event_id"], self.key: key[0], "accepted": ok})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.times.clear()
+        yield pd.DataFrame()
+
+
+def _with_state(events: DataFrame) -> DataFrame:
+    """Processors with several states and timers need the state store on disk."""
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return events
+
+
+def rate_limited(events: DataFrame, key: str = "user_id", most: int = 10, seconds: int = 60, delay: str = "1 hour") -> DataFrame:
+    """Adds accepted: true if fewer than `most` events of the key were accepted in the `seconds` before; refused ones do not count.
+
+    State is the accepted times of the window, `most` at most; it goes when the watermark has passed the last of
+    them by `seconds`, so keys that fall silent leave nothing behind. Events of one micro-batch are taken in
+    the order of time; one that comes later but is older is judged by what was accepted until it came.
+    """
+    d = _with_state(events.withWatermark("ts", delay)).groupBy(key)
+    return d.transformWithStateInPandas(_Limiter(key, most, seconds * 1_000_000), f"event_id long, {key} long, accepted boolean", "Append", "EventTime")
+
+
+class _Memory(StatefulProcessor):
+    """When each key of a shard was seen (or cached) last, in a map; entries older than the time to live are dropped as the watermark passes."""
+
+    def __init__(self, key: str, micros: int, refresh: bool):
+        self.key, self.micros, self.refresh = key, micros, refresh
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getMapState("seen", "id long", "at long")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        for k, t in zip(initialState[self.key].tolist(), initialState["at"].tolist(), strict=True):
+            self.seen.updateValue((int(k),), (int(t),))
+        self.handle.registerTimer(max(timerValues.getCurrentWatermarkInMs(), (int(initialState["at"].min()) + self.micros) // 1000) + 1)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        d = pd.concat(list(rows)).sort_values(["ts", "event_id"], ignore_index=True)
+        known: dict[int, int | None] = {}
+        new = []
+        for k, t in zip(d[self.key].tolist(), d["ts"].astype("datetime64[us]").astype("int64").tolist(), strict=True):
+            if k not in known:
+                known[k] = self.seen.getValue((k,))[0] if self.seen.containsKey((k,)) else None
+            before = known[k]
+            new.append(before is None or t - before > self.micros)
+            if new[-1] or (self.refresh and t > before):
+                known[k] = t
+        for k, t in known.items():
+            self.seen.updateValue((k,), (t,))
+        yield self._out(d, new)
+        now = timerValues.getCurrentWatermarkInMs()
+        if not list(self.handle.listTimers()):
+            self.handle.registerTimer(max(now, min(known.values()) // 1000) + self.micros // 1000 + 1)
+
+    def _out(self, d: pd.DataFrame, new: list[bool]) -> pd.DataFrame:
+        return pd.DataFrame({"event_id": d["event_id"], self.key: d[self.key], "at": d["ts"].astype("datetime64[us]").astype("int64"), "is_new": new})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        entries = [(k[0], t[0]) for k, t in self.seen.iterator()]
+        for k, t in entries:
+            if t + self.micros < now * 1000:
+                self.seen.removeKey((k,))
+        left = [t for _, t in entries if t + self.micros >= now * 1000]
+        if left:
+            self.handle.registerTimer(max(now, (min(left) + self.micros) // 1000) + 1)
+        yield pd.DataFrame()
+
+
+def remembered(events: DataFrame, key: str = "user_id", hours: float = 48, refresh: bool = True, delay: str = "1 hour", initial: DataFrame | None = None, shards: int = 64) -> DataFrame:
+    """(event_id, key, at, is_new): whether the key was unknown, or known for longer than `hours`, when the event came; at is its time in microseconds.
+
+    With `refresh` each event renews its key (ids seen within a look-back); without, an entry lives `hours` from
+    when it was made, however often it is hit (a cache). State is a map a shard of keys, so small
+    keys cost an entry each and not a group; entries go as the watermark passes them. `initial` (key,
+    at) is the memory of an earlier run, see `memory_of`; without it all keys are unknown. Rows without a
+    key are left out.
+    """
+    shard = F.pmod(F.xxhash64(key), F.lit(shards)).cast("int").alias("shard")
+    d = _with_state(events.where(F.col(key).isNotNull()).withWatermark("ts", delay)).select("event_id", "ts", F.col(key).cast("long").alias(key), shard)
+    state = None if initial is None else initial.select(F.col(key).cast("long").alias(key), "at", shard).groupBy("shard")
+    out = f"event_id long, {key} long, at long, is_new boolean"
+    return d.groupBy("shard").transformWithStateInPandas(_Memory(key, int(hours * 3_600_000_000), refresh), out, "Append", "EventTime", initialState=state)
 
-    d = events.withWatermark("ts", delay).groupBy(key)
-    return d.applyInPandasWithState(step, f"event_id long, {key} long, accepted boolean", "times array<double>", "append", GroupStateTimeout.EventTimeTimeout)
+
+def memory_of(told: DataFrame, key: str = "user_id", refresh: bool = True, before: DataFrame | None = None) -> DataFrame:
+    """(key, at): what a run of `remembered` leaves for the next one, from its output and the memory it began with."""
+    entries = (told if refresh else told.where("is_new")).select(key, "at")
+    entries = entries if before is None else entries.unionByName(before.select(key, "at"))
+    return entries.groupBy(key).agg(F.max("at").alias("at"))
 
 
 def new_ids(events: DataFrame, key: str = "user_id", keep: str | None = None) -> DataFrame:
@@ -89,6 +180,20 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def run_updates(df: DataFrame, path: str, checkpoint: str, keys: list[str]) -> DataFrame:
+    """Drives a bounded stream in update mode; the last state of each key. Each micro-batch replaces its own part, so a repeated one does no harm."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    q = df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).outputMode("update").trigger(availableNow=True).start()
+    q.awaitTermination()
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+    parts = df.sparkSession.read.schema(f"{kinds}, batch long").option("basePath", path).parquet(f"{path}/batch=*")
+    rest = [f.name for f in df.schema if f.name not in keys]
+    return parts.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_s")).select(*keys, "_s.*")
+
+
 def run_to_memory(df: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
     """Drives a bounded stream to its end into a memory table; for small results."""
     w = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
