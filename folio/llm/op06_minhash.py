@@ -21,7 +21,7 @@ _r = np.random.default_rng(7919)
 MULT = _r.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 ADD = _r.integers(0, 2**32, HASHES, dtype=np.uint32)
 LANES = HASHES * BITS // 64
-SIGNATURE = "id long, text_key long, n_shingles long, node long, " + ", ".join(f"s{k} long" for k in range(LANES)) + ", bands array<long>"
+SIGNATURE = "id long, text_key long, n_shingles long, node long, check long, " + ", ".join(f"s{k} long" for k in range(LANES)) + ", bands array<long>"
 
 
 #: Buckets up to this size emit their pairs; larger ones are compared in blocks of BLOCK rows inside tasks.
@@ -38,6 +38,26 @@ def digest(s: np.ndarray) -> int:
     return int(mix(np.array([s.sum(dtype=np.uint64) ^ np.uint64(len(s))])).view(np.int64)[0])
 
 
+def second_digest(s: np.ndarray) -> int:
+    """Another number for a set of hashes, independent of the first."""
+    return int(np.bitwise_xor.reduce(mix(s * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))).view(np.int64))
+
+
+def told_apart(rows: DataFrame, clashes: DataFrame | None) -> DataFrame:
+    """rows (node, check, …) without check; a node that stands for sets with other second digests too is named by both digests."""
+    if clashes is None:
+        return rows.drop("check")
+    d = rows.join(F.broadcast(clashes), F.col("node") == F.col("_clash"), "left")  # by chance 2 or 3 nodes in 1e10 texts
+    return d.withColumn("node", F.when(F.col("_clash").isNull(), F.col("node")).otherwise(F.xxhash64("node", "check"))).drop("_clash", "check")
+
+
+def clashing(sig: DataFrame) -> DataFrame | None:
+    """Nodes that several sets share, if there are any."""
+    seen = sig.where("n_shingles > 0").groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi"))
+    both = materialize(seen.where("lo < hi").select(F.col("node").alias("_clash")))
+    return None if both.isEmpty() else both
+
+
 def minima(s: np.ndarray) -> np.ndarray:
     """The smallest value of each hash function over a set of 64-bit hashes."""
     x = (s >> np.uint64(32)).astype(np.uint32) ^ s.astype(np.uint32)
@@ -57,13 +77,13 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         salt = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
         for batch in batches:
             n = batch.num_rows
-            count, node = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            count, node, check = (np.zeros(n, np.int64) for _ in range(3))
             sig, bands = np.zeros((n, LANES), np.uint64), [np.zeros(0, np.int64)] * n
             for k, s in shingle_sets(batch.column(1), WORDS):
                 count[k] = len(s)
                 if not len(s):
                     continue
-                node[k] = digest(s)
+                node[k], check[k] = digest(s), second_digest(s)
                 m = minima(s)
                 low = (m >> np.uint32(7)).astype(np.uint64) & np.uint64((1 << BITS) - 1)
                 sig[k] = (low.reshape(LANES, -1) << shifts).sum(axis=1, dtype=np.uint64)
@@ -71,8 +91,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for row in m.astype(np.uint64).reshape(BANDS, ROWS).T:
                     h = h * np.uint64(0xA0761D6478BD642F) + row
                 bands[k] = mix(h).view(np.int64)
-            arrays = [batch.column(0), batch.column(2), pa.array(count), pa.array(node), *[pa.array(np.ascontiguousarray(sig[:, j]).view(np.int64)) for j in range(LANES)], list_array(bands, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "text_key", "n_shingles", "node", *[f"s{j}" for j in range(LANES)], "bands"])
+            arrays = [batch.column(0), batch.column(2), pa.array(count), pa.array(node), pa.array(check), *[pa.array(np.ascontiguousarray(sig[:, j]).view(np.int64)) for j in range(LANES)], list_array(bands, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "text_key", "n_shingles", "node", "check", *[f"s{j}" for j in range(LANES)], "bands"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key")).mapInArrow(run, SIGNATURE)
 
@@ -94,21 +114,22 @@ def estimate(left: str, right: str) -> Column:
 
 
 def shingles(docs: DataFrame) -> DataFrame:
-    """(node, set): the full shingle sets of docs (text)."""
+    """(node, check, set): the full shingle sets of docs (text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sets, held = [], [], 0
+            nodes, checks, sets, held = [], [], [], 0
             for k, s in shingle_sets(batch.column(0), WORDS):
                 if len(s):
                     nodes.append(digest(s))
+                    checks.append(second_digest(s))
                     sets.append(s.view(np.int64))
                     held += len(s)
                 if nodes and (held > 500_000 or k == batch.num_rows - 1):
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), list_array(sets, pa.int64())], names=["node", "set"])
-                    nodes, sets, held = [], [], 0
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(checks, pa.int64()), list_array(sets, pa.int64())], names=["node", "check", "set"])
+                    nodes, checks, sets, held = [], [], [], 0
 
-    return docs.select("text").mapInArrow(run, "node long, set array<long>")
+    return docs.select("text").mapInArrow(run, "node long, check long, set array<long>")
 
 
 def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -125,10 +146,10 @@ def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return d.join(F.broadcast(marks), (F.shiftright("_p", 6) == F.col("word")) & (F.expr("bits & shiftleft(1L, int(_p & 63))") != 0)).select("id", "text")
 
 
-def sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, clashes: DataFrame | None) -> DataFrame:
     """(node, set) for nodes, from the text of one document of each."""
     ids = classes.join(nodes, "node").select(F.col("cid").alias("id"))
-    return materialize(shingles(only(docs, ids)).join(nodes, "node", "left_semi").dropDuplicates(["node"]))
+    return materialize(told_apart(shingles(only(docs, ids)), clashes).join(nodes, "node", "left_semi").dropDuplicates(["node"]))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
@@ -183,7 +204,8 @@ def block_links(members: DataFrame, sets: DataFrame, per_cent: int, block: int =
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_cent: int = SIMILARITY, margin: float = 0.22) -> DataFrame:
     """One row a row of docs: id, text_key (hash of the text), n_shingles, label (a node of its component, null for an empty set), component_id.
 
-    Texts with equal shingle sets are one node, named by a 64-bit digest of the set. Nodes that share a
+    Texts with equal shingle sets are one node, named by a 64-bit digest of the set; sets that a second
+    digest tells apart are nodes of their own, so equality is that of 128 bits. Nodes that share a
     band of four minima are candidates (at similarity 0.75 a pair shares none of the 32 bands once in
     200,000); pairs whose b-bit estimate lies more than `margin` below the threshold (five standard
     deviations) fall away, the others are confirmed on their full sets. In a bucket, every node is first
@@ -193,6 +215,8 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sig = materialize(signatures(docs, "id", "text"))
+    clashes = clashing(sig)
+    sig = told_apart(sig, clashes)
     full = sig.where("n_shingles > 0")
     classes = full.groupBy("node").agg(F.min("id").alias("cid"), F.first("n_shingles").alias("n_shingles"))
     banded = full.select("node", F.explode("bands").alias("band"))
@@ -205,7 +229,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     stars = stars.join(packed.select(F.col("node").alias("a"), F.col("sig").alias("l")), "a").join(packed.select(F.col("node").alias("b"), F.col("sig").alias("r")), "b")
     stars = materialize(stars.where(estimate("l", "r") >= least).select("a", "b"))
     in_pairs = lambda p: p.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    links = materialize(confirmed(stars, sets_of(in_pairs(stars), classes, docs), per_cent))
+    links = materialize(confirmed(stars, sets_of(in_pairs(stars), classes, docs, clashes), per_cent))
     labels = connected_components(links)
     named = members.join(labels.withColumnRenamed("id", "node"), "node", "left").select("band", "rep", "node", F.coalesce("label", "node").alias("label"))
     mixed = named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("band", "size")
@@ -215,7 +239,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & (F.col("x.node") != F.col("x.rep")) & (estimate("x.sig", "y.sig") >= least))
     rest = materialize(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
     large = left.where(F.col("size") > SMALL).select("band", "node").join(classes.select("node", "n_shingles"), "node")
-    sets = sets_of(in_pairs(rest).unionByName(large.select("node")).distinct(), classes, docs)
+    sets = sets_of(in_pairs(rest).unionByName(large.select("node")).distinct(), classes, docs, clashes)
     more = confirmed(rest, sets, per_cent).unionByName(block_links(large, sets, per_cent)).distinct()
     labels = connected_components(labels.select(F.col("id").alias("a"), F.col("label").alias("b")).where("a <> b").unionByName(more))
     joined = classes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("node", "cid", F.coalesce("label", "node").alias("label"))

@@ -89,3 +89,22 @@ def test_blocks_of_heavy_sets(spark, monkeypatch):
                 if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
                     label[i] = label[j] = min(label[i], label[j])
     assert got == dict(enumerate(label))
+
+
+def test_sets_of_one_digest_are_told_apart(spark):
+    """Nodes that clash are renamed in the same way wherever they come from."""
+    rows = spark.createDataFrame([(1, 5, 7, 3), (2, 5, 8, 3), (3, 6, 9, 3), (4, 6, 9, 3), (5, 0, 0, 0)], "id long, node long, check long, n_shingles long")
+    clashes = minhash.clashing(rows)
+    assert [r["_clash"] for r in clashes.collect()] == [5]
+    node = {r["id"]: r["node"] for r in minhash.told_apart(rows, clashes).collect()}
+    assert node[1] != node[2] and 5 not in (node[1], node[2]) and node[3] == node[4] == 6 and node[5] == 0
+    sets = minhash.told_apart(spark.createDataFrame([(5, 8, [1]), (6, 9, [2])], "node long, check long, set array<long>"), clashes)
+    assert {r["node"] for r in sets.collect()} == {node[2], 6}
+    assert minhash.clashing(rows.where("id > 2")) is None
+
+
+def test_second_digest_is_of_the_set():
+    r = np.random.default_rng(1)
+    s = np.sort(r.integers(0, 2**63, 50, dtype=np.uint64))
+    assert minhash.second_digest(s) == minhash.second_digest(s[::-1].copy()) != minhash.second_digest(s[1:])
+    assert minhash.second_digest(s) != minhash.digest(s)
