@@ -247,7 +247,7 @@ def repaired(rows: DataFrame, hold: int = HOLD) -> DataFrame:
     rows = rows.select("conv_id", "turn", "role", "text", "live")
     conv, order = F.col("conv_id").asc_nulls_first(), [F.col("turn").asc_nulls_first(), "role", "text"]
     same = Window.partitionBy("conv_id", "live", "role", F.xxhash64("text"), F.crc32(F.col("text").cast("binary")), F.length("text")).orderBy("turn")
-    told = rows.repartition("conv_id").withColumn("nth", F.row_number().over(same)).withColumn("fault", fault()).drop("nth").sortWithinPartitions(conv, F.desc("live"), *order)
+    told = rows.repartition("conv_id").withColumn("nth", F.row_number().over(same)).withColumn("fault", fault()).sortWithinPartitions(conv, F.desc("live"), *order, "nth").drop("nth")  # of equal rows of a turn the first one is no repeat
 
     def step(state: Repair, turn, role, text, live, fault) -> None:
         if live:
@@ -272,3 +272,35 @@ def repaired(rows: DataFrame, hold: int = HOLD) -> DataFrame:
 
 def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(damaged(table(spark, sf_dir, "conversations")))
+
+
+def _option(state: str, cost: str, edit: str, line: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 't': {state}.t{line}}}"
+
+
+def _sql() -> str:
+    """The same in DuckDB: row after row, for each state the least cost, audit and lines; crc32 by its table."""
+    never = "{'c': CAST(1000000000 AS BIGINT), 'a': '', 't': ''}"
+    least = lambda *options: f"list_sort([{', '.join(options)}])[1]"
+    drop = lambda q: _option(q, "3", "D", "")
+    keep = lambda q, i: f"CASE WHEN i = '{i}' AND NOT must THEN {_option(q, 'x', 'K', " || chr(10) || role || ':' || text")} ELSE {never} END"
+    rerole = lambda q, to: f"CASE WHEN NOT must THEN {_option(q, '2 + x', 'R', f" || chr(10) || '{to}:' || text")} ELSE {never} END"
+    insert = lambda q, to: _option(q, "2", "I", f" || chr(10) || '{to}:'")
+    p2 = least(drop("q2"), *[f(q, t) for q in ("q0", "q1", "q3") for f, t in ((keep, "u"), (rerole, "user"))])
+    return rf"""
+WITH RECURSIVE tab AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(0, 256)) AS i))),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_concat([4294967295], list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(t[CAST(xor(c, b) & 255 AS INTEGER) + 1], c >> 8)), 4294967295) % 20 AS kind FROM conversations, tab),
+m AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM k, (SELECT unnest([0, 1]) AS n) WHERE kind <> 0 AND (n = 0 OR kind = 3)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS r, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body, substring(role, 1, 1) AS i FROM m),
+f AS (SELECT *, CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY r) > 1 THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault, lag(i) OVER (PARTITION BY conv_id ORDER BY r) || i AS two FROM o),
+e AS (SELECT *, fault IN ('blank', 'duplicate') AS must, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS x FROM f),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE two NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM e GROUP BY 1),
+s AS (SELECT conv_id, CAST(0 AS BIGINT) AS r, {{'c': CAST(0 AS BIGINT), 'a': '', 't': ''}} AS q0, {never} AS q1, {{'c': CAST(2 AS BIGINT), 'a': 'I', 't': chr(10) || 'user:'}} AS q2, {{'c': CAST(4 AS BIGINT), 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS q3 FROM (SELECT DISTINCT conv_id FROM conversations)
+UNION ALL SELECT conv_id, r, p0, p1, q2, {least("p3", insert("q2", "assistant"))} FROM (SELECT conv_id, r, p0, p1, p3, {least("p2", insert("p0", "user"), insert("p1", "user"), insert("p3", "user"))} AS q2 FROM (
+SELECT s.conv_id, e.r, {drop("q0")} AS p0, {least(drop("q1"), keep("q0", "s"))} AS p1, {p2} AS p2, {least(drop("q3"), keep("q2", "a"), rerole("q2", "assistant"))} AS p3 FROM s JOIN e ON e.conv_id IS NOT DISTINCT FROM s.conv_id AND e.r = s.r + 1))),
+z AS (SELECT s.conv_id, {least("q0", "q3")} AS b, c.* EXCLUDE (conv_id) FROM s LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM s.conv_id WHERE s.r = coalesce(c.n, 0))
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, b.c AS cost, b.a AS audit, sha256(substring(b.t, 2)) AS repaired_sha256 FROM z
+"""
+
+
+SQL = _sql()

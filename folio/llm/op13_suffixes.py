@@ -213,13 +213,13 @@ def repeated_windows(texts: DataFrame, evidence: DataFrame, length: int) -> Data
     slim = cells.drop("windows")
     single = F.col("suffix") >= 0
     both = slim.groupBy("prefix", "outer").agg(F.count(F.lit(1)).alias("n"), F.max("suffix").alias("any")).where("n > 1 AND any >= 0").select("prefix", "outer", F.lit(True).alias("whole"))
-    slim = materialize(slim.join(both, ["prefix", "outer"], "left").select("prefix", "inner", "suffix", "first", "last", F.coalesce("whole", F.lit(False)).alias("whole")))
+    slim = materialize(slim.join(materialize(both), ["prefix", "outer"], "left").select("prefix", "inner", "suffix", "first", "last", F.coalesce("whole", F.lit(False)).alias("whole")))
     left = single & ~F.col("whole")
     open_ = slim.groupBy("prefix", "inner").agg(F.count(F.lit(1)).alias("n"), F.max(left).alias("any")).where("n > 1 AND any").select(F.xxhash64("prefix", "inner"))
     some = marked(cells, F.xxhash64("prefix", "inner"), open_).where("_marked")
     windows = materialize(some.select("prefix", "suffix", "first", F.posexplode("windows").alias("k", "text")).select("prefix", "text", "suffix", F.when(single, F.col("first") + F.col("k")).alias("p")))
     twice = windows.groupBy("prefix", "text").agg(F.count(F.lit(1)).alias("n"), F.max("suffix").alias("any")).where("n > 1 AND any >= 0").select("prefix", "text")
-    one = windows.where(single).join(twice, ["prefix", "text"], "left_semi").select("suffix", F.col("p").alias("first"), F.col("p").alias("last"))
+    one = windows.where(single).join(materialize(twice), ["prefix", "text"], "left_semi").select("suffix", F.col("p").alias("first"), F.col("p").alias("last"))
     found = slim.where("whole").where(single).select("suffix", "first", "last").unionByName(one)
     return found.join(evidence.where(single).select("suffix", "doc", "id"), "suffix").select("doc", "id", "first", "last")
 
@@ -238,10 +238,11 @@ def repeated(texts: DataFrame, length: int = LENGTH, reach: int = REACH, batches
     for m in matches[1:]:
         prefixes = prefixes.unionByName(m)
     some = marked(suffixes, F.col("prefix"), prefixes).where("_marked").select(*suffixes.columns)
-    found = materialize(some.join(prefixes.distinct(), "prefix", "left_semi"))
+    found = materialize(some.join(materialize(prefixes.distinct()), "prefix", "left_semi"))
     runs = materialize(found.groupBy("prefix", "domain").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "id", "place")).alias("one")))
     whole = found.join(runs.where("n > 1").select("prefix", "domain"), ["prefix", "domain"], "left_semi").select("doc", "id", first_window().alias("first"), last_window().alias("last"))
     mixed = runs.groupBy("prefix").agg(F.min("domain").alias("lo"), F.max("domain").alias("hi")).where("lo < hi").select("prefix")
+    mixed = materialize(mixed)  # a table of its own, so that Spark can split what a frequent prefix meets
     evidence = runs.join(mixed, "prefix", "left_semi").select("prefix", (F.col("n") == 1).alias("single"), "one.doc", "one.id", "one.place")
     return whole.unionByName(repeated_windows(texts, evidence, length))
 
@@ -303,3 +304,13 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = without_repeats(table(spark, sf_dir, "documents"), with_kept=False)
     return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+#: The same in DuckDB: all strings of 400 bytes, those that occur twice, and what they leave (two hexadecimal digits a byte).
+SQL = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents), p AS (SELECT k, h, unnest(range(0, greatest(0, len(h) // 2 - 399))) AS p FROM d), w AS (SELECT k, p, md5_number(substring(h, 2 * p + 1, 800)) AS w FROM p),
+t AS (SELECT w FROM w GROUP BY 1 HAVING count(*) > 1), s AS (SELECT k, p, CASE WHEN p <= lag(p) OVER (PARTITION BY k ORDER BY p) + 400 THEN 0 ELSE 1 END AS x FROM w JOIN t USING (w)), g AS (SELECT k, p, sum(x) OVER (PARTITION BY k ORDER BY p ROWS UNBOUNDED PRECEDING) AS g FROM s),
+i AS (SELECT k, min(p) AS a, max(p) + 400 AS z FROM g GROUP BY k, g), j AS (SELECT i.k, a, z, substring(h, 2 * coalesce(lag(z) OVER (PARTITION BY i.k ORDER BY a), 0) + 1, 2 * (a - coalesce(lag(z) OVER (PARTITION BY i.k ORDER BY a), 0))) AS part FROM i JOIN d ON d.k = i.k),
+c AS (SELECT k, sum(z - a) AS n_removed, count(*) AS n_spans, string_agg(part, '' ORDER BY a) AS kept, max(z) AS z FROM j GROUP BY 1)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(z, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN c ON c.k = d.k
+"""

@@ -41,4 +41,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": op05_mixing.SQL, "op6_minhash": op06_minhash.SQL, "op7_embeddings": op07_embeddings.SQL}
+    return {"op5_mixing": op05_mixing.SQL, "op6_minhash": op06_minhash.SQL, "op7_embeddings": op07_embeddings.SQL, "op11_conversations": op11_conversations.SQL, "op13_suffixes": op13_suffixes.SQL}
