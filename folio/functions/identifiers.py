@@ -102,14 +102,17 @@ def normalize_url(c: Column) -> Column:
     scheme = F.lower(F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
     host = F.lower(F.regexp_extract(u, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
     rest = F.regexp_replace(u, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*", "")
-    path = F.regexp_extract(rest, r"^([^?#]*)", 1)
-    path = F.regexp_replace(path, r"(\d)[A-Za-z]{2,}$", "$1")
-    path = F.when(path == "/", path).otherwise(F.rtrim(path, F.lit("/")))
     query = F.regexp_extract(rest, r"^[^?#]*\?([^#]*)", 1)
     kept = F.filter(F.split(query, "&"), lambda p: F.rlike(p, F.lit("^[^=]+=.")) & ~F.lower(F.split_part(p, F.lit("="), F.lit(1))).isin(*TRACKING))
-    tail = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
-    ok = scheme.isin("", "http", "https") & (host != "")
-    return F.when(ok, F.concat(F.lit("https://"), host, path, tail))
+    path = F.regexp_replace(F.regexp_extract(rest, r"^([^?#]*)", 1), r"(\d)[A-Za-z]{2,}$", "$1")
+
+    def built(x: Column) -> Column:
+        """From the parts, each made once a row."""
+        path = F.when(x["path"] == "/", x["path"]).otherwise(F.rtrim(x["path"], F.lit("/")))
+        tail = F.when(F.size(x["kept"]) > 0, F.concat(F.lit("?"), F.array_join(x["kept"], "&"))).otherwise("")
+        return F.when(x["scheme"].isin("", "http", "https") & (x["host"] != ""), F.concat(F.lit("https://"), x["host"], path, tail))
+
+    return F.transform(F.array(F.struct(scheme.alias("scheme"), host.alias("host"), path.alias("path"), kept.alias("kept"))), built)[0]
 
 
 def doi_url(doi: Column) -> Column:
@@ -126,12 +129,12 @@ def resolve(url: Column, doi: Column, pmid: Column, source: Column, raw_text: Co
     d, p = F.coalesce(blank_to_null(doi), doi_in(text)), F.coalesce(blank_to_null(pmid), pmid_in(text))
     a = arxiv_in(text)
     kind = F.coalesce(source_type(url, source), F.when(a.isNotNull(), "arxiv"))
-    best = F.coalesce(normalize_url(doi_url(d)), normalize_url(pubmed_url(p)), normalize_url(F.concat(F.lit("https://arxiv.org/abs/"), a)), normalize_url(url))
+    best = normalize_url(F.coalesce(doi_url(d), pubmed_url(p), F.concat(F.lit("https://arxiv.org/abs/"), a), url))  # those made here have a host
     return F.struct(best.alias("canonical_url"), d.alias("doi"), p.alias("pmid"), kind.alias("source_type"))
 
 
 def link(canonical: Column, url: Column, doi: Column, pmid: Column) -> Column:
-    return F.coalesce(normalize_url(blank_to_null(canonical)), normalize_url(blank_to_null(url)), normalize_url(doi_url(blank_to_null(doi))), normalize_url(pubmed_url(blank_to_null(pmid))))
+    return F.coalesce(normalize_url(blank_to_null(canonical)), normalize_url(blank_to_null(url)), normalize_url(F.coalesce(doi_url(blank_to_null(doi)), pubmed_url(blank_to_null(pmid)))))
 
 
 def comparable_url(c: Column) -> Column:
