@@ -147,7 +147,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             for row, k, s, e, n, h in chunk_table(batch.column(2)):
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[row]), pa.array(keys[row]), *[pa.array(x.astype(np.int32)) for x in (k, s, e, n)]], names=["digest", "id", "text_key", "k", "start", "end", "words"])
 
-    shared = d.mapInArrow(digests, "digest long, lo long, hi long").groupBy("digest").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("digest", "lo")
+    shared = materialize(d.mapInArrow(digests, "digest long, lo long, hi long").groupBy("digest").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("digest", "lo"))
     found = d.mapInArrow(chunks, "digest long, id long, text_key long, k int, start int, end int, words int").join(shared, "digest").dropDuplicates(["id", "text_key", "k"])
     found = materialize(found.select("id", "text_key", "k", "start", "end", "words", "lo"))
     run = F.col("k") - F.row_number().over(Window.partitionBy("id", "text_key").orderBy("k"))
