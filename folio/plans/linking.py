@@ -8,15 +8,14 @@ from folio.functions import identifiers, text
 from folio.operators import match, nearest
 from folio.plans.documents import _SIMILAR, PUBS, TITLE_SQL, near_titles, pubs
 from folio.plans.identify import norm_url
-from folio.plans.registry import query
+from folio.plans.registry import query, table
 
 
 @query("nearest_titles")
 def nearest_titles(spark, sf_dir):
-    """The ten closest titles to those that no key matches: every row whose id is divisible by 20, with a changed title, against all others."""
-    p = pubs(spark, sf_dir).select("id", "title")
-    index = p.where("id % 20 <> 0").select(F.col("id").alias("found"), "title")
-    asked = p.where("id % 20 = 0").select("id", F.expr("CASE id % 3 WHEN 0 THEN title || ' (revised)' WHEN 1 THEN substring(title, 1, 8) || substring(title, 11) ELSE reverse(title) END").alias("title"))
+    """For the items of the evaluation set that no title matches, the ten closest titles of all publications."""
+    index = pubs(spark, sf_dir).select(F.col("id").alias("found"), "title")
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.substring(F.split_part("text", F.lit("."), F.lit(1)), 1, 80).alias("title"))
     missed = match.cascade(asked, index.withColumn("o", F.col("found")), ["title"], "found", "o").where("found IS NULL").select("id", "title")
     return nearest.nearest_titles(missed, index, "id", "found", k=10).select("id", F.col("place").cast("long").alias("place"), "found", F.round("ratio", 6).alias("ratio"))
 
