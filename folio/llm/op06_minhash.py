@@ -218,8 +218,8 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     clashes = clashing(sig)
     sig = told_apart(sig, clashes)
     full = sig.where("n_shingles > 0")
-    classes = full.groupBy("node").agg(F.min("id").alias("cid"), F.first("n_shingles").alias("n_shingles"))
-    banded = full.select("node", F.explode("bands").alias("band"))
+    classes = full.groupBy("node").agg(F.min("id").alias("cid"))
+    banded = full.select("node", "n_shingles", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("rep"), F.max("node").alias("top")).where("rep < top").select("band", "rep")
     members = materialize(banded.join(buckets, "band").distinct())
     lanes = [f"s{j}" for j in range(LANES)]
@@ -231,14 +231,14 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     in_pairs = lambda p: p.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     links = materialize(confirmed(stars, sets_of(in_pairs(stars), classes, docs, clashes), per_cent))
     labels = connected_components(links)
-    named = members.join(labels.withColumnRenamed("id", "node"), "node", "left").select("band", "rep", "node", F.coalesce("label", "node").alias("label"))
+    named = members.join(labels.withColumnRenamed("id", "node"), "node", "left").select("band", "rep", "node", "n_shingles", F.coalesce("label", "node").alias("label"))
     mixed = named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("band", "size")
     left = materialize(named.join(mixed, "band").where("size > 2 OR node <> rep"))  # the pair of a bucket of two has been compared
     l = left.where(F.col("size").between(3, SMALL)).join(packed, "node")
     x, y = l.alias("x"), l.alias("y")
     rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & (F.col("x.node") != F.col("x.rep")) & (estimate("x.sig", "y.sig") >= least))
     rest = materialize(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    large = left.where(F.col("size") > SMALL).select("band", "node").join(classes.select("node", "n_shingles"), "node")
+    large = left.where(F.col("size") > SMALL).select("band", "node", "n_shingles")
     sets = sets_of(in_pairs(rest).unionByName(large.select("node")).distinct(), classes, docs, clashes)
     more = confirmed(rest, sets, per_cent).unionByName(block_links(large, sets, per_cent)).distinct()
     labels = connected_components(labels.select(F.col("id").alias("a"), F.col("label").alias("b")).where("a <> b").unionByName(more))
