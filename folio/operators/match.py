@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folio.functions.extract import sequence_ratio
 from folio.functions.text import jaccard, title_key
-from folio.operators.titles import linked_keys, may_be_alike, prefixes, stored
+from folio.operators.titles import components, linked_keys, may_be_alike, prefixes, stored
 
 
 def latest(df: DataFrame, keys: list[str], order: str, keep: str = "latest") -> DataFrame:
@@ -105,27 +105,6 @@ def title_groups(df: DataFrame, key: str, title: str = "title", least: float = 0
     return classes.join(label, "class", "left").select("id", F.coalesce("label", "class").alias("group"))
 
 
-def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
-    """(id, label): smallest id that can be reached, by min-label steps with pointer jumping; each round is written to the shared folder.
-
-    The folder is spark.checkpoint.dir. Where none is set a temporary one serves, but only if
-    driver and executors are one process. Labels that are not final after `rounds` are an error.
-    """
-    e = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
-    e = stored(e.unionByName(e.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
-    label = stored(e.groupBy(F.col("x").alias("id")).agg(F.least(F.min("y"), F.col("x")).alias("label")))
-    for _ in range(rounds):
-        near = e.join(label, e["y"] == label["id"]).groupBy("x").agg(F.min("label").alias("m"))
-        step = label.join(near, label["id"] == near["x"]).select("id", F.least("label", "m").alias("low"), F.col("label").alias("was"))
-        jump = label.select(F.col("id").alias("_i"), F.col("label").alias("_l"))
-        seen = Observation()
-        step = step.join(jump, F.col("low") == F.col("_i"), "left").select("id", F.least("low", F.coalesce("_l", "low")).alias("label"), "was")
-        label = stored(step.observe(seen, F.count_if(F.col("label") != F.col("was")).alias("moved")).select("id", "label"))
-        if not seen.get["moved"]:
-            return label
-    raise RuntimeError(f"components are not final after {rounds} rounds")
-
-
 def merge_items(items: DataFrame, key: str, edges: DataFrame) -> DataFrame:
     """Items joined by match edges: the smallest key names the group; labels are joined, other columns filled from the first that has one.
 
