@@ -33,7 +33,10 @@ def folder(spark, tmp_path_factory):
     vectors = e.unionByName(spark.createDataFrame(bad + same, e.schema))
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     wide = lambda d: d.withColumns({k: F.lit(v) for k, v in CLASH.items() if k not in d.columns})
-    for name, d in (("documents", docs), ("labels", labels), ("embeddings", vectors)):
+    talks = spark.read.parquet(f"{SF}/conversations.parquet")
+    said = [(None, 0, "user", "No id."), (None, None, None, None), (700, None, "user", "x"), (700, None, "user", "x"), (700, 5, "", ""), (701, 1, "tool", "y" * 50000), (701, 1, "tool", "z."), (702, 3, "assistant", " \n")]
+    talks = talks.unionByName(spark.createDataFrame(said, talks.schema))
+    for name, d in (("documents", docs), ("labels", labels), ("embeddings", vectors), ("conversations", talks)):
         wide(d).coalesce(3).write.parquet(f"{root}/full/{name}.parquet")
         wide(d).limit(0).write.parquet(f"{root}/empty/{name}.parquet")
     return root
@@ -206,3 +209,28 @@ def test_pipeline_on_odd_rows(spark, folder):
     assert len(seen["secrets"]) == len(near)
     enc = op02_packing.encoder(op02_packing.vocabulary())
     assert sum(r["length"] for r in seen["packing"]) == sum(len(op02_packing.token_ids(enc, r["text"])) + 1 for r in seen["mixing"])
+
+
+def test_op11(spark, folder):
+    import test_turns_tokens_suffixes as plain
+
+    talks = spark.read.parquet(f"{folder}/full/conversations.parquet").select("conv_id", "turn", "role", "text").collect()
+    want = {c: plain.plain_result(r) for c, r in plain.plain_damage([tuple(r) for r in talks]).items()}
+    assert {r["conv_id"]: tuple(r)[1:9] for r in run(spark, folder, "op11_conversations").collect()} == want
+
+
+def test_op12(spark, folder, docs):
+    import test_turns_tokens_suffixes as plain
+
+    want = collections.Counter(zip([d["doc_id"] for d in docs], plain.plain_alignment([d["text"] for d in docs]), strict=True))
+    assert collections.Counter((r["doc_id"], tuple(r)[1:8]) for r in run(spark, folder, "op12_alignment").collect()) == want
+
+
+def test_op13(spark, folder, docs):
+    import hashlib
+
+    import test_turns_tokens_suffixes as plain
+
+    cut = plain.plain_cut([d["text"] for d in docs], 400)
+    want = collections.Counter((d["doc_id"], *w[:3], hashlib.sha256(w[3]).hexdigest()) for d, w in zip(docs, cut, strict=True))
+    assert collections.Counter(tuple(r)[:5] for r in run(spark, folder, "op13_suffixes").collect()) == want
