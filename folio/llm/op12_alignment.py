@@ -18,7 +18,7 @@ from folio.llm.op02_packing import encoder, vocabulary
 
 #: Labels of a byte: no token ends there, one of A, one of B, both.
 NONE, A_END, B_END, BOTH = b"0123"
-SPAN = re.compile(rb"[012]*3")
+SPAN = re.compile(rb"[^3]*3")
 #: Bytes of text whose pairs are told apart and looked up together.
 BLOCK_BYTES = 8 << 20
 _models: dict = {}
@@ -31,13 +31,12 @@ def pieces_path() -> str:
 
 
 class Pieces:
-    """The bytes and the decimals of each id of one tokenizer; decimals end with a comma, those of the last token of a group with `end`."""
+    """The bytes and the decimals of each id of one tokenizer; decimals end with a comma, those of the last token of a group with `end`, and are numbers of eight bytes, padded with zeros."""
 
     def __init__(self, pieces: list[bytes], end: str):
         self.pieces = np.array(pieces, object)
         self.sizes = np.array([len(p) for p in pieces], np.int64)
-        self.inner = np.array([f"{k}," for k in range(len(pieces))], object)
-        self.last = np.array([f"{k}{end}" for k in range(len(pieces))], object)
+        self.inner, self.last = (np.array([f"{k}{x}".encode() for k in range(len(pieces))], "S8").view(np.uint64) for x in (",", end))
 
 
 class Pair:
@@ -85,20 +84,21 @@ def spans(size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     labels = np.full(int(end_a[-1]) if len(end_a) else 0, NONE, np.uint8)
     labels[end_a - 1] += A_END - NONE
     labels[end_b - 1] += B_END - NONE
-    ends = np.array([m.end() for m in SPAN.finditer(labels.tobytes())], np.int64)
-    return ends, np.searchsorted(end_a, ends, "right"), np.searchsorted(end_b, ends, "right")
+    ends = np.cumsum(np.fromiter(map(len, SPAN.findall(labels.tobytes())), np.int64))
+    return ends, *(np.flatnonzero(labels[e - 1] == BOTH) + 1 for e in (end_a, end_b))
 
 
-def written(p: Pair, a: np.ndarray, b: np.ndarray, upto_a: np.ndarray, upto_b: np.ndarray) -> str:
+def written(p: Pair, a: np.ndarray, b: np.ndarray, upto_a: np.ndarray, upto_b: np.ndarray) -> bytes:
     """`a1,a2|b1;a3|b2,b3`: the ids of each group."""
     if not len(upto_a):
-        return ""
-    out = np.empty(len(a) + len(b), object)
+        return b""
+    out = np.empty(len(a) + len(b), np.uint64)
     at_a = np.arange(len(a)) + np.repeat(np.concatenate([[0], upto_b[:-1]]), np.diff(upto_a, prepend=0))
     at_b = np.arange(len(b)) + np.repeat(upto_a, np.diff(upto_b, prepend=0))
     out[at_a], out[at_b] = p.of_a.inner[a], p.of_b.inner[b]
     out[at_a[upto_a - 1]], out[at_b[upto_b - 1]] = p.of_a.last[a[upto_a - 1]], p.of_b.last[b[upto_b - 1]]
-    return "".join(out.tolist())[:-1]
+    flat = out.view(np.uint8)
+    return flat[flat != 0].tobytes()[:-1]
 
 
 GROUPS = "id long, grp int, start long, end long, a_ids array<int>, b_ids array<int>"
@@ -161,7 +161,7 @@ def encoded(docs: DataFrame, id_col: str, text_col: str, a_path: str, b_path: st
                 text = value.as_py()
                 a, b = p.tokens(text)
                 _, upto_a, upto_b = spans(p.of_a.sizes[a], p.of_b.sizes[b])
-                sha = hashlib.sha256(written(p, a, b, upto_a, upto_b).encode()).hexdigest() if len(a) else ""
+                sha = hashlib.sha256(written(p, a, b, upto_a, upto_b)).hexdigest() if len(a) else ""
                 own, n = np.unique(a[upto_a - 1] * wide + b[upto_b - 1], return_counts=True)
                 rows.append((key.as_py(), len(a), len(b), len(upto_a), sha))
                 links.append(own)
