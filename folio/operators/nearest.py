@@ -20,6 +20,8 @@ GRAM = 3
 #: Titles asked for and titles searched that meet in a task.
 ASKED, SEARCHED = 256, 4096
 WORD = 64
+#: Titles measured at once, and the length from which the sequence matcher leaves out frequent characters.
+AT_ONCE, SHORT = 2048, 200
 
 
 def first_of(df: DataFrame, keys: list[str], order: list, k: int) -> DataFrame:
@@ -69,6 +71,70 @@ def common(title: str, codes: np.ndarray) -> np.ndarray:
     return np.bitwise_count(~v & used[:, None]).sum(axis=0).astype(np.int64)
 
 
+def longest_blocks(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(end in a, end in b, size) of the longest run of characters that rows of a and b share; of equal ones the first in a, then in b.
+
+    Rows are padded with different numbers, so padding is equal to nothing. A table of run lengths is
+    made place by place of a, for all rows at once.
+    """
+    n, wide = b.shape
+    run, size = np.zeros((n, wide + 1), np.uint8), np.zeros(n, np.uint8)
+    end_a, end_b = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for i in range(a.shape[1]):
+        run[:, 1:] = (run[:, :-1] + np.uint8(1)) * (b == a[:, i : i + 1])
+        most = run.max(axis=1)
+        better = np.flatnonzero(most > size)
+        size[better], end_a[better] = most[better], i + 1
+        end_b[better] = run[better].argmax(axis=1)
+    return end_a, end_b, size.astype(np.int64)
+
+
+def _part(text: np.ndarray, lo: np.ndarray, hi: np.ndarray, pad: int) -> np.ndarray:
+    at = lo[:, None] + np.arange(int((hi - lo).max()))
+    return np.where(at < hi[:, None], text[np.arange(len(lo))[:, None], np.minimum(at, text.shape[1] - 1)], text.dtype.type(pad))
+
+
+def matched(a: np.ndarray, size_a: np.ndarray, b: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """Matching characters of rows of numbers above 1, as the sequence matcher of the standard library counts them: the longest common run, then the same on either side of it."""
+    total = np.zeros(len(a), np.int64)
+    row, zero = np.arange(len(a)), np.zeros(len(a), np.int64)
+    todo = [(row, zero, size_a, zero, size_b)]
+    while todo:
+        row, a_lo, a_hi, b_lo, b_hi = (np.concatenate(x) for x in zip(*todo, strict=True))
+        some = (a_lo < a_hi) & (b_lo < b_hi)
+        row, a_lo, a_hi, b_lo, b_hi = (x[some] for x in (row, a_lo, a_hi, b_lo, b_hi))
+        todo = []
+        if not len(row):
+            break
+        order = np.argsort(a_hi - a_lo, kind="stable")
+        for k in np.array_split(order, -(-len(order) // 2048)):  # parts of similar length together
+            r = row[k]
+            e_a, e_b, n = longest_blocks(_part(a[r], a_lo[k], a_hi[k], 0), _part(b[r], b_lo[k], b_hi[k], 1))
+            np.add.at(total, r, n)
+            hit = n > 0
+            r, n, e_a, e_b, k = r[hit], n[hit], a_lo[k][hit] + e_a[hit], b_lo[k][hit] + e_b[hit], k[hit]
+            todo += [(r, a_lo[k], e_a - n, b_lo[k], e_b - n), (r, e_a, a_hi[k], e_b, b_hi[k])]
+    return total
+
+
+def ratios(title: str, others: list[str], codes: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The ratio of a title to each of the others (columns of codes); beyond SHORT characters, where common characters are no longer looked at, one by one."""
+    out, plain = np.zeros(len(others)), np.flatnonzero(size < SHORT)
+    if len(title) >= 250:
+        plain = plain[:0]
+    if len(plain):
+        letters, own = np.unique(np.frombuffer(title.encode("utf-32-le"), np.uint32), return_inverse=True)  # 2 is any other character
+        of = np.searchsorted(letters, codes[:, plain].T)
+        of = np.where(letters[np.minimum(of, len(letters) - 1)] == codes[:, plain].T, of + 3, 2).astype(np.uint8)
+        a = np.broadcast_to((own + 3).astype(np.uint8), (len(plain), len(title)))
+        out[plain] = 2.0 * matched(a, np.full(len(plain), len(title)), of, size[plain]) / (size[plain] + len(title))
+    rest = np.ones(len(others), bool)
+    rest[plain] = False
+    for j in np.flatnonzero(rest).tolist():
+        out[j] = difflib.SequenceMatcher(None, title, others[j]).ratio()
+    return out
+
+
 def _closest(asked: pa.Table, searched: pa.Table, k: int) -> pa.Table:
     """The rows of (a, b, ratio) among the titles of two blocks that may belong to the k closest of a.
 
@@ -79,23 +145,24 @@ def _closest(asked: pa.Table, searched: pa.Table, k: int) -> pa.Table:
     many = searched.column("n").to_numpy()
     codes, size = _codes(b)
     out: list[tuple] = []
-    measure = difflib.SequenceMatcher(None, autojunk=True)
     for a, floor in zip(asked.column("a").to_pylist(), asked.column("floor").to_pylist(), strict=True):
         bound = 2.0 * common(a, codes) / (size + len(a))
         best: list[float] = []  # the k best ratios so far, as often as rows have them
         least, found = floor, []
-        for j in np.argsort(-bound, kind="stable").tolist():
-            if bound[j] < least:
+        order = np.argsort(-bound, kind="stable")
+        for first in range(0, len(order), AT_ONCE):
+            some = order[first : first + AT_ONCE]
+            some = some[bound[some] >= least]
+            if not len(some):
                 break
-            measure.set_seqs(a, b[j])
-            ratio = measure.ratio()
-            if ratio < least:
-                continue
-            found.append((a, b[j], ratio))
-            for _ in range(min(k, int(many[j]))):
-                (heapq.heappushpop if len(best) == k else heapq.heappush)(best, ratio)
-            if len(best) == k:
-                least = max(least, best[0])
+            for j, ratio in zip(some.tolist(), ratios(a, [b[j] for j in some], codes[:, some], size[some]).tolist(), strict=True):
+                if ratio < least:
+                    continue
+                found.append((a, b[j], ratio))
+                for _ in range(min(k, int(many[j]))):
+                    (heapq.heappushpop if len(best) == k else heapq.heappush)(best, ratio)
+                if len(best) == k:
+                    least = max(least, best[0])
         out += [x for x in found if x[2] >= least]
     a, b, r = zip(*out, strict=True) if out else ((), (), ())
     return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string()), "ratio": pa.array(r, pa.float64())})

@@ -234,3 +234,11 @@ def test_seeds_never_cost_a_title(spark):
         best = sorted((difflib.SequenceMatcher(None, a, b).ratio() for b in set(every[20:])), reverse=True)
         assert floor <= best[2] + 1e-12
     assert any(np.array(list(floors.values())) > 0)
+
+
+def test_ratios_equal_those_of_the_standard_library():
+    r = random.Random(1)
+    texts = ["".join(r.choice("abcdeé fgh") for _ in range(r.randint(1, 90))) for _ in range(150)] + ["ab" * 40, "aaaa", "x" * 230, "ab" * 120, "日本語のタイトル", "z"]
+    codes, size = nearest._codes(texts)
+    for a in [*texts[:6], *texts[-6:]]:
+        assert nearest.ratios(a, texts, codes, size).tolist() == [difflib.SequenceMatcher(None, a, t).ratio() for t in texts]
