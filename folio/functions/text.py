@@ -136,12 +136,18 @@ ATTRIBUTION = (
 )
 
 
+def capital(c: Column) -> Column:
+    """The capital of one letter, as one letter: ß gives ẞ, and letters whose capital takes several letters stay."""
+    up = F.upper(c)
+    return F.when(F.length(up) <= 1, up).otherwise(F.translate(c, "ß", "ẞ"))
+
+
 def clean_reason(c: Column) -> Column:
     """Attribution removed, first letter a capital, at most two sentences."""
     c = F.trim(F.coalesce(c, F.lit("")))
     for p in ATTRIBUTION:
         c = F.regexp_replace(c, p, "")
-    c = F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30))
+    c = F.concat(capital(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30))
     parts = F.split(c, r"(?<=[.!?])\s+")
     two = F.array_join(F.slice(parts, 1, 2), " ")
     two = F.when(F.endswith(two, F.lit(".")), two).otherwise(F.concat(two, F.lit(".")))

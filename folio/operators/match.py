@@ -120,11 +120,13 @@ def merge_items(items: DataFrame, key: str, edges: DataFrame) -> DataFrame:
 def rerank(candidates: DataFrame, results: DataFrame, least: float = 0.92) -> DataFrame:
     """candidates (id, title, ...) with llm_score, llm_rank of the best valid result (pub_id, title, llm_score, llm_rank).
 
-    Valid: the id is known and the title is equal after normalising, or at least `least` alike. Twice
-    the same id: the higher score stays. Without a valid result 0 and 999.
+    Valid: the id is known and the title is equal after normalising, or at least `least` alike. Case does
+    not count: titles are compared by their capitals, of which ß has two. Twice the same id: the higher
+    score stays. Without a valid result 0 and 999.
     """
-    own = candidates.select("id", title_key(F.col("title"), "rerank").alias("_want"))
-    got = results.withColumn("_got", title_key(F.col("title"), "rerank")).where("_got <> ''").join(own, F.col("pub_id") == F.col("id"))
+    folded = title_key(F.upper("title"), "rerank")
+    own = candidates.select("id", folded.alias("_want"))
+    got = results.withColumn("_got", folded).where("_got <> ''").join(own, F.col("pub_id") == F.col("id"))
     valid = got.where((F.col("_got") == F.col("_want")) | (sequence_ratio("_want", "_got") >= least))
     best = valid.groupBy("pub_id").agg(F.max_by(F.struct("llm_score", "llm_rank"), F.struct(F.col("llm_score"), -F.col("llm_rank"))).alias("_b"))
     out = candidates.join(best, F.col("id") == F.col("pub_id"), "left")
