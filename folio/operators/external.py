@@ -21,14 +21,18 @@ def call(df: DataFrame, key: str, kind: str, columns: list[str], fn: Callable[[l
     """(key, answer, latency_ms, error): fn gets up to `batch` rows as dicts and returns one JSON-able dict each; a batch that fails carries its error."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            for i in range(0, len(p), batch):
-                rows, began = p.iloc[i : i + batch], time.monotonic()
+        for p in parts:  # converted once a part, however small the batches are
+            rows, answers, took, errors = p[columns].to_dict("records"), [], [], []
+            for i in range(0, len(rows), batch):
+                some, began = rows[i : i + batch], time.monotonic()
                 try:
-                    got, error = [json.dumps(x) for x in fn(rows[columns].to_dict("records"))], None
+                    got, error = [json.dumps(x) for _, x in zip(some, fn(some), strict=True)], None
                 except Exception as e:
-                    got, error = [None] * len(rows), str(e)[:200]
-                yield pd.DataFrame({key: rows[key], "answer": got, "latency_ms": int((time.monotonic() - began) * 1000), "error": error})
+                    got, error = [None] * len(some), str(e)[:200]
+                answers += got
+                took += [int((time.monotonic() - began) * 1000)] * len(some)
+                errors += [error] * len(some)
+            yield pd.DataFrame({key: p[key], "answer": answers, "latency_ms": took, "error": errors})
 
     return df.select(*dict.fromkeys([key, *columns])).mapInPandas(run, f"{key} {kind}, {ANSWER}")
 
@@ -57,16 +61,16 @@ def deliver(df: DataFrame, key: str, kind: str, columns: list[str], send: Callab
     Chunk numbers run over the whole delivery, floor(place / size), so all chunks but the last are full. The mark of a
     chunk is a hash of its keys, the same in each attempt and in a delivery that is run again; with
     `marked` it is the second argument of `send`, so that a receiver knows what it has had. A lost task sends its chunks again.
+    A task takes its chunks one after the other from a stream of rows, so small chunks cost no group each and one chunk is held at a time.
     """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(key)
-        mark = hashlib.sha256("\n".join(rows[key].astype(str)).encode()).hexdigest()
+    def sent(keys: list, rows: list[dict]) -> tuple[str, int, str | None]:
+        mark = hashlib.sha256("\n".join(str(k) for k in keys).encode()).hexdigest()
         error, attempt = None, 0
         while attempt < tries:
             attempt += 1
             try:
-                send(rows[columns].to_dict("records"), *([mark] if marked else []))
+                send(rows, *([mark] if marked else []))
                 error = None
                 break
             except Retry as e:
@@ -75,10 +79,31 @@ def deliver(df: DataFrame, key: str, kind: str, columns: list[str], send: Callab
             except Exception as e:
                 error = str(e)[:200]
                 break
-        return pd.DataFrame({key: rows[key], "chunk": rows["chunk"], "mark": mark, "attempts": attempt, "error": error})
+        return mark, attempt, error
 
-    d = numbered(df.select(*dict.fromkeys([key, *columns])), key).withColumn("chunk", F.floor(F.col("number") / size).cast("long")).drop("number")
-    return d.groupBy("chunk").applyInPandas(run, f"{key} {kind}, chunk long, mark string, attempts int, error string")
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None  # the last chunk of a part, which may go on in the next one
+        for p in parts:
+            done = []
+            for chunk, k, row in zip(p["chunk"].tolist(), p[key].tolist(), p[columns].to_dict("records"), strict=True):
+                if held is None or held[0] != chunk:
+                    done += [held] if held else []
+                    held = (chunk, [], [])
+                held[1].append(k)
+                held[2].append(row)
+            yield told(done)
+        yield told([held] if held else [])
+
+    def told(chunks: list[tuple[int, list, list[dict]]]) -> pd.DataFrame:
+        rows = []
+        for chunk, keys, records in chunks:
+            mark, attempts, error = sent(keys, records)
+            rows += [(k, chunk, mark, attempts, error) for k in keys]
+        return pd.DataFrame(rows, columns=[key, "chunk", "mark", "attempts", "error"])
+
+    d = numbered(df.select(*dict.fromkeys([key, *columns])), key).withColumn("chunk", F.floor(F.col("number") / size).cast("long"))
+    d = d.repartition("chunk").sortWithinPartitions("number").drop("number")
+    return d.mapInPandas(run, f"{key} {kind}, chunk long, mark string, attempts int, error string")
 
 
 def unanswered(df: DataFrame, answers: DataFrame, keys: list[str]) -> DataFrame:
