@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +31,16 @@ def parses(c: Column) -> Column:
     return F.try_parse_json(object_text(c)).isNotNull()
 
 
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once a row, however often f names it."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _fields(o: Column, *names: str) -> Column:
+    """struct(object, names) of an object text: does it parse, and its fields as texts."""
+    return F.struct(F.try_parse_json(o).isNotNull().alias("object"), *[F.get_json_object(o, f"$.{n}").alias(n) for n in names])
+
+
 def field(c: Column, name: str) -> Column:
     return F.get_json_object(object_text(c), f"$.{name}")
 
@@ -52,7 +64,10 @@ def _list_text(c: Column, name: str) -> Column:
 
 def review(c: Column, version: str = "v3") -> Column:
     """struct(relevancy_score, relevancy_reason, confidence, summary, concerns, valid) of a reviewer's answer."""
-    o = object_text(c)
+    return _once(object_text(c), lambda o: _reviewed(o, version))
+
+
+def _reviewed(o: Column, version: str) -> Column:
     get = lambda n: F.get_json_object(o, f"$.{n}")
     whole = lambda x: F.when(F.rlike(x, F.lit(r"^-?\d+$")), x).cast("int")
     score = F.coalesce(whole(get("relevancy_score")), whole(get("relevancy_score_0_100")))
@@ -63,26 +78,32 @@ def review(c: Column, version: str = "v3") -> Column:
     raw = get("concerns")
     listed = F.filter(F.transform(F.coalesce(_list_text(o, "concerns"), F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "")
     concerns = F.when(raw.isNull() | F.lower(F.trim(raw)).isin("", "none"), F.array().cast("array<string>")).when(F.startswith(F.trim(raw), F.lit("[")), listed).otherwise(F.array(F.trim(raw)))
-    valid = parses(c) & score.between(0, 100) & reason.isNotNull()
+    valid = F.try_parse_json(o).isNotNull() & score.between(0, 100) & reason.isNotNull()
     return F.struct(score.alias("relevancy_score"), reason.alias("relevancy_reason"), confidence.alias("confidence"), F.coalesce(get("summary"), F.lit("")).alias("summary"), concerns.alias("concerns"), F.coalesce(valid, F.lit(False)).alias("valid"))
 
 
 def evaluation(c: Column) -> Column:
     """struct(final_score, final_rating, final_reason, confidence, final_summary, error) of an evaluator's answer."""
-    o = object_text(c)
-    get = lambda n: F.get_json_object(o, f"$.{n}")
     whole = lambda x: F.when(F.rlike(x, F.lit(r"^-?\d+$")), x).cast("int")
-    score, rating, reason = get("final_relevancy_score"), get("final_relevancy_rating_0_3"), get("final_relevancy_reason")
-    sure = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(100), F.when(F.rlike(get("confidence"), F.lit(r"^-?\d+(\.\d+)?$")), get("confidence")).cast("double").cast("int"))), F.lit(60))
-    error = (
-        F.when(~F.coalesce(parses(c), F.lit(False)), "no object")
-        .when(score.isNull() | rating.isNull() | reason.isNull(), "missing field")
-        .when(whole(score).isNull() | whole(rating).isNull(), "wrong type")
-        .when(~whole(score).between(0, 100), "score out of range")
-        .when(~whole(rating).between(0, 3), "rating out of range")
-    )
-    ok = error.isNull()
-    return F.struct(F.when(ok, whole(score)).alias("final_score"), F.when(ok, whole(rating)).alias("final_rating"), F.when(ok, reason).alias("final_reason"), F.when(ok, sure).alias("confidence"), F.when(ok, F.coalesce(get("final_summary"), reason)).alias("final_summary"), error.alias("error"))
+
+    def judged(x: Column) -> Column:
+        score, rating, reason = x["final_relevancy_score"], x["final_relevancy_rating_0_3"], x["final_relevancy_reason"]
+        error = (
+            F.when(~x["object"], "no object")
+            .when(score.isNull() | rating.isNull() | reason.isNull(), "missing field")
+            .when(whole(score).isNull() | whole(rating).isNull(), "wrong type")
+            .when(~whole(score).between(0, 100), "score out of range")
+            .when(~whole(rating).between(0, 3), "rating out of range")
+        )
+        sure = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(100), F.when(F.rlike(x["confidence"], F.lit(r"^-?\d+(\.\d+)?$")), x["confidence"]).cast("double").cast("int"))), F.lit(60))
+        return F.struct(error.alias("error"), whole(score).alias("score"), whole(rating).alias("rating"), reason.alias("reason"), sure.alias("sure"), F.coalesce(x["final_summary"], reason).alias("summary"))
+
+    def kept(x: Column) -> Column:
+        ok = x["error"].isNull()
+        return F.struct(F.when(ok, x["score"]).alias("final_score"), F.when(ok, x["rating"]).alias("final_rating"), F.when(ok, x["reason"]).alias("final_reason"), F.when(ok, x["sure"]).alias("confidence"), F.when(ok, x["summary"]).alias("final_summary"), x["error"].alias("error"))
+
+    read = lambda o: _fields(o, "final_relevancy_score", "final_relevancy_rating_0_3", "final_relevancy_reason", "confidence", "final_summary")
+    return _once(_once(_once(object_text(c), read), judged), kept)
 
 
 def ranked_ids(c: Column) -> Column:
@@ -107,11 +128,12 @@ def as_list(c: Column) -> Column:
 
 def scored(c: Column, score: str = "credibility_score", reason: str = "credibility_reason") -> Column:
     """struct(score, reason, confidence, valid) of an answer with one score from 0 to 100 and a reason."""
-    o = object_text(c)
-    raw = F.get_json_object(o, f"$.{score}")
-    n = F.when(F.rlike(raw, F.lit(r"^-?\d+$")), raw).cast("int")
-    why = blank_to_null(F.get_json_object(o, f"$.{reason}"))
-    label = F.lower(F.get_json_object(o, "$.confidence"))
-    sure = F.when(label.isin("low", "medium", "high"), label).otherwise("medium")
-    ok = F.coalesce(parses(c) & n.between(0, 100) & why.isNotNull(), F.lit(False))
-    return F.struct(F.when(ok, n).alias("score"), F.when(ok, why).alias("reason"), F.when(ok, sure).alias("confidence"), ok.alias("valid"))
+
+    def judged(x: Column) -> Column:
+        n = F.when(F.rlike(x[score], F.lit(r"^-?\d+$")), x[score]).cast("int")
+        why, label = blank_to_null(x[reason]), F.lower(x["confidence"])
+        sure = F.when(label.isin("low", "medium", "high"), label).otherwise("medium")
+        ok = F.coalesce(x["object"] & n.between(0, 100) & why.isNotNull(), F.lit(False))
+        return F.struct(F.when(ok, n).alias("score"), F.when(ok, why).alias("reason"), F.when(ok, sure).alias("confidence"), ok.alias("valid"))
+
+    return _once(_once(object_text(c), lambda o: _fields(o, score, reason, "confidence")), judged)
