@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folio.functions.text import any_of, matches, title_key
+from folio.operators.titles import stored
 
 # Words that lower a gate score.
 NEGATIVE = (
@@ -135,9 +136,10 @@ def audit(gated: DataFrame, key: str, rate: float = 0.02, seed: str = "audit") -
     The chosen rows are those with the smallest md5 of seed and key. The last of them is found first: a
     histogram of the leading digits of the hashes, 16 ** DIGITS numbers at most, says in which range
     the cut lies, further digits narrow the range until it holds few rows, and these are ranked. The rest is a
-    filter, so the sample may be as large as the table allows.
+    filter, so the sample may be as large as the table allows. The gated rows are written once and read in
+    each of these passes, so the gate is not worked out again: give the columns that are needed.
     """
-    gated = gated.withColumn("_h", F.md5(F.concat(F.lit(seed + ":"), F.col(key).cast("string")).cast("binary")))
+    gated = stored(gated.withColumn("_h", F.md5(F.concat(F.lit(seed + ":"), F.col(key).cast("string")).cast("binary"))))
     low = gated.where("gate_bucket = 'low'")
     n = low.count()
     left = min(n, max(1, int(n * rate))) if n and rate > 0 else 0

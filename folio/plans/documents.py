@@ -201,12 +201,12 @@ def gate_bucket(spark, sf_dir):
 
 @query("audit_rows", f"{_GATE}, l AS (SELECT id, row_number() OVER (ORDER BY md5('audit:' || CAST(id AS VARCHAR)), id) AS n, count(*) OVER () AS all_low FROM g WHERE gate_bucket = 'low') SELECT id FROM l WHERE n <= greatest(1, CAST(floor(all_low * 0.05) AS BIGINT)) UNION ALL SELECT id FROM g WHERE gate_bucket IN ('high', 'maybe')")
 def audit_rows(spark, sf_dir):
-    return gate.to_evaluate(gate.audit(_gated(spark, sf_dir), "id", 0.05)).select("id")
+    return gate.to_evaluate(gate.audit(_gated(spark, sf_dir).select("id", "gate_bucket"), "id", 0.05)).select("id")
 
 
 @query("gate_stats", f"{_GATE}, c AS (SELECT count(*) AS total, count(*) FILTER (WHERE gate_bucket = 'high') AS high, count(*) FILTER (WHERE gate_bucket = 'maybe') AS maybe, count(*) FILTER (WHERE gate_bucket = 'low') AS low, count(*) FILTER (WHERE venue_match) AS venue_promoted, count(*) FILTER (WHERE n_keywords > 0) AS keyword_promoted FROM g) SELECT *, CASE WHEN low = 0 THEN 0 ELSE greatest(1, CAST(floor(low * 0.02) AS BIGINT)) END AS audited_low, high + maybe + CASE WHEN low = 0 THEN 0 ELSE greatest(1, CAST(floor(low * 0.02) AS BIGINT)) END AS to_evaluate FROM c")
 def gate_stats(spark, sf_dir):
-    return gate.gate_stats(gate.audit(_gated(spark, sf_dir), "id"))
+    return gate.gate_stats(gate.audit(_gated(spark, sf_dir).select("id", "gate_bucket", "venue_match", "keyword_matches"), "id"))
 
 
 _LOW = "lower(title || chr(10) || source || chr(10) || raw_text)"
