@@ -44,33 +44,53 @@ def sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 hour")
 
 
 class _Limiter(StatefulProcessor):
-    """The accepted times of a key within the window, in a list; a timer clears a key that has fallen silent."""
+    """The accepted times within the window of each key of a shard, in a map; keys that have fallen silent are dropped as the watermark passes.
+
+    A null key is a key of its own. Of the map only the keys of a micro-batch are read and written.
+    """
 
     def __init__(self, key: str, most: int, micros: int):
         self.key, self.most, self.micros = key, most, micros
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.times = handle.getListState("times", "at long")
+        self.times = handle.getMapState("times", "known boolean, id long", "at array<long>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         d = pd.concat(list(rows)).sort_values(["ts", "event_id"], ignore_index=True)
-        times, ok = [t[0] for t in self.times.get()] if self.times.exists() else [], []
-        for t in d["ts"].astype("datetime64[us]").astype("int64").tolist():
-            times = [x for x in times if x > t - self.micros]
+        keys = list(zip(d["known"].tolist(), d["id"].tolist(), strict=True))
+        kept: dict[tuple, list[int]] = {}
+        stored, ok = set(), []
+        for k, t in zip(keys, d["ts"].astype("datetime64[us]").astype("int64").tolist(), strict=True):
+            if k not in kept:
+                before = self.times.getValue(k) if self.times.containsKey(k) else None
+                kept[k] = list(before[0]) if before else []
+                stored |= {k} if before else set()
+            times = [x for x in kept[k] if x > t - self.micros]
             ok.append(len(times) < self.most)
-            if ok[-1]:
-                times.append(t)
-        self.times.clear()
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if times:
-            self.times.put([(t,) for t in times])
-            self.handle.registerTimer(max((times[-1] + self.micros) // 1000, timerValues.getCurrentWatermarkInMs()) + 1)
-        yield pd.DataFrame({"event_id": d["event_id"], self.key: key[0], "accepted": ok})
+            kept[k] = times + [t] * ok[-1]
+        for k, times in kept.items():
+            if times:
+                self.times.updateValue(k, (times,))
+            elif k in stored:
+                self.times.removeKey(k)
+        yield pd.DataFrame({"event_id": d["event_id"], self.key: d["id"].astype("Int64").where(d["known"]), "accepted": ok})
+        ends = [times[-1] for times in kept.values() if times]
+        if ends and not list(self.handle.listTimers()):
+            self._wake(min(ends), timerValues)
+
+    def _wake(self, last: int, timerValues) -> None:
+        self.handle.registerTimer(max((last + self.micros) // 1000, timerValues.getCurrentWatermarkInMs()) + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.times.clear()
+        now, left = timerValues.getCurrentWatermarkInMs() * 1000, []
+        for k, (times,) in list(self.times.iterator()):
+            if times[-1] + self.micros < now:
+                self.times.removeKey(k)
+            else:
+                left.append(times[-1])
+        if left:
+            self._wake(min(left), timerValues)
         yield pd.DataFrame()
 
 
@@ -80,15 +100,17 @@ def _with_state(events: DataFrame) -> DataFrame:
     return events
 
 
-def rate_limited(events: DataFrame, key: str = "user_id", most: int = 10, seconds: int = 60, delay: str = "1 hour") -> DataFrame:
+def rate_limited(events: DataFrame, key: str = "user_id", most: int = 10, seconds: int = 60, delay: str = "1 hour", shards: int = 256) -> DataFrame:
     """Adds accepted: true if fewer than `most` events of the key were accepted in the `seconds` before; refused ones do not count.
 
-    State is the accepted times of the window, `most` at most; it goes when the watermark has passed the last of
+    State is the accepted times of the window, `most` at most a key, in a map a shard of keys, so small keys cost
+    an entry each and not a group; an entry goes when the watermark has passed the last of
     them by `seconds`, so keys that fall silent leave nothing behind. Events of one micro-batch are taken in
     the order of time; one that comes later but is older is judged by what was accepted until it came.
     """
-    d = _with_state(events.withWatermark("ts", delay)).groupBy(key)
-    return d.transformWithStateInPandas(_Limiter(key, most, seconds * 1_000_000), f"event_id long, {key} long, accepted boolean", "Append", "EventTime")
+    shard = F.pmod(F.xxhash64(key), F.lit(shards)).cast("int").alias("shard")
+    d = events.withWatermark("ts", delay).select("event_id", "ts", F.col(key).isNotNull().alias("known"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("id"), shard)
+    return _with_state(d).groupBy("shard").transformWithStateInPandas(_Limiter(key, most, seconds * 1_000_000), f"event_id long, {key} long, accepted boolean", "Append", "EventTime")
 
 
 class _Memory(StatefulProcessor):
