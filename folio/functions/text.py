@@ -206,10 +206,11 @@ def preview(c: Column, n: int = 200) -> Column:
 
 def trigrams(c: Column) -> Column:
     """Phrases of three neighbouring words."""
-    w = F.split(squeeze(F.lower(c)), " ")
-    # zipped with itself shifted, so the words are split a fixed number of times, not once a phrase
-    z = F.arrays_zip(w.alias("a"), F.slice(w, F.lit(2), F.greatest(F.lit(0), F.size(w) - 1)).alias("b"), F.slice(w, F.lit(3), F.greatest(F.lit(0), F.size(w) - 2)).alias("c"))
-    return F.transform(F.filter(z, lambda x: x["c"].isNotNull()), lambda x: F.concat_ws(" ", x["a"], x["b"], x["c"]))
+    joined = lambda a, b: F.concat(a, F.lit(" "), b)
+    after = lambda w, n: F.slice(w, F.lit(n + 1), F.greatest(F.lit(0), F.size(w) - n))
+    # zipped with itself shifted; bound to one name, so the text is split once
+    phrases = lambda w: F.array_compact(F.zip_with(F.zip_with(w, after(w, 1), joined), after(w, 2), joined))
+    return F.transform(F.array(F.split(squeeze(F.lower(c)), " ")), phrases)[0]
 
 
 def shares_trigram(title: Column, text: Column) -> Column:

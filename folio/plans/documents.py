@@ -448,8 +448,9 @@ _WORDS = "string_split(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ')
 h AS (SELECT item_id, doc_id, count(*) AS hits, any_value(n) AS n FROM bg JOIN dg USING (g) GROUP BY 1, 2) SELECT item_id, count(*) AS n_touched, count(*) FILTER (WHERE 2 * hits >= n) AS n_documents FROM h GROUP BY 1""")
 def benchmark_in_documents(spark, sf_dir):
     """Documents that share trigrams of words with a benchmark item, and those that hold half of its trigrams or more: an equi-join on the trigrams themselves."""
-    grams = lambda d, key: d.select(key, F.array_distinct(text.trigrams(F.col("text"))).alias("g")).where(F.size("g") > 0)
-    b = grams(table(spark, sf_dir, "benchmark"), "item_id").select("item_id", F.size("g").alias("n"), F.explode("g").alias("gram"))
-    d = grams(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", F.explode("g").alias("gram"))
+    grams = F.array_distinct(text.trigrams(F.col("text")))
+    # the outer form adds no filter on the number of phrases, for which the texts would be cut up again
+    b = table(spark, sf_dir, "benchmark").select("item_id", grams.alias("g")).select("item_id", F.size("g").alias("n"), F.explode_outer("g").alias("gram"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.explode_outer(grams).alias("gram"))
     hits = d.join(b, "gram").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("hits"), F.first("n").alias("n"))
     return hits.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_touched"), F.count_if(2 * F.col("hits") >= F.col("n")).alias("n_documents"))
