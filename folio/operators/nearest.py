@@ -19,6 +19,8 @@ from folio.operators.titles import stored
 GRAM = 3
 #: Titles asked for and titles searched that meet in a task.
 ASKED, SEARCHED = 256, 4096
+#: Tasks a pair of blocks, so that few pairs share one, and tasks at most.
+SPREAD, TASKS = 4, 4096
 WORD = 64
 #: Titles measured at once, and the length from which the sequence matcher leaves out frequent characters.
 AT_ONCE, SHORT = 2048, 200
@@ -205,6 +207,9 @@ def nearest_titles(misses: DataFrame, candidates: DataFrame, miss_id: str, candi
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     left = asked.withColumn("i", block("a", rows)).withColumn("j", every(columns))
     right = searched.withColumn("m", block("b", columns)).withColumn("l", every(rows))
+    # blocks are few bytes and much work, so their number and not their size says how many tasks there are
+    tasks = min(SPREAD * rows * columns, TASKS)
+    left, right = left.repartition(tasks, "i", "j"), right.repartition(tasks, "l", "m")
     found = left.groupBy("i", "j").cogroup(right.groupBy("l", "m")).applyInArrow(lambda x, y: _closest(x, y, k), "a string, b string, ratio double")
     # of the ids of one title the k smallest can count
     ids = first_of(b, ["b"], ["b_id"], k).select("b", "b_id")
