@@ -230,8 +230,8 @@ class Index:
     keep: int
 
 
-def shard_rows(rows: int, dim: int) -> int:
-    """Rows of a shard: they grow with the table, so that the searches of a query do so slowly, up to what one task holds easily, whatever the length of the vectors."""
+def shard_rows(rows: int, dim: int = 1) -> int:
+    """Rows of a shard: they grow with the table, so that the searches of a query do so slowly, up to what one task holds easily, whatever the length of the vectors; without a length by their number alone."""
     return max(1, min(max(LEAST_ROWS, min(MOST_ROWS, math.ceil(rows / SHARDS))), SHARD_BYTES // (8 * max(1, dim))))
 
 
